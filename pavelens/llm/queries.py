@@ -1,0 +1,66 @@
+"""Queries of the operators in this subpackage, and their SQL where SQL can say them."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pavelens.llm import nearest_time, percentiles
+from pavelens.plans.dataset import recording_instants
+from pavelens.session import Scratch, ship, table
+
+#: gps_time + this = Unix seconds.
+GPS_TO_UNIX_S = 1_315_964_800
+P1_PERCENTILES = {"SM4L_M": [0.95], "MSPT": [0.5], "RISS": [0.9]}
+
+
+def p1_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The percentile of every group of road section, construction type, class and metric."""
+    ship(spark)
+    scratch = Scratch(spark, "p1")
+    areas = table(spark, sf_dir, "strassenzustand").select("area_id", "strecke_id", "bw", "fk", "sm4l_m", "mspt", "riss").distinct()
+    metrics = {"SM4L_M": F.col("sm4l_m"), "MSPT": F.col("mspt"), "RISS": F.when(F.col("bw") == "A", F.col("riss"))}
+    groups = ["strecke_id", "bw", "fk"]
+    counts = percentiles.value_counts(areas, groups, metrics, 0.0, 1000.0)
+    return percentiles.percentiles_of_counts(counts, groups, P1_PERCENTILES, low=0.0, high=1000.0, scratch=scratch)
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = p1_percentiles(spark, sf_dir).filter(F.col("n_valid") >= 30)
+    limits = table(spark, sf_dir, "factors").select("bw", "metric", "fk", "f2").distinct()
+    return found.join(limits, ["bw", "metric", "fk"]).filter(F.col("value") > F.col("f2")).select("strecke_id", "bw", "fk", "metric").distinct()
+
+
+_RANKED = """
+WITH d AS (SELECT DISTINCT area_id, strecke_id, bw, fk, sm4l_m, mspt, riss FROM strassenzustand),
+l AS (SELECT strecke_id, bw, fk, 'SM4L_M' AS metric, 95 AS pc, sm4l_m AS v FROM d
+  UNION ALL SELECT strecke_id, bw, fk, 'MSPT', 50, mspt FROM d
+  UNION ALL SELECT strecke_id, bw, fk, 'RISS', 90, riss FROM d WHERE bw = 'A'),
+r AS (SELECT *, row_number() OVER (PARTITION BY strecke_id, bw, fk, metric ORDER BY v) AS rk,
+    count(*) OVER (PARTITION BY strecke_id, bw, fk, metric) AS n
+  FROM l WHERE v IS NOT NULL AND NOT isnan(v) AND v BETWEEN 0 AND 1000),
+g AS (SELECT * FROM r WHERE rk = (pc * n + 99) // 100)
+"""
+
+
+def p2_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every laser point with a time and the recording of its run nearest in time, up to 0.25 s away."""
+    ship(spark)
+    points = table(spark, sf_dir, "point_cloud").filter("gps_time is not null and not isnan(gps_time)")
+    us = F.round(F.col("gps_time") * 1e6).cast("bigint") + GPS_TO_UNIX_S * 1_000_000
+    points = points.select(F.col("point_source_id").alias("entity"), us.alias("t_us"), F.col("point_id").alias("id"))
+    recs = recording_instants(spark, sf_dir, ["rec_id", "run_id"])
+    recs = recs.select(F.regexp_extract("run_id", r"^run_(\d+)$", 1).try_cast("bigint").alias("entity"), F.col("utc_us").alias("t_us"), F.col("rec_id").alias("id"))
+    return nearest_time.nearest_in_time(points, recs, 250_000).select(F.col("right_id").alias("rec_id"), F.col("left_id").alias("point_id"), "gap_us")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p2_pairs(spark, sf_dir).select("rec_id", "point_id")
+
+
+QUERIES = {"p1_found": p1_found, "p1_percentiles": p1_percentiles, "p2_found": p2_found, "p2_pairs": p2_pairs}
+ORACLES = {
+    "p1_found": _RANKED + """SELECT DISTINCT strecke_id, g.bw, g.fk, g.metric FROM g JOIN factors f ON f.bw = g.bw AND f.fk = g.fk AND f.metric = g.metric
+WHERE n >= 30 AND v > f.f2""",
+    "p1_percentiles": _RANKED + """SELECT strecke_id, bw, fk, metric, CAST(pc / 100.0 AS DOUBLE) AS p, n AS n_valid, v AS value, 0.0::DOUBLE AS rank_error FROM g""",
+}
