@@ -1,0 +1,212 @@
+"""Texts packed into containers of a fixed number of tokens, whole unless longer than a container.
+
+1. Every text is counted in tokens of a public tokenizer (once; the counts are written down). Longer
+   texts are cut into pieces of the capacity and one rest.
+2. The histogram of piece lengths, at most `capacity` numbers, goes to the driver. Patterns of up to
+   four lengths that nearly fill a container are enumerated; non-negative least squares fits how often
+   to repeat each one so that together they use up the histogram; the repeats are rounded to what is
+   there, and what is left is packed longest first with the best fit.
+3. The plan is a list of runs: the pieces of one length with ranks from..to go to consecutive
+   containers. Each piece gets its rank within its length (counts per salt first, then ranks within a
+   salt, so that a length that a third of all pieces have is spread) and finds its run by bisection.
+
+Null and empty texts have no tokens: they make one piece of length 0 in container 0. Extra columns are
+ignored; an empty table gives an empty result.
+"""
+
+from __future__ import annotations
+
+import base64
+import math
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+
+from pavelens.session import Scratch
+
+#: Pieces of one length that one task ranks.
+RANK_ROWS = 1_000_000
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.tiktoken") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def load_encoder(path: str):
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def token_counts(docs: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
+    """(id, n_tokens) of every text, whole. The path must be readable on every executor."""
+
+    def run(batches):
+        enc = load_encoder(path)
+        for b in batches:
+            texts = b.column("text")
+            n = [len(enc.encode_ordinary(t.as_py())) if t.is_valid else 0 for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int64())], names=["id", "n_tokens"])
+
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id bigint, n_tokens bigint")
+
+
+def enumerate_patterns(lengths: np.ndarray, capacity: int, waste: int, per_length: int = 24) -> list[tuple[int, ...]]:
+    """Patterns of one to four of the lengths (ascending) that leave at most `waste` of the capacity free."""
+    lengths = np.asarray(lengths)
+    out: set[tuple[int, ...]] = set()
+
+    def largest(space: int) -> int:
+        i = np.searchsorted(lengths, space, side="right") - 1
+        return int(lengths[i]) if i >= 0 else 0
+
+    def add(*p: int) -> None:
+        if all(p) and capacity - waste <= sum(p) <= capacity:
+            out.add(tuple(sorted(p, reverse=True)))
+
+    few = np.unique(lengths[np.unique(np.linspace(0, len(lengths) - 1, min(len(lengths), per_length)).astype(int))])
+    for a in map(int, lengths):
+        add(a)
+        for k in (2, 3, 4):
+            add(*[a] * k)
+        room = capacity - a
+        if room <= 0:
+            continue
+        i = np.searchsorted(lengths, room, side="right")
+        for b in map(int, lengths[max(0, i - 3) : i]):
+            add(a, b)
+        for b in map(int, few):
+            if b <= room:
+                add(a, b, largest(room - b))
+                for c in map(int, few[few <= b][::3]):
+                    if b + c <= room:
+                        add(a, b, c, largest(room - b - c))
+    return sorted(out, reverse=True)
+
+
+def nonnegative_least_squares(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, h: np.ndarray, n: int, rounds: int = 300) -> np.ndarray:
+    """x >= 0 that makes |A x - h| small, for a sparse A >= 0, by multiplicative updates."""
+    ah = np.bincount(cols, vals * h[rows], minlength=n)
+    x = np.full(n, h.sum() / max(1.0, vals.sum()))
+    for _ in range(rounds):
+        ax = np.bincount(rows, vals * x[cols], minlength=len(h))
+        x = x * ah / np.maximum(np.bincount(cols, vals * ax[rows], minlength=n), 1e-12)
+    return x
+
+
+def plan_containers(histogram: dict[int, int], capacity: int, waste_share: float = 0.01) -> list[tuple[tuple[tuple[int, int], ...], int]]:
+    """[(pattern as ((length, how many), …), repeats)] that uses every piece of the histogram once."""
+    left = {L: n for L, n in histogram.items() if 0 < L <= capacity and n > 0}
+    plan: list[tuple[tuple[tuple[int, int], ...], int]] = []
+
+    def take(pattern: dict[int, int], repeats: int) -> None:
+        if repeats > 0:
+            plan.append((tuple(sorted(pattern.items(), reverse=True)), repeats))
+            for L, k in pattern.items():
+                left[L] -= k * repeats
+                if not left[L]:
+                    del left[L]
+
+    if capacity in left:
+        take({capacity: 1}, left[capacity])
+    lengths = np.array(sorted(left))
+    if len(lengths):
+        patterns = [{L: p.count(L) for L in p} for p in enumerate_patterns(lengths, capacity, int(capacity * waste_share))]
+        if patterns:
+            index = {int(L): i for i, L in enumerate(lengths)}
+            cols = np.repeat(np.arange(len(patterns)), [len(p) for p in patterns])
+            rows = np.array([index[L] for p in patterns for L in p])
+            vals = np.array([k for p in patterns for k in p.values()], dtype=float)
+            x = nonnegative_least_squares(rows, cols, vals, np.array([left[int(L)] for L in lengths], dtype=float), len(patterns))
+            fits = lambda p: min(left.get(L, 0) // k for L, k in p.items())
+            for i in np.argsort(-x, kind="stable"):
+                if x[i] < 0.5:
+                    break
+                take(patterns[i], min(int(round(x[i])), fits(patterns[i])))
+            full = sorted(range(len(patterns)), key=lambda i: (-sum(L * k for L, k in patterns[i].items()), -x[i]))
+            for i in full:  # the rounding left some: patterns that still fit, the fullest first
+                take(patterns[i], fits(patterns[i]))
+    while left:  # the rest: longest first, best fit, as often as it fits again
+        present = np.array(sorted(left))
+        pattern, space = {}, capacity
+        while True:
+            i = np.searchsorted(present, space, side="right") - 1
+            while i >= 0 and left[int(present[i])] - pattern.get(int(present[i]), 0) <= 0:
+                i -= 1
+            if i < 0:
+                break
+            L = int(present[i])
+            k = min(space // L, left[L] - pattern.get(L, 0))
+            pattern[L] = pattern.get(L, 0) + k
+            space -= k * L
+        take(pattern, min(left[L] // k for L, k in pattern.items()))
+    return plan
+
+
+def _runs(plan, capacity: int) -> dict[str, np.ndarray]:
+    """The plan by length: pieces with rank first, first + 1, … of a length, `per` to a container, from container `base` on."""
+    used: dict[int, int] = {}
+    rows, base = [], 0
+    for pattern, repeats in plan:
+        at = 0
+        for L, k in pattern:
+            rows.append((L, used.get(L, 0), k, base, at))
+            used[L] = used.get(L, 0) + k * repeats
+            at += L * k
+        base += repeats
+    rows.sort()
+    a = np.array(rows, dtype=np.int64).reshape(-1, 5)
+    return {"length": a[:, 0], "first": a[:, 1], "per": a[:, 2], "base": a[:, 3], "at": a[:, 4]}
+
+
+def pack(docs: DataFrame, id_col: str, text_col: str, capacity: int = 2048, path: str | None = None, rank_rows: int = RANK_ROWS) -> DataFrame:
+    """docs → (id, piece, token_start, n_tokens, container_id, container_offset), one row per piece."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "packing")
+    counted = scratch.keep(token_counts(docs, id_col, text_col, path or tokenizer_path()), "counts")
+    pieces = counted.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.lit(0).cast("bigint"), F.call_function("div", F.col("n_tokens") - 1, F.lit(capacity).cast("bigint"))))))
+    pieces = pieces.select("id", "piece", (F.col("piece") * capacity).alias("token_start"), F.least(F.lit(capacity).cast("bigint"), F.col("n_tokens") - F.col("piece") * capacity).alias("n_tokens"))
+    # at most capacity + 1 rows
+    histogram = {r["n_tokens"]: r["n"] for r in pieces.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect()}
+    runs = _runs(plan_containers(histogram, capacity), capacity)
+    salts = max(1, math.ceil(max(histogram.values(), default=0) / rank_rows))
+    pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("id", "piece"), F.lit(salts)).cast("int"))
+    before = F.sum("n").over(W.partitionBy("n_tokens").orderBy("salt").rowsBetween(W.unboundedPreceding, -1))
+    offsets = pieces.groupBy("n_tokens", "salt").agg(F.count(F.lit(1)).alias("n")).select("n_tokens", "salt", F.coalesce(before, F.lit(0)).alias("offset"))
+    within = F.row_number().over(W.partitionBy("n_tokens", "salt").orderBy("id", "piece"))
+    ranked = pieces.withColumn("rank", within).join(offsets, ["n_tokens", "salt"]).select("id", "piece", "token_start", "n_tokens", (F.col("offset") + F.col("rank") - 1).alias("rank"))
+    shared = spark.sparkContext.broadcast(runs)  # a run per length of each pattern: bounded by the patterns, not by the pieces
+
+    def place(batches):
+        r = shared.value
+        begin = np.searchsorted(r["length"], np.arange(capacity + 2))
+        for b in batches:
+            L, rank = b.column("n_tokens").to_numpy(), b.column("rank").to_numpy()
+            container, offset = np.zeros(len(L), np.int64), np.zeros(len(L), np.int64)
+            for each in np.unique(L):
+                lo, hi = begin[each], begin[each + 1]
+                if each == 0 or lo == hi:
+                    continue
+                at = np.flatnonzero(L == each)
+                k = lo + np.searchsorted(r["first"][lo:hi], rank[at], side="right") - 1
+                d = rank[at] - r["first"][k]
+                container[at] = r["base"][k] + d // r["per"][k]
+                offset[at] = r["at"][k] + each * (d % r["per"][k])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("id", "piece", "token_start", "n_tokens")), pa.array(container), pa.array(offset)], names=["id", "piece", "token_start", "n_tokens", "container_id", "container_offset"])
+
+    return ranked.mapInArrow(place, "id bigint, piece bigint, token_start bigint, n_tokens bigint, container_id bigint, container_offset bigint")
+
+
+def fill(packed: DataFrame, capacity: int) -> DataFrame:
+    """(containers, tokens, fill, least): how many containers there are and how many any packing needs."""
+    each = packed.filter("n_tokens > 0").groupBy("container_id").agg(F.sum("n_tokens").alias("t"))
+    total = each.agg(F.count(F.lit(1)).alias("containers"), F.coalesce(F.sum("t"), F.lit(0)).alias("tokens"), F.coalesce(F.max("t"), F.lit(0)).alias("fullest"))
+    return total.select("containers", "tokens", "fullest", F.try_divide("tokens", F.col("containers") * capacity).alias("fill"), F.ceil(F.col("tokens") / capacity).cast("bigint").alias("least"))

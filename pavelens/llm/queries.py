@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pavelens.llm import nearest_time, percentiles
+from pavelens.llm import nearest_time, packing, percentiles, quality
 from pavelens.plans.dataset import recording_instants
 from pavelens.session import Scratch, ship, table
 
@@ -58,7 +58,31 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_pairs(spark, sf_dir).select("rec_id", "point_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_percentiles": p1_percentiles, "p2_found": p2_found, "p2_pairs": p2_pairs}
+def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in containers of 2,048 tokens."""
+    ship(spark)
+    return packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", 2048).withColumnRenamed("id", "doc_id")
+
+
+def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many containers that takes, how full they are, and how many any packing needs."""
+    return packing.fill(p6_containers(spark, sf_dir), 2048)
+
+
+def p8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document, its distance from prose and what each statistic adds to it."""
+    ship(spark)
+    return quality.quality(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("id", "doc_id")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_quality(spark, sf_dir).filter("klass is not null").select("doc_id", "klass")
+
+
+QUERIES = {
+    "p1_found": p1_found, "p1_percentiles": p1_percentiles, "p2_found": p2_found, "p2_pairs": p2_pairs,
+    "p6_containers": p6_containers, "p6_fill": p6_fill, "p8_found": p8_found, "p8_quality": p8_quality,
+}
 ORACLES = {
     "p1_found": _RANKED + """SELECT DISTINCT strecke_id, g.bw, g.fk, g.metric FROM g JOIN factors f ON f.bw = g.bw AND f.fk = g.fk AND f.metric = g.metric
 WHERE n >= 30 AND v > f.f2""",
