@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pavelens.llm import nearest_time, packing, percentiles, quality
+from pavelens.llm import leakage, nearest_time, packing, percentiles, quality
 from pavelens.plans.dataset import recording_instants
 from pavelens.session import Scratch, ship, table
 
@@ -69,6 +69,21 @@ def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill(p6_containers(spark, sf_dir), 2048)
 
 
+def _leaks(spark: SparkSession, sf_dir: str, rules: leakage.LeakRules) -> DataFrame:
+    ship(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return leakage.find_leaks(docs, table(spark, sf_dir, "eval_items").select("item_id", "item_text"), rules)
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir, leakage.LeakRules()).select("item_id", "doc_id")
+
+
+def p7_paraphrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with 16 of 24 words of an item's passage in order, and whether the item's question is there too."""
+    return _leaks(spark, sf_dir, leakage.PARAPHRASE)
+
+
 def p8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document, its distance from prose and what each statistic adds to it."""
     ship(spark)
@@ -81,7 +96,8 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_percentiles": p1_percentiles, "p2_found": p2_found, "p2_pairs": p2_pairs,
-    "p6_containers": p6_containers, "p6_fill": p6_fill, "p8_found": p8_found, "p8_quality": p8_quality,
+    "p6_containers": p6_containers, "p6_fill": p6_fill, "p7_found": p7_found, "p7_paraphrases": p7_paraphrases,
+    "p8_found": p8_found, "p8_quality": p8_quality,
 }
 ORACLES = {
     "p1_found": _RANKED + """SELECT DISTINCT strecke_id, g.bw, g.fk, g.metric FROM g JOIN factors f ON f.bw = g.bw AND f.fk = g.fk AND f.metric = g.metric
