@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pavelens.functions import scalars
-from pavelens.operators import areas, evaluate, lidar, markings, relational, sequences
+from pavelens.operators import areas, evaluate, lidar, markings, polygons, profiles, raster, relational, sampling, sequences
 from pavelens.plans.fixtures import cte, fixture
 from pavelens.session import ship, table
 
@@ -463,3 +465,73 @@ def every_fifth_sample(spark, sf_dir):
 def gps_to_utc(spark, sf_dir):
     p = table(spark, sf_dir, "point_cloud").filter("gps_time is not null")
     return p.select("point_id", (F.round(F.col("gps_time") * 1e6).cast("bigint") + 1315964800 * 1_000_000).alias("utc_us")).distinct()
+
+
+# ---- what SQL can't say: checked against brute force in the tests ------------------------------------
+
+def _polygon_share(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    damage = table(spark, sf_dir, "substance").select("substance_id", "typ", "geometry").distinct()
+    ground = table(spark, sf_dir, "strassenzustand").select("area_id", "bw", "geometry").distinct()
+    return polygons.damaged_share(ground, damage, mode)
+
+
+@query()
+def polygon_damage_percent(spark, sf_dir):
+    """Damaged share of the asphalt areas from the damage polygons, on the 1 m raster."""
+    return _polygon_share(spark, sf_dir, "A")
+
+
+@query()
+def polygon_damage_percent_paved(spark, sf_dir):
+    return _polygon_share(spark, sf_dir, "P")
+
+
+@query()
+def sampling_points(spark, sf_dir):
+    """Sampling points along the drive lines of the recordings."""
+    d = sequences.islands(_shots(spark, sf_dir), ["run_id"], "image_no", "x", "y", (4.0, 6.0), block=4096)
+    lines = d.select(F.xxhash64("run_id", "cluster").alias("cluster"), "image_no", F.col("image_no").cast("string").alias("recording_id"), "x", "y")
+    return sampling.sampling_points(lines)
+
+
+@query()
+def transverse_profile(spark, sf_dir):
+    """Ruts, water depths and gradient of profiles of 25 heights, with gaps and kerbs."""
+    h = fixture(spark, sf_dir, "fx_heights")
+    z = F.when(F.col("idx") % 7 != 3, F.lit(50.0) + F.col("z") / 1e7)
+    rows = h.select("cluster", F.floor(F.col("idx") / 25).cast("bigint").alias("profile"), F.struct((F.col("idx") % 25).alias("lane"), z.alias("z")).alias("s"))
+    profiles_ = rows.groupBy("cluster", "profile").agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["z"]).alias("heights"))
+    return profiles_.withColumn("t", profiles.transverse(F.col("heights"))).select("cluster", "profile", "t.*")
+
+
+_FILL = cte("fx_heights") + """, h AS (SELECT cluster, idx, CASE WHEN idx % 7 IN (2, 3) OR idx < 2 THEN NULL ELSE z END AS z FROM fx_heights),
+ v AS (SELECT * FROM h WHERE z IS NOT NULL),
+ n AS (SELECT h.cluster, h.idx, h.z, (SELECT max(idx) FROM v WHERE v.cluster = h.cluster AND v.idx < h.idx) AS p1, (SELECT min(idx) FROM v WHERE v.cluster = h.cluster AND v.idx > h.idx) AS n1 FROM h),
+ m AS (SELECT n.*, (SELECT max(idx) FROM v WHERE v.cluster = n.cluster AND v.idx < n.p1) AS p2, (SELECT min(idx) FROM v WHERE v.cluster = n.cluster AND v.idx > n.n1) AS n2 FROM n),
+ e AS (SELECT *, CASE WHEN p1 IS NOT NULL AND n1 IS NOT NULL THEN p1 WHEN p1 IS NOT NULL THEN p2 ELSE n1 END AS a, CASE WHEN p1 IS NOT NULL AND n1 IS NOT NULL THEN n1 WHEN p1 IS NOT NULL THEN p1 ELSE n2 END AS b FROM m)
+ SELECT e.cluster, e.idx, CASE WHEN e.p1 IS NULL AND e.n1 IS NULL THEN NULL WHEN e.z IS NOT NULL THEN e.z ELSE va.z + (vb.z - va.z) * (e.idx - va.idx)::DOUBLE / (vb.idx - va.idx)::DOUBLE END AS z
+ FROM e LEFT JOIN v va ON va.cluster = e.cluster AND va.idx = e.a LEFT JOIN v vb ON vb.cluster = e.cluster AND vb.idx = e.b"""
+
+
+@query(_FILL)
+def interpolate_heights(spark, sf_dir):
+    """Gaps along a lane filled in, beyond its ends too."""
+    h = fixture(spark, sf_dir, "fx_heights").withColumn("z", F.when(~((F.col("idx") % 7).isin(2, 3) | (F.col("idx") < 2)), F.col("z")))
+    return profiles.fill_along(h, ["cluster"], "idx", "z", block=16)
+
+
+@query()
+def cell_regions(spark, sf_dir):
+    """Connected regions of pixels of equal type in masks of 32 × 32 cells, outlined."""
+    px = fixture(spark, sf_dir, "fx_pixels").groupBy("tile").agg(F.transform(F.array_sort(F.collect_list("type_id")), lambda t: t).alias("t"))
+
+    def masks(batches):
+        for b in batches:
+            out = []
+            for t in b["t"]:
+                m = np.resize(np.asarray(t, np.uint8), (32, 32)) % 3
+                out.append(m.tobytes())
+            yield pd.DataFrame({"tile_id": b["tile"].astype(str), "x0": 0.0, "y1": 32.0, "height": 32, "width": 32, "mask": out})
+
+    tiles = px.mapInPandas(masks, "tile_id string, x0 double, y1 double, height int, width int, mask binary")
+    return raster.vectorise(tiles, True, 1.0)
