@@ -24,7 +24,7 @@ def over_blocks(df: DataFrame, keys: list[str], position: str, halo: int, column
     columns: from a window ordered by the position within a block to the columns to add.
     """
     p = F.col(position)
-    blocks = F.array_distinct(F.array(*[F.floor((p + d) / block).cast("bigint") for d in (-halo, 0, halo)]))
+    blocks = F.sequence(F.floor((p - halo) / block).cast("bigint"), F.floor((p + halo) / block).cast("bigint"))
     cut = df.filter(p.isNotNull()).withColumn("_block", F.explode(blocks))
     w = W.partitionBy(*keys, "_block").orderBy(position)
     cut = cut.withColumns({"_own": F.col("_block") == F.floor(p / block).cast("bigint"), **columns(w)})
