@@ -47,9 +47,9 @@ def merge_counts(*counts: DataFrame) -> DataFrame:
 
 
 def _rank(p: float, n: Column) -> Column:
-    """The smallest rank with at least the share p at or below it, in whole numbers."""
+    """The smallest rank with at least the share p at or below it, in whole numbers; 1 for p = 0."""
     f = Fraction(str(p))
-    return F.call_function("div", n * f.numerator + (f.denominator - 1), F.lit(f.denominator).cast("bigint"))
+    return F.greatest(F.lit(1).cast("bigint"), F.call_function("div", n * f.numerator + (f.denominator - 1), F.lit(f.denominator).cast("bigint")))
 
 
 def _part(value: Column, lo: Column, hi: Column, levels: int) -> Column:
