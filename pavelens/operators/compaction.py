@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pavelens.session import Scratch
@@ -143,19 +144,21 @@ def compact(files: DataFrame, target: str, target_bytes: int = 128 << 20, keys:
     """
     spark = files.sparkSession
     scratch = Scratch(spark, "compaction")
+    never = F.lit("0001-01-01").cast("timestamp")  # stands for null while writings are compared
     # the frozen manifest: what arrives later isn't in it; sizes are measured, not the writers' claims
-    slim = files.select("file_id", "table_name", "written_at", "payload").dropDuplicates(["file_id", "table_name", "written_at", "payload"])
+    slim = files.select("file_id", "table_name", F.coalesce("written_at", never).alias("written_at"), "payload")
     frozen = scratch.keep(slim.withColumn("size", F.coalesce(F.octet_length("payload"), F.lit(0)).cast("bigint")), "manifest")
-    bins = pack_files(frozen.groupBy("table_name", "file_id").agg(F.sum("size").alias("size")), target_bytes)
+    bins = pack_files(frozen.groupBy("table_name", "file_id").agg(F.max("size").alias("size")), target_bytes)
     lines = records(frozen.drop("size"), keys)
-    newest = F.max_by(F.struct("line", "written_at", "file_id"), F.struct(F.coalesce("written_at", F.lit("0001-01-01").cast("timestamp")), "file_id", "line"))
-    winners = lines.groupBy("table_name", "record_id").agg(newest.alias("w")).select("table_name", "record_id", "w.line", "w.written_at", "w.file_id")
-    placed = winners.join(bins, ["table_name", "file_id"]).select("record_id", "line", "written_at", "file_id", "table_name", "bin")
-    placed = scratch.keep(placed, "placed")
-    n_bins = placed.select("table_name", "bin").distinct().count()
+    # which writing of a record wins is settled on keys alone, so the texts move twice only: to their winner and to their bin
+    newest = lines.groupBy("table_name", "record_id").agg(F.max(F.struct("written_at", "file_id")).alias("w")).select("table_name", "record_id", "w.written_at", "w.file_id")
+    winners = scratch.keep(newest.join(bins, ["table_name", "file_id"]), "winners")
+    n_bins = winners.select("table_name", "bin").distinct().count()
+    placed = lines.join(winners, ["table_name", "record_id", "file_id", "written_at"]).select("record_id", "line", F.when(F.col("written_at") > never, F.col("written_at")).alias("written_at"), "file_id", "table_name", "bin")
     staged = f"data/{uuid.uuid4().hex}"
-    # a bin is at most target_bytes, so one task per bin and one file per bin
-    out = placed.repartition(max(1, n_bins), "table_name", "bin").sortWithinPartitions("table_name", "bin", "record_id")
+    # a bin is at most target_bytes, so one task per bin and one file per bin; a record twice in one file is settled there
+    first = F.row_number().over(W.partitionBy("table_name", "bin", "record_id").orderBy(F.desc("line")))
+    out = placed.repartition(max(1, n_bins), "table_name", "bin").withColumn("_first", first).filter("_first = 1").drop("_first")
     (out.write.partitionBy("table_name", "bin") if n_bins else out.write).option("compression", "zstd").parquet(f"{target}/{staged}")
     written = spark.read.schema("record_id bigint, line string, written_at timestamp, file_id bigint, table_name string, bin string").parquet(f"{target}/{staged}")
     # the source side is counted again from the frozen files, not from what was placed
