@@ -84,6 +84,50 @@ def shape_areas(s: wkt.Shapes) -> np.ndarray:
     return out
 
 
+def _strip(y: np.ndarray) -> np.ndarray:
+    """Integral from 0 to y of the part of a height that lies between 0 and 1."""
+    c = np.clip(y, 0.0, 1.0)
+    return c * c / 2 + np.maximum(y - 1.0, 0.0)
+
+
+def areas_in_cells(s: wkt.Shapes, rows: np.ndarray, cx: np.ndarray, cy: np.ndarray, block: int = 1_000_000) -> np.ndarray:
+    """Area of row rows[i] in the unit cell at (cx[i], cy[i]), for all i at once.
+
+    The surface of a ring in a cell is the integral over the cell's width of its edges' heights, cut off
+    at the cell's bottom and top; each edge has a closed form. Rows of several rings are taken singly,
+    as their holes have to be told first.
+    """
+    out = np.zeros(len(rows))
+    rings = np.add.reduceat(s.first.astype(int), s.start[:-1][s.count() > 0]) if len(s.x) else np.zeros(0, int)
+    n_rings = np.zeros(len(s), int)
+    n_rings[s.count() > 0] = rings
+    plain = np.flatnonzero(n_rings[rows] <= 1)
+    start, *ends = wkt.edges(s)
+    weight = np.cumsum(s.count()[rows[plain]])
+    lo = 0
+    while lo < len(plain):
+        hi = max(lo + 1, int(np.searchsorted(weight, (weight[lo - 1] if lo else 0) + block)))
+        at = plain[lo:hi]
+        owner, k = wkt.ragged(start, rows[at])
+        ax, ay, bx, by = (e[k] for e in ends)
+        ox, oy = cx[at][owner], cy[at][owner]
+        ax, bx, ay, by = ax - ox, bx - ox, ay - oy, by - oy
+        dx = bx - ax
+        slope = np.divide(by - ay, dx, out=np.zeros_like(dx), where=dx != 0)
+        a, b = np.clip(ax, 0.0, 1.0), np.clip(bx, 0.0, 1.0)
+        ya, yb = ay + slope * (a - ax), ay + slope * (b - ax)
+        rise = yb - ya
+        flat = np.abs(rise) < 1e-7
+        mean = np.where(flat, np.clip((ya + yb) / 2, 0.0, 1.0), np.divide(_strip(yb) - _strip(ya), rise, out=np.zeros_like(rise), where=~flat))
+        out[at] = np.abs(np.bincount(owner, (b - a) * mean, minlength=len(at)))
+        lo = hi
+    known: dict[int, Polygon] = {}
+    for i in np.flatnonzero(n_rings[rows] > 1):
+        p = known.get(rows[i]) or known.setdefault(rows[i], _polygon(s, rows[i]))
+        out[i] = p.area_in(cx[i], cy[i], cx[i] + 1, cy[i] + 1)
+    return out
+
+
 def polygon_areas(df: DataFrame, keep: list[str]) -> DataFrame:
     """df(keep, geometry) with area double; 0 for null, empty and other geometries."""
     types = {f.name: f.dataType.simpleString() for f in df.schema}
@@ -115,19 +159,15 @@ def damage_cells(damage: DataFrame) -> DataFrame:
             whole = shape_areas(s)
             rows, x0, y0, x1, y1 = _boxes(s)
             i0, j0, i1, j1 = (np.floor(v).astype(np.int64) for v in (x0, y0, x1, y1))
-            one = (i0 == i1) & (j0 == j1)  # most objects lie in one cell
-            at, xs, ys, out = rows[one].tolist(), i0[one].tolist(), j0[one].tolist(), whole[rows[one]].tolist()
-            for k in np.flatnonzero(~one):
-                p = _polygon(s, rows[k])
-                for cx in range(i0[k], i1[k] + 1):
-                    for cy in range(j0[k], j1[k] + 1):
-                        at.append(rows[k])
-                        xs.append(cx)
-                        ys.append(cy)
-                        out.append(p.area_in(cx, cy, cx + 1, cy + 1))
-            out = np.array(out)
+            wide, high = i1 - i0 + 1, j1 - j0 + 1
+            owner = np.repeat(np.arange(len(rows)), wide * high)
+            nth = np.arange(len(owner)) - np.repeat(np.cumsum(wide * high) - wide * high, wide * high)
+            at, xs, ys = rows[owner], i0[owner] + nth // high[owner], j0[owner] + nth % high[owner]
+            one = (wide * high)[owner] == 1  # most objects lie in one cell
+            out = whole[at].copy()
+            out[~one] = areas_in_cells(s, at[~one], xs[~one], ys[~one])
             ok = np.flatnonzero(out > 1e-9)
-            take = lambda v: pa.array(np.array(v, np.int64)[ok])  # noqa: B023, E731
+            take = lambda v: pa.array(v[ok].astype(np.int64))  # noqa: B023, E731
             yield pa.RecordBatch.from_arrays([take(xs), take(ys), b.column("typ").take(take(at)), pa.array(np.floor(out[ok] * 1e6 + 0.5).astype(np.int64))], names=["cx", "cy", "typ", "um2"])
 
     part = damage.select("typ", "geometry").mapInArrow(run, "cx bigint, cy bigint, typ string, um2 bigint")
@@ -163,12 +203,8 @@ def areas_on_cells(areas: DataFrame, cells: DataFrame, size: int = 16) -> DataFr
             box[:, rows] = ends
             xs, ys = b.column("cx").to_numpy(), b.column("cy").to_numpy()
             near = (box[0, k] < xs + 1) & (box[2, k] > xs) & (box[1, k] < ys + 1) & (box[3, k] > ys)
-            known, keep = {}, []
-            for i in np.flatnonzero(near):
-                if k[i] not in known:
-                    known[k[i]] = _polygon(s, k[i])
-                if known[k[i]].area_in(xs[i], ys[i], xs[i] + 1, ys[i] + 1) > 1e-9:
-                    keep.append(i)
+            near = np.flatnonzero(near)
+            keep = near[areas_in_cells(s, k[near].astype(np.int64), xs[near], ys[near]) > 1e-9]
             at = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(c).take(at) for c in ("area_id", "cx", "cy")], names=["area_id", "cx", "cy"])
 

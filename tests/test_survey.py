@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from pavelens.functions import scalars
+from pavelens.functions import scalars, wkt
 from pavelens.operators import areas, evaluate, lidar, markings, polygons, profiles, raster, relational, sampling, sequences
 
 
@@ -127,6 +127,27 @@ def test_polygon_areas_against_sampling(spark):
         assert abs(abs(polygons.surface(polygons.clip_ring(u, *a, *b))) - share * np.prod(b - a)) < 0.12 * np.prod(b - a) + 1e-9
 
 
+def test_areas_in_cells_against_clipping():
+    rng = np.random.default_rng(8)
+    texts = []
+    for k in range(60):
+        n = rng.integers(4, 9)
+        a = (np.arange(n) + rng.uniform(0, 0.8, n)) * 2 * np.pi / n  # no gap of half a turn, so that no edges cross
+        r = rng.uniform(0.3, 3, len(a))
+        xy = np.column_stack([5 + r * np.cos(a), 5e6 + 5 + r * np.sin(a)])[:: 1 if k % 2 else -1]
+        texts.append("POLYGON ((" + ", ".join(f"{x:.6f} {y:.6f}" for x, y in [*xy, xy[0]]) + "))")
+    texts += ["POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1.5 1.5, 2.5 1.5, 2.5 2.5, 1.5 2.5, 1.5 1.5))", None, "POLYGON EMPTY", "POLYGON ((1 1, 3 1, 3 2, 1 2, 1 1))"]
+    s = wkt.parse_wkt(texts)
+    rows = np.repeat(np.arange(len(texts)), 121)
+    cx, cy = np.tile(np.repeat(np.arange(11), 11), len(texts)), np.tile(np.arange(11), 11 * len(texts)) + np.where(rows < 60, 5_000_000, 0)
+    got = polygons.areas_in_cells(s, rows, cx, cy, block=500)
+    for i in range(len(rows)):
+        p = polygons._polygon(s, rows[i])
+        want = p.area_in(cx[i], cy[i], cx[i] + 1, cy[i] + 1) if s.count()[rows[i]] else 0.0
+        assert abs(got[i] - want) < 1e-6, (i, got[i], want)
+    assert np.allclose(np.bincount(rows, got, minlength=len(texts)), polygons.shape_areas(s), atol=1e-5)
+
+
 def test_damaged_share(spark):
     sq = lambda x, y, w, h: f"POLYGON (({x} {y}, {x + w} {y}, {x + w} {y + h}, {x} {y + h}, {x} {y}))"
     areas_ = spark.createDataFrame([(1, "A", sq(0, 0, 10, 10)), (2, "A", sq(9.5, 0, 5, 1)), (3, "P", sq(0, 0, 10, 10)), (4, "A", None), (5, "A", "POLYGON EMPTY")], "area_id long, bw string, geometry string")
