@@ -3,6 +3,19 @@
 from __future__ import annotations
 
 import re
+import unicodedata
+
+
+class _Plain(dict):
+    """Other shapes of letters (full width, mathematical, ligatures) as the letters that they stand for."""
+
+    def __missing__(self, o: int) -> str:
+        c = chr(o)
+        self[o] = plain = unicodedata.normalize("NFKC", c) if o > 0x24F and (c.isalpha() or 0xFF00 < o < 0xFF5F or o == 0x3000) else c
+        return plain
+
+
+_PLAIN = _Plain()
 
 #: Order of the counts that line_counts() returns.
 KINDS = ("none", "list", "table", "junk")
@@ -76,6 +89,12 @@ def _struck(s: str) -> bool:
     return n >= 6 and len(_STRUCK.findall(low)) + len(_CLUSTER.findall(_SOUND.sub("s", low))) >= max(1, 0.06 * n)
 
 
+def _broken(s: str) -> bool:
+    """Whether three tenths of the characters are none that a text in Latin letters has."""
+    dense = "".join(s.split())
+    return sum(1 for c in dense if ord(c) > 127 and c not in _GERMAN) + dense.count("\ufffd") >= 0.3 * len(dense)
+
+
 def _garbled(s: str) -> bool:
     """Encoded or dumped bytes, runs of symbols, broken characters, letters that form no words."""
     dense = "".join(s.split())
@@ -84,10 +103,6 @@ def _garbled(s: str) -> bool:
         return False
     letters = _WORD.findall(s)
     k = sum(map(len, letters))
-    if not dense.isascii():
-        odd = sum(1 for c in dense if ord(c) > 127 and c not in _GERMAN) + dense.count("�")
-        if odd >= 0.3 * n:
-            return True
     if any(ord(c) < 32 for c in dense):
         return True
     if n >= 4 and not any(c.isalnum() for c in dense):
@@ -125,6 +140,8 @@ def line_kinds(text: str) -> list[int]:
     open_: list[int] = []  # lines of no kind that aren't marks of a commit or diff and have no function word
     old = new = 0
     before = ""
+    if not text.isascii():
+        text = text.translate(_PLAIN)
     lines = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
     for line in lines:
         if not line or line.isspace():
@@ -149,6 +166,8 @@ def line_kinds(text: str) -> list[int]:
             out.append(1)
         elif "|" not in line and "\t" not in line and "  " not in line.strip() and _prose(line):
             out.append(0)
+        elif not line.isascii() and _broken(line):
+            out.append(3)
         elif "." in line and _PATH.match(line):
             out.append(0)
         elif out and out[-1] == 2 and set(line.strip()) <= set("-=_"):

@@ -79,8 +79,8 @@ def test_common_words_of_windows():
 LINES = {
     "list": ["- fix the thing", "  * item", "• x y", "1. first of all", "2) two", "(c) three", "- [ ] open", "- [x] done", "☐ box"],
     "table": ["| a | 12 | b |", "|---|---|", "+-----+----+", "a\tb\t12%", "row    12.5    old", "tile;19796;0.115;95.300", " name       7%     new"],
-    "junk": [r"\x26\xde\xc0\x1e\x04\xf4", "zs8W?g<+*{<$Dit3WB`6KeX9?0nlLHU@Yl&M2Lf|D", "VxIytaClYKNZO6v801wewM7fiqdVsdTCATmTU0KW60FeuO8YE0s0YL", "~~~~~~~~~~~~~~", "Ã�™€¤€Ÿ €ŸÃŸ¶xx€x� Ã€Ã™™", "fqjogjiuopjqqkj'e owsdujalipgdodw hgfdsk", "4f2a 99c1 00ff 7e7e 1234 aaaa beef 0000"],
-    "none": ["Every first dialog waits for the remote mutex, because it is late.", "commit 5a5177cb4ae1e85a568fb301866a9385ee6f2184", "Author: a b <a@b.example>", "Signed-off-by: a <a@b.c>", "src/a/b_c.py", "\tflag/tile_id.rs", "diff --git a/x b/x", "GIT binary patch", "literal 532", "r52180 | oz | Thu Jul 4 08:35:28 2024 +0100 | 6 lines", "Der alte Takt erzeugt keinen Messpunkt, obwohl er noch wartet."],
+    "junk": [r"\x26\xde\xc0\x1e\x04\xf4", "zs8W?g<+*{<$Dit3WB`6KeX9?0nlLHU@Yl&M2Lf|D", "VxIytaClYKNZO6v801wewM7fiqdVsdTCATmTU0KW60FeuO8YE0s0YL", "~~~~~~~~~~~~~~", "Ã�™€¤€Ÿ €ŸÃŸ¶xx€x� Ã€Ã™™", "Ÿâ¤ x¤¤�â¶¶€¼¶¶Ÿâ¤�x  €¤�� â¤x™ ", "fqjogjiuopjqqkj'e owsdujalipgdodw hgfdsk", "4f2a 99c1 00ff 7e7e 1234 aaaa beef 0000"],
+    "none": ["Every first dialog waits for the remote mutex, because it is late.", "commit 5a5177cb4ae1e85a568fb301866a9385ee6f2184", "Author: a b <a@b.example>", "Signed-off-by: a <a@b.c>", "src/a/b_c.py", "\tflag/tile_id.rs", "diff --git a/x b/x", "GIT binary patch", "literal 532", "r52180 | oz | Thu Jul 4 08:35:28 2024 +0100 | 6 lines", "ｔｈｅ ｗｅａｓｅｌ, ａｎｄ 27 ｓｉｌｖｅｒ ｓａｄｄｌｅｓ ｎｅａｒ ｉｔ", "Der alte Takt erzeugt keinen Messpunkt, obwohl er noch wartet."],
 }
 
 
