@@ -7,12 +7,16 @@
 2. Document frequencies come from all documents. A randomised singular value decomposition of the
    TF-IDF passages of all items and of a bounded sample of documents (`sample_docs`, by a hash of the id)
    gives the latent space; its power iterations are Spark jobs that add up one small matrix each.
-3. Every window of every kept document is projected and compared with the item windows by cosine; item
-   windows are grouped around centres and the triangle inequality of angles passes over whole groups.
-4. Candidates are checked: a common run of `need` words, or a longest common subsequence.
+3. Equal windows (need = window): every window of every kept document is projected and compared with the
+   item windows by cosine; item windows are grouped around centres and the triangle inequality of angles
+   passes over whole groups.
+4. Windows that share `need` of more words: candidates are all pairs in which `need` positions of the document's
+   window have a word of the item's window. No cosine can be asked of them: it depends on the weights.
+5. Candidates are checked: a common run of `need` words, or a longest common subsequence.
 
 With windows as long as the wanted run, at every position, a shared run makes two equal windows; these
-have the same latent vector and cosine 1 whatever the space is, so the candidate search is complete.
+have the same latent vector and cosine 1 whatever the space is, so the candidate search is complete. A common
+subsequence of `need` words has as many shared positions, so the search by counts is complete too.
 
 Null and empty texts and items shorter than the run match nothing. Repeated rows count once. Items are
 taken in blocks of BLOCK_CHARS characters, so what is broadcast is bounded however many there are.
@@ -39,7 +43,7 @@ _TAIL = re.compile(r"(?:question|frage|answer|antwort)\s*:", re.IGNORECASE)
 @dataclass(frozen=True)
 class LeakRules:
     """window, stride: of the passages; item_stride: of the items' passages. need: words that must be shared.
-    subsequence: whether the shared words may have others between them. cos_min: of candidates."""
+    subsequence: whether the shared words may have others between them. cos_min: of candidates, if need = window."""
 
     window: int = 12
     stride: int = 1
@@ -52,6 +56,10 @@ class LeakRules:
     power_rounds: int = 2
     centres: int = 512
 
+    @property
+    def by_counts(self) -> bool:
+        return self.subsequence or self.need < self.window
+
 
 def words(text: str | None) -> list[str]:
     text = text or ""
@@ -109,6 +117,22 @@ class ItemIndex:
         self.owner = np.repeat(np.arange(len(ids)), [len(e) for e in each])
         self.foreign2 = float(idf.max() ** 2) if len(idf) else 1.0
         self.space = np.vstack([np.zeros((1, basis.shape[1])), idf[:, None] * basis])  # row 0: a foreign word
+        if rules.by_counts:
+            self._postings(len(idf))
+        else:
+            self._group()
+
+    def _postings(self, size: int) -> None:
+        """Items of each word, and the windows of each item."""
+        at = self.tokens > 0  # -1 fills up short items
+        pairs = np.unique((self.tokens.astype(np.int64) + self.owner[:, None] * (size + 1))[at])
+        item, word = pairs // (size + 1), pairs % (size + 1)
+        order = np.argsort(word, kind="stable")
+        self.items_of, self.word_at = item[order], np.searchsorted(word[order], np.arange(size + 2))
+        self.window_at = np.searchsorted(self.owner, np.arange(len(self.ids) + 1))
+
+    def _group(self) -> None:
+        rules = self.rules
         self.vectors = self.project(self.tokens)
         m = len(self.tokens)
         rng = np.random.default_rng(11)
@@ -148,6 +172,84 @@ class ItemIndex:
             return np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.float32)
         return tuple(np.concatenate([f[k] for f in found]) for k in range(3))
 
+    def cosines(self, windows_: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Of the pairs windows_[i], tokens[j]."""
+        (i, at_i), (j, at_j) = np.unique(i, return_inverse=True), np.unique(j, return_inverse=True)
+        x, y = self.project(windows_[i]), self.project(self.tokens[j])
+        return np.concatenate([np.zeros(0, np.float32), *(np.einsum("ij,ij->i", x[at_i[lo : lo + 50_000]], y[at_j[lo : lo + 50_000]]) for lo in range(0, len(at_i), 50_000))])
+
+    def shared_windows(self, ids: np.ndarray):
+        """(window, item window, shared words) of all pairs of the document's windows and item windows that share `need` words."""
+        r = self.rules
+        w = windows(ids, r.window, r.stride, r.need)
+        starts = np.minimum(np.arange(len(w)) * r.stride, max(0, len(ids) - r.window))
+        ids = np.pad(ids, (0, max(0, r.window - len(ids))))  # a short document's only window is filled up with foreign words
+        foreign = np.concatenate([[0], np.cumsum(ids == 0)])
+        known = np.flatnonzero(foreign[starts + r.window] - foreign[starts] <= r.window - r.need)
+        found = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.int32))]
+        for rows in np.split(known, np.flatnonzero(np.diff(known // PART)) + 1):
+            if not len(rows):
+                continue
+            at = starts[rows] - starts[rows[0]]
+            vocabulary, local = np.unique(ids[starts[rows[0]] : starts[rows[-1]] + r.window], return_inverse=True)
+            member = np.zeros((len(vocabulary), len(self.ids)), np.uint8)
+            for k, word in enumerate(vocabulary):
+                if word:
+                    member[k, self.items_of[self.word_at[word] : self.word_at[word + 1]]] = 1
+            some = np.flatnonzero(member.sum(0, dtype=np.int32))
+            near = [some[lo : lo + PART] for lo in range(0, len(some), PART)]
+            near = [n[(_counts(member[:, n], local, at, r.window) >= r.need).any(0)] for n in near]
+            place = np.full(len(self.space), len(vocabulary), np.int32)  # of words that the text lacks: an extra row
+            place[vocabulary] = np.arange(len(vocabulary))
+            place[0] = len(vocabulary)
+            item_windows = np.concatenate([np.zeros(0, int), *(np.arange(self.window_at[i], self.window_at[i + 1]) for n in near for i in n)])
+            for lo in range(0, len(item_windows), 4 * PART):
+                j = item_windows[lo : lo + 4 * PART]
+                x, y, size = _compare(local, at, vocabulary, self.tokens[j], place, r)
+                found.append((rows[x], j[y], size))
+        return w, *(np.concatenate([f[k] for f in found]) for k in range(3))
+
+
+#: Windows of a document that are compared with as many items, or four times as many of their windows, at once.
+PART = 1_024
+
+
+def _counts(member: np.ndarray, local: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """How many positions of each window of the text have a word of each column of member (words × columns)."""
+    kind = np.uint8 if size < 256 else np.int32  # sums run over, their differences don't
+    sums = np.zeros((len(local) + 1, member.shape[1]), kind)
+    for k, word in enumerate(local.tolist()):  # whole rows at once; cumsum along this axis is slower
+        np.add(sums[k], member[word], out=sums[k + 1])
+    return sums[starts + size] - sums[starts]
+
+
+def _compare(local: np.ndarray, starts: np.ndarray, vocabulary: np.ndarray, b: np.ndarray, place: np.ndarray, rules: LeakRules):
+    """(window of the text, row of b, shared words) of all pairs that share `need` words. local: the text in places of the vocabulary."""
+    at, every = place[np.maximum(b, 0)], np.arange(len(b))
+    where = np.zeros((len(vocabulary) + 1, len(b)), np.uint64)  # bit k: the word is at position k of the window
+    for k in range(b.shape[1]):
+        where[at[:, k], every] |= np.uint64(1 << k % 64)
+    where[-1] = 0
+    x, y = np.nonzero(_counts((where != 0).view(np.uint8), local, starts, b.shape[1]) >= rules.need)
+    size = np.zeros(len(x), np.int32)
+    for lo in range(0, len(x), 50_000):
+        i, j = starts[x[lo : lo + 50_000], None] + np.arange(b.shape[1]), y[lo : lo + 50_000]
+        if rules.subsequence and b.shape[1] < 64:
+            size[lo : lo + 50_000] = _subsequence_bits(local[i], j, where, b.shape[1])
+        else:
+            size[lo : lo + 50_000] = (longest_subsequence if rules.subsequence else longest_run)(vocabulary[local[i]], b[j])
+    hit = size >= rules.need
+    return x[hit], y[hit], size[hit]
+
+
+def _subsequence_bits(local: np.ndarray, j: np.ndarray, where: np.ndarray, width: int) -> np.ndarray:
+    """longest_subsequence with a row of its table in the bits of one number (Hyyrö)."""
+    row = np.full(len(j), (1 << width) - 1, np.uint64)
+    for k in range(local.shape[1]):
+        same = row & where[local[:, k], j]
+        row = (row + same) | (row - same)
+    return width - np.bitwise_count(row & np.uint64((1 << width) - 1)).astype(np.int32)
+
 
 _ENCODED = "doc_id bigint, present binary, tokens binary"
 
@@ -233,10 +335,29 @@ def _search(encoded: DataFrame, index) -> DataFrame:
         for b in batches:
             item, doc, cosine, shared, tail = [], [], [], [], []
             docs, blocks, n = [], [], 0
+
+            def settle(i, j, size, cos, at, texts):
+                hit = size >= r.need
+                pair = np.column_stack([ix.owner[j[hit]], at[i[hit]], size[hit], np.round(cos[hit] * 1e6).astype(np.int64)])
+                if len(pair):
+                    pair = pair[np.lexsort((-pair[:, 3], -pair[:, 2], pair[:, 1], pair[:, 0]))]
+                    pair = pair[np.append(True, (np.diff(pair[:, :2], axis=0) != 0).any(1))]
+                    for o, d_, s, c in pair.tolist():
+                        item.append(int(ix.ids[o]))
+                        doc.append(d_)
+                        shared.append(s)
+                        cosine.append(min(1.0, c / 1e6))
+                        want = ix.tails[o]
+                        tail.append(None if not len(want) else _holds(texts[d_], want))
+
             rows = list(zip(b.column("doc_id").to_pylist(), b.column("tokens")))
             texts = {}
             for k, (d, t) in enumerate(rows):
                 ids = np.frombuffer(t.as_py(), np.int32)
+                if r.by_counts:
+                    w, i, j, size = ix.shared_windows(ids)
+                    settle(i, j, size, ix.cosines(w, i, j), np.full(len(w), d), {d: ids})
+                    continue
                 w = windows(ids, r.window, r.stride, r.need)
                 w = w[(w == 0).sum(1) <= r.window - r.need]
                 if len(w):
@@ -250,22 +371,8 @@ def _search(encoded: DataFrame, index) -> DataFrame:
                     size = np.zeros(len(i), np.int32)
                     for lo in range(0, len(i), 50_000):
                         x, y = w[i[lo : lo + 50_000]], ix.tokens[j[lo : lo + 50_000]]
-                        if not r.subsequence and r.need == r.window:
-                            size[lo : lo + 50_000] = np.where(((x == y) & (x > 0)).all(1), r.need, 0)
-                        else:
-                            size[lo : lo + 50_000] = longest_subsequence(x, y) if r.subsequence else longest_run(x, y)
-                    hit = size >= r.need
-                    pair = np.column_stack([ix.owner[j[hit]], at[i[hit]], size[hit], np.round(cos[hit] * 1e6).astype(np.int64)])
-                    if len(pair):
-                        pair = pair[np.lexsort((-pair[:, 3], -pair[:, 2], pair[:, 1], pair[:, 0]))]
-                        pair = pair[np.append(True, (np.diff(pair[:, :2], axis=0) != 0).any(1))]
-                        for o, d_, s, c in pair.tolist():
-                            item.append(int(ix.ids[o]))
-                            doc.append(d_)
-                            shared.append(s)
-                            cosine.append(min(1.0, c / 1e6))
-                            want = ix.tails[o]
-                            tail.append(None if not len(want) else _holds(texts[d_], want))
+                        size[lo : lo + 50_000] = np.where(((x == y) & (x > 0)).all(1), r.need, 0)
+                    settle(i, j, size, cos, at, texts)
                     docs, blocks, n, texts = [], [], 0, {}
             yield pa.RecordBatch.from_arrays([pa.array(item, pa.int64()), pa.array(doc, pa.int64()), pa.array(cosine, pa.float64()), pa.array(shared, pa.int32()), pa.array(tail, pa.bool_())], names=["item_id", "doc_id", "cosine", "shared", "answer_found"])
 
@@ -311,4 +418,4 @@ def find_leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = LeakRules()
 
 
 #: Passages that are alike but not equal: 16 of 24 words in order.
-PARAPHRASE = LeakRules(window=24, stride=12, item_stride=12, need=16, subsequence=True, cos_min=0.7)
+PARAPHRASE = LeakRules(window=24, stride=12, item_stride=12, need=16, subsequence=True)

@@ -70,6 +70,38 @@ def test_paraphrases(spark):
     assert set(got) == {1, 2} and got[1]["answer_found"] and not got[2]["answer_found"]
 
 
+def _shares(doc, item, need, size):
+    a, b = leakage.windows(doc, size, 1, need), leakage.windows(item, size, 1, need)
+    i, j = (g.ravel() for g in np.meshgrid(range(len(a)), range(len(b))))
+    return bool(len(i)) and leakage.longest_subsequence(a[i], b[j]).max() >= need
+
+
+def _reworded(seed, at=0):
+    """Documents with an item's 24 words from place `at` on, 0 to 9 of them replaced by words of no item."""
+    rnd = random.Random(seed)
+    base = [[f"w{rnd.randrange(400)}" for _ in range(48)] for _ in range(4)]
+    docs = []
+    for d in range(60):
+        w = list(base[d % 4][at : at + 24])
+        for k in rnd.sample(range(24), d % 10):
+            w[k] = f"x{rnd.randrange(99)}"
+        docs.append((d, " ".join([f"y{k}" for k in range(d % 12 if at else 0)] + w)))
+    return docs, [(i, " ".join(b)) for i, b in enumerate(base)]
+
+
+def _found_and_wanted(spark, docs, items):
+    number = {w: k + 1 for k, w in enumerate(sorted({w for _, t in items for w in t.split()}))}
+    ids = lambda t: np.array([number.get(w, 0) for w in t.split()], np.int32)
+    want = {(i, d) for d, t in docs for i, x in items if _shares(ids(t), ids(x), 16, 24)}
+    got = leakage.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, item_text string"), leakage.PARAPHRASE)
+    return {(r["item_id"], r["doc_id"]) for r in got.collect()}, want
+
+
+def test_paraphrases_with_foreign_words(spark):
+    got, want = _found_and_wanted(spark, *_reworded(5))
+    assert len(want) == 54 and got == want  # all but those with nine words replaced
+
+
 def test_common_words_of_windows():
     a, b = np.array([[1, 2, 3, 4, 5, 0]]), np.array([[9, 1, 2, 3, 0, 4]])
     assert leakage.longest_run(a, b).tolist() == [3] and leakage.longest_subsequence(a, b).tolist() == [4]
