@@ -418,4 +418,4 @@ def find_leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = LeakRules()
 
 
 #: Passages that are alike but not equal: 16 of 24 words in order.
-PARAPHRASE = LeakRules(window=24, stride=12, item_stride=12, need=16, subsequence=True)
+PARAPHRASE = LeakRules(window=24, need=16, subsequence=True)

@@ -102,6 +102,11 @@ def test_paraphrases_with_foreign_words(spark):
     assert len(want) == 54 and got == want  # all but those with nine words replaced
 
 
+def test_paraphrases_off_the_grid(spark):
+    got, want = _found_and_wanted(spark, *_reworded(6, at=7))
+    assert len(want) == 54 and got == want
+
+
 def test_common_words_of_windows():
     a, b = np.array([[1, 2, 3, 4, 5, 0]]), np.array([[9, 1, 2, 3, 0, 4]])
     assert leakage.longest_run(a, b).tolist() == [3] and leakage.longest_subsequence(a, b).tolist() == [4]
