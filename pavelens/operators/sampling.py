@@ -20,13 +20,7 @@ class Curve:
         self.m = None  # second derivatives at the knots
         if n >= 4:
             h, s = np.diff(self.u), np.diff(xy, axis=0) / np.diff(self.u)[:, None]
-            a, r = np.zeros((n, n)), np.zeros((n, 2))
-            a[0, :3] = h[1], -(h[0] + h[1]), h[0]
-            a[-1, -3:] = h[-1], -(h[-2] + h[-1]), h[-2]
-            for i in range(1, n - 1):
-                a[i, i - 1 : i + 2] = h[i - 1], 2 * (h[i - 1] + h[i]), h[i]
-                r[i] = 6 * (s[i] - s[i - 1])
-            self.m = np.linalg.solve(a, r) if n <= 400 else _banded(a, r)
+            self.m = _solve(h, 6 * np.diff(s, axis=0))
 
     def _piece(self, t):
         k = np.clip(np.searchsorted(self.u, t, side="right") - 1, 0, len(self.u) - 2)
@@ -50,81 +44,120 @@ class Curve:
         return d / np.hypot(d[:, 0], d[:, 1])[:, None]
 
 
-def _banded(a: np.ndarray, r: np.ndarray) -> np.ndarray:
-    """The same system for long lines: elimination along the three diagonals after the end rows are folded in."""
-    n = len(r)
-    lo, mid, up, b = np.zeros(n), np.zeros(n), np.zeros(n), r.copy()
-    mid[0], up[0], far0 = a[0, 0], a[0, 1], a[0, 2]
-    lo[-1], mid[-1], far1 = a[-1, -2], a[-1, -1], a[-1, -3]
-    for i in range(1, n - 1):
-        lo[i], mid[i], up[i] = a[i, i - 1], a[i, i], a[i, i + 1]
-    f = far0 / up[1]
-    mid[0] -= f * lo[1]
-    up[0] -= f * mid[1]
-    b[0] -= f * b[1]
-    f = far1 / lo[-2]
-    lo[-1] -= f * mid[-2]
-    mid[-1] -= f * up[-2]
-    b[-1] -= f * b[-2]
-    for i in range(1, n):
+def _solve(h: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Second derivatives at the knots, by elimination along three diagonals. The end rows are put into their neighbours
+    (not the other way about: at equal distances nothing would be left on the diagonal)."""
+    lo, mid, up, b = h[:-1].copy(), 2 * (h[:-1] + h[1:]), h[1:].copy(), r.copy()
+    mid[0] += h[0] * (h[0] + h[1]) / h[1]
+    up[0] -= h[0] ** 2 / h[1]
+    mid[-1] += h[-1] * (h[-2] + h[-1]) / h[-2]
+    lo[-1] -= h[-1] ** 2 / h[-2]
+    for i in range(1, len(b)):
         f = lo[i] / mid[i - 1]
         mid[i] -= f * up[i - 1]
         b[i] -= f * b[i - 1]
-    for i in range(n - 1, -1, -1):
-        b[i] = (b[i] - (up[i] * b[i + 1] if i < n - 1 else 0)) / mid[i]
-    return b
+    b[-1] /= mid[-1]
+    for i in range(len(b) - 2, -1, -1):
+        b[i] = (b[i] - up[i] * b[i + 1]) / mid[i]
+    first = ((h[0] + h[1]) * b[0] - h[0] * b[1]) / h[1]
+    last = ((h[-2] + h[-1]) * b[-1] - h[-1] * b[-2]) / h[-2]
+    return np.vstack([first, b, last])
 
 
-def sample_line(xy: np.ndarray, ids: np.ndarray, step: float = 0.1, offset: float = 0.75, beyond: float = 1.5) -> pd.DataFrame:
-    """Sampling points of one drive line: direction 0 along five lanes at the right wheels each step, direction 1 across 25 lanes every fifth step."""
+_COLUMNS = ["recording_id", "direction", "lane", "index", "x", "y"]
+
+
+def fit_line(xy: np.ndarray, ids: np.ndarray, step: float = 0.1):
+    """The curve of one drive line, its ids, and how many sampling points it has; None if it has no length."""
+    if not len(xy):
+        return None
     keep = np.concatenate([[True], np.hypot(*np.diff(xy, axis=0).T) > 0])
     xy, ids = xy[keep], ids[keep]
     if len(xy) < 2:
-        return pd.DataFrame(columns=["recording_id", "direction", "lane", "index", "x", "y"])
+        return None
     c = Curve(xy)
     fine = c.at(np.linspace(0, 1, 1000))
-    n = int(np.hypot(*np.diff(fine, axis=0).T).sum() / step) + 1
-    t = np.linspace(0, 1, n)
-    mid, ahead = c.at(t), c.direction(t)
-    extra = step * np.arange(1, int(round(beyond / step)) + 1)[:, None]
+    return c, ids, int(np.hypot(*np.diff(fine, axis=0).T).sum() / step) + 1
+
+
+def sample_range(c: Curve, ids: np.ndarray, n: int, lo: int, hi: int, step: float = 0.1, offset: float = 0.75, beyond: float = 1.5) -> pd.DataFrame:
+    """Points lo to hi (without) of the n along a line, and those beyond its ends if they are among them."""
+    e = int(round(beyond / step))
+    every_t = np.minimum(np.arange(lo, hi) * (1 / max(1, n - 1)), 1.0)
+    if hi == n > 1:
+        every_t[-1] = 1.0
+    mid, ahead = c.at(every_t), c.direction(every_t)
+    before, after = (e if lo == 0 else 0), (e if hi == n else 0)
     left = np.column_stack([-ahead[:, 1], ahead[:, 0]])
-    mid = np.concatenate([(mid[0] - ahead[0] * extra)[::-1], mid, mid[-1] + ahead[-1] * extra])
-    left = np.concatenate([np.repeat(left[:1], len(extra), 0), left, np.repeat(left[-1:], len(extra), 0)])
-    tt = np.concatenate([np.zeros(len(extra)), t, np.ones(len(extra))])
+    extra = step * np.arange(1, e + 1)[:, None]
+    mid = np.concatenate([(mid[0] - ahead[0] * extra)[::-1][e - before :], mid, (mid[-1] + ahead[-1] * extra)[:after]])
+    left = np.concatenate([np.repeat(left[:1], before, 0), left, np.repeat(left[-1:], after, 0)])
+    tt = np.concatenate([np.zeros(before), every_t, np.ones(after)])
     near = np.abs(np.searchsorted(c.u, tt)[:, None] + np.array([-1, 0]))
     near = np.clip(near, 0, len(c.u) - 1)
     pick = near[np.arange(len(tt)), np.abs(c.u[near] - tt[:, None]).argmin(1)]
+    at = np.arange(len(tt)) + lo + e - before  # place among all points of the line
     parts = []
     for direction, lanes, every in ((0, offset + 0.1 * np.arange(-2, 3), 1), (1, 0.1 * np.arange(-12, 13), 5)):
-        m, l, k = mid[::every], left[::every], pick[::every]
+        on = at % every == 0
+        m, l, k = mid[on], left[on], pick[on]
         p = m[:, None, :] - lanes[None, :, None] * l[:, None, :]
         rows, cols = p.shape[:2]
         parts.append(pd.DataFrame({
-            "recording_id": np.repeat(ids[k], cols), "direction": direction, "lane": np.tile(np.arange(cols), rows), "index": np.repeat(np.arange(rows), cols),
+            "recording_id": np.repeat(ids[k], cols), "direction": direction, "lane": np.tile(np.arange(cols), rows), "index": np.repeat(at[on] // every, cols),
             "x": p[..., 0].ravel(), "y": p[..., 1].ravel(),
         }))
     return pd.concat(parts, ignore_index=True)
 
 
+def sample_line(xy: np.ndarray, ids: np.ndarray, step: float = 0.1, offset: float = 0.75, beyond: float = 1.5) -> pd.DataFrame:
+    """Sampling points of one drive line: direction 0 along five lanes at the right wheels each step, direction 1 across 25 lanes every fifth step."""
+    if (fit := fit_line(xy, ids, step)) is None:
+        return pd.DataFrame(columns=_COLUMNS)
+    c, ids, n = fit
+    return sample_range(c, ids, n, 0, n, step, offset, beyond)
+
+
 SAMPLE = "cluster bigint, recording_id string, direction int, lane int, index int, x double, y double"
+_PIECE = "cluster bigint, n bigint, lo bigint, hi bigint, ids array<string>, u array<double>, x array<double>, y array<double>, mx array<double>, my array<double>"
 
 
 def sampling_points(lines: DataFrame, line_rows: int = 5_000) -> DataFrame:
     """lines(cluster, image_no, recording_id, x, y) → sampling points of each drive line.
 
-    A drive line is cut into pieces of `line_rows` recording points that share their end points, so no
-    group is larger than that. Null coordinates are left out; lines of one point give nothing.
+    One curve is fitted to each whole line: a task holds its recording points and a few numbers of each. The
+    sampling points, many times as many, are then made in pieces of `line_rows` recording points of that curve, numbered
+    through, with points beyond the line's own ends only. Null coordinates are left out; lines of one point give nothing.
     """
-    piece = F.floor(F.col("image_no") / line_rows).cast("bigint")
-    cut = lines.filter("x is not null and y is not null").withColumn("_piece", F.explode(F.array_distinct(F.array(piece, F.floor((F.col("image_no") - 1) / line_rows).cast("bigint")))))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("image_no")
-        out = sample_line(pdf[["x", "y"]].to_numpy(float), pdf["recording_id"].to_numpy())
-        out.insert(0, "cluster", pdf["cluster"].iloc[0])
-        return out
+        line = fit_line(pdf[["x", "y"]].to_numpy(float), pdf["recording_id"].to_numpy())
+        rows = []
+        if line is not None:
+            c, ids, n = line
+            cuts = [*range(0, len(ids) - 1, line_rows), len(ids) - 1]
+            t = np.linspace(0, 1, n)
+            edges = [0, *np.searchsorted(t, c.u[cuts[1:-1]]).tolist(), n]
+            for (a, b), lo, hi in zip(zip(cuts, cuts[1:]), edges, edges[1:]):
+                a, b = max(0, a - 1), min(len(ids), b + 2)  # a knot more on each side, for what rounding moves across the cut
+                m = (None, None) if c.m is None else (c.m[a:b, 0], c.m[a:b, 1])
+                if hi > lo:
+                    rows.append((pdf["cluster"].iloc[0], n, lo, hi, ids[a:b], c.u[a:b], c.xy[a:b, 0], c.xy[a:b, 1], *m))
+        return pd.DataFrame(rows, columns=["cluster", "n", "lo", "hi", "ids", "u", "x", "y", "mx", "my"])
 
-    return cut.groupBy("cluster", "_piece").applyInPandas(run, SAMPLE)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for p in b.itertuples(index=False):
+                c = Curve.__new__(Curve)
+                c.u, c.xy, c.m = p.u, np.column_stack([p.x, p.y]), None if p.mx is None else np.column_stack([p.mx, p.my])
+                for lo in range(p.lo, p.hi, 20_000):
+                    out = sample_range(c, p.ids, p.n, lo, min(lo + 20_000, p.hi))
+                    out.insert(0, "cluster", p.cluster)
+                    yield out
+
+    pieces = lines.filter("x is not null and y is not null").groupBy("cluster").applyInPandas(fit, _PIECE)
+    return pieces.repartition("cluster", "lo").mapInPandas(run, SAMPLE)
 
 
 def along(xy: np.ndarray, step: float = 5.0) -> np.ndarray:

@@ -219,6 +219,27 @@ def _dense(xy, t):
     return c.at(np.array([t]))[0]
 
 
+def test_long_curve_of_equal_distances():
+    k = np.arange(3_000)
+    c = sampling.Curve(np.column_stack([5.0 * k, 2.0 * k]))
+    assert np.allclose(c.m, 0, atol=1e-3) and np.allclose(c.at(np.array([0.0001, 0.5])), [[1.4995, 0.5998], [7497.5, 2999.0]])
+
+
+def test_sampling_of_a_line_over_a_cut(spark):
+    k = np.arange(26)
+    xy = np.column_stack([5.0 * k, 3 * np.sin(k / 3)])
+    rows = [(7, 4_990 + int(i), f"r{i}", *map(float, xy[i])) for i in k] + [(8, int(i), f"s{i}", *map(float, xy[i])) for i in range(3)]
+    lines = spark.createDataFrame(rows, "cluster long, image_no long, recording_id string, x double, y double")
+    key = ["direction", "lane", "index"]
+    for size in (5_000, 6):
+        got = sampling.sampling_points(lines, line_rows=size).toPandas()
+        for cluster, n, name in ((7, 26, "r"), (8, 3, "s")):
+            want = sampling.sample_line(xy[:n], np.array([f"{name}{i}" for i in range(n)])).sort_values(key).reset_index(drop=True)
+            g = got[got["cluster"] == cluster].sort_values(key).reset_index(drop=True)
+            assert not g.duplicated(key).any() and len(g) == len(want) and (g[key].to_numpy() == want[key].to_numpy()).all()
+            assert np.allclose(g[["x", "y"]], want[["x", "y"]], atol=1e-7) and (g["recording_id"] == want["recording_id"]).mean() > 0.999
+
+
 def test_layers_and_lines():
     low, high = np.array([[0, 0, 1.0], [9, 0, 1.0]]), np.array([[0, 1, 9.0], [9, 1, 9.0]])
     far = np.array([[500, 0, 9.0]])
