@@ -27,7 +27,7 @@ def with_substance(areas: DataFrame, damage: DataFrame) -> DataFrame:
 
 
 def full_run(spark: SparkSession, areas: DataFrame, damage: DataFrame, settings: Settings, target: str) -> DataFrame:
-    """Areas with evenness measures and damage objects → rated areas, written to target and read back."""
+    """Areas with finished evenness measures and damage objects → rated areas, written to target and read back. Evenness isn't measured here."""
     rated = evaluate.rate(with_substance(check_areas(areas), damage), factor_frame(spark, settings))
     rated.write.mode("error").parquet(target)
     return spark.read.parquet(target)
