@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from pavelens.functions import scalars
 from pavelens.operators import areas, evaluate, lidar, markings, polygons, profiles, raster, relational, sampling, sequences
@@ -522,16 +523,31 @@ def interpolate_heights(spark, sf_dir):
 
 @query()
 def cell_regions(spark, sf_dir):
-    """Connected regions of pixels of equal type in masks of 32 × 32 cells, outlined."""
-    px = fixture(spark, sf_dir, "fx_pixels").groupBy("tile").agg(F.transform(F.array_sort(F.collect_list("type_id")), lambda t: t).alias("t"))
+    """Connected regions of pixels of equal type in masks of 32 cells across, outlined; see type_masks."""
+    return raster.vectorise(type_masks(fixture(spark, sf_dir, "fx_pixels")), True, 1.0)
+
+
+def type_masks(pixels: DataFrame, rows: int = 1_024) -> DataFrame:
+    """pixels(tile, type_id) → masks in which every pixel is once, in order of its type, zeros after the last.
+
+    Only counts per tile and type are gathered. A tile of more than `rows` rows goes on in masks <tile>/1, <tile>/2, …
+    that lie below one another; a region that crosses from one to the next is outlined in both.
+    """
+    size = 32 * rows
+    w = W.partitionBy("tile").orderBy("type_id")
+    runs = pixels.filter("type_id is not null").groupBy("tile", "type_id").agg(F.count(F.lit(1)).alias("n")).withColumn("end", F.sum("n").over(w))
+    part = F.explode(F.sequence(F.floor((F.col("end") - F.col("n")) / size), F.floor((F.col("end") - 1) / size)))
+    runs = runs.withColumn("part", part).withColumn("n", F.least("end", (F.col("part") + 1) * size) - F.greatest(F.col("end") - F.col("n"), F.col("part") * size))
+    parts = runs.groupBy("tile", "part").agg(F.array_sort(F.collect_list(F.struct("type_id", "n"))).alias("r"))
+    parts = parts.select("tile", "part", F.col("r.type_id").alias("types"), F.col("r.n").alias("counts"))
 
     def masks(batches):
         for b in batches:
             out = []
-            for t in b["t"]:
-                m = np.resize(np.asarray(t, np.uint8), (32, 32)) % 3
-                out.append(m.tobytes())
-            yield pd.DataFrame({"tile_id": b["tile"].astype(str), "x0": 0.0, "y1": 32.0, "height": 32, "width": 32, "mask": out})
+            for tile, part, types, counts in b.itertuples(index=False):
+                t = np.repeat(np.asarray(types) % 3, counts).astype(np.uint8)
+                height = -(-len(t) // 32)
+                out.append((f"{tile}/{part}" if part else str(tile), 0.0, 32.0 - part * rows, height, 32, np.pad(t, (0, height * 32 - len(t))).tobytes()))
+            yield pd.DataFrame(out, columns=["tile_id", "x0", "y1", "height", "width", "mask"])
 
-    tiles = px.mapInPandas(masks, "tile_id string, x0 double, y1 double, height int, width int, mask binary")
-    return raster.vectorise(tiles, True, 1.0)
+    return parts.mapInPandas(masks, "tile_id string, x0 double, y1 double, height int, width int, mask binary")

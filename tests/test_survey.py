@@ -279,3 +279,15 @@ def test_grids():
     assert np.allclose(raster.smooth(np.full((30, 30), 3.0), 2.0), 3.0)
     with pytest.raises(ValueError):
         raster.subsample(np.zeros((5, 5)), 2)
+
+
+def test_every_pixel_is_in_one_mask(spark):
+    from pavelens.plans.survey import type_masks
+
+    px = spark.createDataFrame([(1, 1)] * 1_500 + [(1, 8)] * 700 + [(2, 4)] * 5, "tile long, type_id int")
+    for rows in (1_024, 32):
+        got = type_masks(px, rows).collect()
+        count = {v: sum(r["mask"].count(v) for r in got if r["tile_id"].split("/")[0] == "1") for v in (1, 2)}
+        assert count == {1: 1_500, 2: 700} and all(len(r["mask"]) == r["height"] * 32 <= rows * 32 for r in got)
+        assert [(r["height"], r["mask"].count(1)) for r in got if r["tile_id"] == "2"] == [(1, 5)]
+    assert len({r["tile_id"] for r in got}) == len(got) == 4
