@@ -385,6 +385,11 @@ def _holds(text: np.ndarray, part: np.ndarray) -> bool:
     return bool((np.lib.stride_tricks.sliding_window_view(text, len(part)) == part).all(1).any())
 
 
+def sample_share(rules: LeakRules, kept: int) -> int:
+    """Hashes, of 2 ** 30, that put a document into the sample; kept: documents with a window that can match, as only these are taken."""
+    return int(min(1.0, rules.sample_docs / max(1, kept)) * (1 << 30))
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = LeakRules(), id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """docs, items(item_id, item_text) → (item_id, doc_id, cosine, shared, answer_found), one row per leaked item and document.
 
@@ -405,8 +410,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = LeakRules()
         encoded = scratch.keep(encode(docs, spark.sparkContext.broadcast(number), rules, id_col, text_col), f"encoded-{k}")
         n_docs = encoded.count()
         idf = np.log((n_docs + 1) / (document_frequencies(encoded, len(number)) + 1)) + 1
-        share = int(min(1.0, rules.sample_docs / max(1, n_docs)) * (1 << 30))
-        sample = encoded.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) <= share).filter("tokens is not null").select("tokens").limit(2 * rules.sample_docs)
+        kept = encoded.filter("tokens is not null")
+        share = sample_share(rules, kept.count())
+        sample = kept.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) <= share).select("tokens").limit(2 * rules.sample_docs)
         own = spark.createDataFrame([(t.tobytes(),) for t in tokens if len(t)], "tokens binary")
         passages = scratch.keep(own.union(sample).repartition(4), f"passages-{k}")
         basis = latent_basis(passages, idf, rules) if len(number) else np.zeros((0, 1))

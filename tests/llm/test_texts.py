@@ -107,6 +107,15 @@ def test_paraphrases_off_the_grid(spark):
     assert len(want) == 54 and got == want
 
 
+def test_sample_is_taken_from_kept_documents(spark, monkeypatch):
+    seen, basis = [], leakage.latent_basis
+    monkeypatch.setattr(leakage, "latent_basis", lambda passages, *rest: (seen.append(passages.count()), basis(passages, *rest))[1])
+    text = " ".join(f"w{k}" for k in range(14))
+    docs = [(k, text if k % 10 == 0 else "other") for k in range(300)]
+    leakage.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, text)], "item_id long, item_text string"), leakage.LeakRules(sample_docs=30))
+    assert seen == [31]  # the item and all of the 30 documents that can match
+
+
 def test_common_words_of_windows():
     a, b = np.array([[1, 2, 3, 4, 5, 0]]), np.array([[9, 1, 2, 3, 0, 4]])
     assert leakage.longest_run(a, b).tolist() == [3] and leakage.longest_subsequence(a, b).tolist() == [4]
