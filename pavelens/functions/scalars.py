@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 import re
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,13 +27,21 @@ def round_half_up(c: Column, digits: int = 2) -> Column:
 
 
 def round_exact(c: Column, digits: int = 2) -> Column:
-    """Rounded as Python rounds a float: half to even on the binary value."""
-
-    @F.pandas_udf("double")
-    def rounded(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: round(v, digits) if v == v else None)
-
-    return rounded(c)
+    """Rounded as Python rounds a float: to the nearest decimal of the binary value, ties to the even digit. digits: 0 to 6.
+
+    x lies between k / 10^d and (k + 1) / 10^d; which is nearer is told by the sign of 2 x 10^d - (2 k + 1), taken without
+    error: the product's rounding error is exact once x is split into two halves of 26 bits. Beyond 2^40 x stays as it is.
+    """
+    scale = F.lit(10.0**digits)
+    twice = F.lit(2 * 10.0**digits)
+    x = c.cast("double")
+    k = F.floor(x * scale).cast("double")
+    high = x * F.lit(134217729.0) - (x * F.lit(134217729.0) - x)
+    product = x * twice
+    error = (twice * high - product) + twice * (x - high)
+    above = (product - (F.lit(2.0) * k + F.lit(1.0))) + error
+    up = (above > 0) | ((above == 0) & (F.pmod(k, F.lit(2.0)) == 1))
+    return F.when(F.isnan(x) | (F.abs(x) > F.lit(2.0**40)), x).otherwise((k + F.when(up, 1.0).otherwise(0.0)) / scale)
 
 
 def tile_id(name: Column, delimiter: str = "_") -> Column:

@@ -78,11 +78,37 @@ def unit_cells(boxes: DataFrame) -> DataFrame:
     return with_cells(boxes, "x0", "y0", "x1", "y1", 1.0).withColumnsRenamed({"_cx": "cx", "_cy": "cy"})
 
 
-def cell_damage(damage: DataFrame) -> DataFrame:
-    """damage(typ, x0, y0, x1, y1) → (cx, cy, typ, um2): damaged area in each 1 m cell in whole square millimetres / 1e6 m²."""
-    part = unit_cells(damage)
-    a = overlap(F.col("x0"), F.col("x1"), F.col("cx").cast("double"), F.col("cx").cast("double") + 1.0) * overlap(F.col("y0"), F.col("y1"), F.col("cy").cast("double"), F.col("cy").cast("double") + 1.0)
-    return part.filter(a > 0).groupBy("cx", "cy", "typ").agg(F.sum(F.floor(a * 1e6 + 0.5).cast("bigint")).alias("um2"))
+def union_area(boxes: Column) -> Column:
+    """Surface that boxes (array of structs x0, y0, x1, y1) cover together: between neighbouring x, the length that their y cover."""
+    xs = F.array_sort(F.array_distinct(F.concat(F.transform(boxes, lambda b: b["x0"]), F.transform(boxes, lambda b: b["x1"]))))
+    upper = F.lit(float("-inf"))
+
+    def covered(lo: Column, hi: Column) -> Column:
+        on = F.array_sort(F.transform(F.filter(boxes, lambda b: (b["x0"] <= lo) & (b["x1"] >= hi)), lambda b: F.struct(b["y0"], b["y1"])))
+        step = lambda s, b: F.struct(F.greatest(s["top"], b["y1"]).alias("top"), (s["sum"] + F.greatest(F.lit(0.0), b["y1"] - F.greatest(b["y0"], s["top"]))).alias("sum"))
+        return F.aggregate(on, F.struct(upper.alias("top"), F.lit(0.0).alias("sum")), step, lambda s: s["sum"])
+
+    slabs = F.when(F.size(xs) < 2, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), F.size(xs) - 1))
+    width = lambda i: F.element_at(xs, i + 1) - F.element_at(xs, i)
+    return F.aggregate(slabs, F.lit(0.0), lambda s, i: s + width(i) * covered(F.element_at(xs, i), F.element_at(xs, i + 1)))
+
+
+def cell_damage(damage: DataFrame, within: DataFrame | None = None) -> DataFrame:
+    """damage(typ, x0, y0, x1, y1) → (cx, cy, typ, um2): damaged area in each 1 m cell, each object's in whole 1e-6 m².
+
+    within(x0, y0, x1, y1): only what lies in the union of these boxes counts. An object's boxes in one cell come together.
+    """
+    sides = {f"{a}{i}": (F.greatest if i == 0 else F.least)(f"{a}{i}", F.col(f"c{a}").cast("double") + i) for a in "xy" for i in (0, 1)}
+    part = unit_cells(damage).select("cx", "cy", "typ", *[c.alias(f"p{n}") for n, c in sides.items()]).filter("px1 > px0 and py1 > py0")
+    um2 = lambda a: F.floor(a * 1e6 + 0.5).cast("bigint")
+    if within is None:
+        return part.groupBy("cx", "cy", "typ").agg(F.sum(um2((F.col("px1") - F.col("px0")) * (F.col("py1") - F.col("py0")))).alias("um2"))
+    key = ["cx", "cy", "typ", "px0", "py0", "px1", "py1"]
+    objects = part.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    both = objects.join(unit_cells(within.select("x0", "y0", "x1", "y1").distinct()), ["cx", "cy"])
+    cut = F.struct(*[f(f"p{n}", n).alias(n) for n, f in (("x0", F.greatest), ("y0", F.greatest), ("x1", F.least), ("y1", F.least))])
+    met = both.withColumn("_cut", cut).filter("_cut.x1 > _cut.x0 and _cut.y1 > _cut.y0").groupBy(*key, "_n").agg(F.collect_list("_cut").alias("_cuts"))
+    return met.groupBy("cx", "cy", "typ").agg(F.sum(F.col("_n") * um2(union_area(F.col("_cuts")))).alias("um2"))
 
 
 def cell_pivot(by_type: DataFrame, types: tuple[str, ...] = TYPES) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Missing measures stay missing: a null makes what is computed from it null, except that the overall value
 falls back to the substance value where there is no evenness value. Classes of missing values are 0 for
-substance measures and null for evenness measures. NaN counts as null.
+substance measures and null for evenness measures. NaN counts as null. Values are rounded to two digits
+before they are weighted and put into classes, ties of the binary value to the even digit.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pavelens.functions.scalars import max_known, nan_to_null, round_half_up
+from pavelens.functions.scalars import max_known, nan_to_null, round_exact
 
 EVENNESS = ("SM4L_M", "SM4L_A", "MSPT", "MSPH")
 SUBSTANCE = ("RISS", "AFLI", "OFS")
@@ -20,11 +21,12 @@ SUBSTANCE = ("RISS", "AFLI", "OFS")
 
 @dataclass(frozen=True)
 class Weights:
-    """Shares of the partial values. evenness: of SM4L, MSPT, MSPH; substance: of RISS, AFLI, OFS."""
+    """Shares of the partial values. evenness: of SM4L, MSPT, MSPH (paved areas: paved_evenness if given); substance: of RISS, AFLI, OFS."""
 
     evenness: dict = field(default_factory=lambda: {"SM4L": 0.25, "MSPT": 0.5, "MSPH": 0.25})
     substance: dict = field(default_factory=lambda: {"RISS": 0.56, "AFLI": 0.31, "OFS": 0.13})
     veto: float = 3.5
+    paved_evenness: dict | None = None
 
 
 def normalise(x: Column, f1: Column, f2: Column, f3: Column) -> Column:
@@ -60,6 +62,7 @@ def rate(areas: DataFrame, factors: DataFrame, weights: Weights = Weights()) ->
     and AFLI: their substance value is ZWOFS. Measures without a factor, as evenness for fk N, are null.
     """
     df = areas.join(factor_table(factors).withColumnsRenamed({"bw": "_bw", "fk": "_fk"}), (F.col("bw") == F.col("_bw")) & (F.col("fk") == F.col("_fk")), "left")
+    raw = {}
     for m in (*EVENNESS, *SUBSTANCE):
         f = F.col(f"_{m}")
         x = nan_to_null(F.col(m.lower()))
@@ -67,19 +70,29 @@ def rate(areas: DataFrame, factors: DataFrame, weights: Weights = Weights()) ->
             x = F.when(F.col("bw") == "A", x)
         if m in EVENNESS:
             x = F.when(F.col("fk") != "N", x)
-        df = df.withColumn(f"ZW{m}", round_half_up(normalise(x, f["f1"], f["f2"], f["f3"])))
+        raw[f"_z{m}"] = normalise(x, f["f1"], f["f2"], f["f3"])
+    # values before they are rounded are columns of their own, as rounding names them several times
+    df = df.withColumns(raw).withColumns({f"ZW{m}": round_exact(F.col(f"_z{m}")) for m in (*EVENNESS, *SUBSTANCE)})
     df = df.withColumn("ZWSM4L", max_known(F.col("ZWSM4L_M"), F.col("ZWSM4L_A")))
-    we, ws = weights.evenness, weights.substance
     sm, mt, mh, ri, af, of = (F.col(f"ZW{m}") for m in ("SM4L", "MSPT", "MSPH", "RISS", "AFLI", "OFS"))
-    even = _partial(max_known(sm, mt), F.lit(we["SM4L"]) * sm + F.lit(we["MSPT"]) * mt + F.lit(we["MSPH"]) * mh, weights.veto)
+    paved = F.col("bw") == "P"
+    even = _partial(max_known(sm, mt), _by_bw(weights, "evenness", "SM4L") * sm + _by_bw(weights, "evenness", "MSPT") * mt + _by_bw(weights, "evenness", "MSPH") * mh, weights.veto)
+    ws = weights.substance
     asphalt = _partial(max_known(ri, of), F.lit(ws["RISS"]) * ri + F.lit(ws["AFLI"]) * af + F.lit(ws["OFS"]) * of, weights.veto)
-    df = df.withColumn("TWGEB", round_half_up(even)).withColumn("TWSUB", round_half_up(F.when(F.col("bw") == "P", of).otherwise(asphalt)))
+    df = df.withColumns({"_even": even, "_sub": F.when(paved, of).otherwise(asphalt)})
+    df = df.withColumns({"TWGEB": round_exact(F.col("_even")), "TWSUB": round_exact(F.col("_sub"))})
     df = df.withColumn("GW", max_known(F.coalesce("TWGEB", "TWSUB"), F.col("TWSUB")))
     zk = {m: quantise(F.col(f"ZW{m}")) for m in (*EVENNESS, "SM4L", *SUBSTANCE)}
-    for m, c in zk.items():
-        df = df.withColumn(f"ZK{m}", F.when(c > 0, c) if m in (*EVENNESS, "SM4L") else c)
-    df = df.withColumn("TKGEB", F.when(F.col("TWGEB").isNotNull(), quantise(F.col("TWGEB")))).withColumn("TKSUB", quantise(F.col("TWSUB"))).withColumn("GK", quantise(F.col("GW")))
-    return df.drop("_bw", "_fk", *[f"_{m}" for m in (*EVENNESS, *SUBSTANCE)])
+    classes = {f"ZK{m}": F.when(c > 0, c) if m in (*EVENNESS, "SM4L") else c for m, c in zk.items()}
+    classes |= {"TKGEB": F.when(F.col("TWGEB").isNotNull(), quantise(F.col("TWGEB"))), "TKSUB": quantise(F.col("TWSUB")), "GK": quantise(F.col("GW"))}
+    helpers = [f"_{k}{m}" for k in ("", "z") for m in (*EVENNESS, *SUBSTANCE)]
+    return df.withColumns(classes).drop("_bw", "_fk", "_even", "_sub", *helpers)
+
+
+def _by_bw(weights: Weights, of: str, part: str) -> Column:
+    """A weight of the evenness value, which paved areas may have their own of."""
+    own = weights.paved_evenness or weights.evenness
+    return F.when(F.col("bw") == "P", F.lit(float(own[part]))).otherwise(F.lit(float(getattr(weights, of)[part])))
 
 
 def rerate(rated: DataFrame, factors: DataFrame, weights: Weights = Weights()) -> DataFrame:

@@ -16,15 +16,13 @@ def state_of(mid: Column, bad: Column, t_mid: float = 0.25, t_bad: float = 0.25)
 
 
 def pixel_shares(pixels: DataFrame, keys: list[str]) -> DataFrame:
-    """pixels(keys, type_id, cond_id) → per object: typ (the commonest type, the lowest of equal ones), percentages of the states, n.
+    """pixels(keys, type_id, cond_id) → per object: typ (the commonest type of all its pixels, the lowest of equal ones), percentages of the states, n.
 
-    Pixels of condition 0 aren't part of the object; objects without any other pixel don't appear.
+    The percentages are of the n pixels with a condition; objects without any such pixel don't appear. Null types don't count.
     """
-    on = pixels.filter(F.col("cond_id") > 0)
-    n = F.count(F.lit(1))
-    return on.groupBy(*keys).agg(
-        F.mode("type_id", True).alias("typ"), n.alias("n"), *[(F.count_if(F.col("cond_id") == k) * F.lit(100.0) / n).alias(s) for k, s in STATES.items()]
-    )
+    n = F.count_if(F.col("cond_id") > 0)
+    shares = [F.try_divide(F.count_if(F.col("cond_id") == k) * F.lit(100.0), n).alias(s) for k, s in STATES.items()]
+    return pixels.groupBy(*keys).agg(F.mode("type_id", True).alias("typ"), n.alias("n"), *shares).filter("n > 0")
 
 
 def classify_markings(pixels: DataFrame, keys: list[str], t_mid: float = 0.25, t_bad: float = 0.25) -> DataFrame:

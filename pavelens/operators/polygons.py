@@ -1,16 +1,22 @@
-"""Damage polygons on a 1 m raster and the damaged share of polygonal areas, holes and several pieces included."""
+"""Polygons, holes and several pieces included: what lies in areas, damage on a 1 m raster, the damaged share of areas.
+
+Areas go to the grid squares that they touch with their outline (only the part around a square, if they are large);
+points, lines and cells go to their own square, so every join is one on whole numbers and its test runs on Arrow batches.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pavelens.functions import wkt
-from pavelens.operators.areas import GROUPS, PIXEL_M, TYPES, cell_flags, sieve
+from pavelens.operators.areas import CELL_M2, GROUPS, MODES, PIXEL_M, TYPES, sieve
 from pavelens.session import Scratch
 
 
@@ -150,8 +156,207 @@ def _boxes(s: wkt.Shapes):
     return rows, *ends
 
 
-def damage_cells(damage: DataFrame) -> DataFrame:
-    """damage(typ, geometry) → (cx, cy, typ, um2): damaged area per 1 m cell and type, in 1e-6 m², overlaps counted each."""
+def oriented(p: Polygon) -> list[np.ndarray]:
+    """The rings with the surface on their left."""
+    return [r if (surface(r) > 0) == (s > 0) else r[::-1] for s, r in zip(p.signs, p.rings)]
+
+
+def _stack(shapes: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (x0, y0, x1, y1) of all rings and the shape that each belongs to."""
+    edges = [np.hstack([r, np.roll(r, -1, 0)]) for rings in shapes for r in rings]
+    owner = np.repeat(np.arange(len(shapes)), [sum(map(len, rings)) for rings in shapes])
+    return (np.concatenate(edges) if edges else np.zeros((0, 4))), owner
+
+
+def common_area(part: list[np.ndarray], areas: list[list[np.ndarray]], nudge: float = 1e-8) -> float:
+    """Surface of a shape within the union of areas, all given as rings with the surface on their left.
+
+    The outline of what they share consists of the shape's edges inside any area and of the areas' edges inside the
+    shape and no other area; its surface is a sum over these pieces. Areas are moved by different 1e-8 m, so that no
+    edges lie upon one another; that is the error per metre of outline.
+    """
+    turn = 2.399963 * np.arange(1, len(areas) + 1)
+    moved = [[r + nudge * np.array([np.cos(t), np.sin(t)]) for r in rings] for t, rings in zip(turn, areas)]
+    e, owner = _stack([part, *moved])
+    if not len(e) or not (owner == 0).any() or not len(areas):
+        return 0.0
+    x0, y0, x1, y1 = e.T
+    dx, dy = x1 - x0, y1 - y0
+    cross = dx[:, None] * dy[None, :] - dy[:, None] * dx[None, :]
+    bx, by = x0[None, :] - x0[:, None], y0[None, :] - y0[:, None]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t, u = (bx * dy[None, :] - by * dx[None, :]) / cross, (bx * dy[:, None] - by * dx[:, None]) / cross
+        i, j = np.nonzero((owner[:, None] != owner[None, :]) & (cross != 0) & (t > 0) & (t < 1) & (u >= 0) & (u <= 1))
+    n = np.arange(len(e))
+    at, place = np.concatenate([n, i, n]), np.concatenate([np.zeros(len(n)), t[i, j], np.ones(len(n))])
+    order = np.lexsort((place, at))
+    at, place = at[order], place[order]
+    same = at[1:] == at[:-1]
+    k, a, b = at[:-1][same], place[:-1][same], place[1:][same]
+    mx, my = x0[k] + dx[k] * (a + b) / 2, y0[k] + dy[k] * (a + b) / 2
+    up = (y0[None, :] > my[:, None]) != (y1[None, :] > my[:, None])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        left = up & (mx[:, None] < x0 + dx * (my[:, None] - y0) / dy)
+    inside = np.add.reduceat(left, np.searchsorted(owner, np.unique(owner)), axis=1) % 2 == 1
+    shapes = np.unique(owner)
+    inside[np.arange(len(k)), np.searchsorted(shapes, owner[k])] = False  # of the others
+    in_part, in_area = inside[:, 0], inside[:, 1:].any(1)
+    keep = np.where(owner[k] == 0, in_area, in_part & ~in_area)
+    k, a, b = k[keep], a[keep], b[keep]
+    return 0.5 * float(np.sum((x0[k] + dx[k] * a) * (y0[k] + dy[k] * b) - (x0[k] + dx[k] * b) * (y0[k] + dy[k] * a)))
+
+
+#: An area of at most this many squares goes whole to each of them; of larger ones only what lies around a square.
+WHOLE_SQUARES = 16
+SQUARE = 32.0
+
+
+def _take_rings(shapes: list[list[np.ndarray] | None]) -> tuple[pa.Array, pa.Array]:
+    """Rings as to_binary() writes them; None is null."""
+    first = [None if rings is None else b"".join(b"\1" + b"\0" * (len(r) - 1) for r in rings) for rings in shapes]
+    xy = [None if rings is None else np.concatenate(rings).astype("<f8").tobytes() if rings else b"" for rings in shapes]
+    return pa.array(xy, pa.binary()), pa.array(first, pa.binary())
+
+
+def area_squares(areas: DataFrame, keep: list[str], margin: float, size: float = SQUARE) -> DataFrame:
+    """areas(keep, geometry) → keep, gx, gy, bx, by, xy, first: the outline in each grid square that the bounding box, `margin` wider, meets.
+
+    bx, by: lower corner of the bounding box. Null, empty and other geometries give nothing.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in areas.schema}
+
+    def run(batches):
+        for b in batches:
+            s = wkt.parse_wkt(b.column("geometry").to_pylist())
+            rows, x0, y0, x1, y1 = _boxes(s)
+            i0, j0, i1, j1 = (np.floor(v / size).astype(np.int64) for v in (x0 - margin, y0 - margin, x1 + margin, y1 + margin))
+            wide, high = i1 - i0 + 1, j1 - j0 + 1
+            few = wide * high <= WHOLE_SQUARES
+            owner = np.repeat(np.flatnonzero(few), (wide * high)[few])
+            nth = np.arange(len(owner)) - np.repeat(np.cumsum((wide * high)[few]) - (wide * high)[few], (wide * high)[few])
+            gx, gy = i0[owner] + nth // high[owner], j0[owner] + nth % high[owner]
+            xy, first = wkt.to_binary(s)
+            names = [*keep, "gx", "gy", "bx", "by", "xy", "first"]
+
+            def give(owner, gx, gy, xy, first):
+                at = pa.array(rows[owner])
+                return pa.RecordBatch.from_arrays([*(b.column(c).take(at) for c in keep), pa.array(gx), pa.array(gy), pa.array(x0[owner]), pa.array(y0[owner]), xy, first], names=names)  # noqa: B023
+
+            yield give(owner, gx, gy, xy.take(pa.array(rows[owner])), first.take(pa.array(rows[owner])))
+            for k in np.flatnonzero(~few):
+                rings = oriented(_polygon(s, rows[k]))
+                for x in range(i0[k], i1[k] + 1):  # column by column, so that a long area isn't cut as a whole for each square
+                    strip = [c for r in rings if len(c := clip_ring(r, x * size - margin, -np.inf, (x + 1) * size + margin, np.inf)) > 2]
+                    found = []
+                    for y in range(j0[k], j1[k] + 1):
+                        cut = [c for r in strip if len(c := clip_ring(r, x * size - margin, y * size - margin, (x + 1) * size + margin, (y + 1) * size + margin)) > 2]
+                        if cut:
+                            found.append((y, cut))
+                    if found:
+                        n = len(found)
+                        yield give(np.full(n, k), np.full(n, x, np.int64), np.array([y for y, _ in found], np.int64), *_take_rings([c for _, c in found]))
+
+    out = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", gx bigint, gy bigint, bx double, by double, xy binary, first binary"
+    return areas.select(*keep, "geometry").filter("geometry is not null").mapInArrow(run, out)
+
+
+def _shapes_of(b: pa.RecordBatch) -> tuple[wkt.Shapes, np.ndarray]:
+    """The different outlines of a batch and which of them each row has."""
+    both = pa.compute.binary_join_element_wise(b.column("xy"), b.column("first"), pa.scalar(b"", pa.binary()))
+    code = both.dictionary_encode()
+    k = code.indices.to_numpy(zero_copy_only=False)
+    at = pa.array(np.unique(k, return_index=True)[1])
+    return wkt.from_binary(b.column("xy").take(at), b.column("first").take(at)), k
+
+
+def _in_squares(left: DataFrame, squares: DataFrame, columns: list[str], keep: list[str], test: Callable) -> DataFrame:
+    """left(columns, gx, gy) joined with squares; test(batch, shapes, which) says which rows stay."""
+    kinds = {f.name: f.dataType.simpleString() for f in [*left.schema, *squares.schema]}
+
+    def run(batches):
+        for b in batches:
+            on = np.flatnonzero(test(b, *_shapes_of(b))) if b.num_rows else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(c).take(pa.array(on)) for c in [*columns, *keep]], names=[*columns, *keep])
+
+    return left.join(squares, ["gx", "gy"]).mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in [*columns, *keep]))
+
+
+def points_in_areas(points: DataFrame, areas: DataFrame, keep: list[str], size: float = SQUARE) -> DataFrame:
+    """points(x, y, …) inner joined with areas(keep, geometry) that have the point inside; a point may be in several. keep: names that points lacks."""
+    known = F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y")
+    p = points.filter(known).withColumn("gx", F.floor(F.col("x") / size).cast("bigint")).withColumn("gy", F.floor(F.col("y") / size).cast("bigint"))
+
+    def test(b, s, k):
+        x, y = (b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in "xy")
+        return wkt.inside(x, y, k, wkt.edges(s))
+
+    return _in_squares(p, area_squares(areas, keep, 1.0, size), points.columns, keep, test)
+
+
+def lines_in_areas(lines: DataFrame, areas: DataFrame, keep: list[str], longest: float = 3.0, size: float = SQUARE) -> DataFrame:
+    """lines(lx0, ly0, lx1, ly1, …), each up to `longest` long, inner joined with areas(keep, geometry) that they meet; an end inside or an edge crossed.
+
+    A pair meets in the square of the larger of the lower corners of line and area, so it comes once. Longer lines are an error when run.
+    """
+    lo = {a: F.least(f"l{a}0", f"l{a}1") for a in "xy"}
+    hi = {a: F.greatest(f"l{a}0", f"l{a}1") for a in "xy"}
+    known = " and ".join(f"{c} is not null and not isnan({c})" for c in ("lx0", "ly0", "lx1", "ly1"))
+    fits = (hi["x"] - lo["x"] <= longest) & (hi["y"] - lo["y"] <= longest)
+    l = lines.filter(known).filter(F.when(fits, True).otherwise(F.raise_error(F.lit(f"a line is longer than {longest}")).cast("boolean")))
+    for a in "xy":
+        l = l.withColumn(f"g{a}", F.explode(F.sequence(F.floor(lo[a] / size).cast("bigint"), F.floor(hi[a] / size).cast("bigint"))))
+
+    def test(b, s, k):
+        ax, ay, cx, cy, gx, gy, bx, by = (b.column(c).to_numpy(zero_copy_only=False) for c in ("lx0", "ly0", "lx1", "ly1", "gx", "gy", "bx", "by"))
+        first = (gx == np.floor(np.maximum(np.minimum(ax, cx), bx) / size)) & (gy == np.floor(np.maximum(np.minimum(ay, cy), by) / size))
+        out = np.zeros(len(ax), bool)
+        at = np.flatnonzero(first)
+        e = wkt.edges(s)
+        out[at] = wkt.inside(ax[at], ay[at], k[at], e) | wkt.inside(cx[at], cy[at], k[at], e)
+        rest = at[~out[at]]
+        own = np.arange(len(rest) + 1), ax[rest], ay[rest], cx[rest], cy[rest]  # one edge a line
+        out[rest] = wkt.crossing(k[rest], e, np.arange(len(rest)), own)
+        return out
+
+    return _in_squares(l, area_squares(areas, keep, longest + 1.0, size), lines.columns, keep, test)
+
+
+def cells_in_areas(cells: DataFrame, areas: DataFrame, keep: list[str], size: float = SQUARE) -> DataFrame:
+    """cells(cx, cy) of 1 m joined with areas(keep, geometry) that cover some of them: cx, cy, keep, part, xy, first.
+
+    part: covered area in m². xy, first: the area's outline in the cell, surface on the left; null where all of the cell is covered.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in areas.schema}
+    names = ["cx", "cy", *keep, "part", "xy", "first"]
+
+    def run(batches):
+        for b in batches:
+            s, k = _shapes_of(b) if b.num_rows else (None, None)
+            if s is None:
+                continue
+            cx, cy = b.column("cx").to_numpy(), b.column("cy").to_numpy()
+            n = np.flatnonzero(s.count() > 0)
+            box = np.full((4, len(s)), np.nan)
+            box[:, n] = [f.reduceat(v, s.start[:-1][n]) for f, v in ((np.minimum, s.x), (np.minimum, s.y), (np.maximum, s.x), (np.maximum, s.y))]
+            near = np.flatnonzero((box[0, k] < cx + 1) & (box[2, k] > cx) & (box[1, k] < cy + 1) & (box[3, k] > cy))
+            part = areas_in_cells(s, k[near].astype(np.int64), cx[near], cy[near])
+            near, part = near[part > 1e-9], part[part > 1e-9]
+            known, shapes = {}, [None] * len(near)
+            for i in np.flatnonzero(part < 1 - 1e-7):
+                if (rings := known.get(k[near[i]])) is None:
+                    rings = known[k[near[i]]] = oriented(_polygon(s, k[near[i]]))
+                x, y = cx[near[i]], cy[near[i]]
+                shapes[i] = [c for r in rings if len(c := clip_ring(r, x - 0.5, y - 0.5, x + 1.5, y + 1.5)) > 2]
+            at = pa.array(near)
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(at) for c in names[:-3]), pa.array(part), *_take_rings(shapes)], names=names)
+
+    c = cells.select("cx", "cy", F.floor(F.col("cx") / size).cast("bigint").alias("gx"), F.floor(F.col("cy") / size).cast("bigint").alias("gy"))
+    out = "cx bigint, cy bigint, " + ", ".join(f"`{x}` {kinds[x]}" for x in keep) + ", part double, xy binary, first binary"
+    return c.join(area_squares(areas, keep, 1.0, size), ["gx", "gy"]).drop("gx", "gy", "bx", "by").mapInArrow(run, out)
+
+
+def damage_pieces(damage: DataFrame) -> DataFrame:
+    """damage(did, typ, geometry) → (did, typ, cx, cy, um2): each object's area in each 1 m cell, in 1e-6 m²."""
 
     def run(batches):
         for b in batches:
@@ -168,67 +373,130 @@ def damage_cells(damage: DataFrame) -> DataFrame:
             out[~one] = areas_in_cells(s, at[~one], xs[~one], ys[~one])
             ok = np.flatnonzero(out > 1e-9)
             take = lambda v: pa.array(v[ok].astype(np.int64))  # noqa: B023, E731
-            yield pa.RecordBatch.from_arrays([take(xs), take(ys), b.column("typ").take(take(at)), pa.array(np.floor(out[ok] * 1e6 + 0.5).astype(np.int64))], names=["cx", "cy", "typ", "um2"])
-
-    part = damage.select("typ", "geometry").mapInArrow(run, "cx bigint, cy bigint, typ string, um2 bigint")
-    return part.groupBy("cx", "cy", "typ").agg(F.sum("um2").alias("um2"))
+            own = take(at)
+            yield pa.RecordBatch.from_arrays([b.column("did").take(own), b.column("typ").take(own), take(xs), take(ys), pa.array(np.floor(out[ok] * 1e6 + 0.5).astype(np.int64))], names=["did", "typ", "cx", "cy", "um2"])
 
+    return damage.select("did", "typ", "geometry").mapInArrow(run, "did bigint, typ string, cx bigint, cy bigint, um2 bigint")
 
-def areas_on_cells(areas: DataFrame, cells: DataFrame, size: int = 16) -> DataFrame:
-    """areas(area_id, geometry) × cells(cx, cy) → (area_id, cx, cy) where the area covers some of the cell.
-
-    Both meet on grid squares of `size` m; an area goes to the squares of its bounding box, a cell to its one.
-    """
-
-    def boxes(batches):
-        for b in batches:
-            s = wkt.parse_wkt(b.column("geometry").to_pylist())
-            rows, *ends = _boxes(s)
-            at, gx, gy = [], [], []
-            for i, a0, b0, a1, b1 in zip(rows, *((v // size).astype(np.int64) for v in ends)):
-                for x in range(a0, a1 + 1):
-                    for y in range(b0, b1 + 1):
-                        at.append(i)
-                        gx.append(x)
-                        gy.append(y)
-            at = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("area_id").take(at), b.column("geometry").take(at), pa.array(gx, pa.int64()), pa.array(gy, pa.int64())], names=["area_id", "geometry", "gx", "gy"])
-
-    def cut(batches):
-        for b in batches:
-            g = b.column("geometry").dictionary_encode()
-            s, k = wkt.parse_wkt(g.dictionary.to_pylist()), g.indices.to_numpy()
-            rows, *ends = _boxes(s)
-            box = np.full((4, len(s)), np.nan)
-            box[:, rows] = ends
-            xs, ys = b.column("cx").to_numpy(), b.column("cy").to_numpy()
-            near = (box[0, k] < xs + 1) & (box[2, k] > xs) & (box[1, k] < ys + 1) & (box[3, k] > ys)
-            near = np.flatnonzero(near)
-            keep = near[areas_in_cells(s, k[near].astype(np.int64), xs[near], ys[near]) > 1e-9]
-            at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(c).take(at) for c in ("area_id", "cx", "cy")], names=["area_id", "cx", "cy"])
 
-    n = int(areas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    a = areas.select("area_id", "geometry").filter("geometry is not null").mapInArrow(boxes, "area_id bigint, geometry string, gx bigint, gy bigint")
-    c = cells.select("cx", "cy", F.floor(F.col("cx") / size).alias("gx"), F.floor(F.col("cy") / size).alias("gy"))
-    # cutting costs time, not bytes: a fixed number of tasks, which size-based merging of partitions leaves alone
-    return a.join(c, ["gx", "gy"]).select("area_id", "geometry", "cx", "cy").repartition(n, "cx", "cy").mapInArrow(cut, "area_id bigint, cx bigint, cy bigint")
+#: Damage objects in one 1 m cell that one task cuts.
+OBJECTS_PER_TASK = 10_000
 
 
-def damaged_share(areas: DataFrame, damage: DataFrame, mode: str, clip: bool = False) -> DataFrame:
-    """areas(area_id, bw, geometry) of the mode with the damaged percentage of their ground, per group of damage types.
+def cell_damage_in_areas(damage: DataFrame, areas: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """damage(typ, geometry), areas(area_id, bw, geometry) → damaged area per cell, mode and type inside the areas of the mode, and the cells of the areas.
 
-    damage(typ, geometry): small objects and unknown types are dropped first; spelling of typ in case and
-    blanks is ignored. A damaged cell counts 1 m² in each area that covers some of it. Areas without ground: 0.
+    Where an area of a mode covers all of a cell, all damage of the cell counts; where areas cover parts of it, the
+    damage is cut to their union. First result: (bw, cx, cy, typ, um2), the second: (area_id, bw, cx, cy).
+    The areas that cover parts of one and the same cell are held together, equal outlines once; its objects are cut in parts.
     """
+    damage = scratch.keep(damage.select("typ", "geometry").withColumn("did", F.monotonically_increasing_id()), "damage")
+    pieces = scratch.keep(damage_pieces(damage), "pieces")
+    cells = pieces.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"))
+    cover = scratch.keep(cells_in_areas(cells, areas, ["area_id", "bw"]), "cover")
+    state = cover.groupBy("bw", "cx", "cy").agg(F.max(F.col("xy").isNull()).alias("full"))
+    of_mode = F.create_map(*[F.lit(v) for m, ts in MODES.items() for v in (m, F.array(*map(F.lit, ts)))])
+    met = pieces.join(state, ["cx", "cy"]).filter(F.array_contains(F.element_at(of_mode, F.col("bw")), F.col("typ")))
+    whole = met.filter("full").groupBy("bw", "cx", "cy", "typ").agg(F.sum("um2").alias("um2"))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("n") / OBJECTS_PER_TASK)).cast("int")
+    torn = state.filter("not full").join(cells, ["cx", "cy"]).select("bw", "cx", "cy", parts.alias("parts"))
+    pieces_ = met.filter("not full").join(torn, ["bw", "cx", "cy"]).join(damage.select("did", "geometry"), "did")
+    none = F.lit(None).cast("binary")
+    objects = pieces_.select("bw", "cx", "cy", F.pmod(F.xxhash64("did"), F.col("parts")).cast("int").alias("part"), "typ", "geometry", none.alias("xy"), none.alias("first"))
+    outlines = cover.filter("xy is not null").select("bw", "cx", "cy", "xy", "first").distinct().join(torn, ["bw", "cx", "cy"])
+    outlines = outlines.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    outlines = outlines.select("bw", "cx", "cy", "part", F.lit(None).cast("string").alias("typ"), F.lit(None).cast("string").alias("geometry"), "xy", "first")
+
+    def cut(t: pa.Table) -> pa.Table:
+        x, y = t.column("cx")[0].as_py(), t.column("cy")[0].as_py()
+        here = pa.compute.is_valid(t.column("xy")).to_numpy(zero_copy_only=False)
+        a = t.take(pa.array(np.flatnonzero(here)))
+        s = wkt.from_binary(a.column("xy"), a.column("first"))
+        origin = np.array([x, y], float)
+        areas_ = [[r - origin for r in oriented(_polygon(s, i))] for i in range(len(s))]
+        o = t.take(pa.array(np.flatnonzero(~here)))
+        d = wkt.parse_wkt(o.column("geometry").to_pylist())
+        um2 = np.zeros(len(d), np.int64)
+        for i in range(len(d)):
+            rings = [c for r in oriented(_polygon(d, i)) if len(c := clip_ring(r - origin, 0.0, 0.0, 1.0, 1.0)) > 2]
+            um2[i] = np.floor(max(0.0, common_area(rings, areas_)) * 1e6 + 0.5)
+        return pa.table({"bw": o.column("bw"), "cx": o.column("cx"), "cy": o.column("cy"), "typ": o.column("typ"), "um2": pa.array(um2)})
+
+    border = objects.union(outlines).groupBy("bw", "cx", "cy", "part").applyInArrow(cut, "bw string, cx bigint, cy bigint, typ string, um2 bigint")
+    border = border.groupBy("bw", "cx", "cy", "typ").agg(F.sum("um2").alias("um2")).filter("um2 > 0")
+    return scratch.keep(whole.union(border), "damaged"), cover.select("area_id", "bw", "cx", "cy")
+
+
+def damaged_shares(areas: DataFrame, damage: DataFrame, clip: bool = False) -> DataFrame:
+    """areas(area_id, bw, geometry) with the damaged percentage of their ground per group of damage types: riss, afli, ofs (bw P: ofs only).
+
+    damage(typ, geometry): small objects and unknown types are dropped first; spelling of typ in case and blanks is
+    ignored. Damage is cut to the areas of the same bw before a cell is judged. A damaged cell counts 1 m² in each
+    area that covers some of it, so shares above 100 can occur unless clip is set. Areas without ground: 0; bw other than A and P: no row.
+    """
+    scratch = Scratch(areas.sparkSession, "polygons")
     known = damage.select(F.lower(F.btrim("typ", F.lit(" \t\r\n"))).alias("typ"), "geometry").filter(F.col("typ").isin(*TYPES) & F.col("geometry").isNotNull())
     big = sieve(polygon_areas(known, ["typ"]), F.col("area"), PIXEL_M).select("typ", "geometry")
-    flags = Scratch(areas.sparkSession, "polygons").keep(cell_flags(damage_cells(big), mode), "flags")
-    own = areas.filter(F.col("bw") == mode)
-    hit = areas_on_cells(own, flags).join(flags, ["cx", "cy"])
-    counts = hit.groupBy("area_id").agg(*[F.count_if(reduce(Column.__or__, [F.col(t) for t in ts])).alias(f"_{g}") for g, ts in GROUPS[mode].items()])
-    out = polygon_areas(own.select("area_id", "bw", "geometry"), ["area_id", "bw"]).drop("geometry").join(counts, "area_id", "left")
-    for g in GROUPS[mode]:
+    own = areas.filter(F.col("bw").isin(*MODES)).select("area_id", "bw", "geometry")
+    damaged, cover = cell_damage_in_areas(big, own, scratch)
+    limit = F.create_map(*[F.lit(v) for t, a in CELL_M2.items() for v in (t, int(round(a * 1e6)))])
+    hit = damaged.filter(F.col("um2") >= F.element_at(limit, F.col("typ")))
+    groups = sorted({g for m in GROUPS.values() for g in m})
+    in_group = lambda g: reduce(Column.__or__, [(F.col("bw") == m) & F.col("typ").isin(*ts[g]) for m, ts in GROUPS.items() if g in ts])
+    flags = hit.groupBy("bw", "cx", "cy").agg(*[F.max(in_group(g)).alias(f"_{g}") for g in groups])
+    counts = cover.join(flags, ["bw", "cx", "cy"]).groupBy("area_id", "bw").agg(*[F.count_if(F.col(f"_{g}")).alias(f"_{g}") for g in groups])
+    ground = polygon_areas(own, ["area_id", "bw"]).drop("geometry")
+    out = ground.join(counts, ["area_id", "bw"], "left")
+    for g in groups:
         share = F.coalesce(F.try_divide(F.col(f"_{g}") * F.lit(100.0), F.col("area")), F.lit(0.0))
-        out = out.withColumn(g, F.least(share, F.lit(100.0)) if clip else share)
-    return out.select("area_id", "bw", *GROUPS[mode])
+        share = F.least(share, F.lit(100.0)) if clip else share
+        out = out.withColumn(g, F.when(F.col("bw").isin(*[m for m, ts in GROUPS.items() if g in ts]), share))
+    return out.select("area_id", "bw", "riss", "afli", "ofs")
+
+
+def damaged_share(areas: DataFrame, damage: DataFrame, mode: str, clip: bool = False) -> DataFrame:
+    """The areas of one mode alone; see damaged_shares."""
+    return damaged_shares(areas.filter(F.col("bw") == mode), damage, clip).select("area_id", "bw", *GROUPS[mode])
+
+
+def shape_problem(areas: DataFrame, column: str = "geometry", kind: str = "POLYGON") -> DataFrame:
+    """areas with problem string: 'missing', 'kind' (no polygon, or no line), 'short' (a ring or line of too few places), 'crossing' (a ring meets itself), or null."""
+    names = [*areas.columns, "problem"]
+
+    def judge(text, s, i):
+        if text is None or s.count()[i] == 0:
+            return "missing"
+        head = text[: text.find("(")].upper()
+        if kind not in head:
+            return "kind"
+        p = s.start[i], s.start[i + 1]
+        x, y, first = s.x[p[0] : p[1]], s.y[p[0] : p[1]], s.first[p[0] : p[1]]
+        if kind == "LINESTRING":
+            return "short" if len(set(zip(x, y))) < 2 else None
+        for a, b in zip(begin := np.flatnonzero(first), np.append(begin[1:], len(x))):
+            ring = np.column_stack([x[a:b], y[a:b]])
+            ring = ring[:-1] if len(ring) > 1 and (ring[0] == ring[-1]).all() else ring
+            if len(ring) < 3:
+                return "short"
+            if len(np.unique(ring, axis=0)) < len(ring) or _meets_itself(ring):
+                return "crossing"
+            if surface(ring) == 0:
+                return "short"
+        return None
+
+    def run(batches):
+        for b in batches:
+            texts = b.column(column).to_pylist()
+            s = wkt.parse_wkt(texts)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([judge(t, s, i) for i, t in enumerate(texts)], pa.string())], names=names)
+
+    return areas.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in areas.schema) + ", problem string")
+
+
+def _meets_itself(ring: np.ndarray) -> bool:
+    """Whether two edges of a closed ring that aren't neighbours cross."""
+    a, b = ring, np.roll(ring, -1, 0)
+    side = lambda p, q, r: (q[..., 0] - p[..., 0]) * (r[..., 1] - p[..., 1]) - (q[..., 1] - p[..., 1]) * (r[..., 0] - p[..., 0])
+    s, t = side(a[:, None], b[:, None], a[None]), side(a[:, None], b[:, None], b[None])
+    hit = (s * t < 0) & (s * t < 0).T
+    return bool(hit.any())

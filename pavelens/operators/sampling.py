@@ -183,29 +183,6 @@ def points_along(lines: DataFrame, step: float = 5.0) -> DataFrame:
     return lines.select("id", "geometry").mapInPandas(run, "id bigint, index int, x double, y double")
 
 
-def height_layers(heights: list[np.ndarray], overlap: float = 15.0, apart: float = 2.0) -> list[int]:
-    """Layer of each drive line (points x, y, z) of one tile: lines taken lowest first join a layer unless somewhere
-    within `overlap` in the plane they are `apart` or more in height."""
-    order = sorted(range(len(heights)), key=lambda i: heights[i][:, 2].mean())
-    layers: list[list[int]] = []
-    out = [0] * len(heights)
-    for i in order:
-        for k, members in enumerate(layers):
-            if not any(_above(heights[i], heights[j], overlap, apart) for j in members):
-                members.append(i)
-                out[i] = k
-                break
-        else:
-            out[i] = len(layers)
-            layers.append([i])
-    return out
-
-
-def _above(a: np.ndarray, b: np.ndarray, overlap: float, apart: float) -> bool:
-    near = np.hypot(a[:, None, 0] - b[None, :, 0], a[:, None, 1] - b[None, :, 1]) < overlap
-    return bool((near & (np.abs(a[:, None, 2] - b[None, :, 2]) >= apart)).any())
-
-
 def simplify(xy: np.ndarray, tolerance: float) -> np.ndarray:
     """Douglas-Peucker: which points of a line stay, the ends always."""
     keep = np.zeros(len(xy), bool)

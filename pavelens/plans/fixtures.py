@@ -12,7 +12,7 @@ VIEWS = {
  CAST((p_partkey % 50) * 20 AS DOUBLE) AS x0, CAST(floor(p_partkey / 50e0) * 20 AS DOUBLE) AS y0,
  CAST((p_partkey % 50) * 20 + 6 + (p_size % 15) AS DOUBLE) + 0.5e0 AS x1,
  CAST(floor(p_partkey / 50e0) * 20 + 5 + (p_size % 11) AS DOUBLE) + 0.25e0 AS y1 FROM {part}""",
-    "fx_samples": """SELECT l_orderkey, l_partkey, l_linenumber, CAST((l_partkey % 50) * 20 AS DOUBLE) + l_discount * 200e0 AS x,
+    "fx_samples": """SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, CAST((l_partkey % 50) * 20 AS DOUBLE) + l_discount * 200e0 AS x,
  CAST(floor(l_partkey / 50e0) * 20 AS DOUBLE) + l_quantity * 0.4e0 AS y,
  CASE WHEN l_linenumber = 1 THEN NULL ELSE l_quantity / 5000e0 END AS depth_mid,
  CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_extendedprice / 5000000e0 END AS rut_left,

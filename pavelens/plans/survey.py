@@ -36,7 +36,7 @@ def query(sql: str | None = None):
 # ---- rating -----------------------------------------------------------------------------------------
 
 MEASURES = ["sm4l_m", "sm4l_a", "mspt", "msph", "riss", "afli", "ofs"]
-_R2 = "floor(({0}) * 100e0 + 0.5e0) / 100e0"
+_R2 = "CAST(format('{{:.2f}}', CAST({0} AS DOUBLE)) AS DOUBLE)"  # decimal digits of the binary value
 _NORM = """CASE WHEN x < f1 THEN 1.0e0 + 0.5e0 * x / f1 WHEN x <= f2 THEN 1.5e0 + 2.0e0 * (x - f1) / (f2 - f1)
  WHEN x <= f3 THEN 3.5e0 + (x - f2) / (f3 - f2) WHEN x <= 1.5e0 * f3 - 0.5e0 * f2 THEN 4.5e0 + 0.5e0 * (x - f3) / ((1.5e0 * f3 - 0.5e0 * f2) - f3)
  WHEN x > 1.5e0 * f3 - 0.5e0 * f2 THEN 5.0e0 END"""
@@ -73,7 +73,7 @@ def normalize_metric(spark, sf_dir):
     long = d.select("area_id", "bw", "fk", F.explode(F.array(*[F.struct(F.lit(m.upper()).alias("metric"), F.col(m).alias("v")) for m in MEASURES])).alias("s")).select("area_id", "bw", "fk", "s.metric", "s.v")
     x = F.when(F.col("metric").isin("RISS", "AFLI") & (F.col("bw") != "A"), None).when(F.col("metric").isin(*evaluate.EVENNESS) & (F.col("fk") == "N"), None).otherwise(scalars.nan_to_null(F.col("v")))
     j = long.join(f, ["bw", "fk", "metric"], "left")
-    return j.select("area_id", "bw", "fk", "metric", scalars.round_half_up(evaluate.normalise(x, F.col("f1"), F.col("f2"), F.col("f3"))).alias("zw"))
+    return j.select("area_id", "bw", "fk", "metric", scalars.round_exact(evaluate.normalise(x, F.col("f1"), F.col("f2"), F.col("f3"))).alias("zw"))
 
 
 @query(_LONG + f" SELECT area_id, metric, {_CLASS.format('zw')} AS zk FROM z")
@@ -245,11 +245,26 @@ def _flags_sql(mode: str) -> str:
     return f", fl AS (SELECT * FROM (SELECT cx, cy, {flags} FROM bt GROUP BY cx, cy) WHERE {' OR '.join(areas.MODES[mode])})"
 
 
+_RECT = "greatest(0e0, least(q.x1, b.x1, cx + 1e0) - greatest(q.x0, b.x0, cx::DOUBLE)) * greatest(0e0, least(q.y1, b.y1, cy + 1e0) - greatest(q.y0, b.y0, cy::DOUBLE))"
+
+
+def _clipped_sql(mode: str) -> str:
+    """Damage in the union of the areas of a mode: by inclusion and exclusion, as no three of the areas overlap."""
+    areas_ = f"(SELECT * FROM fx_areas WHERE bw = '{mode}')"
+    pairs = f"(SELECT greatest(a.x0, b.x0) AS x0, greatest(a.y0, b.y0) AS y0, least(a.x1, b.x1) AS x1, least(a.y1, b.y1) AS y1 FROM {areas_} a JOIN {areas_} b ON a.area_id < b.area_id AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1)"
+    near = "b.x0 < q.x1 AND b.x1 > q.x0 AND b.y0 < q.y1 AND b.y1 > q.y0"
+    return (
+        ", dx AS (" + _CELLS.format("(SELECT *, row_number() OVER () AS rn FROM dmg)") + "), q AS (SELECT *, unnest(generate_series(CAST(floor(y0) AS BIGINT), CAST(floor(y1) AS BIGINT))) AS cy FROM dx), "
+        f"g AS (SELECT rn, cx, cy, typ, sum({_RECT}) AS a FROM q JOIN {areas_} b ON {near} GROUP BY rn, cx, cy, typ), l AS (SELECT rn, cx, cy, sum({_RECT}) AS a FROM q JOIN {pairs} b ON {near} GROUP BY rn, cx, cy), "
+        "bt AS (SELECT cx, cy, typ, CAST(sum(CAST(floor((g.a - coalesce(l.a, 0)) * 1e6 + 0.5e0) AS BIGINT)) AS BIGINT) AS um2 FROM g LEFT JOIN l USING (rn, cx, cy) GROUP BY cx, cy, typ)"
+    )
+
+
 def _share_sql(mode: str) -> str:
     counts = ", ".join(f"count(*) FILTER (WHERE {' OR '.join(ts)}) AS n_{g}" for g, ts in areas.GROUPS[mode].items())
     shares = ", ".join(f"coalesce(n_{g}, 0) * 100e0 / ((x1 - x0) * (y1 - y0)) AS {g}" for g in areas.GROUPS[mode])
     return (
-        _DAMAGE + _PARTS + _flags_sql(mode) + _AREA_CELLS + ", hit AS (SELECT area_id, fl.* FROM ac JOIN fl ON fl.cx = ac.cx AND fl.cy = ac.cy WHERE " + _OVER.format("x", "ac.cx") + " * " + _OVER.format("y", "ac.cy") + f" > 0 AND bw = '{mode}'), "
+        _DAMAGE + _clipped_sql(mode) + _flags_sql(mode) + _AREA_CELLS + ", hit AS (SELECT area_id, fl.* FROM ac JOIN fl ON fl.cx = ac.cx AND fl.cy = ac.cy WHERE " + _OVER.format("x", "ac.cx") + " * " + _OVER.format("y", "ac.cy") + f" > 0 AND bw = '{mode}'), "
         f"k AS (SELECT area_id, {counts} FROM hit GROUP BY area_id) SELECT a.area_id, a.bw, {shares} FROM fx_areas a LEFT JOIN k ON k.area_id = a.area_id WHERE a.bw = '{mode}'"
     )
 
@@ -260,7 +275,14 @@ def cell_flags(spark, sf_dir):
 
 
 def _share(spark, sf_dir, mode):
-    return areas.damaged_share(fixture(spark, sf_dir, "fx_areas"), areas.cell_flags(areas.cell_damage(_damage(spark, sf_dir)), mode), mode)
+    own = fixture(spark, sf_dir, "fx_areas")
+    return areas.damaged_share(own, areas.cell_flags(areas.cell_damage(_damage(spark, sf_dir), own.filter(F.col("bw") == mode)), mode), mode)
+
+
+@query(_DAMAGE + _clipped_sql("A") + " SELECT cx, cy, typ, um2 FROM bt WHERE um2 > 0")
+def clipped_damage(spark, sf_dir):
+    """Damage per 1 m cell and type inside the union of the asphalt areas."""
+    return areas.cell_damage(_damage(spark, sf_dir), fixture(spark, sf_dir, "fx_areas").filter("bw = 'A'")).filter("um2 > 0")
 
 
 @query(_share_sql("A"))
@@ -353,7 +375,7 @@ def marking_classify(spark, sf_dir):
     return markings.classify_markings(fixture(spark, sf_dir, "fx_pixels"), ["tile"]).drop("typ")
 
 
-@query(_PX + ", c AS (SELECT tile, type_id, count(*) AS n FROM fx_pixels WHERE cond_id > 0 GROUP BY ALL) SELECT tile, type_id AS typ FROM (SELECT *, row_number() OVER (PARTITION BY tile ORDER BY n DESC, type_id) AS r FROM c) WHERE r = 1")
+@query(_PX + ", c AS (SELECT tile, type_id, count(*) AS n, count(*) FILTER (WHERE cond_id > 0) AS k FROM fx_pixels GROUP BY ALL) SELECT tile, type_id AS typ FROM (SELECT *, row_number() OVER (PARTITION BY tile ORDER BY n DESC, type_id) AS r, sum(k) OVER (PARTITION BY tile) AS s FROM c) WHERE r = 1 AND s > 0")
 def marking_majority_type(spark, sf_dir):
     return markings.pixel_shares(fixture(spark, sf_dir, "fx_pixels"), ["tile"]).select("tile", "typ")
 
@@ -374,26 +396,30 @@ def tile_class_weighted(spark, sf_dir):
 
 # ---- laser points -----------------------------------------------------------------------------------
 
-_GP = "SELECT l_orderkey, l_linenumber, x, y, depth_mid * 50e0 AS z FROM fx_samples WHERE depth_mid IS NOT NULL"
+_GP = """SELECT l_orderkey, l_linenumber, x / 100e0 AS x, y / 100e0 AS y, CASE WHEN l_partkey % 3 = 0 THEN (CAST(floor(l_quantity) AS BIGINT) % 3) * 0.03e0
+ WHEN l_partkey % 3 = 1 THEN (CAST(floor(l_quantity) AS BIGINT) % 40) * 0.02e0 ELSE 7.5e0 END + 100e0 AS z FROM fx_samples"""
 
 
-@query(cte("fx_samples") + f""", p AS ({_GP}), k AS (SELECT *, floor(x / 20e0) AS bx, floor(y / 20e0) AS by_, floor(z / 0.02e0) AS bz FROM p), c AS (SELECT bx, by_, bz, count(*) AS n FROM k GROUP BY ALL),
- f AS (SELECT bx, by_, min(bz) AS first FROM c WHERE n > 2 GROUP BY ALL), m AS (SELECT c.bx, c.by_, arg_max(bz, n * 1000 - bz) AS mode FROM c JOIN f ON f.bx = c.bx AND f.by_ = c.by_ WHERE bz BETWEEN first AND first + 9 GROUP BY ALL)
- SELECT l_orderkey, l_linenumber, x, y, z FROM k LEFT JOIN m ON m.bx = k.bx AND m.by_ = k.by_ WHERE mode IS NULL OR abs(bz - mode) <= 2""")
+@query(cte("fx_samples") + f""", p AS ({_GP}), k AS (SELECT *, floor(x / 0.2e0) AS bx, floor(y / 0.2e0) AS by_ FROM p), e AS (SELECT bx, by_, min(z) AS lo, ceil((max(z) - min(z)) / 0.02e0) AS nb FROM k GROUP BY ALL),
+ h AS (SELECT k.*, lo, nb, least(floor((z - lo) / 0.02e0), nb - 1) AS bz FROM k JOIN e USING (bx, by_)), c AS (SELECT bx, by_, bz, count(*) AS n FROM h WHERE nb > 0 GROUP BY ALL),
+ f AS (SELECT bx, by_, coalesce(min(bz) FILTER (WHERE n > 10), 0) AS first FROM c GROUP BY ALL), r AS (SELECT c.*, row_number() OVER (PARTITION BY c.bx, c.by_ ORDER BY n DESC, bz) AS r FROM c JOIN f USING (bx, by_) WHERE bz BETWEEN first AND first + 9),
+ m AS (SELECT bx, by_, bz AS mode FROM r WHERE r = 1)
+ SELECT l_orderkey, l_linenumber, x, y, z FROM h LEFT JOIN m USING (bx, by_) WHERE nb = 0 OR (z >= lo + least(greatest(mode - 2, 0), nb) * 0.02e0 AND z < lo + least(mode + 3, nb) * 0.02e0)""")
 def ground_filter(spark, sf_dir):
-    p = fixture(spark, sf_dir, "fx_samples").filter("depth_mid is not null").selectExpr("l_orderkey", "l_linenumber", "x", "y", "depth_mid * 50e0 AS z")
-    return lidar.ground(p, size=20.0, least=2)
+    """Ground points by the height histogram of each 0.2 m bin."""
+    return lidar.ground(spark.sql(_GP.replace("fx_samples", "{s}"), s=fixture(spark, sf_dir, "fx_samples")))
 
 
 _POINTS = "p AS (SELECT DISTINCT point_id, x, y, z FROM point_cloud)"
-_NEAR = "floor({0}.x / {2}) BETWEEN floor({1}.x / {2}) - 1 AND floor({1}.x / {2}) + 1 AND floor({0}.y / {2}) BETWEEN floor({1}.y / {2}) - 1 AND floor({1}.y / {2}) + 1"
 _CELL3 = "n AS (SELECT point_id, x, y, z, floor(x / {0}) + dx AS cx, floor(y / {0}) + dy AS cy FROM p, (VALUES (-1), (0), (1)) a(dx), (VALUES (-1), (0), (1)) b(dy))"
 
 
-@query("WITH " + _POINTS + ", " + _CELL3.format("0.5e0") + """, c AS (SELECT p.point_id, count(*) AS k FROM p JOIN n ON n.cx = floor(p.x / 0.5e0) AND n.cy = floor(p.y / 0.5e0) WHERE n.point_id <> p.point_id AND (p.x - n.x) * (p.x - n.x) + (p.y - n.y) * (p.y - n.y) <= 0.25e0 GROUP BY p.point_id)
- SELECT point_id, x, y FROM p WHERE point_id NOT IN (SELECT point_id FROM c WHERE k >= 4)""")
+@query("WITH " + _POINTS + ", " + _CELL3.format("0.5e0") + """, c AS (SELECT p.point_id, count(*) AS k FROM p JOIN n ON n.cx = floor(p.x / 0.5e0) AND n.cy = floor(p.y / 0.5e0)
+ WHERE n.point_id % 5 = 0 AND (p.x - n.x) * (p.x - n.x) + (p.y - n.y) * (p.y - n.y) + (p.z - n.z) * (p.z - n.z) < 0.25e0 GROUP BY p.point_id)
+ SELECT point_id, x, y, z FROM p WHERE point_id NOT IN (SELECT point_id FROM c WHERE k >= 4)""")
 def outlier_filter(spark, sf_dir):
-    return lidar.outliers(table(spark, sf_dir, "point_cloud").select("point_id", "x", "y").distinct(), "point_id")
+    """Points with fewer than 20 // 5 of every fifth point within 0.5 m in space."""
+    return lidar.outliers(table(spark, sf_dir, "point_cloud").select("point_id", "x", "y", "z").distinct(), "point_id")
 
 
 _REC = "r AS (SELECT rec_id, min(x) AS x, min(y) AS y FROM recordings GROUP BY rec_id)"

@@ -41,10 +41,17 @@ def test_rating_with_missing_measures(spark):
     assert got[5]["GW"] is None
 
 
-@pytest.mark.parametrize("v", [2.675, 1.005, 0.125, 1e9 + 0.335, -2.675])
-def test_rounding(spark, v):
-    assert value(spark, scalars.round_exact(F.lit(v))) == round(v, 2)
-    assert value(spark, scalars.round_half_up(F.lit(v))) == math.floor(v * 100 + 0.5) / 100
+def test_rounding(spark):
+    rnd = random.Random(9)
+    values = [2.675, 1.005, 0.125, 0.375, 1e9 + 0.335, -2.675, -0.125, 0.0, 1.125, 4.495, 1e13 + 0.5] + [k / 200 for k in range(-600, 600)] + [rnd.uniform(-50, 50) for _ in range(500)] + [math.nextafter(k / 200, s) for k in range(300) for s in (-9.0, 9.0)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", *[scalars.round_exact(F.col("v"), d).alias(f"r{d}") for d in (0, 2, 3)], scalars.round_half_up(F.col("v")).alias("h"))
+    for r in df.collect():
+        if abs(r["v"]) < 2**40:
+            assert [r["r0"], r["r2"], r["r3"]] == [round(r["v"], 0), round(r["v"], 2), round(r["v"], 3)]
+        else:
+            assert r["r2"] == r["v"]
+        assert r["h"] == math.floor(r["v"] * 100 + 0.5) / 100
+    assert value(spark, scalars.round_exact(F.lit(None).cast("double"))) is None
 
 
 def test_ids_and_tiles(spark):
@@ -152,12 +159,76 @@ def test_damaged_share(spark):
     sq = lambda x, y, w, h: f"POLYGON (({x} {y}, {x + w} {y}, {x + w} {y + h}, {x} {y + h}, {x} {y}))"
     areas_ = spark.createDataFrame([(1, "A", sq(0, 0, 10, 10)), (2, "A", sq(9.5, 0, 5, 1)), (3, "P", sq(0, 0, 10, 10)), (4, "A", None), (5, "A", "POLYGON EMPTY")], "area_id long, bw string, geometry string")
     damage = spark.createDataFrame([(" R", sq(9.2, 0.2, 0.6, 0.6)), ("r", sq(3, 3, 0.01, 0.01)), ("zz", sq(4, 4, 1, 1)), (None, sq(4, 4, 1, 1)), ("aa", sq(1.5, 1.5, 1, 0.5)), ("b", None)], "typ string, geometry string")
+    damage = damage.union(spark.createDataFrame([("r", sq(10.1, 5.0, 0.5, 0.5)), ("r", sq(9.95, 7.0, 0.5, 0.5))], "typ string, geometry string"))  # beside the area, and mostly
     got = {r["area_id"]: r for r in polygons.damaged_share(areas_, damage, "A").collect()}
-    assert got[1]["riss"] == 1.0 and got[1]["ofs"] == 2.0 and got[2]["riss"] == 20.0 and got[4]["riss"] == got[5]["riss"] == 0.0 and 3 not in got
+    assert got[1]["riss"] == 2.0 and got[1]["ofs"] == 2.0 and got[2]["riss"] == 20.0 and got[4]["riss"] == got[5]["riss"] == 0.0 and 3 not in got
     assert polygons.damaged_share(areas_, damage, "P").first()["ofs"] == 0.0
     assert polygons.damaged_share(areas_.limit(0), damage.limit(0), "A").count() == 0
 
 
+def test_common_area_against_sampling():
+    rng = np.random.default_rng(1)
+
+    def star(cx, cy, r0):
+        n = rng.integers(4, 9)
+        a, r = (np.arange(n) + rng.uniform(0, 0.8, n)) * 2 * np.pi / n, rng.uniform(0.3, 1, n) * r0
+        return np.column_stack([cx + r * np.cos(a), cy + r * np.sin(a)])
+
+    g = np.stack(np.meshgrid(*[np.linspace(-0.7, 1.7, 300)] * 2), -1).reshape(-1, 2)
+    inside = lambda ring: np.sum([((a[1] > g[:, 1]) != (b[1] > g[:, 1])) & (g[:, 0] < (b[0] - a[0]) * (g[:, 1] - a[1]) / (b[1] - a[1] + 1e-300) + a[0]) for a, b in zip(ring, np.roll(ring, -1, 0))], axis=0) % 2 == 1
+    for k in range(30):
+        p, many = star(0.5, 0.5, 0.6), [star(*rng.uniform(0, 1, 2), 0.6) for _ in range(rng.integers(1, 5))]
+        many += [many[0].copy()] * (k % 5 == 0) + [p.copy()] * (k % 7 == 0)  # the same ground twice, the shape itself
+        want = (np.logical_or.reduce([inside(a) for a in many]) & inside(p)).mean() * 2.4**2
+        assert abs(polygons.common_area([p], [[a] for a in many]) - want) < 8e-3
+    assert polygons.common_area([p], []) == 0.0
+
+
+def test_points_lines_and_cells_in_areas(spark):
+    rng = np.random.default_rng(5)
+    ring = lambda xy: "((" + ", ".join(f"{x!r} {y!r}" for x, y in [*xy, xy[0]]) + "))"
+    shapes = []
+    for k in range(25):
+        n = int(rng.integers(3, 8))
+        a = (np.arange(n) + rng.uniform(0, 0.8, n)) * 2 * np.pi / n
+        r = rng.uniform(0.4, 1, n) * (300 if k == 0 else 8)
+        shapes.append(np.column_stack([50 + rng.uniform(-40, 40) + r * np.cos(a), 50 + rng.uniform(-40, 40) + r * np.sin(a)]).tolist())
+    areas_ = spark.createDataFrame([(k, "A", "POLYGON " + ring(s)) for k, s in enumerate(shapes)] + [(90, "A", None), (91, "A", "POLYGON EMPTY")], "area_id long, bw string, geometry string")
+    pts = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-20, 120, (400, 2)))] + [(900, None, 1.0), (901, float("nan"), 1.0)]
+    want = {(i, k) for i, x, y in pts[:400] for k, s in enumerate(shapes) if polygons._inside(np.array([x, y]), np.array(s))}
+    df = spark.createDataFrame(pts, "pid long, x double, y double").withColumn("xy", F.lit("clash"))
+    got = [(r["pid"], r["area_id"]) for r in polygons.points_in_areas(df.drop("xy"), areas_, ["area_id"]).collect()]
+    assert sorted(got) == sorted(want) and len(want) > 400
+    lines = [(i, float(x), float(y), float(x + dx), float(y + dy)) for i, ((x, y), (dx, dy)) in enumerate(zip(rng.uniform(-20, 120, (400, 2)), rng.uniform(-2.4, 2.4, (400, 2))))]
+
+    def crosses(l, s):
+        (ax, ay, bx, by), s = l, np.array(s)
+        side = lambda px, py, qx, qy, rx, ry: (qx - px) * (ry - py) - (qy - py) * (rx - px)
+        c, d = s, np.roll(s, -1, 0)
+        one = side(ax, ay, bx, by, c[:, 0], c[:, 1]) * side(ax, ay, bx, by, d[:, 0], d[:, 1]) < 0
+        return bool((one & (side(*c.T, *d.T, ax, ay) * side(*c.T, *d.T, bx, by) < 0)).any()) or polygons._inside(np.array([ax, ay]), s)
+
+    want = {(i, k) for i, *l in lines for k, s in enumerate(shapes) if crosses(l, s)}
+    ldf = spark.createDataFrame(lines, "lid long, lx0 double, ly0 double, lx1 double, ly1 double")
+    got = [(r["lid"], r["area_id"]) for r in polygons.lines_in_areas(ldf, areas_, ["area_id"]).collect()]
+    assert sorted(got) == sorted(want)
+    cells = spark.createDataFrame([(x, y) for x in range(0, 100, 3) for y in range(0, 100, 3)], "cx long, cy long")
+    part = {(r["area_id"], r["cx"], r["cy"]): r for r in polygons.cells_in_areas(cells, areas_, ["area_id"]).collect()}
+    for k, s in enumerate(shapes):
+        for x in range(0, 100, 3):
+            for y in range(0, 100, 3):
+                a = abs(polygons.surface(polygons.clip_ring(np.array(s), x, y, x + 1, y + 1)))
+                r = part.get((k, x, y))
+                assert (r is None and a < 1e-8) or abs(r["part"] - a) < 1e-6 and (r["xy"] is None) == (a > 1 - 1e-7)
+
+
+def test_shape_problems(spark):
+    rows = ["POLYGON ((0 0, 4 0, 4 4, 0 0))", "POLYGON ((0 0, 4 4, 4 0, 0 4, 0 0))", "POLYGON ((0 0, 1 1, 0 0))", "LINESTRING (0 0, 1 1)", "POLYGON EMPTY", None]
+    df = spark.createDataFrame([(i, g) for i, g in enumerate(rows)], "k int, geometry string")
+    assert [r["problem"] for r in polygons.shape_problem(df).orderBy("k").collect()] == [None, "crossing", "short", "kind", "missing", "missing"]
+    assert [r["problem"] for r in polygons.shape_problem(df, kind="LINESTRING").orderBy("k").collect()][3] is None
+
+
 def test_joins(spark):
     a = spark.createDataFrame([(1, None, float("nan"), "x"), (2, "b", 1.0, "y")], "k int, s string, d double, l string")
     b = spark.createDataFrame([(None, float("nan"), "p"), ("b", 2.0, "q")], "s string, d double, r string")
@@ -186,8 +257,9 @@ def test_laser(spark):
 
 def test_markings(spark):
     px = spark.createDataFrame([("t", 2, 1), ("t", 1, 1), ("t", 2, 3), ("t", 1, 2), ("u", 1, 0)], "tile string, type_id int, cond_id int")
+    px = px.union(spark.createDataFrame([("t", 7, 0)] * 3 + [("t", 2, 0)], "tile string, type_id int, cond_id int"))
     r = markings.classify_markings(px, ["tile"]).collect()
-    assert len(r) == 1 and r[0]["typ"] == 1 and r[0]["zustand"] == "schlecht"
+    assert len(r) == 1 and (r[0]["typ"], r[0]["n"], r[0]["gut"], r[0]["zustand"]) == (2, 4, 50.0, "schlecht")  # pixels without a condition count for the type
 
 
 def test_curve_and_samples():
@@ -240,10 +312,7 @@ def test_sampling_of_a_line_over_a_cut(spark):
             assert np.allclose(g[["x", "y"]], want[["x", "y"]], atol=1e-7) and (g["recording_id"] == want["recording_id"]).mean() > 0.999
 
 
-def test_layers_and_lines():
-    low, high = np.array([[0, 0, 1.0], [9, 0, 1.0]]), np.array([[0, 1, 9.0], [9, 1, 9.0]])
-    far = np.array([[500, 0, 9.0]])
-    assert sampling.height_layers([high, low, far]) == [1, 0, 0]
+def test_lines_along():
     assert sampling.simplify(np.array([[0, 0], [1, 0.01], [2, 0], [2, 5.0]]), 0.1).tolist() == [True, False, True, True]
     assert len(sampling.along(np.array([[0, 0], [12.0, 0]]))) == 3
 
