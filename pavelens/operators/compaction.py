@@ -1,24 +1,31 @@
 """Many tiny files consolidated into few well-sized ones, every record once.
 
 Steps: freeze a manifest of the files there are now; first-fit decreasing by size into bins of
-`target_bytes`; rewrite each bin; compare counts and checksums of what was read with what was
-written; commit by renaming one small file. Readers follow the newest commit, so they see the old
-state or the new one and never a part.
+`target_bytes`; parse every line once and write it down with its bin; rewrite the bins, in waves of at
+most WAVE_BINS so that no job has more shuffle partitions than that; compare, bin by bin, the count and a
+checksum of the content of what was parsed with what is read back; commit by renaming one small file onto
+a name that was claimed exclusively. Readers follow the newest commit, so they see the old state or the
+new one and never a part.
 
 A record is a complete JSON object on a line of its own with the id key of its table. The newest
-writing of an id wins (written_at, then file_id, then the text, so ties are settled); equal content
+writing of an id wins (written_at, then file_id, then a hash of the text, so ties are settled); equal content
 under different ids stays. Null, empty and broken payloads hold no record. Files larger than the
 target get a bin of their own. An empty table commits an empty result.
+
+Claims are atomic where the file system creates a file only if there is none: HDFS and local file systems; on
+an object store the store has to support conditional writes. A claim whose writer died is taken over after an hour.
 """
 
 from __future__ import annotations
 
 import json
+import os
+import time
 import uuid
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -28,6 +35,12 @@ from pavelens.session import Scratch
 RECORD_KEY = {"Substance": "substance_id", "Strassenzustand": "area_id"}
 #: Most files that one task packs; a pack of more files is cut by a hash, each part with one part-filled bin.
 FILES_PER_PACK = 200_000
+#: Bins that one job rewrites, and bins that one of its tasks takes at least, if there are more than cores.
+WAVE_BINS, BINS_PER_TASK = 16_384, 4
+#: Files up to which the plan (60 bytes a file) is broadcast to the parsing; beyond it the two are joined by a shuffle.
+BROADCAST_FILES = 200_000
+#: Seconds after which a claim without a commit counts as abandoned.
+CLAIM_SECONDS = 3_600
 
 
 def first_fit_decreasing(sizes: list[int], target: int) -> list[int]:
@@ -107,19 +120,40 @@ def versions(spark: SparkSession, target: str) -> list[int]:
     return sorted(int(s.getPath().getName()[:-5]) for s in fs.listStatus(p) if s.getPath().getName().endswith(".json") and s.getPath().getName()[0].isdigit())
 
 
+def _claim(spark: SparkSession, path: str) -> bool:
+    """Create the file if there is none; whether this writer did."""
+    fs, p = _fs(spark, path)
+    if fs.getUri().getScheme() != "file":
+        return bool(fs.createNewFile(p))
+    try:
+        os.close(os.open(p.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+        return True
+    except FileExistsError:
+        return False
+
+
 def _commit(spark: SparkSession, target: str, entry: dict) -> int:
-    """Write the next version under a hidden name and rename it; a rename onto a present name fails, so one writer wins."""
+    """Claim the next version, write it under a hidden name and rename it; the claim lets one writer win."""
     version = (versions(spark, target) or [0])[-1] + 1
     fs, folder = _fs(spark, f"{target}/_commits")
     fs.mkdirs(folder)
+    claim = f"{target}/_commits/{version:012d}.claim"
+    _, p = _fs(spark, claim)
+    if not _claim(spark, claim):
+        old = fs.exists(p) and time.time() - fs.getFileStatus(p).getModificationTime() / 1000 > CLAIM_SECONDS
+        if not (old and fs.delete(p, False) and _claim(spark, claim)):
+            raise RuntimeError(f"version {version} was committed by another writer")
     _, hidden = _fs(spark, f"{target}/_commits/.{uuid.uuid4().hex}")
-    out = fs.create(hidden, False)
-    out.write(bytearray(json.dumps(entry | {"version": version}).encode()))
-    out.close()
     _, final = _fs(spark, f"{target}/_commits/{version:012d}.json")
-    if fs.exists(final) or not fs.rename(hidden, final):
+    try:
+        out = fs.create(hidden, False)
+        out.write(bytearray(json.dumps(entry | {"version": version}).encode()))
+        out.close()
+        if fs.exists(final) or not fs.rename(hidden, final):
+            raise RuntimeError(f"version {version} was committed by another writer")
+    finally:
         fs.delete(hidden, False)
-        raise RuntimeError(f"version {version} was committed by another writer")
+        fs.delete(p, False)
     return version
 
 
@@ -129,46 +163,77 @@ def read_compacted(spark: SparkSession, target: str, version: int | None = None)
     if not have:
         raise FileNotFoundError(f"nothing is committed in {target}")
     entry = json.loads(spark.read.text(f"{target}/_commits/{version or have[-1]:012d}.json", wholetext=True).first()[0])
-    return spark.read.schema("record_id bigint, line string, written_at timestamp, file_id bigint, table_name string, bin string").parquet(f"{target}/{entry['data']}")
+    return spark.read.schema(_DATA).parquet(f"{target}/{entry['data']}")
+
+
+_DATA = "record_id bigint, line string, written_at timestamp, file_id bigint, table_name string, bin string"
 
 
-def _sums(df: DataFrame) -> tuple[int, int]:
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("table_name", "record_id")).alias("x")).first()
-    return r["n"], r["x"] or 0
+def _sums(df: DataFrame, content: Column) -> DataFrame:
+    """(table_name, bin, n, x): records of each bin and a checksum of their keys and content."""
+    return df.groupBy("table_name", "bin").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("table_name", "record_id", content)).alias("x"))
 
 
-def compact(files: DataFrame, target: str, target_bytes: int = 128 << 20, keys: dict[str, str] = RECORD_KEY) -> Compaction:
+def compact(files: DataFrame, target: str, target_bytes: int = 128 << 20, keys: dict[str, str] = RECORD_KEY, wave_bins: int = WAVE_BINS) -> Compaction:
     """files(file_id, table_name, written_at, payload, …) rewritten into target, a folder all executors share.
 
     The caller keeps the tiny files until the commit; a failed or lost run leaves no commit behind.
     """
+    scratch = Scratch(files.sparkSession, "compaction")
+    try:
+        return _compact(files, target, target_bytes, keys, wave_bins, scratch)
+    finally:
+        scratch.drop()
+
+
+def _compact(files: DataFrame, target: str, target_bytes: int, keys: dict[str, str], wave_bins: int, scratch: Scratch) -> Compaction:
     spark = files.sparkSession
-    scratch = Scratch(spark, "compaction")
     never = F.lit("0001-01-01").cast("timestamp")  # stands for null while writings are compared
-    # the frozen manifest: what arrives later isn't in it; sizes are measured, not the writers' claims
     slim = files.select("file_id", "table_name", F.coalesce("written_at", never).alias("written_at"), "payload")
-    frozen = scratch.keep(slim.withColumn("size", F.coalesce(F.octet_length("payload"), F.lit(0)).cast("bigint")), "manifest")
-    bins = pack_files(frozen.groupBy("table_name", "file_id").agg(F.max("size").alias("size")), target_bytes)
-    lines = records(frozen.drop("size"), keys)
-    # which writing of a record wins is settled on keys alone, so the texts move twice only: to their winner and to their bin
-    newest = lines.groupBy("table_name", "record_id").agg(F.max(F.struct("written_at", "file_id")).alias("w")).select("table_name", "record_id", "w.written_at", "w.file_id")
-    winners = scratch.keep(newest.join(bins, ["table_name", "file_id"]), "winners")
-    n_bins = winners.select("table_name", "bin").distinct().count()
-    placed = lines.join(winners, ["table_name", "record_id", "file_id", "written_at"]).select("record_id", "line", F.when(F.col("written_at") > never, F.col("written_at")).alias("written_at"), "file_id", "table_name", "bin")
+    # the frozen manifest: what arrives later isn't in it; sizes are measured, not the writers' claims
+    size = F.coalesce(F.octet_length("payload"), F.lit(0)).cast("bigint")
+    manifest = scratch.keep(slim.groupBy("table_name", "file_id").agg(F.max(size).alias("size"), F.count(F.lit(1)).alias("rows")), "manifest")
+    bins = scratch.keep(pack_files(manifest, target_bytes), "bins")
+    n_files, n_bins = bins.count(), bins.select("table_name", "bin").distinct().count()
+    waves = max(1, -(-n_bins // wave_bins))
+    wave = F.pmod(F.xxhash64("table_name", "bin"), F.lit(waves)).cast("int").alias("wave")
+    plan = bins.select("table_name", "file_id", "bin", wave)
+    plan = F.broadcast(plan) if n_files <= BROADCAST_FILES else plan
+    # parsed once: from here on a line has its key, its bin and a hash of its text
+    lines = records(slim.join(plan, ["table_name", "file_id"]), keys).withColumn("hash", F.xxhash64("line"))
+    lines.write.partitionBy("wave").option("compression", "zstd").parquet(scratch.path("lines"))
+    lines = spark.read.schema(lines.schema).parquet(scratch.path("lines"))
+    # which writing of a record wins is settled on keys and hashes alone
+    newest = F.max(F.struct("written_at", "file_id", "hash", "bin", "wave")).alias("w")
+    winners = scratch.keep(lines.groupBy("table_name", "record_id").agg(newest).select("table_name", "record_id", "w.*"), "winners")
+    source = scratch.keep(_sums(winners, F.col("hash")), "source")
     staged = f"data/{uuid.uuid4().hex}"
-    # a bin is at most target_bytes, so one task per bin and one file per bin; a record twice in one file is settled there
-    first = F.row_number().over(W.partitionBy("table_name", "bin", "record_id").orderBy(F.desc("line")))
-    out = placed.repartition(max(1, n_bins), "table_name", "bin").withColumn("_first", first).filter("_first = 1").drop("_first")
-    (out.write.partitionBy("table_name", "bin") if n_bins else out.write).option("compression", "zstd").parquet(f"{target}/{staged}")
-    written = spark.read.schema("record_id bigint, line string, written_at timestamp, file_id bigint, table_name string, bin string").parquet(f"{target}/{staged}")
-    # the source side is counted again from the frozen files, not from what was placed
-    source, result = _sums(lines.select("table_name", "record_id").distinct()), _sums(written)
-    if source != result:
-        raise RuntimeError(f"source and rewritten files differ: {source} and {result} (records, checksum); nothing is committed")
-    files_in = frozen.count()
-    version = _commit(spark, target, {"data": staged, "files_in": files_in, "bins": n_bins, "records": result[0], "checksum": result[1]})
-    scratch.drop()
-    return Compaction(read_compacted(spark, target, version), version, files_in, n_bins, *result)
+    at, of = ["table_name", "bin"], ["table_name", "bin", "record_id"]
+    # a bin's winners and lines come together by one shuffle of the lines; of equal lines of a winner the first stays
+    wins = F.max(F.when(F.col("line").isNull(), F.struct("written_at", "file_id", "hash"))).over(W.partitionBy(*of))
+    first = F.row_number().over(W.partitionBy(*of).orderBy(F.col("_mine").desc(), F.col("line").desc()))
+    for k in range(waves):
+        here = F.col("wave") == k
+        both = lines.filter(here).select(*of, "written_at", "file_id", "hash", "line")
+        both = both.union(winners.filter(here).select(*of, "written_at", "file_id", "hash", F.lit(None).cast("string")))
+        few = -(-n_bins // waves)
+        tasks = max(1, min(few, max(4 * spark.sparkContext.defaultParallelism, few // BINS_PER_TASK)))
+        mine = F.col("line").isNotNull() & (F.struct("written_at", "file_id", "hash") == F.col("_wins"))
+        placed = both.repartition(tasks, *at).withColumn("_wins", wins).withColumn("_mine", mine).withColumn("_first", first).filter("_mine and _first = 1")
+        placed = placed.select("record_id", "line", F.when(F.col("written_at") > never, F.col("written_at")).alias("written_at"), "file_id", *at)
+        placed.write.mode("append").partitionBy(*at).option("compression", "zstd").parquet(f"{target}/{staged}")
+    written = spark.read.schema(_DATA).parquet(f"{target}/{staged}")
+    result = _sums(written, F.xxhash64("line"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("n", "x")]
+    other = result.select(*[F.col(c).alias(f"_{c}") for c in ("table_name", "bin", "n", "x")])
+    check = source.join(other, (F.col("table_name") == F.col("_table_name")) & (F.col("bin") == F.col("_bin")), "full")
+    total = check.agg(F.count_if(~(same[0] & same[1])).alias("bad"), F.count(F.lit(1)).alias("bins"), F.sum("n").alias("n"), F.bit_xor("x").alias("x")).first()
+    if total["bad"]:
+        raise RuntimeError(f"source and rewritten files differ in {total['bad']} of {total['bins']} bins; nothing is committed")
+    files_in = manifest.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    entry = {"data": staged, "files_in": files_in, "bins": total["bins"], "records": total["n"] or 0, "checksum": total["x"] or 0}
+    version = _commit(spark, target, entry)
+    return Compaction(read_compacted(spark, target, version), version, files_in, total["bins"], entry["records"], entry["checksum"])
 
 
 def file_plan(files: DataFrame, target_bytes: int = 128 << 20) -> DataFrame:

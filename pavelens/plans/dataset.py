@@ -41,9 +41,13 @@ def p4_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timestamps.normalise_timestamps(df, "time_stamp", source="run_id")
 
 
+#: Bytes of a consolidated file of the test tables, whose payloads are a few MB: dozens of bins at sf0.1, hundreds at ten times that.
+P5_TARGET_BYTES = 128 << 10
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    done = compaction.compact(table(spark, sf_dir, "cache_files"), Scratch(spark, "p5").path("compacted"))
+    done = compaction.compact(table(spark, sf_dir, "cache_files"), Scratch(spark, "p5").path("compacted"), P5_TARGET_BYTES)
     return done.data.select("table_name", "record_id")
 
 

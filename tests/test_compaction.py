@@ -4,6 +4,7 @@ from datetime import datetime
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from pavelens.operators import compaction
 from pavelens.session import Scratch
@@ -47,14 +48,45 @@ def test_every_record_once(spark, tmp_path):
 
 
 def test_a_failed_check_commits_nothing(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(compaction, "_sums", lambda df, n=iter(range(9)): (next(n), 0))
-    with pytest.raises(RuntimeError):
+    sums = compaction._sums
+    cut = lambda df, content: sums(df.withColumn("line", F.expr("left(line, length(line) - 1)")) if "line" in df.columns else df, content)
+    monkeypatch.setattr(compaction, "_sums", cut)  # a line cut short on the way
+    with pytest.raises(RuntimeError, match="differ in 1 of 1 bins"):
         compaction.compact(spark.createDataFrame([_row(1, "Substance", '{"substance_id": 1}')], SCHEMA), f"file://{tmp_path}/t", 60)
     assert compaction.versions(spark, f"file://{tmp_path}/t") == []
     with pytest.raises(FileNotFoundError):
         compaction.read_compacted(spark, f"file://{tmp_path}/t")
 
 
+def test_waves_and_repeated_writings(spark, tmp_path):
+    line = lambda k, n: json.dumps({"area_id": k, "n": n})
+    rows = [_row(f, "Strassenzustand", "\n".join(line(k % 40, f) for k in range(f, f + 9)), 1 + f % 3) for f in range(60)] + [_row(70, "Strassenzustand", line(1, 1) + "\n" + line(1, 2) + "\n" + line(1, 1), 9)]
+    want = {}
+    for f, _, day, payload, _ in rows:
+        for x in payload.split("\n"):
+            k = json.loads(x)["area_id"]
+            if k not in want or (day, f) >= want[k][0]:
+                want[k] = ((day, f), want[k][1] | {x} if k in want and want[k][0] == (day, f) else {x})
+    for wave in (1_000, 3):
+        done = compaction.compact(spark.createDataFrame(rows, SCHEMA), f"file://{tmp_path}/w{wave}", target_bytes=500, wave_bins=wave)
+        got = done.data.collect()
+        assert len(got) == len({r["record_id"] for r in got}) == 40 and all(r["line"] in want[r["record_id"]][1] for r in got)
+        assert done.files_out == len({(r["table_name"], r["bin"]) for r in got}) > 9
+        files = [p for p in tmp_path.glob(f"w{wave}/data/*/table_name=*/bin=*/*.parquet")]
+        assert len(files) == done.files_out  # one file a bin
+
+
+def test_one_writer_wins(spark, tmp_path, monkeypatch):
+    at = f"file://{tmp_path}/t"
+    compaction.compact(spark.createDataFrame([_row(1, "Substance", '{"substance_id": 1}')], SCHEMA), at, 60)
+    claim = tmp_path / "t" / "_commits" / f"{2:012d}.claim"
+    claim.touch()
+    with pytest.raises(RuntimeError, match="another writer"):
+        compaction._commit(spark, at, {"data": "x"})
+    monkeypatch.setattr(compaction, "CLAIM_SECONDS", -1)  # its writer died
+    assert compaction._commit(spark, at, {"data": "x"}) == 2 and not claim.exists()
+
+
 def test_files_of_a_folder(spark, tmp_path):
     for i in range(5):
         (tmp_path / f"{i}.json").write_text(json.dumps({"area_id": i}))
