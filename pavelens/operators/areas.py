@@ -148,14 +148,15 @@ def spread(n: Column, s: Column, ss: Column) -> Column:
 
 
 def aggregate_measures(joined: DataFrame, key: str, measures: dict[str, tuple[str, ...]], unit: float = 1e6) -> DataFrame:
-    """One groupBy for all measures. measures: column → of 'max', 'mean', 'std'. Nulls are left out; NaN counts as null.
+    """One groupBy for all measures, in `unit`ths. measures: column → of 'max', 'mean', 'std'. Nulls are left out; NaN counts as null.
 
     Values are counted in whole units (1e-6 by default), so sums don't depend on their order.
     """
     aggs = []
     for c, kinds in measures.items():
         v = F.floor(F.when(~F.isnan(c), F.col(c)) * F.lit(unit) + F.lit(0.5)).cast("bigint")
-        n, s, ss = F.count(v), F.sum(v), F.sum((v * v).cast("decimal(38,0)"))
+        n, s, wide = F.count(v), F.sum(v.cast("decimal(28,0)")), v.cast("decimal(19,0)")
+        ss = F.sum((wide * wide).cast("decimal(38,0)"))
         if "max" in kinds:
             aggs.append(F.max(v).alias(f"{c}_max"))
         if "mean" in kinds:

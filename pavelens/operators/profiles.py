@@ -46,18 +46,19 @@ def mask_kerbs(h: np.ndarray, height: float = 0.04, reach: int = 6) -> np.ndarra
     return out
 
 
-def contacts(h: np.ndarray, rounds: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def contacts(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where a straight edge laid over each row touches left and right of its middle, and the heights relative to it.
 
-    The first left and the last right contact count where several touch. Rows are centred first, so that
-    float rounding can't keep a row from coming to rest.
+    The first left and the last right contact count where several touch. Rows are centred first, so that float rounding
+    doesn't keep a row from coming to rest; as each round moves a contact towards the middle, one that hasn't come to rest
+    after as many rounds as it has samples, and four more, is an error.
     """
     n, w = h.shape
     mid, at = w // 2, np.arange(w)
     base = h - h.mean(1, keepdims=True)
     left, right = np.zeros(n, int), np.zeros(n, int)
     gap, moving = base.copy(), np.arange(n)
-    for _ in range(rounds):
+    for _ in range(w + 4):
         if not len(moving):
             break
         g = gap[moving]
@@ -68,7 +69,9 @@ def contacts(h: np.ndarray, rounds: int = 64) -> tuple[np.ndarray, np.ndarray, n
         slope = np.where(b > a, (yb - ya)[:, 0] / np.maximum(b - a, 1), 0.0)[:, None]
         g = y - (ya + slope * (at - a[:, None]))
         left[moving], right[moving], gap[moving] = a, b, g
-        moving = moving[g.max(1) >= 1e-12]
+        moving = moving[g.max(1) >= 1e-12 * np.maximum(1.0, np.abs(y).max(1))]
+    if len(moving):
+        raise ArithmeticError("a straight edge didn't come to rest")
     return left, right, gap
 
 

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pavelens.operators.sequences import islands
+
 
 class Curve:
     """Interpolating parametric cubic spline (not-a-knot ends, chord-length parameter 0..1); straight pieces below four points."""
@@ -160,6 +162,35 @@ def sampling_points(lines: DataFrame, line_rows: int = 5_000) -> DataFrame:
     return pieces.repartition("cluster", "lo").mapInPandas(run, SAMPLE)
 
 
+#: What stands for a recording id on pseudo-lanes.
+PSEUDO = "_pseudo"
+
+
+def drive_lines(recordings: DataFrame, distance: float = 5.0, off: float = 0.2, block: int = 50_000) -> DataFrame:
+    """recordings(run_id, image_no, recording_id, x, y) → the same with cluster bigint: runs of consecutive numbers, each step distance ± off long; single recordings go."""
+    lines = islands(recordings, ["run_id"], "image_no", "x", "y", (distance * (1 - off), distance * (1 + off)), block)
+    return lines.withColumn("cluster", F.xxhash64("run_id", "cluster"))
+
+
+def pseudo_lines(lanes: DataFrame, step: float = 5.0) -> DataFrame:
+    """lanes(id, geometry WKT LINESTRING) → rows like drive_lines(): a place each step, all with the id PSEUDO."""
+    at = points_along(lanes, step)
+    return at.select(F.xxhash64(F.lit(PSEUDO), "id").alias("cluster"), F.col("index").cast("bigint").alias("image_no"), F.lit(PSEUDO).alias("recording_id"), "x", "y")
+
+
+def create(recordings: DataFrame, lanes: DataFrame | None = None) -> DataFrame:
+    """Sampling points of the drive lines of recordings(run_id, image_no, recording_id, x, y) and of pseudo-lanes(id, geometry)."""
+    columns = ["cluster", "image_no", "recording_id", "x", "y"]
+    lines = drive_lines(recordings).select(*columns)
+    return sampling_points(lines if lanes is None else lines.unionByName(pseudo_lines(lanes).select(*columns)))
+
+
+def of_layer(samples: DataFrame, layer: DataFrame, number: int = 0) -> DataFrame:
+    """The samples whose recording is in layer(recording_id); those of pseudo-lanes belong to layer 0."""
+    own = layer.select("recording_id").distinct()
+    return samples.filter(F.col("recording_id") != PSEUDO).join(own, "recording_id", "left_semi").unionByName(samples.filter((F.col("recording_id") == PSEUDO) & F.lit(number == 0)))
+
+
 def along(xy: np.ndarray, step: float = 5.0) -> np.ndarray:
     """Points of a line each step from its start, the start included."""
     d = np.concatenate([[0], np.cumsum(np.hypot(*np.diff(xy, axis=0).T))])

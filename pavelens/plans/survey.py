@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from pavelens.functions import scalars
-from pavelens.operators import areas, evaluate, lidar, markings, polygons, profiles, raster, relational, sampling, sequences
+from pavelens.operators import areas, evaluate, lidar, markings, planeness, polygons, profiles, raster, relational, sampling, sequences
 from pavelens.plans.fixtures import cte, fixture
 from pavelens.session import ship, table
 
@@ -19,7 +19,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
+_SQL: dict[str, str | Callable[[], str]] = {}
+
+
+def query(sql: str | Callable[[], str] | None = None):
     def add(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return f(ship(spark), sf_dir)
@@ -27,7 +30,7 @@ def query(sql: str | None = None):
         run.__name__, run.__doc__ = f.__name__, f.__doc__
         QUERIES[f.__name__] = run
         if sql:
-            ORACLES[f.__name__] = sql
+            _SQL[f.__name__] = sql
         return run
 
     return add
@@ -114,16 +117,6 @@ def reevaluate_weights(spark, sf_dir):
 # ---- evenness ---------------------------------------------------------------------------------------
 
 _IN = "FROM fx_samples s JOIN fx_areas a ON s.x > a.x0 AND s.x < a.x1 AND s.y > a.y0 AND s.y < a.y1"
-_U = "CAST(floor({0} * 1e6 + 0.5e0) AS BIGINT)"
-
-
-def _agg_sql(c: str, kinds: str) -> str:
-    u = _U.format(c)
-    n, s, ss = f"count({c})::DOUBLE", f"sum({u})::DOUBLE", f"sum({u}::HUGEINT * {u})::DOUBLE"
-    out = {"max": f"max({u}) AS {c}_max", "mean": f"CASE WHEN count({c}) > 0 THEN {s} / {n} END AS {c}_mean", "std": f"CASE WHEN count({c}) > 0 THEN sqrt(greatest(0.0::DOUBLE, {n} * {ss} - {s} * {s})) / {n} END AS {c}_std"}
-    return ", ".join(out[k] for k in kinds.split())
-
-
 def _inside(spark, sf_dir):
     return areas.points_in_boxes(fixture(spark, sf_dir, "fx_samples"), fixture(spark, sf_dir, "fx_areas"))
 
@@ -133,23 +126,65 @@ def point_in_area(spark, sf_dir):
     return _inside(spark, sf_dir).select("area_id", "l_orderkey", "l_linenumber", "x", "y")
 
 
-@query(cte("fx_areas", "fx_samples") + f" SELECT area_id, {_agg_sql('depth_mid', 'max mean std')} {_IN} GROUP BY area_id")
+_DELTAS = list(planeness.DELTAS)
+_LONG_POINTS = f"""SELECT x, y, depth_mid, depth_mid - l_quantity / 6000e0 AS {_DELTAS[0]}, CASE WHEN l_linenumber > 2 THEN rut_left - 0.01e0 END AS {_DELTAS[1]}, rut_right - 0.02e0 AS {_DELTAS[2]},
+ CAST(NULL AS DOUBLE) AS {_DELTAS[3]}, CASE WHEN l_linenumber <> 3 THEN (l_quantity - 25) / 10e0 END AS gradient FROM {{fx_samples}}"""
+_TRANS_LINES = """SELECT x AS lx0, y AS ly0, x + rut_left * 50e0 AS lx1, y + rut_right * 40e0 AS ly1, CASE WHEN l_linenumber <> 4 THEN rut_left END AS rut_depth_left, CASE WHEN l_linenumber < 4 THEN rut_right END AS rut_depth_right,
+ CASE WHEN l_linenumber = 2 THEN rut_left / 2 END AS water_depth_left, rut_right / 3 AS water_depth_right, (l_quantity - 20) / 7e0 AS gradient FROM {fx_samples} WHERE rut_left IS NOT NULL AND rut_right IS NOT NULL"""
+
+
+def _moments(c: str, kinds: str, name: str = "") -> str:
+    """Aggregates of c in whole 1e-9, as sums of whole numbers don't depend on their order."""
+    name, u = name or c, f"CAST(floor({c} * 1e9 + 0.5e0) AS BIGINT)"
+    n, s, ss = f"count({c})::DOUBLE", f"sum({u})::DOUBLE", f"sum({u}::HUGEINT * {u})::DOUBLE"
+    sql = {"max": f"max({u}) / 1e9 AS {name}_max", "mean": f"CASE WHEN count({c}) > 0 THEN {s} / {n} / 1e9 END AS {name}_mean", "std": f"CASE WHEN count({c}) > 0 THEN sqrt(greatest(0.0::DOUBLE, {n} * {ss} - {s} * {s})) / {n} / 1e9 END AS {name}_std"}
+    return ", ".join(sql[k] for k in kinds.split())
+
+
+def _planeness_sql() -> str:
+    along = [_moments("depth_mid", "max mean"), *[_moments(d, "std") for d in _DELTAS], _moments("gradient", "mean", "gradient_longitudinal")]
+    across = [*[_moments(c, "max mean std") for c in planeness.SIDES], _moments("gradient", "mean", "gradient_transverse")]
+    both = ", ".join(f"greatest({m}_left_{k}, {m}_right_{k}) AS {m}_{n}" for m in ("rut_depth", "water_depth") for k, n in (("mean", "mean_max"), ("max", "max")))
+    box = "least(lx0, lx1) <= x1 AND greatest(lx0, lx1) >= x0 AND least(ly0, ly1) <= y1 AND greatest(ly0, ly1) >= y0"
+    return (
+        cte("fx_areas", "fx_samples") + f", pt AS ({_LONG_POINTS.format(fx_samples='fx_samples')}), ln AS ({_TRANS_LINES.format(fx_samples='fx_samples')}), "
+        f"al AS (SELECT area_id, {', '.join(along)} FROM pt JOIN fx_areas ON x > x0 AND x < x1 AND y > y0 AND y < y1 GROUP BY area_id), "
+        f"ac AS (SELECT area_id, {', '.join(across)} FROM ln JOIN fx_areas ON {box} WHERE greatest({_EX}, {_EY}, 0e0) <= least({_LX}, {_LY}, 1e0) GROUP BY area_id), "
+        f"ag AS (SELECT a.area_id, a.bw, a.fk, al.* EXCLUDE (area_id), ac.* EXCLUDE (area_id), {both} FROM fx_areas a LEFT JOIN al ON al.area_id = a.area_id LEFT JOIN ac ON ac.area_id = a.area_id)"
+    )
+
+
+def _planeness(spark, sf_dir):
+    own, samples = fixture(spark, sf_dir, "fx_areas"), fixture(spark, sf_dir, "fx_samples")
+    points = areas.points_in_boxes(spark.sql(_LONG_POINTS, fx_samples=samples), own)
+    lines = areas.lines_in_boxes(spark.sql(_TRANS_LINES, fx_samples=samples), own)
+    return planeness.aggregate(own.select("area_id", "bw", "fk"), points, lines)
+
+
+_ALONG = ["depth_mid_max", "depth_mid_mean", *[f"{d}_std" for d in _DELTAS], "gradient_longitudinal_mean"]
+
+
+@query(lambda: _planeness_sql() + f" SELECT area_id, {', '.join(_ALONG)} FROM ag")
 def planeness_agg_long(spark, sf_dir):
-    return areas.aggregate_measures(_inside(spark, sf_dir), "area_id", {"depth_mid": ("max", "mean", "std")})
+    """Measures of the points inside each area; areas without points have their row."""
+    return _planeness(spark, sf_dir).select("area_id", *_ALONG)
 
 
-@query(cte("fx_areas", "fx_samples") + f", q AS (SELECT area_id, {_agg_sql('rut_left', 'max mean std')}, {_agg_sql('rut_right', 'max mean std')} {_IN} GROUP BY area_id) SELECT *, greatest(rut_left_max, rut_right_max) AS rut_max, greatest(rut_left_mean, rut_right_mean) AS rut_mean FROM q")
+@query(lambda: _planeness_sql() + f" SELECT * EXCLUDE (bw, fk, {', '.join(_ALONG)}) FROM ag")
 def planeness_agg_trans(spark, sf_dir):
-    q = areas.aggregate_measures(_inside(spark, sf_dir), "area_id", {"rut_left": ("max", "mean", "std"), "rut_right": ("max", "mean", "std")})
-    return q.withColumn("rut_max", F.greatest("rut_left_max", "rut_right_max")).withColumn("rut_mean", F.greatest("rut_left_mean", "rut_right_mean"))
+    """Measures of the transverse lines that meet each area, left, right and the greater of the two."""
+    return _planeness(spark, sf_dir).drop("bw", "fk", *_ALONG)
+
 
+def _ap9_sql() -> str:
+    value = lambda c: _R2.format(c if "gradient" in c else f"{c} * 1000e0")
+    return _planeness_sql() + " SELECT area_id, bw, fk, " + ", ".join(f"CASE WHEN fk <> 'N' AND {c} IS NOT NULL THEN {value(c)} END AS {n}" for c, n in planeness.AP9.items()) + " FROM ag"
 
-@query("SELECT DISTINCT area_id, fk, CASE WHEN fk <> 'N' AND NOT isnan(sm4l_m) THEN floor(sm4l_m * 1000e0 * 100e0 + 0.5e0) / 100e0 END AS SM4L_M_MM, CASE WHEN NOT isnan(qn) THEN floor(qn * 100e0 + 0.5e0) / 100e0 END AS QN FROM strassenzustand")
+
+@query(lambda: _ap9_sql())
 def ap9_projection(spark, sf_dir):
-    """Renamed, scaled to millimetres and rounded; evenness is null for class N."""
-    d = table(spark, sf_dir, "strassenzustand")
-    mm = scalars.round_half_up(scalars.nan_to_null(F.col("sm4l_m")) * 1000.0)
-    return d.select("area_id", "fk", F.when(F.col("fk") != "N", mm).alias("SM4L_M_MM"), scalars.round_half_up(scalars.nan_to_null(F.col("qn"))).alias("QN")).distinct()
+    """The norm's 19 evenness columns: renamed, in millimetres, rounded, null for class N."""
+    return planeness.to_ap9(_planeness(spark, sf_dir))
 
 
 _MA = lambda n: f"CASE WHEN count(z) OVER (PARTITION BY cluster ORDER BY idx ROWS BETWEEN {n // 2} PRECEDING AND {n // 2} FOLLOWING) = {n} THEN z - sum(z) OVER (PARTITION BY cluster ORDER BY idx ROWS BETWEEN {n // 2} PRECEDING AND {n // 2} FOLLOWING) / {n}e0 END AS delta_{n}"
@@ -577,3 +612,6 @@ def type_masks(pixels: DataFrame, rows: int = 1_024) -> DataFrame:
             yield pd.DataFrame(out, columns=["tile_id", "x0", "y1", "height", "width", "mask"])
 
     return parts.mapInPandas(masks, "tile_id string, x0 double, y1 double, height int, width int, mask binary")
+
+
+ORACLES |= {name: sql if isinstance(sql, str) else sql() for name, sql in _SQL.items()}

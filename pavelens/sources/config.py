@@ -7,6 +7,8 @@ import warnings
 from dataclasses import dataclass, field
 from typing import Any
 
+from pavelens.operators.evaluate import Weights
+
 METRICS = ("SM4L_M", "SM4L_A", "MSPT", "MSPH", "RISS", "AFLI", "OFS")
 # Default norm factors (1.5 value, warning value, threshold) by construction, class and metric.
 _EVEN = {"SM4L_M": {"A": (4, 12, 16), "B": (4, 16, 25)}, "SM4L_A": {"A": (1, 2.5, 3.5), "B": (1, 3.5, 5)}, "MSPT": {"A": (4, 15, 25), "B": (4, 15, 25)}, "MSPH": {"A": (0.1, 4, 6), "B": (0.1, 4, 6)}}
@@ -59,6 +61,28 @@ class Thresholds:
     marking_bad: float = 0.25
 
 
+# Types of markings in the order of their numbers from 1 on; NULL has no weight.
+MARKING_TYPES = ("LINIE_DUENN", "LINIE_DUENN_GESTRICHELT", "LINIE_BREIT", "LINIE_BREIT_GESTRICHELT", "LINIE_EXTRABREIT", "NULL", "PFEILE", "SYMBOLE", "SPERRFLAECHEN")
+# What panoramas may be centred on.
+CENTERINGS = ("Geographic", "Grid", "Recording_Direction", "Recording_Direction_Grid")
+CONDITIONS = ("GUT", "MITTEL", "SCHLECHT")
+
+
+def marking_factors(tree: Any) -> dict[tuple[int, int], float]:
+    """(condition from 1, type from 1) → condition factor × type factor; 1 where none is given, 0 for the type NULL."""
+    cond = [float(lookup(tree, f"condition.{c}", 1)) for c in CONDITIONS]
+    kind = [0.0 if t == "NULL" else float(lookup(tree, f"type.{t}", 1)) for t in MARKING_TYPES]
+    return {(i + 1, k + 1): a * b for i, a in enumerate(cond) for k, b in enumerate(kind)}
+
+
+def weights_of(tree: Any) -> Weights:
+    """Weights of the partial values; what isn't given keeps its default. Keys: evenness, substance, paved_evenness, veto."""
+    base = Weights()
+    part = lambda name, default: {k: float(lookup(tree, f"{name}.{k}", v)) for k, v in default.items()}
+    paved = part("paved_evenness", base.evenness)
+    return Weights(part("evenness", base.evenness), part("substance", base.substance), float(lookup(tree, "veto", base.veto)), paved)
+
+
 @dataclass(frozen=True)
 class Settings:
     epsg: str = "epsg:25832"
@@ -68,6 +92,9 @@ class Settings:
     factors: dict = field(default_factory=lambda: DEFAULT_FACTORS)
     thresholds: Thresholds = Thresholds()
     recordings: RecordingFields | None = None
+    weights: Weights = Weights()
+    marking_factors: dict = field(default_factory=lambda: marking_factors({}))
+    centering: str = "Geographic"
 
     def factor_rows(self) -> list[tuple]:
         """(bw, metric, fk, f1, f2, f3) of every factor."""
@@ -75,8 +102,8 @@ class Settings:
 
 
 def parse(tree: dict) -> Settings:
-    """Settings of a mapping with the keys epsg, tile_size, id_mode, delimiter, thresholds, recordings and factors."""
-    known = {"EPSG", "TILE_SIZE", "ID_MODE", "DELIMITER", "FACTORS", "THRESHOLDS", "RECORDINGS"}
+    """Settings of a mapping with the keys epsg, tile_size, id_mode, delimiter, thresholds, recordings, factors, weights, marking_factors and centering."""
+    known = {"EPSG", "TILE_SIZE", "ID_MODE", "DELIMITER", "FACTORS", "THRESHOLDS", "RECORDINGS", "WEIGHTS", "MARKING_FACTORS", "CENTERING"}
     for k in tree:
         if str(k).upper() not in known:
             warnings.warn(f"unknown setting {k}", stacklevel=2)
@@ -95,7 +122,11 @@ def parse(tree: dict) -> Settings:
     if rec is not None:
         fields = RecordingFields(*(lookup(rec, k) for k in ("id", "time", "direction", "height")), *(lookup(rec, k, None) for k in ("path", "mask", "pitch", "roll")), int(lookup(rec, "id_base", 36)))
     limits = Thresholds(**{k: float(lookup(tree, f"thresholds.{k}", v)) for k, v in vars(Thresholds()).items()})
-    return Settings(crs_name(lookup(tree, "epsg", "25832")), int(lookup(tree, "tile_size", 50)), mode, str(lookup(tree, "delimiter", "_")), factors, limits, fields)
+    centering = str(lookup(tree, "centering", "Geographic"))
+    if centering not in CENTERINGS:
+        raise ValueError(f"centering is one of {', '.join(CENTERINGS)}")
+    head = crs_name(lookup(tree, "epsg", "25832")), int(lookup(tree, "tile_size", 50)), mode, str(lookup(tree, "delimiter", "_"))
+    return Settings(*head, factors, limits, fields, weights_of(lookup(tree, "weights", {})), marking_factors(lookup(tree, "marking_factors", {})), centering)
 
 
 def load(path: str) -> Settings:
