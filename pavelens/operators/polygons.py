@@ -351,8 +351,11 @@ def cells_in_areas(cells: DataFrame, areas: DataFrame, keep: list[str], size: fl
             yield pa.RecordBatch.from_arrays([*(b.column(c).take(at) for c in names[:-3]), pa.array(part), *_take_rings(shapes)], names=names)
 
     c = cells.select("cx", "cy", F.floor(F.col("cx") / size).cast("bigint").alias("gx"), F.floor(F.col("cy") / size).cast("bigint").alias("gy"))
+    # cutting costs time, not bytes: a set number of partitions, which size-based merging leaves alone; the join takes them over
+    n = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    c, squares = c.repartition(n, "gx", "gy"), area_squares(areas, keep, 1.0, size).repartition(n, "gx", "gy")
     out = "cx bigint, cy bigint, " + ", ".join(f"`{x}` {kinds[x]}" for x in keep) + ", part double, xy binary, first binary"
-    return c.join(area_squares(areas, keep, 1.0, size), ["gx", "gy"]).drop("gx", "gy", "bx", "by").mapInArrow(run, out)
+    return c.join(squares, ["gx", "gy"]).drop("gx", "gy", "bx", "by").mapInArrow(run, out)
 
 
 def damage_pieces(damage: DataFrame) -> DataFrame:
@@ -408,21 +411,24 @@ def cell_damage_in_areas(damage: DataFrame, areas: DataFrame, scratch: Scratch)
     outlines = outlines.select("bw", "cx", "cy", "part", F.lit(None).cast("string").alias("typ"), F.lit(None).cast("string").alias("geometry"), "xy", "first")
 
     def cut(t: pa.Table) -> pa.Table:
-        x, y = t.column("cx")[0].as_py(), t.column("cy")[0].as_py()
         here = pa.compute.is_valid(t.column("xy")).to_numpy(zero_copy_only=False)
-        a = t.take(pa.array(np.flatnonzero(here)))
-        s = wkt.from_binary(a.column("xy"), a.column("first"))
-        origin = np.array([x, y], float)
-        areas_ = [[r - origin for r in oriented(_polygon(s, i))] for i in range(len(s))]
-        o = t.take(pa.array(np.flatnonzero(~here)))
-        d = wkt.parse_wkt(o.column("geometry").to_pylist())
-        um2 = np.zeros(len(d), np.int64)
-        for i in range(len(d)):
+        outer, o = t.take(pa.array(np.flatnonzero(here))), t.take(pa.array(np.flatnonzero(~here)))
+        s, d = wkt.from_binary(outer.column("xy"), outer.column("first")), wkt.parse_wkt(o.column("geometry").to_pylist())
+        by_cell: dict[tuple, list[int]] = {}
+        for i, cell in enumerate(zip(outer.column("cx").to_pylist(), outer.column("cy").to_pylist())):
+            by_cell.setdefault(cell, []).append(i)
+        um2, known = np.zeros(len(d), np.int64), {}
+        for i, cell in enumerate(zip(o.column("cx").to_pylist(), o.column("cy").to_pylist())):
+            origin = np.array(cell, float)
+            if (areas_ := known.get(cell)) is None:
+                areas_ = known[cell] = [[r - origin for r in oriented(_polygon(s, k))] for k in by_cell.get(cell, [])]
             rings = [c for r in oriented(_polygon(d, i)) if len(c := clip_ring(r - origin, 0.0, 0.0, 1.0, 1.0)) > 2]
             um2[i] = np.floor(max(0.0, common_area(rings, areas_)) * 1e6 + 0.5)
         return pa.table({"bw": o.column("bw"), "cx": o.column("cx"), "cy": o.column("cy"), "typ": o.column("typ"), "um2": pa.array(um2)})
 
-    border = objects.union(outlines).groupBy("bw", "cx", "cy", "part").applyInArrow(cut, "bw string, cx bigint, cy bigint, typ string, um2 bigint")
+    n = int(areas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    group = ["bw", *[F.floor(F.col(c) / 16) for c in ("cx", "cy")], "part"]  # many cells at once, as a group has its price
+    border = objects.union(outlines).repartition(n, *group).groupBy(*group).applyInArrow(cut, "bw string, cx bigint, cy bigint, typ string, um2 bigint")
     border = border.groupBy("bw", "cx", "cy", "typ").agg(F.sum("um2").alias("um2")).filter("um2 > 0")
     return scratch.keep(whole.union(border), "damaged"), cover.select("area_id", "bw", "cx", "cy")
 
