@@ -8,8 +8,9 @@ fall into different parts, so every pass narrows and the search ends. An interva
 holds one value, when the wanted rank is its first or last, or when it holds at most
 `max_rank_error` of the group's values; the error is reported and 0 means exact.
 
-What a pass reads are counts per value; counts of separate days or partitions add up
-(`merge_counts`), and percentiles of the merged counts are those of all rows together.
+What a pass reads are rows as they come (`value_rows`) or counts per value (`value_counts`); only counts per interval are
+shuffled. Counts of separate days or partitions add up (`merge_counts`), and percentiles of the merged counts are those of all
+rows together.
 
 Values that are null, NaN or outside the valid range don't count. Groups may have null keys. Groups
 without a valid value don't appear. An empty table gives an empty result.
@@ -26,18 +27,24 @@ from pyspark.sql import Window as W
 
 from pavelens.session import Scratch
 
-#: States are broadcast up to this many rows (each under 200 bytes); beyond it the join is a salted shuffle.
+#: States are broadcast up to this many rows (each under 200 bytes); beyond it the join is a shuffle of the counts per value,
+#: with salts for groups of more than SALT_ROWS values (or a ten-thousandth of all, if that is more).
 BROADCAST_STATES = 40_000
-SALTS = 8
+SALT_ROWS = 1_000_000
 
 
-def value_counts(df: DataFrame, groups: list[str], metrics: dict[str, Column], low: float, high: float) -> DataFrame:
-    """Counts per group, metric and valid value. metrics: name → value column (null where it doesn't apply)."""
+def value_rows(df: DataFrame, groups: list[str], metrics: dict[str, Column], low: float, high: float) -> DataFrame:
+    """Every valid value with its group and metric, and n = 1. metrics: name → value column (null where it doesn't apply)."""
     pairs = F.array(*[F.struct(F.lit(m).alias("metric"), c.cast("double").alias("value")) for m, c in metrics.items()])
     valid = F.filter(pairs, lambda s: s["value"].isNotNull() & ~F.isnan(s["value"]) & s["value"].between(low, high))
     # 0.0 and -0.0 are one value
     long = df.select(*groups, F.explode(valid).alias("_s")).select(*groups, "_s.metric", (F.col("_s.value") + F.lit(0.0)).alias("value"))
-    return long.groupBy(*groups, "metric", "value").agg(F.count(F.lit(1)).alias("n"))
+    return long.withColumn("n", F.lit(1).cast("bigint"))
+
+
+def value_counts(df: DataFrame, groups: list[str], metrics: dict[str, Column], low: float, high: float) -> DataFrame:
+    """Counts per group, metric and valid value, to be kept and merged with those of other days; they take a shuffle of all values."""
+    return value_rows(df, groups, metrics, low, high).groupBy(*groups, "metric", "value").agg(F.sum("n").alias("n"))
 
 
 def merge_counts(*counts: DataFrame) -> DataFrame:
@@ -70,6 +77,18 @@ def _narrow(parts: DataFrame, keys: list[str], max_rank_error: float) -> DataFra
     return at.select(*keys, "total", "rank", (F.col("_first") - 1).alias("below"), F.col("mn").alias("lo"), F.col("mx").alias("hi"), value.alias("value"), error.alias("rank_error"))
 
 
+def _salted(counts: DataFrame, states: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Counts with _slot and states with _salt, so that a large group's values lie in as many slots as it needs."""
+    rows = counts.groupBy(*keys, "value").agg(F.sum("n").alias("n"))  # so that one value is one row
+    per = F.lit(max(SALT_ROWS, (counts.agg(F.sum("n")).first()[0] or 0) // 10_000))
+    salts = F.ceil(F.col("total") / per).cast("int")
+    # groups above a ten-thousandth of all values: at most 10,000
+    large = states.filter(F.col("total") > per).select(*[F.col(f"_{k}").alias(f"_l_{k}") for k in keys], salts.alias("_n")).distinct()
+    rows = rows.join(F.broadcast(large), reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_l_{k}")) for k in keys]), "left")
+    rows = rows.withColumn("_slot", F.pmod(F.xxhash64("value"), F.coalesce("_n", F.lit(1))).cast("int")).drop("_n", *[f"_l_{k}" for k in keys])
+    return rows, states.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), salts) - 1)))
+
+
 def percentiles_of_counts(counts: DataFrame, groups: list[str], wanted: dict[str, list[float]], levels: int = 8, max_rank_error: float = 0.0, low: float | None = None, high: float | None = None, scratch: Scratch | None = None) -> DataFrame:
     """counts(groups, metric, value, n) → groups, metric, p, n_valid, value, rank_error."""
     spark = counts.sparkSession
@@ -100,8 +119,7 @@ def percentiles_of_counts(counts: DataFrame, groups: list[str], wanted: dict[str
         if open_ <= BROADCAST_STATES:
             s = F.broadcast(s)
         else:
-            s = s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-            rows = rows.withColumn("_slot", F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int"))
+            rows, s = _salted(counts, s, [*groups, "metric"])
             same.append(F.col("_salt") == F.col("_slot"))
         hit = rows.join(s, reduce(Column.__and__, [*same, F.col("value").between(F.col("lo"), F.col("hi"))]))
         hit = hit.withColumn("part", _part(F.col("value"), F.col("lo"), F.col("hi"), levels))

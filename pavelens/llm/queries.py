@@ -21,7 +21,7 @@ def p1_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     areas = table(spark, sf_dir, "strassenzustand").select("area_id", "strecke_id", "bw", "fk", "sm4l_m", "mspt", "riss").distinct()
     metrics = {"SM4L_M": F.col("sm4l_m"), "MSPT": F.col("mspt"), "RISS": F.when(F.col("bw") == "A", F.col("riss"))}
     groups = ["strecke_id", "bw", "fk"]
-    counts = percentiles.value_counts(areas, groups, metrics, 0.0, 1000.0)
+    counts = percentiles.value_rows(areas, groups, metrics, 0.0, 1000.0)
     return percentiles.percentiles_of_counts(counts, groups, P1_PERCENTILES, low=0.0, high=1000.0, scratch=scratch)
 
 
