@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 #: A slice with more left rows than this is shared out to several tasks.
 SLICE_ROWS = 2_000_000
+#: Such slices are broadcast up to this many (20 bytes each; there is at most one for each SLICE_ROWS rows), else joined by a shuffle.
+BROADCAST_SLICES = 100_000
 
 
 class _Merge:
@@ -45,6 +47,18 @@ class _Merge:
         self.waiting = []
         return out
 
+    def settle(self, late, out):
+        """Left records before `late` can't match a later right record any more."""
+        kept = []
+        for w in self.waiting:
+            old = w[0] < late
+            if old.any():
+                out.append(self._choose(*(c[old] for c in w), None, None))
+                w = tuple(c[~old] for c in w)
+            if len(w[0]):
+                kept.append(w)
+        self.waiting = kept
+
     def piece(self, t, left, ids):
         """Rows of one place, in order."""
         out, n = [], len(t)
@@ -83,8 +97,7 @@ class _Merge:
         if (~done).any():
             self.waiting.append((lt[~done], lid[~done], gap[~done], rid[~done]))
         if n:
-            if self.waiting and t[-1] - max(int(w[0][-1]) for w in self.waiting) > self.tol:
-                out += self.flush()
+            self.settle(t[-1] - self.tol, out)
             last = np.flatnonzero(head)
             if len(last):
                 self.right = (t[last[-1]], ids[last[-1]])
@@ -125,9 +138,14 @@ def nearest_in_time(left: DataFrame, right: DataFrame, tolerance_us: int, slice_
     # slices above slice_rows: at most one for each slice_rows rows of the table
     hot = lefts.groupBy("entity", "slice").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > slice_rows)
     hot = hot.select(F.col("entity").alias("_e"), F.col("slice").alias("_s"), F.ceil(F.col("n") / slice_rows).cast("int").alias("parts"))
-    same = (F.col("entity") == F.col("_e")) & (F.col("slice") == F.col("_s"))
-    lefts = lefts.join(hot, same, "left").withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).cast("int"))
-    rights = rights.join(hot, same, "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+    many = hot.count()
+    if many:
+        hot = F.broadcast(hot) if many <= BROADCAST_SLICES else hot
+        same = (F.col("entity") == F.col("_e")) & (F.col("slice") == F.col("_s"))
+        lefts = lefts.join(hot, same, "left").withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).cast("int"))
+        rights = rights.join(hot, same, "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+    else:
+        lefts, rights = (df.withColumn("part", F.lit(0)) for df in (lefts, rights))
     names = ["entity", "slice", "part", "t_us", "left", "id"]
     both = lefts.withColumn("left", F.lit(True)).select(*names).union(rights.withColumn("left", F.lit(False)).select(*names))
     ordered = both.repartition("entity", "slice", "part").sortWithinPartitions(*names)
