@@ -2,10 +2,11 @@
 
 1. Every text is counted in tokens of a public tokenizer (once; the counts are written down). Longer
    texts are cut into pieces of the capacity and one rest.
-2. The histogram of piece lengths, at most `capacity` numbers, goes to the driver. Patterns of up to
-   four lengths that nearly fill a container are enumerated; non-negative least squares fits how often
-   to repeat each one so that together they use up the histogram; the repeats are rounded to what is
-   there, and what is left is packed longest first with the best fit.
+2. The histogram of piece lengths, at most `capacity` numbers, goes to the driver. Non-negative least squares
+   fits how often to repeat patterns of up to four lengths that nearly fill a container, so that together they use
+   up the histogram. The patterns aren't listed beforehand, as there are billions: each round of the active set finds
+   for every length the pattern along which the residual falls most. Repeats are rounded to what is there, what
+   rounding leaves is fitted again, and the few pieces that are left then are packed longest first with the best fit.
 3. The plan is a list of runs: the pieces of one length with ranks from..to go to consecutive
    containers. Each piece gets its rank within its length (counts per salt first, then ranks within a
    salt, so that a length that a third of all pieces have is spread) and finds its run by bisection.
@@ -29,6 +30,10 @@ from pavelens.session import Scratch
 
 #: Pieces of one length that one task ranks.
 RANK_ROWS = 1_000_000
+#: Times that the histogram is fitted, each time to what rounding left.
+FITS = 3
+#: Searches for patterns in one round of the fit.
+PASSES = 6
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.tiktoken") -> str:
@@ -59,53 +64,110 @@ def token_counts(docs: DataFrame, id_col: str, text_col: str, path: str) -> Data
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id bigint, n_tokens bigint")
 
 
-def enumerate_patterns(lengths: np.ndarray, capacity: int, waste: int, per_length: int = 24) -> list[tuple[int, ...]]:
-    """Patterns of one to four of the lengths (ascending) that leave at most `waste` of the capacity free."""
-    lengths = np.asarray(lengths)
-    out: set[tuple[int, ...]] = set()
-
-    def largest(space: int) -> int:
-        i = np.searchsorted(lengths, space, side="right") - 1
-        return int(lengths[i]) if i >= 0 else 0
-
-    def add(*p: int) -> None:
-        if all(p) and capacity - waste <= sum(p) <= capacity:
-            out.add(tuple(sorted(p, reverse=True)))
-
-    few = np.unique(lengths[np.unique(np.linspace(0, len(lengths) - 1, min(len(lengths), per_length)).astype(int))])
-    for a in map(int, lengths):
-        add(a)
-        for k in (2, 3, 4):
-            add(*[a] * k)
-        room = capacity - a
-        if room <= 0:
+def best_patterns(lengths: np.ndarray, gain: np.ndarray, capacity: int, waste: int, pieces: int = 4) -> list[tuple[float, tuple[int, ...]]]:
+    """For each length that one exists for, the pattern with it of the highest total gain: up to `pieces` lengths that leave at most `waste` free.
+
+    Exact: best[k][t] is the highest gain of up to k pieces of total length t, found for all t at once.
+    """
+    none = -1e300
+    best, choice = [np.full(capacity + 1, none)], []
+    best[0][0] = 0.0
+    for _ in range(pieces - 1):
+        last = best[-1]
+        now, which = last.copy(), np.zeros(capacity + 1, np.int64)  # 0: no piece more
+        for i, (L, g) in enumerate(zip(lengths.tolist(), gain.tolist())):
+            more = last[: capacity + 1 - L] + g
+            better = more > now[L:]
+            now[L:][better] = more[better]
+            which[L:][better] = i + 1
+        best.append(now)
+        choice.append(which)
+    out = []
+    for i, L in enumerate(lengths.tolist()):
+        lo, hi = max(0, capacity - waste - L), capacity - L
+        t = lo + int(np.argmax(best[-1][lo : hi + 1]))
+        if best[-1][t] <= none / 2:
             continue
-        i = np.searchsorted(lengths, room, side="right")
-        for b in map(int, lengths[max(0, i - 3) : i]):
-            add(a, b)
-        for b in map(int, few):
-            if b <= room:
-                add(a, b, largest(room - b))
-                for c in map(int, few[few <= b][::3]):
-                    if b + c <= room:
-                        add(a, b, c, largest(room - b - c))
-    return sorted(out, reverse=True)
-
-
-def nonnegative_least_squares(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, h: np.ndarray, n: int, rounds: int = 300) -> np.ndarray:
-    """x >= 0 that makes |A x - h| small, for a sparse A >= 0, by multiplicative updates."""
-    ah = np.bincount(cols, vals * h[rows], minlength=n)
-    x = np.full(n, h.sum() / max(1.0, vals.sum()))
-    for _ in range(rounds):
-        ax = np.bincount(rows, vals * x[cols], minlength=len(h))
-        x = x * ah / np.maximum(np.bincount(cols, vals * ax[rows], minlength=n), 1e-12)
+        value, pattern = gain[i] + best[-1][t], [L]
+        for k in range(pieces - 2, -1, -1):
+            j = choice[k][t]
+            if j:
+                pattern.append(int(lengths[j - 1]))
+                t -= pattern[-1]
+        out.append((float(value), tuple(sorted(pattern, reverse=True))))
+    return out
+
+
+def descend(g: np.ndarray, b: np.ndarray, x: np.ndarray, sweeps: int) -> np.ndarray:
+    """x >= 0 that makes x G x / 2 - b x smaller: one repeat after another set to its best value, `sweeps` times over."""
+    x, slack, diagonal = x.copy(), b - g @ x, np.diag(g).tolist()
+    for _ in range(sweeps):
+        moved = 0.0
+        for j, d in enumerate(diagonal):
+            step = slack[j] / d
+            if step < -x[j]:
+                step = -x[j]
+            if step > 1e-9 or step < -1e-9:
+                x[j] += step
+                slack -= step * g[j]
+                moved = max(moved, abs(step))
+        if moved < 1e-3:
+            break
     return x
 
 
-def plan_containers(histogram: dict[int, int], capacity: int, waste_share: float = 0.01) -> list[tuple[tuple[tuple[int, int], ...], int]]:
-    """[(pattern as ((length, how many), …), repeats)] that uses every piece of the histogram once."""
+def fit_patterns(lengths: np.ndarray, h: np.ndarray, capacity: int, waste: int, rounds: int = 40, sweeps: int = 6, enough: float = 0.02) -> tuple[list[dict[int, int]], np.ndarray, float]:
+    """Patterns and their repeats x >= 0 that make |A x - h| small (non-negative least squares), and the residual over |h|.
+
+    Only columns with a positive repeat are kept. Each round adds the patterns along which the residual falls most (they are
+    found, not listed beforehand) and goes on with the descent from where it was, so the residual never grows.
+    """
+    index = {int(L): i for i, L in enumerate(lengths)}
+    patterns: list[dict[int, int]] = []
+    a, x = np.zeros((len(h), 0)), np.zeros(0)
+    g, b = np.zeros((0, 0)), np.zeros(0)
+    size, left = np.linalg.norm(h), 1.0
+    for _ in range(rounds):
+        r = h - a @ x
+        left = float(np.linalg.norm(r) / size)
+        if left < enough:
+            break
+        known = {tuple(sorted(p.items())) for p in patterns}
+        new, gain = [], r.copy()
+        for _ in range(PASSES):  # lengths that were used stand back, so that one round adds patterns for most lengths
+            used = np.zeros(len(h), bool)
+            for value, pattern in sorted(best_patterns(lengths, gain, capacity, waste), reverse=True):
+                p = {L: pattern.count(L) for L in pattern}
+                rows = [index[L] for L in p]
+                key = tuple(sorted(p.items()))
+                if r[rows] @ list(p.values()) > 1e-6 * size and not used[rows].any() and key not in known:
+                    used[rows] = True
+                    known.add(key)
+                    new.append(p)
+            gain[used] = np.minimum(gain[used], 0.0)
+        if not new:
+            break
+        more = np.zeros((len(h), len(new)))
+        for k, p in enumerate(new):
+            for L, times in p.items():
+                more[index[L], k] = times
+        cross = a.T @ more
+        g = np.block([[g, cross], [cross.T, more.T @ more]])
+        a, b, patterns, x = np.hstack([a, more]), np.concatenate([b, more.T @ h]), patterns + new, np.concatenate([x, np.zeros(len(new))])
+        x = descend(g, b, x, sweeps)
+        keep = x > 1e-9
+        a, b, g, x, patterns = a[:, keep], b[keep], g[np.ix_(keep, keep)], x[keep], [p for p, k in zip(patterns, keep) if k]
+    return patterns, x, float(np.linalg.norm(h - a @ x) / size)
+
+
+def plan_containers(histogram: dict[int, int], capacity: int, waste_share: float = 0.0005, report: dict | None = None) -> list[tuple[tuple[tuple[int, int], ...], int]]:
+    """[(pattern as ((length, how many), …), repeats)] that uses every piece of the histogram once.
+
+    report, if given, gets the residual of the fit, how many pieces it placed and how many there are.
+    """
     left = {L: n for L, n in histogram.items() if 0 < L <= capacity and n > 0}
     plan: list[tuple[tuple[tuple[int, int], ...], int]] = []
+    whole = sum(left.values())
 
     def take(pattern: dict[int, int], repeats: int) -> None:
         if repeats > 0:
@@ -117,23 +179,21 @@ def plan_containers(histogram: dict[int, int], capacity: int, waste_share: float
 
     if capacity in left:
         take({capacity: 1}, left[capacity])
-    lengths = np.array(sorted(left))
-    if len(lengths):
-        patterns = [{L: p.count(L) for L in p} for p in enumerate_patterns(lengths, capacity, int(capacity * waste_share))]
-        if patterns:
-            index = {int(L): i for i, L in enumerate(lengths)}
-            cols = np.repeat(np.arange(len(patterns)), [len(p) for p in patterns])
-            rows = np.array([index[L] for p in patterns for L in p])
-            vals = np.array([k for p in patterns for k in p.values()], dtype=float)
-            x = nonnegative_least_squares(rows, cols, vals, np.array([left[int(L)] for L in lengths], dtype=float), len(patterns))
-            fits = lambda p: min(left.get(L, 0) // k for L, k in p.items())
-            for i in np.argsort(-x, kind="stable"):
-                if x[i] < 0.5:
-                    break
-                take(patterns[i], min(int(round(x[i])), fits(patterns[i])))
-            full = sorted(range(len(patterns)), key=lambda i: (-sum(L * k for L, k in patterns[i].items()), -x[i]))
-            for i in full:  # the rounding left some: patterns that still fit, the fullest first
-                take(patterns[i], fits(patterns[i]))
+    residuals = []
+    for _ in range(FITS):  # what rounding leaves is fitted again
+        lengths = np.array(sorted(left))
+        if not len(lengths):
+            break
+        patterns, x, residual = fit_patterns(lengths, np.array([left[int(L)] for L in lengths], dtype=float), capacity, int(capacity * waste_share))
+        residuals.append(residual)
+        before = sum(left.values())
+        for i in np.argsort(-x, kind="stable"):
+            if x[i] >= 0.5:
+                take(patterns[i], min(int(round(x[i])), min(left.get(L, 0) // k for L, k in patterns[i].items())))
+        if before - sum(left.values()) < 0.05 * before:
+            break
+    if report is not None:
+        report |= {"residual": residuals[0] if residuals else 0.0, "placed": whole - sum(left.values()), "pieces": whole}
     while left:  # the rest: longest first, best fit, as often as it fits again
         present = np.array(sorted(left))
         pattern, space = {}, capacity

@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 
@@ -22,10 +23,11 @@ def _values(seed):
 @pytest.mark.parametrize("levels, broadcast", [(8, 40_000), (1, 40_000), (3, 0)])
 def test_percentiles_are_exact(spark, monkeypatch, levels, broadcast):
     monkeypatch.setattr(percentiles, "BROADCAST_STATES", broadcast)
+    monkeypatch.setattr(percentiles, "SALT_ROWS", 100)
     rows = _values(1)
     df = spark.createDataFrame([(*r, "clash") for r in rows], "g string, x double, part string")
     wanted = {"X": [0.0, 0.01, 0.5, 0.95, 1.0], "Y": [0.5]}
-    counts = percentiles.value_counts(df, ["g"], {"X": F.col("x"), "Y": F.when(F.col("g") == "b", F.col("x")), "Z": F.col("x")}, 0.0, 1000.0)
+    counts = (percentiles.value_rows if levels == 8 else percentiles.value_counts)(df, ["g"], {"X": F.col("x"), "Y": F.when(F.col("g") == "b", F.col("x")), "Z": F.col("x")}, 0.0, 1000.0)
     got = {(r["g"], r["metric"], r["p"]): r for r in percentiles.percentiles_of_counts(counts, ["g"], wanted, levels).collect()}
     seen = 0
     for g in {r[0] for r in rows}:
@@ -77,6 +79,14 @@ def test_merge_against_brute_force(lefts, rights, tol, batch):
     assert got == sorted((i, *want[t, i]) for t, i in want)
 
 
+def test_what_waits_is_bounded_by_the_tolerance():
+    m = nearest_time._Merge(5)
+    for lo in range(0, 50_000, 1_000):
+        t = np.arange(lo, lo + 1_000, dtype=np.int64)
+        m.batch([np.zeros(1_000, int)], t, np.ones(1_000, bool), t)
+        assert sum(len(w[0]) for w in m.waiting) <= 6
+
+
 def test_hot_entities_and_ties(spark):
     rnd = random.Random(5)
     lefts = [(rnd.choice([1, 1, 1, 2, None]), rnd.randrange(4000), i) for i in range(800)] + [(1, 77, i) for i in range(900, 1300)]
@@ -103,11 +113,39 @@ def test_plan_uses_every_piece_once(histogram):
     assert used == {L: n for L, n in histogram.items() if L}
 
 
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.integers(1, 40), min_size=1, max_size=9, unique=True), st.integers(0, 2**30))
+def test_best_patterns_against_all(lengths, seed):
+    lengths = np.array(sorted(lengths))
+    gain = np.random.default_rng(seed).normal(size=len(lengths))
+    found = packing.best_patterns(lengths, gain, 40, 6, 3)
+    values = dict(zip(lengths.tolist(), gain))
+    every = [p for n in (1, 2, 3) for p in itertools.combinations_with_replacement(lengths.tolist(), n) if 34 <= sum(p) <= 40]
+    for v, p in found:
+        assert tuple(sorted(p)) in every and abs(sum(values[L] for L in p) - v) < 1e-9
+    best = max((sum(values[L] for L in p) for p in every), default=None)
+    assert (best is None and not found) or abs(max(v for v, _ in found) - best) < 1e-9
+
+
 def test_least_squares_fit():
     a = np.array([[1.0, 0, 2], [0, 1, 1], [1, 1, 0]])
-    rows, cols = np.nonzero(a)
-    x = packing.nonnegative_least_squares(rows, cols, a[rows, cols], a @ np.array([3.0, 0.0, 5.0]), 3, 3000)
+    x = packing.descend(a.T @ a, a.T @ (a @ np.array([3.0, 0.0, 5.0])), np.zeros(3), 20_000)
     assert np.allclose(x, [3, 0, 5], atol=1e-2)
+    rng = np.random.default_rng(4)
+    a, h = rng.random((12, 8)), rng.normal(size=12)
+    x = packing.descend(a.T @ a, a.T @ h, np.zeros(8), 5_000)
+    slope = a.T @ (a @ x - h)
+    assert (x >= 0).all() and (slope > -2e-2).all() and np.abs(slope[x > 1e-6]).max(initial=0) < 2e-2  # no repeat can be bettered
+
+
+def test_the_fit_places_most_pieces():
+    rng = np.random.default_rng(5)
+    sizes = np.clip(rng.lognormal(6.4, 0.8, 8_000).astype(int), 5, 2048)
+    h = {int(L): int(n) for L, n in zip(*np.unique(sizes, return_counts=True))}
+    report = {}
+    plan = packing.plan_containers(h, 2048, report=report)
+    assert report["residual"] < 0.05 and report["placed"] > 0.9 * report["pieces"] and report["pieces"] == 8_000
+    assert sum(n for _, n in plan) <= 1.01 * np.ceil(sizes.sum() / 2048)
 
 
 def test_packing_round_trip(spark):
