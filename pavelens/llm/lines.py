@@ -17,8 +17,10 @@ class _Plain(dict):
 
 _PLAIN = _Plain()
 
-#: Order of the counts that line_counts() returns.
-KINDS = ("none", "list", "table", "junk")
+#: Order of the counts that line_counts() returns. doubtful: letters that hardly form words, and lines without function words
+#: next to junk; whether they are junk is told by how far the whole text is from prose.
+KINDS = ("none", "list", "table", "junk", "doubtful")
+NONE, LIST, TABLE, JUNK, DOUBTFUL = range(5)
 
 _HUNK = re.compile(r"^@@ -\d+(?:,(\d+))? \+\d+(?:,(\d+))? @@")
 _ITEM = re.compile(r"\s*(?:[-*+•‣◦·–—▪▫●○■□➤→✓✔✗☐☑☒](?:\s+\[[ xX]?\])?|\(?\d{1,3}[.)]|\(?[A-Za-z][.)]|\(?[ivxIVX]{1,5}[.)]|\[[ xX]?\]|[☐☑☒])\s+\S")
@@ -95,43 +97,42 @@ def _broken(s: str) -> bool:
     return sum(1 for c in dense if ord(c) > 127 and c not in _GERMAN) + dense.count("\ufffd") >= 0.3 * len(dense)
 
 
-def _garbled(s: str) -> bool:
-    """Encoded or dumped bytes, runs of symbols, broken characters, letters that form no words."""
+def _garbled(s: str) -> int:
+    """JUNK for encoded or dumped bytes, runs of symbols and broken characters, DOUBTFUL for letters that hardly form words, else NONE."""
     dense = "".join(s.split())
     n = len(dense)
     if not n:
-        return False
+        return NONE
     letters = _WORD.findall(s)
     k = sum(map(len, letters))
     if any(ord(c) < 32 for c in dense):
-        return True
+        return JUNK
     if n >= 4 and not any(c.isalnum() for c in dense):
-        return True
+        return JUNK
     esc = _ESCAPES.findall(s)
     if len(esc) >= 3 and sum(map(len, esc)) >= 0.5 * n:
-        return True
+        return JUNK
     pairs = _HEX_PAIRS.findall(s)
     if len(pairs) >= 6 and sum(map(len, pairs)) >= 0.6 * n:
-        return True
+        return JUNK
     tokens = s.split()
     longest = max(tokens, key=len)
     m = len(longest)
     if m >= 12 and m >= 0.6 * n and not ("." in longest and _PATH.match(longest)) and "://" not in longest:
         if re.fullmatch(r"[0-9a-fA-F]+", longest) and re.search(r"\d", longest):
-            return m >= 16
+            return JUNK if m >= 16 else NONE
         runs = len(_SWITCH.findall(longest))
         marks = sum(1 for c in longest if not c.isalnum() and c not in "_-./")
         if runs >= m / 8 or runs + marks >= m / 6:
-            return True
+            return JUNK
     if k and k < 0.5 * n and sum(1 for c in dense if not c.isalnum()) >= 0.5 * n and n >= 8:
-        return True
+        return JUNK
     words = [w for w in letters if len(w) >= 3]
     if words and k >= 0.5 * n:
         bad = sum(1 for w in words if not _VOWEL.search(w) or _CONSONANTS.search(w))
-        if len(words) >= 2 and bad >= 0.5 * len(words):
-            return True
-        return _struck(s) and not any(w.lower() in _FUNCTION for w in words)
-    return False
+        if len(words) >= 2 and bad >= 0.5 * len(words) or _struck(s) and not any(w.lower() in _FUNCTION for w in words):
+            return DOUBTFUL
+    return NONE
 
 
 def line_kinds(text: str) -> list[int]:
@@ -176,23 +177,23 @@ def line_kinds(text: str) -> list[int]:
             out.append(2)
         elif _cells(line) and not _ESCAPES.match(line.strip()):
             out.append(2)
-        elif _garbled(line):
-            out.append(3)
+        elif (garbled := _garbled(line)) != NONE:
+            out.append(garbled)
         else:
             if not any(w.lower() in _FUNCTION for w in _WORD.findall(line)):
                 open_.append(len(out))
             out.append(0)
         before = line
-    # such a line next to junk is more of it
+    # such a line next to junk may be more of it
     for i in open_:
-        if i and out[i - 1] == 3:
-            out[i] = 3
+        if i and out[i - 1] >= JUNK:
+            out[i] = DOUBTFUL
     for i in reversed(open_):
-        if out[i] == 0 and i + 1 < len(out) and out[i + 1] == 3 and i and (i - 1 in open_ or out[i - 1] == 3):
-            out[i] = 3
+        if out[i] == NONE and i + 1 < len(out) and out[i + 1] >= JUNK and i and (i - 1 in open_ or out[i - 1] >= JUNK):
+            out[i] = DOUBTFUL
     return out
 
 
-def line_counts(text: str) -> tuple[int, int, int, int]:
+def line_counts(text: str) -> tuple[int, ...]:
     k = line_kinds(text)
-    return k.count(0), k.count(1), k.count(2), k.count(3)
+    return tuple(map(k.count, range(len(KINDS))))

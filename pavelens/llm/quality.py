@@ -5,9 +5,13 @@ estimated robustly over all documents: medians and median deviations first, then
 what lies beyond the chi-squared bound and take mean and covariance of the rest. The squared Mahalanobis
 distance of a document splits into one part per statistic; the parts add up to it.
 
-A document is of a kind (list, table, junk) when over half of its non-blank lines are. Such a document
-has a share over 0.5 in one statistic i, so its distance is at least (0.5 - mean_i)² / var_i; the bound
-for candidates is the least of these and the chi-squared bound, so no document of a kind is missed.
+A document is of a kind (list, table, junk) when over half of its non-blank lines are. Lists, tables and most junk are told
+by the shape of a line. What a line can't tell alone, as letters that hardly form words may be names or another language, is
+doubtful: such lines are junk if the document's words are far from prose, by the distance over the statistics of words alone,
+beyond the median that prose of the language has (chi squared of as many degrees); else they are no junk.
+
+A document of a kind has a share over 0.5 in one statistic i, so its distance over all statistics is at least
+(0.5 - mean_i)² / var_i; the bound for candidates is the least of these and the chi-squared bound, so no document of a kind is missed.
 
 Null and empty texts have no lines and words: statistics 0, language 'und', no kind. The language is
 read from the text, as the lang column may be wrong. Languages with fewer than `min_docs` documents, and
@@ -32,6 +36,10 @@ STATISTICS = {
     "punctuated_lines": 0.1, "common_words": 0.05, "list_lines": 0.08, "table_lines": 0.08, "junk_lines": 0.08,
 }
 KINDS = {"list": "list_lines", "table": "table_lines", "junk": "junk_lines"}
+#: Statistics of words and characters, which don't know the kinds of lines: the first ones of STATISTICS.
+WORDS = 7
+#: Median of chi squared with as many degrees of freedom (7).
+CHI2_MEDIAN = 6.346
 #: 0.975 quantile of chi squared with as many degrees of freedom as there are statistics (10).
 CHI2_BOUND = 20.483
 _SYMBOLS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
@@ -39,10 +47,10 @@ _PUNCTUATED = re.compile(r"[.!?:;,][\"')\]]*[ \t]*(?=[\r\n]|\Z)")
 
 
 def statistics_of(text: str | None) -> tuple:
-    """(language, lines, words, *STATISTICS) of a text."""
+    """(language, lines, words, *STATISTICS, share of doubtful lines, which are among the junk lines) of a text."""
     text = text or ""
-    none, lists, tables, junk = line_counts(text)
-    lines = none + lists + tables + junk
+    none, lists, tables, junk, doubtful = line_counts(text)
+    lines = none + lists + tables + junk + doubtful
     tokens = text.lower().split()
     n = len(tokens)
     in_language = {k: sum(map(v.__contains__, tokens)) for k, v in COMMON.items()}
@@ -53,11 +61,11 @@ def statistics_of(text: str | None) -> tuple:
     per_line = lambda k: k / lines if lines else 0.0
     return (
         language, lines, n, float(np.log1p(n)), dense / n if n else 0.0, share(_SYMBOLS), share(b"0123456789"), share(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
-        min(1.0, per_line(len(_PUNCTUATED.findall(text)))), max(in_language.values()) / n if n else 0.0, per_line(lists), per_line(tables), per_line(junk),
+        min(1.0, per_line(len(_PUNCTUATED.findall(text)))), max(in_language.values()) / n if n else 0.0, per_line(lists), per_line(tables), per_line(junk + doubtful), per_line(doubtful),
     )
 
 
-_COLUMNS = ["id bigint", "language string", "n_lines bigint", "n_words bigint", *(f"{s} double" for s in STATISTICS)]
+_COLUMNS = ["id bigint", "language string", "n_lines bigint", "n_words bigint", *(f"{s} double" for s in STATISTICS), "doubtful_lines double"]
 _NAMES = [c.split()[0] for c in _COLUMNS]
 
 
@@ -68,7 +76,7 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for b in batches:
             rows = [statistics_of(t.as_py()) for t in b.column("text")]
             cols = list(zip(*rows)) or [[] for _ in _NAMES[1:]]
-            kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.float64()] * len(STATISTICS)]
+            kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.float64()] * (len(STATISTICS) + 1)]
             yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=_NAMES)
 
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, ", ".join(_COLUMNS))
@@ -127,25 +135,26 @@ def prose_models(stats: DataFrame, min_docs: int = 200, rounds: int = 4) -> dict
 
 
 def prose_distance(stats: DataFrame, models: dict[str, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """stats with model, distance2, bound2 (what a candidate exceeds) and part_<statistic> of each statistic."""
+    """stats with model, distance2, bound2 (what a candidate exceeds), words2 (distance of the words alone) and part_<statistic> of each statistic."""
     shares = [list(STATISTICS).index(s) for s in KINDS.values()]
     ready = {}
     for k, (m, c) in models.items():
         least = min(max(0.0, 0.5 - m[i]) ** 2 / c[i, i] for i in shares)
-        ready[k] = (m, np.linalg.inv(c), min(CHI2_BOUND, 0.999 * least))
-    out = [*_COLUMNS, "model string", "distance2 double", "bound2 double", *(f"part_{s} double" for s in STATISTICS)]
+        ready[k] = (m, np.linalg.inv(c), np.linalg.inv(c[:WORDS, :WORDS]), min(CHI2_BOUND, 0.999 * least))
+    out = [*_COLUMNS, "model string", "distance2 double", "bound2 double", "words2 double", *(f"part_{s} double" for s in STATISTICS)]
     names = [c.split()[0] for c in out]
 
     def run(batches):
         for b in batches:
             x = _matrix(b)
             model = np.array([k if k in ready else "" for k in b.column("language").to_pylist()], dtype=object)
-            parts, bound = np.zeros_like(x), np.zeros(len(x))
+            parts, bound, word = np.zeros_like(x), np.zeros(len(x)), np.zeros(len(x))
             for k in set(model):
-                m, precision, least = ready[k]
+                m, precision, of_words, least = ready[k]
                 at = model == k
                 parts[at], bound[at] = _parts(x[at], m, precision), least
-            extra = [pa.array(model, pa.string()), pa.array(parts.sum(1)), pa.array(bound), *(pa.array(parts[:, i].copy()) for i in range(x.shape[1]))]
+                word[at] = _parts(x[at, :WORDS], m[:WORDS], of_words).sum(1)
+            extra = [pa.array(model, pa.string()), pa.array(parts.sum(1)), pa.array(bound), pa.array(word), *(pa.array(parts[:, i].copy()) for i in range(x.shape[1]))]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in _NAMES), *extra], names=names)
 
     return stats.mapInArrow(run, ", ".join(out))
@@ -156,8 +165,10 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     scratch = scratch or Scratch(docs.sparkSession, "quality")
     stats = scratch.keep(text_statistics(docs, id_col, text_col), "statistics")
     far = prose_distance(stats, prose_models(stats, min_docs))
+    # doubtful lines are junk where the words are far from prose
+    share = {s: F.col(s) for s in KINDS.values()} | {"junk_lines": F.col("junk_lines") - F.when(F.col("words2") > CHI2_MEDIAN, 0.0).otherwise(F.col("doubtful_lines"))}
     klass = F.lit(None).cast("string")
     for k, s in KINDS.items():
-        klass = F.when(F.col(s) > 0.5, k).otherwise(klass)
+        klass = F.when(share[s] > 0.5, k).otherwise(klass)
     far = far.withColumn("outlier", F.col("distance2") > F.col("bound2"))
     return far.withColumn("klass", F.when(F.col("outlier"), klass))

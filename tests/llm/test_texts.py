@@ -132,7 +132,7 @@ LINES = {
 
 @pytest.mark.parametrize("kind, line", [(k, x) for k, v in LINES.items() for x in v])
 def test_line_kinds(kind, line):
-    assert lines.KINDS[lines.line_kinds(line)[0]] == kind
+    assert lines.KINDS[lines.line_kinds(line)[0]] in ((kind, "doubtful") if kind == "junk" else (kind,))
 
 
 def test_hunks_are_no_lists():
@@ -140,6 +140,20 @@ def test_hunks_are_no_lists():
     assert [lines.KINDS[k] for k in lines.line_kinds(text)] == ["none"] * 6 + ["list", "list"]
 
 
+def test_the_distance_tells_names_from_junk(spark):
+    rnd = random.Random(8)
+    some = ["The old road is under the bridge and we do not want to close it in the winter because the snow is near.", "the road is by the bridge and the winter is near, so we wait here for it to go by them", "closed bridges repaired near the station", "New signs are set up. The gate is shut."]
+    docs = [(i, "\n".join(rnd.choice(some) for _ in range(rnd.randrange(1, 16)))) for i in range(900)]
+    odd = "Vjztk Grzmq Zbcz."  # letters that hardly form words
+    names = "\n".join(f"{odd}\nthe road is by the bridge and the winter is near, so we wait here for it to go by them" for _ in range(6)) + f"\n{odd}"
+    docs += [(2000, names), (2001, "\n".join("vjztkgrzmqzbczqxjkwpv zbtrjqkkvz wqxzjgkpvvbc" for _ in range(6)))]
+    got = {r["id"]: r for r in quality.quality(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    a, b = got[2000], got[2001]
+    assert a["doubtful_lines"] > 0.5 and a["junk_lines"] > 0.5 and b["doubtful_lines"] > 0.5
+    assert a["words2"] < quality.CHI2_MEDIAN < b["words2"]
+    assert a["klass"] is None and b["klass"] == "junk"  # by their lines alone both would be junk
+
+
 def test_quality(spark):
     rnd = random.Random(6)
     prose = {
