@@ -18,12 +18,17 @@ With windows as long as the wanted run, at every position, a shared run makes tw
 have the same latent vector and cosine 1 whatever the space is, so the candidate search is complete. A common
 subsequence of `need` words has as many shared positions, so the search by counts is complete too.
 
+6. Where items have a question or answer line, a pair that shares fewer words than `need` but `answer_need` still counts
+if the document has that line word by word.
+
 Null and empty texts and items shorter than the run match nothing. Repeated rows count once. Items are
-taken in blocks of BLOCK_CHARS characters, so what is broadcast is bounded however many there are.
+taken in blocks of BLOCK_CHARS characters, so what is broadcast is bounded however many there are. With more than one
+block the texts are taken apart once, into 64-bit hashes of their words, and every block reads these.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from dataclasses import dataclass
@@ -35,7 +40,7 @@ from pyspark.sql import functions as F
 
 from pavelens.session import Scratch
 
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 1 << 20
 _WORDS = re.compile(r"[^\W_]+")
 _TAIL = re.compile(r"(?:question|frage|answer|antwort)\s*:", re.IGNORECASE)
 
@@ -43,7 +48,8 @@ _TAIL = re.compile(r"(?:question|frage|answer|antwort)\s*:", re.IGNORECASE)
 @dataclass(frozen=True)
 class LeakRules:
     """window, stride: of the passages; item_stride: of the items' passages. need: words that must be shared.
-    subsequence: whether the shared words may have others between them. cos_min: of candidates, if need = window."""
+    subsequence: whether the shared words may have others between them. cos_min: of candidates, if need = window.
+    answer_need: words that are enough if the document has the item's question or answer line too; 0 for no such rule."""
 
     window: int = 12
     stride: int = 1
@@ -55,6 +61,12 @@ class LeakRules:
     sample_docs: int = 2_000
     power_rounds: int = 2
     centres: int = 512
+    answer_need: int = 0
+
+    @property
+    def least(self) -> int:
+        """Shared words below which no pair counts."""
+        return min(self.need, self.answer_need or self.need)
 
     @property
     def by_counts(self) -> bool:
@@ -112,7 +124,7 @@ class ItemIndex:
 
     def __init__(self, rules: LeakRules, ids: list[int], tokens: list[np.ndarray], tails: list[np.ndarray], idf: np.ndarray, basis: np.ndarray):
         self.rules, self.ids, self.tails = rules, np.array(ids), tails
-        each = [windows(t, rules.window, rules.item_stride, rules.need) for t in tokens]
+        each = [windows(t, rules.window, rules.item_stride, rules.least) for t in tokens]
         self.tokens = np.concatenate(each) if each else np.zeros((0, rules.window), np.int32)
         self.owner = np.repeat(np.arange(len(ids)), [len(e) for e in each])
         self.foreign2 = float(idf.max() ** 2) if len(idf) else 1.0
@@ -181,11 +193,11 @@ class ItemIndex:
     def shared_windows(self, ids: np.ndarray):
         """(window, item window, shared words) of all pairs of the document's windows and item windows that share `need` words."""
         r = self.rules
-        w = windows(ids, r.window, r.stride, r.need)
+        w = windows(ids, r.window, r.stride, r.least)
         starts = np.minimum(np.arange(len(w)) * r.stride, max(0, len(ids) - r.window))
         ids = np.pad(ids, (0, max(0, r.window - len(ids))))  # a short document's only window is filled up with foreign words
         foreign = np.concatenate([[0], np.cumsum(ids == 0)])
-        known = np.flatnonzero(foreign[starts + r.window] - foreign[starts] <= r.window - r.need)
+        known = np.flatnonzero(foreign[starts + r.window] - foreign[starts] <= r.window - r.least)
         found = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.int32))]
         for rows in np.split(known, np.flatnonzero(np.diff(known // PART)) + 1):
             if not len(rows):
@@ -198,7 +210,7 @@ class ItemIndex:
                     member[k, self.items_of[self.word_at[word] : self.word_at[word + 1]]] = 1
             some = np.flatnonzero(member.sum(0, dtype=np.int32))
             near = [some[lo : lo + PART] for lo in range(0, len(some), PART)]
-            near = [n[(_counts(member[:, n], local, at, r.window) >= r.need).any(0)] for n in near]
+            near = [n[(_counts(member[:, n], local, at, r.window) >= r.least).any(0)] for n in near]
             place = np.full(len(self.space), len(vocabulary), np.int32)  # of words that the text lacks: an extra row
             place[vocabulary] = np.arange(len(vocabulary))
             place[0] = len(vocabulary)
@@ -230,7 +242,7 @@ def _compare(local: np.ndarray, starts: np.ndarray, vocabulary: np.ndarray, b: n
     for k in range(b.shape[1]):
         where[at[:, k], every] |= np.uint64(1 << k % 64)
     where[-1] = 0
-    x, y = np.nonzero(_counts((where != 0).view(np.uint8), local, starts, b.shape[1]) >= rules.need)
+    x, y = np.nonzero(_counts((where != 0).view(np.uint8), local, starts, b.shape[1]) >= rules.least)
     size = np.zeros(len(x), np.int32)
     for lo in range(0, len(x), 50_000):
         i, j = starts[x[lo : lo + 50_000], None] + np.arange(b.shape[1]), y[lo : lo + 50_000]
@@ -238,7 +250,7 @@ def _compare(local: np.ndarray, starts: np.ndarray, vocabulary: np.ndarray, b: n
             size[lo : lo + 50_000] = _subsequence_bits(local[i], j, where, b.shape[1])
         else:
             size[lo : lo + 50_000] = (longest_subsequence if rules.subsequence else longest_run)(vocabulary[local[i]], b[j])
-    hit = size >= rules.need
+    hit = size >= rules.least
     return x[hit], y[hit], size[hit]
 
 
@@ -251,23 +263,57 @@ def _subsequence_bits(local: np.ndarray, j: np.ndarray, where: np.ndarray, width
     return width - np.bitwise_count(row & np.uint64((1 << width) - 1)).astype(np.int32)
 
 
+#: Rows of the vocabulary's matrix that one task adds up.
+GRAM_ROWS = 1_024
 _ENCODED = "doc_id bigint, present binary, tokens binary"
 
 
-def encode(docs: DataFrame, vocabulary, rules: LeakRules, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, the vocabulary numbers in the text once each, and the text in numbers if a window of it can match."""
-    allowed = rules.window - rules.need
+def word_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, hashes): a 64-bit hash of each word of the text, in order."""
+
+    def run(batches):
+        known: dict[str, int] = {}
+        for b in batches:
+            rows = []
+            for t in b.column("text"):
+                w = words(t.as_py())
+                for x in w:
+                    if x not in known:
+                        known[x] = word_hash(x)
+                rows.append(np.fromiter(map(known.__getitem__, w), np.int64, len(w)).tobytes())
+                if len(known) > 1_000_000:
+                    known.clear()
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(rows, pa.binary())], names=["doc_id", "hashes"])
+
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id bigint, hashes binary")
+
+
+def word_hash(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
+def encode(docs: DataFrame, vocabulary, rules: LeakRules, id_col: str, text_col: str, hashed: bool = False) -> DataFrame:
+    """doc_id, the vocabulary numbers in the text once each, and the text in numbers if a window of it can match.
+
+    vocabulary: a broadcast of word → number, or, if the texts come hashed, of (sorted hashes, their numbers).
+    """
+    allowed = rules.window - rules.least
 
     def run(batches):
         number = vocabulary.value
         for b in batches:
             present, tokens = [], []
             for t in b.column("text"):
-                w = words(t.as_py())
-                ids = np.fromiter((number.get(x, 0) for x in w), np.int32, len(w))
+                if hashed:
+                    h = np.frombuffer(t.as_py(), np.int64)
+                    at = np.minimum(np.searchsorted(number[0], h), len(number[0]) - 1)
+                    ids = np.where(number[0][at] == h, number[1][at], 0).astype(np.int32)
+                else:
+                    w = words(t.as_py())
+                    ids = np.fromiter((number.get(x, 0) for x in w), np.int32, len(w))
                 present.append(np.unique(ids[ids > 0]).tobytes())
                 use = False
-                if len(ids) >= rules.need:
+                if len(ids) >= rules.least:
                     size = min(rules.window, len(ids))
                     foreign = np.concatenate([[0], np.cumsum(ids == 0)])
                     use = bool((foreign[size:] - foreign[:-size] <= allowed).any())
@@ -313,11 +359,17 @@ def latent_basis(passages: DataFrame, idf: np.ndarray, rules: LeakRules) -> np.n
                     rows, cols = np.nonzero(known)
                     k = known[rows, cols] - 1
                     np.add.at(out, k, idf[k][:, None] * y[rows])
-            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["m"])
+            part = [k for k in range(0, size, GRAM_ROWS) if out[k : k + GRAM_ROWS].any()]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([out[k : k + GRAM_ROWS].tobytes() for k in part], pa.binary())], names=["k", "m"])
+
+        def add(t: pa.Table) -> pa.Table:
+            total = sum(np.frombuffer(m.as_py()) for m in t.column("m"))
+            return pa.table({"k": t.column("k").slice(0, 1), "m": pa.array([total.tobytes()], pa.binary())})
 
+        # the partitions' matrices are added up on the executors, some rows of the vocabulary in a task; one matrix comes back
         total = np.zeros_like(q)
-        for row in passages.mapInArrow(run, "m binary").toLocalIterator():  # as many as the sample has partitions: four
-            total += np.frombuffer(row["m"]).reshape(q.shape)
+        for row in passages.mapInArrow(run, "k int, m binary").groupBy("k").applyInArrow(add, "k int, m binary").collect():
+            total[row["k"] : row["k"] + GRAM_ROWS] = np.frombuffer(row["m"]).reshape(-1, q.shape[1])
         return total
 
     q = np.linalg.qr(np.random.default_rng(5).standard_normal((size, r)))[0]
@@ -337,18 +389,21 @@ def _search(encoded: DataFrame, index) -> DataFrame:
             docs, blocks, n = [], [], 0
 
             def settle(i, j, size, cos, at, texts):
-                hit = size >= r.need
+                hit = size >= r.least
                 pair = np.column_stack([ix.owner[j[hit]], at[i[hit]], size[hit], np.round(cos[hit] * 1e6).astype(np.int64)])
                 if len(pair):
                     pair = pair[np.lexsort((-pair[:, 3], -pair[:, 2], pair[:, 1], pair[:, 0]))]
                     pair = pair[np.append(True, (np.diff(pair[:, :2], axis=0) != 0).any(1))]
                     for o, d_, s, c in pair.tolist():
+                        want = ix.tails[o]
+                        there = None if not len(want) else _holds(texts[d_], want)
+                        if s < r.need and not there:
+                            continue
                         item.append(int(ix.ids[o]))
                         doc.append(d_)
                         shared.append(s)
                         cosine.append(min(1.0, c / 1e6))
-                        want = ix.tails[o]
-                        tail.append(None if not len(want) else _holds(texts[d_], want))
+                        tail.append(there)
 
             rows = list(zip(b.column("doc_id").to_pylist(), b.column("tokens")))
             texts = {}
@@ -401,13 +456,19 @@ def find_leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = LeakRules()
     chars = items.agg(F.sum(F.length("item_text"))).first()[0] or 0
     blocks = chars // BLOCK_CHARS + 1
     found = None
+    hashes = scratch.keep(word_hashes(docs, id_col, text_col), "hashes") if blocks > 1 else None
     for k in range(blocks):
         rows = sorted(items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect())  # at most about BLOCK_CHARS
         texts = [words(r["item_text"]) for r in rows]
         number = {w: i + 1 for i, w in enumerate(sorted({w for t in texts for w in t}))}
         tokens = [np.array([number[w] for w in t], np.int32) for t in texts]
         tails = [np.array([number[w] for w in words(r["item_text"][m[-1].end() :])], np.int32) if (m := list(_TAIL.finditer(r["item_text"]))) else np.zeros(0, np.int32) for r in rows]
-        encoded = scratch.keep(encode(docs, spark.sparkContext.broadcast(number), rules, id_col, text_col), f"encoded-{k}")
+        if hashes is None:
+            coded = encode(docs, spark.sparkContext.broadcast(number), rules, id_col, text_col)
+        else:
+            pairs = sorted((word_hash(w), i) for w, i in number.items()) or [(0, 0)]
+            coded = encode(hashes, spark.sparkContext.broadcast(tuple(np.array(c, np.int64) for c in zip(*pairs))), rules, "doc_id", "hashes", True)
+        encoded = scratch.keep(coded, f"encoded-{k}")
         n_docs = encoded.count()
         idf = np.log((n_docs + 1) / (document_frequencies(encoded, len(number)) + 1)) + 1
         kept = encoded.filter("tokens is not null")
@@ -423,5 +484,5 @@ def find_leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = LeakRules()
     return found.groupBy("item_id", "doc_id").agg(best.alias("b"), F.max("answer_found").alias("answer_found")).select("item_id", "doc_id", "b.cosine", "b.shared", "answer_found")
 
 
-#: Passages that are alike but not equal: 16 of 24 words in order.
-PARAPHRASE = LeakRules(window=24, need=16, subsequence=True)
+#: Passages that are alike but not equal: 16 of 24 words in order, or 14 and the item's question or answer line.
+PARAPHRASE = LeakRules(window=24, need=16, subsequence=True, answer_need=14)

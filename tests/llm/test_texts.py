@@ -70,6 +70,30 @@ def test_paraphrases(spark):
     assert set(got) == {1, 2} and got[1]["answer_found"] and not got[2]["answer_found"]
 
 
+def test_the_answer_decides_below_the_bound(spark):
+    base = [f"v{k}" for k in range(24)]
+    near = lambda n: " ".join(f"x{k}" if 6 <= k < 6 + n else w for k, w in enumerate(base))
+    docs = [(n, near(n) + " y y blue moon") for n in (8, 10, 11)] + [(100 + n, near(n) + " y y blue sky") for n in (8, 10)]
+    got = leakage.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(base) + "\nAnswer: blue moon")], "item_id long, item_text string"), leakage.PARAPHRASE).collect()
+    assert {(r["doc_id"], r["shared"], r["answer_found"]) for r in got} == {(8, 16, True), (10, 14, True), (108, 16, False)}
+
+
+@pytest.mark.parametrize("replaced", [1, 2, 4, 6, 8])
+def test_recall_of_passages_at_random_places(spark, replaced):
+    rnd = random.Random(replaced)
+    items = [[f"w{rnd.randrange(900)}" for _ in range(rnd.randrange(30, 70))] for _ in range(20)]
+    docs = []
+    for d in range(100):
+        item = items[d % 20]
+        k = rnd.randrange(len(item) - 23)
+        w = item[k : k + 24]
+        for j in rnd.sample(range(24), replaced):
+            w[j] = f"x{rnd.randrange(99)}"
+        docs.append((d, " ".join([f"y{rnd.randrange(99)}" for _ in range(rnd.randrange(60))] + w + [f"z{rnd.randrange(99)}" for _ in range(rnd.randrange(60))])))
+    got = leakage.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, item_text string"), leakage.PARAPHRASE)
+    assert {(r["item_id"], r["doc_id"]) for r in got.collect()} >= {(d % 20, d) for d in range(100)}  # recall 1
+
+
 def _shares(doc, item, need, size):
     a, b = leakage.windows(doc, size, 1, need), leakage.windows(item, size, 1, need)
     i, j = (g.ravel() for g in np.meshgrid(range(len(a)), range(len(b))))
