@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pavelens.llm import leakage, nearest_time, packing, percentiles, quality
+from pavelens.plans.checks import instants
 from pavelens.plans.dataset import recording_instants
 from pavelens.session import Scratch, ship, table
 
@@ -99,7 +102,35 @@ QUERIES = {
     "p6_containers": p6_containers, "p6_fill": p6_fill, "p7_found": p7_found, "p7_paraphrases": p7_paraphrases,
     "p8_found": p8_found, "p8_quality": p8_quality,
 }
+_NEAREST = "WITH " + instants() + f""",
+rc AS (SELECT DISTINCT rec_id, TRY_CAST(regexp_extract(run_id, '^run_([0-9]+)$', 1) AS BIGINT) AS run, utc_us FROM recordings JOIN ts USING (time_stamp)),
+pt AS (SELECT DISTINCT point_id, point_source_id AS run, CAST(round(gps_time * 1e6) AS BIGINT) + {GPS_TO_UNIX_S * 1_000_000} AS us FROM point_cloud WHERE gps_time IS NOT NULL AND NOT isnan(gps_time)),
+pr AS (SELECT rec_id, point_id, abs(us - utc_us) AS gap_us, row_number() OVER (PARTITION BY point_id, us ORDER BY abs(us - utc_us), rec_id) AS r FROM pt JOIN rc ON rc.run = pt.run AND abs(us - utc_us) <= 250000)
+"""
+
+
+def _one_letter_forms() -> tuple[str, str]:
+    """Characters that NFKC writes as one other character, and these."""
+    pairs = [(chr(o), unicodedata.normalize("NFKC", chr(o))) for o in range(0xA0, 0x10000) if not 0xD800 <= o < 0xE000]
+    pairs = [(a, b) for a, b in pairs if a != b and len(b) == 1 and a != "'" and b != "'"]
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+def _shared_runs(need: int = 12) -> str:
+    """Documents and items with a run of words in common, by joining all runs of that length. Forms that NFKC writes as several characters aren't taken apart."""
+    a, b = _one_letter_forms()
+    text = lambda c: f"regexp_extract_all(lower(translate({c}, '{a}', '{b}')), '[\\p{{L}}\\p{{N}}]+')"
+    runs = lambda key: f"SELECT DISTINCT {key}, hash(w[i:i + {need - 1}]) AS g, w[i:i + {need - 1}] AS run FROM (SELECT {key}, w, unnest(generate_series(1, len(w) - {need - 1})) AS i FROM {{0}})"
+    return (
+        f"WITH d AS (SELECT doc_id, {text('text')} AS w FROM documents), i AS (SELECT item_id, {text('item_text')} AS w FROM eval_items), "
+        f"dr AS ({runs('doc_id').format('d')}), ir AS ({runs('item_id').format('i')}) SELECT DISTINCT item_id, doc_id FROM ir JOIN dr ON ir.g = dr.g AND ir.run = dr.run"
+    )
+
+
 ORACLES = {
+    "p2_found": _NEAREST + "SELECT rec_id, point_id FROM pr WHERE r = 1",
+    "p2_pairs": _NEAREST + "SELECT rec_id, point_id, gap_us FROM pr WHERE r = 1",
+    "p7_found": _shared_runs(),
     "p1_found": _RANKED + """SELECT DISTINCT strecke_id, g.bw, g.fk, g.metric FROM g JOIN factors f ON f.bw = g.bw AND f.fk = g.fk AND f.metric = g.metric
 WHERE n >= 30 AND v > f.f2""",
     "p1_percentiles": _RANKED + """SELECT strecke_id, bw, fk, metric, CAST(pc / 100.0 AS DOUBLE) AS p, n AS n_valid, v AS value, 0.0::DOUBLE AS rank_error FROM g""",
