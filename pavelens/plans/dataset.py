@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pavelens.operators import compaction, nearspace, timestamps
+from pavelens.plans import checks
 from pavelens.session import Scratch, ship, table
 
 
@@ -58,4 +59,4 @@ def p5_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_status": p4_status, "p5_found": p5_found, "p5_plan": p5_plan}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(checks.SQL)
