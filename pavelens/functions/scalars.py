@@ -70,6 +70,26 @@ def gps_seconds(instant: Column) -> Column:
     return F.unix_micros(instant) / F.lit(1e6) - F.lit(1315964800.0)
 
 
+def utc_micros(gps: Column) -> Column:
+    """UTC microseconds of adjusted standard GPS seconds."""
+    return F.round(gps * 1e6).cast("bigint") + F.lit(1_315_964_800_000_000)
+
+
+def image_folder(image_id: Column, letters: int = 6) -> Column:
+    """The sub-directory of an image: the first letters of its id."""
+    return F.substring(image_id, 1, letters)
+
+
+def intensity_byte(intensity: Column) -> Column:
+    """16-bit intensities as 0 to 255; values outside of 16 bits are cut to them."""
+    return F.floor(F.least(F.greatest(intensity, F.lit(0)), F.lit(65_535)) / 256).cast("int")
+
+
+def height_code(z: Column, lowest: Column, span: float = 100.0) -> Column:
+    """A height as 0 to 65,535 over `span` metres from the lowest one up; heights beyond are cut to the ends."""
+    return F.floor(F.least(F.greatest((z - lowest) / span, F.lit(0.0)), F.lit(1.0)) * 65_535).cast("int")
+
+
 def in_range(x: Column, low: Column | float | None, high: Column | float | None) -> Column:
     """Inclusive at both ends; an open end is None."""
     ok = F.lit(True)
@@ -90,12 +110,23 @@ def convergence(lon: Column, lat: Column, meridian: float = 9.0) -> Column:
     return F.atan(F.tan(F.radians(lon - meridian)) * F.sin(F.radians(lat)))
 
 
-def panorama_pixel(dx: Column, dy: Column, dz: Column, heading: Column, width: int, height: int) -> tuple[Column, Column]:
-    """Pixel of an equirectangular panorama that sees the direction (dx, dy, dz); heading in radians clockwise from north."""
-    azimuth = F.pmod(F.atan2(dx, dy) - heading + F.lit(math.pi), F.lit(2 * math.pi))
+def rotated(dx: Column, dy: Column, dz: Column, matrix: Column) -> tuple[Column, Column, Column]:
+    """The row vector (dx, dy, dz) times a row-major 3 × 3 matrix."""
+    m = lambda i, k: F.element_at(matrix, 3 * i + k + 1)
+    return tuple(dx * m(0, k) + dy * m(1, k) + dz * m(2, k) for k in range(3))
+
+
+def panorama_pixel(dx: Column, dy: Column, dz: Column, turn: Column, width: int, height: int, inverse_rotation: Column | None = None) -> tuple[Column, Column]:
+    """(column, row) of an equirectangular panorama that sees the direction (dx, dy, dz), cut to whole pixels; north is in the middle.
+
+    turn: radians added to the azimuth, as the convergence of the grid. inverse_rotation: of the panorama in the world, row-major.
+    """
+    if inverse_rotation is not None:
+        dx, dy, dz = rotated(dx, dy, dz, inverse_rotation)
+    azimuth = F.atan2(dx, dy) + F.lit(math.pi) + turn
     zenith = F.atan2(F.sqrt(dx * dx + dy * dy), dz)
-    column = F.pmod(F.floor(azimuth / (2 * math.pi) * width), F.lit(width))
-    return column.cast("int"), F.least(F.floor(zenith / math.pi * height), F.lit(height - 1)).cast("int")
+    cut = lambda v: v.cast("bigint")  # towards zero
+    return F.pmod(cut(azimuth / (2 * math.pi) * width), F.lit(width)).cast("int"), cut(zenith / math.pi * height).cast("int")
 
 
 def rotation_zxy(yaw: Column, pitch: Column, roll: Column) -> Column:

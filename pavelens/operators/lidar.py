@@ -289,3 +289,19 @@ def bounds(df: DataFrame, keys: list[str]) -> DataFrame:
     """Extent in x, y and z per key, NaN left out."""
     clean = lambda c: F.when(~F.isnan(c), F.col(c))
     return df.groupBy(*keys).agg(*[f(clean(c)).alias(f"{n}_{c}") for c in ("x", "y", "z") for n, f in (("min", F.min), ("max", F.max))])
+
+
+def clouds_of_tiles(extents: DataFrame, areas: DataFrame, done: DataFrame, size: float = 50.0) -> DataFrame:
+    """extents(path, x0, y0, x1, y1), areas(geometry), done(tile_x, tile_y) → (tile_x, tile_y, path): which clouds each tile needs that isn't there yet.
+
+    Clouds whose box meets no area are left out. A box touches the tiles of its borders too.
+    """
+    from pavelens.operators.polygons import boxes_in_areas
+
+    numbered = areas.select(F.lit(1).alias("_a"), "geometry")
+    wide = extents.agg(F.max(F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")))).first()[0] or 0.0
+    met = boxes_in_areas(extents.select("path", "x0", "y0", "x1", "y1"), numbered, ["_a"], largest=wide, size=max(64.0, wide)).drop("_a").distinct()
+    for a in "xy":
+        at = F.sequence(F.floor(F.col(f"{a}0") / size), F.floor(F.col(f"{a}1") / size))
+        met = met.withColumn(f"tile_{a}", F.explode(F.transform(at, lambda k: (k * size).cast("bigint"))))
+    return met.select("tile_x", "tile_y", "path").distinct().join(done.select("tile_x", "tile_y").distinct(), ["tile_x", "tile_y"], "left_anti")

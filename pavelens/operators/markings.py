@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-# States of a pixel.
+# States of a pixel, and the names of the types by number.
 STATES = {1: "gut", 2: "mittel", 3: "schlecht"}
+TYPES = ("Linie dünn", "Linie dünn gestrichelt", "Linie breit", "Linie breit gestrichelt", "Linie extrabreit", "NULL", "Pfeile", "Symbole", "Sperrflächen")
 
 
 def state_of(mid: Column, bad: Column, t_mid: float = 0.25, t_bad: float = 0.25) -> Column:
@@ -30,6 +31,16 @@ def classify_markings(pixels: DataFrame, keys: list[str], t_mid: float = 0.25, t
     return shares.withColumn("zustand", state_of(F.col("mittel"), F.col("schlecht"), t_mid, t_bad))
 
 
+def type_name(type_id: Column) -> Column:
+    return F.get(F.array(*map(F.lit, TYPES)), type_id - 1)
+
+
+def reclassify_markings(markings: DataFrame, t_mid: float = 0.25, t_bad: float = 0.25) -> DataFrame:
+    """Stored markings(mittel, schlecht, …) with zustand told anew from their percentages; what else they have stays."""
+    state = state_of(F.col("mittel"), F.col("schlecht"), t_mid, t_bad)
+    return markings.select(*[F.col(f"`{c}`") for c in markings.columns if c != "zustand"], state.alias("zustand"))
+
+
 def condition_table(pixels: DataFrame, ignore: tuple[int, ...] = ()) -> DataFrame:
     """Pixels per tile, type and condition, with the share of the tile and of the type (ignored types left out of the tile)."""
     counts = pixels.filter(~F.col("type_id").isin(*ignore) if ignore else F.lit(True)).groupBy("tile", "type_id", "cond_id").agg(F.count(F.lit(1)).alias("n"))
@@ -38,12 +49,32 @@ def condition_table(pixels: DataFrame, ignore: tuple[int, ...] = ()) -> DataFram
 
 
 def classify_tiles(table: DataFrame, type_weight: Column, mid: float = 0.2, bad_mid: float = 0.02, bad: float = 0.3) -> DataFrame:
-    """table(tile, type_id, cond_id, n) → tile, shares of the states weighted by type, and the state; null without weight."""
+    """table(tile, type_id, cond_id, n) → tile, shares of the states weighted by type, and the state; null without weight.
+
+    type_weight may also depend on cond_id (see weight_of).
+    """
     w = F.sum(F.when(F.col("cond_id") > 0, F.col("n") * type_weight))
     part = lambda k: F.try_divide(F.sum(F.when(F.col("cond_id") == k, F.col("n") * type_weight).otherwise(F.lit(0.0))), w)
     s = table.groupBy("tile").agg(*[part(k).alias(v) for k, v in STATES.items()])
-    state = F.when(F.col("schlecht") >= bad, "schlecht").when((F.col("mittel") + F.col("schlecht") >= mid) | (F.col("schlecht") >= bad_mid), "mittel").when(F.col("gut").isNotNull(), "gut")
-    return s.withColumn("zustand", state)
+    return s.withColumn("zustand", tile_state(mid, bad_mid, bad))
+
+
+def tile_state(mid: float = 0.2, bad_mid: float = 0.02, bad: float = 0.3) -> Column:
+    """State of a tile from its shares gut, mittel and schlecht; null if they are null."""
+    middling = (F.col("mittel") + F.col("schlecht") >= mid) | (F.col("schlecht") >= bad_mid)
+    return F.when(F.col("schlecht") >= bad, "schlecht").when(middling, "mittel").when(F.col("gut").isNotNull(), "gut")
+
+
+def weight_of(factors: dict[tuple[int, int], float]) -> Column:
+    """Weight of a pixel from factors by (cond_id, type_id); 0 for others."""
+    pairs = F.create_map(*[F.lit(v) for (c, t), f in factors.items() for v in (c * 100 + t, float(f))])
+    return F.coalesce(F.try_element_at(pairs, F.col("cond_id") * 100 + F.col("type_id")), F.lit(0.0))
+
+
+def empty_tiles(tiles: DataFrame) -> DataFrame:
+    """tiles(tile) as rows of classify_tiles() without any value, for tiles that nothing was found in."""
+    none = F.lit(None)
+    return tiles.select("tile", *[none.cast("double").alias(s) for s in STATES.values()], none.cast("string").alias("zustand"))
 
 
 def merge_types(type_id: Column, pairs: dict[int, int]) -> Column:
@@ -52,10 +83,3 @@ def merge_types(type_id: Column, pairs: dict[int, int]) -> Column:
     for a, b in pairs.items():
         out = F.when(type_id == a, b).otherwise(out)
     return out
-
-
-def outer_weights(spark_factors: DataFrame) -> DataFrame:
-    """factors(kind 'type'|'cond', id, f) → (type_id, cond_id, w) of all combinations: 9 × 3 rows."""
-    t = spark_factors.filter("kind = 'type'").select(F.col("id").alias("type_id"), F.col("f").alias("_t"))
-    c = spark_factors.filter("kind = 'cond'").select(F.col("id").alias("cond_id"), F.col("f").alias("_c"))
-    return t.join(c, F.lit(True)).select("type_id", "cond_id", (F.col("_t") * F.col("_c")).alias("w"))

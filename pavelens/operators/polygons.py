@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pavelens.functions import wkt
+from pavelens.functions.scalars import round_exact
 from pavelens.operators.areas import CELL_M2, GROUPS, MODES, PIXEL_M, TYPES, sieve
 from pavelens.session import Scratch
 
@@ -321,6 +322,34 @@ def lines_in_areas(lines: DataFrame, areas: DataFrame, keep: list[str], longest:
     return _in_squares(l, area_squares(areas, keep, longest + 1.0, size), lines.columns, keep, test)
 
 
+def boxes_in_areas(boxes: DataFrame, areas: DataFrame, keep: list[str], largest: float = 200.0, size: float = 64.0) -> DataFrame:
+    """boxes(x0, y0, x1, y1, …), each up to `largest` wide and high, inner joined with areas(keep, geometry) that they meet.
+
+    They meet if a corner of the area is in the box, borders included, a corner of the box in the area, or two edges cross.
+    A pair comes once. Larger boxes are an error when run; boxes with null ends meet nothing.
+    """
+    known = " and ".join(f"{c} is not null and not isnan({c})" for c in ("x0", "y0", "x1", "y1"))
+    fits = (F.col("x1") - F.col("x0") <= largest) & (F.col("y1") - F.col("y0") <= largest)
+    b_ = boxes.filter(known).filter(F.when(fits, True).otherwise(F.raise_error(F.lit(f"a box is larger than {largest}")).cast("boolean")))
+    for a in "xy":
+        b_ = b_.withColumn(f"g{a}", F.explode(F.sequence(F.floor(F.col(f"{a}0") / size).cast("bigint"), F.floor(F.col(f"{a}1") / size).cast("bigint"))))
+
+    def test(b, s, k):
+        x0, y0, x1, y1, gx, gy, bx, by = (b.column(c).to_numpy(zero_copy_only=False) for c in ("x0", "y0", "x1", "y1", "gx", "gy", "bx", "by"))
+        at = np.flatnonzero((gx == np.floor(np.maximum(x0, bx) / size)) & (gy == np.floor(np.maximum(y0, by) / size)))
+        out, e = np.zeros(len(x0), bool), wkt.edges(s)
+        owner, i = wkt.ragged(s.start, k[at])
+        here = (s.x[i] >= x0[at][owner]) & (s.x[i] <= x1[at][owner]) & (s.y[i] >= y0[at][owner]) & (s.y[i] <= y1[at][owner])
+        out[at] = np.bincount(owner[here], minlength=len(at)) > 0
+        out[at] |= wkt.inside(x0[at], y0[at], k[at], e)
+        for ends in ((x0, y0, x1, y0), (x1, y0, x1, y1), (x1, y1, x0, y1), (x0, y1, x0, y0)):
+            rest = at[~out[at]]
+            out[rest] = wkt.crossing(k[rest], e, np.arange(len(rest)), (np.arange(len(rest) + 1), *(v[rest] for v in ends)))
+        return out
+
+    return _in_squares(b_, area_squares(areas, keep, largest + 1.0, size), boxes.columns, keep, test)
+
+
 def cells_in_areas(cells: DataFrame, areas: DataFrame, keep: list[str], size: float = SQUARE) -> DataFrame:
     """cells(cx, cy) of 1 m joined with areas(keep, geometry) that cover some of them: cx, cy, keep, part, xy, first.
 
@@ -460,6 +489,12 @@ def damaged_shares(areas: DataFrame, damage: DataFrame, clip: bool = False) -> D
     return out.select("area_id", "bw", "riss", "afli", "ofs")
 
 
+def substance_columns(areas: DataFrame, digits: int = 2, only: bool = False) -> DataFrame:
+    """areas(area_id, …, riss, afli, ofs) with the norm's columns RISS, AFLI and OFS, rounded; only: nothing but area_id, geometry and these."""
+    own = [c for c in areas.columns if c not in ("riss", "afli", "ofs") and (not only or c in ("area_id", "geometry"))]
+    return areas.select(*[F.col(f"`{c}`") for c in own], *[round_exact(F.col(c), digits).alias(c.upper()) for c in ("riss", "afli", "ofs")])
+
+
 def damaged_share(areas: DataFrame, damage: DataFrame, mode: str, clip: bool = False) -> DataFrame:
     """The areas of one mode alone; see damaged_shares."""
     return damaged_shares(areas.filter(F.col("bw") == mode), damage, clip).select("area_id", "bw", *GROUPS[mode])

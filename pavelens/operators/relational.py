@@ -42,3 +42,19 @@ def skip_done(work: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 def every_nth(df: DataFrame, position: str, n: int) -> DataFrame:
     return df.filter(F.pmod(F.col(position), F.lit(n)) == 0)
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """df without some columns; names that it lacks are ignored."""
+    return df.drop(*names)
+
+
+def geometry_first(df: DataFrame, *then: str) -> DataFrame:
+    """Columns in the order that layers are written in: geometry, `then`, the others as they come."""
+    head = [c for c in ("geometry", *then) if c in df.columns]
+    return df.select(*[F.col(f"`{c}`") for c in [*head, *(c for c in df.columns if c not in head)]])
+
+
+def in_order(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows sorted for a sink that keeps their order; nulls first."""
+    return df.orderBy(*keys)

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 
 from pavelens.functions import scalars
 from pavelens.operators import areas, evaluate, lidar, markings, planeness, polygons, profiles, raster, relational, sampling, sequences
+from pavelens.plans import checks
 from pavelens.plans.fixtures import cte, fixture
 from pavelens.session import ship, table
 
@@ -526,11 +527,150 @@ def every_fifth_sample(spark, sf_dir):
 @query("SELECT DISTINCT point_id, CAST(round(gps_time * 1e6) AS BIGINT) + 1315964800000000 AS utc_us FROM point_cloud WHERE gps_time IS NOT NULL")
 def gps_to_utc(spark, sf_dir):
     p = table(spark, sf_dir, "point_cloud").filter("gps_time is not null")
-    return p.select("point_id", (F.round(F.col("gps_time") * 1e6).cast("bigint") + 1315964800 * 1_000_000).alias("utc_us")).distinct()
+    return p.select("point_id", scalars.utc_micros(F.col("gps_time")).alias("utc_us")).distinct()
+
+
+@query("WITH " + checks.instants() + " SELECT DISTINCT rec_id, utc_us / 1e6 - 1315964800.0e0 AS gps FROM recordings JOIN ts USING (time_stamp)")
+def utc_to_gps(spark, sf_dir):
+    """Recording times as seconds of the laser points' clock."""
+    from pavelens.plans.dataset import recording_instants
+
+    return recording_instants(spark, sf_dir, ["rec_id"]).select("rec_id", scalars.gps_seconds(F.timestamp_micros("utc_us")).alias("gps")).distinct()
+
+
+@query("SELECT DISTINCT point_id, CAST(floor(least(greatest(intensity, 0), 65535) / 256e0) AS INT) AS intensity8, CAST(floor(least(greatest((z - (SELECT min(z) FROM point_cloud)) / 100e0, 0e0), 1e0) * 65535) AS INT) AS height16 FROM point_cloud")
+def raster_codes(spark, sf_dir):
+    """Intensities as bytes and heights above the lowest point as 16-bit numbers."""
+    p = table(spark, sf_dir, "point_cloud").select("point_id", "z", "intensity")
+    low = F.lit(p.agg(F.min("z")).first()[0]).cast("double")
+    return p.select("point_id", scalars.intensity_byte(F.col("intensity")).alias("intensity8"), scalars.height_code(F.col("z"), low).alias("height16")).distinct()
+
+
+@query("SELECT DISTINCT rec_id, image_id, substr(image_id, 1, 6) AS folder FROM recordings")
+def image_folders(spark, sf_dir):
+    return table(spark, sf_dir, "recordings").select("rec_id", "image_id", scalars.image_folder(F.col("image_id")).alias("folder")).distinct()
+
+
+_S2 = lambda c: f"CASE WHEN {c} IS NOT NULL AND NOT isnan({c}) THEN {_R2.format(c)} END"
+
+
+@query(lambda: f"SELECT DISTINCT area_id, {', '.join(f'{_S2(c)} AS {c.upper()}' for c in ('riss', 'afli', 'ofs'))} FROM strassenzustand")
+def substance_projection(spark, sf_dir):
+    """The norm's three substance columns, rounded."""
+    d = table(spark, sf_dir, "strassenzustand").select("area_id", *[scalars.nan_to_null(F.col(c)).alias(c) for c in ("riss", "afli", "ofs")])
+    return polygons.substance_columns(d).distinct()
+
+
+@query("SELECT DISTINCT r.rec_id, r.run_id, r.x, r.y FROM recordings r WHERE r.image_id IN (SELECT image_id FROM recordings WHERE height < 300)")
+def points_of_layer(spark, sf_dir):
+    """Recording points of the images of one height layer."""
+    r = table(spark, sf_dir, "recordings")
+    layer = r.filter("height < 300").select(F.col("image_id").alias("recording_id"))
+    points = r.select("rec_id", "run_id", "x", "y", F.col("image_id").alias("recording_id")).distinct()
+    return sampling.of_layer(points, layer).select("rec_id", "run_id", "x", "y").distinct()
+
+
+_BOX = "SELECT rec_id, min(x) - 3 AS x0, min(y) - 3 AS y0, min(x) + 3 AS x1, min(y) + 3 AS y1 FROM recordings GROUP BY rec_id"
+_EDGE_CROSSES = " OR ".join(
+    f"(((e.y > {h}) <> (e.v > {h})) AND e.x + ({h} - e.y) * (e.u - e.x) / nullif(e.v - e.y, 0) BETWEEN b.x0 AND b.x1)" for h in ("b.y0", "b.y1")
+) + " OR " + " OR ".join(f"(((e.x > {w}) <> (e.u > {w})) AND e.y + ({w} - e.x) * (e.v - e.y) / nullif(e.u - e.x, 0) BETWEEN b.y0 AND b.y1)" for w in ("b.x0", "b.x1"))
+
+
+@query(f"""WITH {checks.shapes('ar', 'strassenzustand', 'area_id')}, b AS ({_BOX}),
+ c AS (SELECT b.*, a.k, a.id FROM b JOIN ar_b a ON b.x0 <= a.x1 AND b.x1 >= a.x0 AND b.y0 <= a.y1 AND b.y1 >= a.y0),
+ t AS (SELECT b.rec_id, b.k, b.id, bool_or(e.x BETWEEN b.x0 AND b.x1 AND e.y BETWEEN b.y0 AND b.y1) AS corner, bool_or({_EDGE_CROSSES}) AS crossed,
+  count(*) FILTER (WHERE (e.y > b.y0) <> (e.v > b.y0) AND b.x0 < (e.u - e.x) * (b.y0 - e.y) / nullif(e.v - e.y, 0) + e.x) % 2 = 1 AS inn FROM c b JOIN ar_e e ON e.k = b.k GROUP BY b.rec_id, b.k, b.id)
+ SELECT DISTINCT rec_id, id AS area_id FROM t WHERE corner OR crossed OR inn""")
+def boxes_in_areas(spark, sf_dir):
+    """6 m boxes around recordings and the areas that they meet."""
+    r = table(spark, sf_dir, "recordings").groupBy("rec_id").agg(F.min("x").alias("x"), F.min("y").alias("y")).filter("rec_id is not null")
+    boxes = r.selectExpr("rec_id", "x - 3 AS x0", "y - 3 AS y0", "x + 3 AS x1", "y + 3 AS y1")
+    own = table(spark, sf_dir, "strassenzustand").select("area_id", "geometry").distinct()
+    return polygons.boxes_in_areas(boxes, own, ["area_id"], largest=10.0).select("rec_id", "area_id").distinct()
+
+
+@query(f"""WITH {checks.shapes('ar', 'strassenzustand', 'area_id')}, q AS (SELECT r.point_id AS p, r.x, r.y, b.k, b.id FROM (SELECT DISTINCT point_id, x, y FROM point_cloud) r JOIN ar_b b ON r.x > b.x0 AND r.x < b.x1 AND r.y > b.y0 AND r.y < b.y1),
+ t AS (SELECT q.p, q.id, q.k, count(*) FILTER (WHERE (e.y > q.y) <> (e.v > q.y) AND q.x < (e.u - e.x) * (q.y - e.y) / nullif(e.v - e.y, 0) + e.x) % 2 = 1 AS inn FROM q JOIN ar_e e ON e.k = q.k GROUP BY q.p, q.id, q.k)
+ SELECT DISTINCT p AS point_id, id AS area_id FROM t WHERE inn""")
+def points_in_polygons(spark, sf_dir):
+    """Laser points and the areas with holes and pieces that they lie in."""
+    p = table(spark, sf_dir, "point_cloud").select("point_id", "x", "y").distinct()
+    own = table(spark, sf_dir, "strassenzustand").select("area_id", "geometry").distinct()
+    return polygons.points_in_areas(p, own, ["area_id"]).select("point_id", "area_id").distinct()
+
+
+_TILES = "t AS (SELECT DISTINCT CAST(floor({0}.x / 50) * 50 AS BIGINT) AS tile_x, CAST(floor({0}.y / 50) * 50 AS BIGINT) AS tile_y FROM {0})"
+_MESH = "m AS (SELECT tile_x, tile_y, r, c, tile_x + (c + 0.5e0) * {0} AS x, tile_y + (r + 0.5e0) * {0} AS y FROM t, range({1}) a(r), range({1}) b(c))"
+
+
+def _mesh(df: DataFrame, cells: int) -> DataFrame:
+    tiles = lidar.retile(df, 50.0).select("tile_x", "tile_y").distinct()
+    m = raster.mesh(tiles, 50.0, cells)
+    return m.withColumn("cell_id", (F.col("tile_x") * 100_000_000 + F.col("tile_y")) * 1_000 + F.col("cell"))
+
+
+@query("WITH " + _POINTS + ", " + _TILES.format("point_cloud") + ", " + _MESH.format("2.5e0", 20) + """, v AS (SELECT DISTINCT point_id, x, y, z, intensity::DOUBLE AS intensity FROM point_cloud),
+ d AS (SELECT m.tile_x, m.tile_y, r, c, z, intensity, row_number() OVER (PARTITION BY m.tile_x, m.tile_y, r, c ORDER BY (m.x - v.x) * (m.x - v.x) + (m.y - v.y) * (m.y - v.y), point_id) AS n
+  FROM v JOIN m ON m.x BETWEEN v.x - 1 AND v.x + 1 AND m.y BETWEEN v.y - 1 AND v.y + 1 AND m.tile_x BETWEEN v.x - 51 AND v.x + 1 AND (m.x - v.x) * (m.x - v.x) + (m.y - v.y) * (m.y - v.y) <= 1)
+ SELECT tile_x, tile_y, r AS "row", c AS col, z, intensity FROM d WHERE n = 1""")
+def grid_from_points(spark, sf_dir):
+    """Height and intensity of the nearest laser point to each cell of a 2.5 m raster, up to 1 m away."""
+    p = table(spark, sf_dir, "point_cloud").select("point_id", F.col("x").alias("rx"), F.col("y").alias("ry"), "z", F.col("intensity").cast("double").alias("intensity")).distinct()
+    cells = _mesh(p.select(F.col("rx").alias("x"), F.col("ry").alias("y")), 20)
+    return raster.grid_values(cells, p, "cell_id", "point_id", ("z", "intensity")).filter("z is not null").select("tile_x", "tile_y", F.col("row").cast("bigint").alias("row"), F.col("col").cast("bigint").alias("col"), "z", "intensity")
+
+
+@query("WITH r0 AS (SELECT rec_id, min(x) AS x, min(y) AS y FROM recordings GROUP BY rec_id), " + _TILES.format("r0") + ", " + _MESH.format("12.5e0", 4) + """,
+ k AS (SELECT *, floor(x / 60e0) AS kx, floor(y / 60e0) AS ky FROM m), n AS (SELECT rec_id, x, y, floor(x / 60e0) + dx AS kx, floor(y / 60e0) + dy AS ky FROM r0, (VALUES (-1), (0), (1)) a(dx), (VALUES (-1), (0), (1)) b(dy)),
+ d AS (SELECT k.tile_x, k.tile_y, r, c, n.rec_id, CAST(row_number() OVER (PARTITION BY k.tile_x, k.tile_y, r, c ORDER BY (k.x - n.x) * (k.x - n.x) + (k.y - n.y) * (k.y - n.y), rec_id) AS INT) AS rank
+  FROM k JOIN n ON n.kx = k.kx AND n.ky = k.ky WHERE (k.x - n.x) * (k.x - n.x) + (k.y - n.y) * (k.y - n.y) <= 3600)
+ SELECT tile_x, tile_y, r AS "row", c AS col, rec_id, rank FROM d WHERE rank <= 7""")
+def nearest_recordings(spark, sf_dir):
+    """The seven recordings nearest to each cell of a 12.5 m raster, up to 60 m away."""
+    r = table(spark, sf_dir, "recordings").groupBy("rec_id").agg(F.min("x").alias("rx"), F.min("y").alias("ry")).filter("rec_id is not null")
+    cells = _mesh(r.select(F.col("rx").alias("x"), F.col("ry").alias("y")), 4)
+    near = raster.nearest_recordings(cells, r, "cell_id", "rec_id", 7, 60.0)
+    own = cells.select("cell_id", "tile_x", "tile_y", F.col("row").cast("bigint").alias("row"), F.col("col").cast("bigint").alias("col"))
+    return near.join(own, "cell_id").select("tile_x", "tile_y", "row", "col", "rec_id", "rank")
+
+
+@query(_PX + """, s AS (SELECT tile, count(*) FILTER (WHERE cond_id = 2) * 100e0 / count(*) FILTER (WHERE cond_id > 0) AS mittel, count(*) FILTER (WHERE cond_id = 3) * 100e0 / count(*) FILTER (WHERE cond_id > 0) AS schlecht FROM fx_pixels GROUP BY tile HAVING count(*) FILTER (WHERE cond_id > 0) > 0)
+ SELECT *, CASE WHEN schlecht / 100e0 >= 0.3e0 THEN 'schlecht' WHEN (mittel + schlecht) / 100e0 >= 0.6e0 THEN 'mittel' ELSE 'gut' END AS zustand FROM s""")
+def reclassify_markings(spark, sf_dir):
+    """Stored markings classified anew with other thresholds."""
+    stored = markings.classify_markings(fixture(spark, sf_dir, "fx_pixels"), ["tile"]).select("tile", "mittel", "schlecht", "zustand")
+    return markings.reclassify_markings(stored, 0.6, 0.3)
+
+
+@query("SELECT DISTINCT rec_id, CAST(floor(atan(tan(radians(height / 100 - 9)) * sin(radians(51))) * 1e6) AS BIGINT) AS urad FROM recordings WHERE height IS NOT NULL")
+def grid_convergence(spark, sf_dir):
+    """Meridian convergence in microradians at made-up longitudes."""
+    angle = scalars.convergence(F.col("height") / 100, F.lit(51.0))
+    return table(spark, sf_dir, "recordings").filter("height is not null").select("rec_id", F.floor(angle * 1e6).cast("bigint").alias("urad")).distinct()
+
+
+@query("""WITH p AS (SELECT DISTINCT point_id, x - floor(x / 50) * 50 - 25 AS dx, y - floor(y / 50) * 50 - 25 AS dy, z / 50 - 3 AS dz FROM point_cloud)
+ SELECT point_id, CAST(trunc((atan2(dx, dy) + pi() + 0.01e0) / (2 * pi()) * 4096) AS INT) % 4096 AS px, CAST(trunc(atan2(sqrt(dx * dx + dy * dy), dz) / pi() * 2048) AS INT) AS py FROM p""")
+def panorama_pixels(spark, sf_dir):
+    """Where panoramas in the middle of each tile see the laser points."""
+    p = table(spark, sf_dir, "point_cloud").select("point_id", "x", "y", "z").distinct()
+    dx, dy = (F.col(c) - F.floor(F.col(c) / 50) * 50 - 25 for c in ("x", "y"))
+    px, py = scalars.panorama_pixel(dx, dy, F.col("z") / 50 - 3, F.lit(0.01), 4096, 2048)
+    return p.select("point_id", px.alias("px"), py.alias("py"))
 
 
 # ---- what SQL can't say: checked against brute force in the tests ------------------------------------
 
+@query()
+def height_layers(spark, sf_dir):
+    """Drive lines of each 50 m tile put into height layers."""
+    r = table(spark, sf_dir, "recordings").select("run_id", F.col("image_id").cast("bigint").alias("image_no"), "x", "y", "height").filter("run_id is not null and image_id is not null")
+    one = r.groupBy("run_id", "image_no").agg(*[F.min(c).alias(c) for c in ("x", "y", "height")])
+    tiles = lidar.retile(one).withColumn("tile", F.concat_ws("_", "tile_x", "tile_y"))
+    lines = tiles.withColumn("line", F.xxhash64("run_id", F.floor(F.col("image_no") / 1_000)))
+    return lidar.height_layers(lines.select("tile", "line", "x", "y", "height"))
+
+
 def _polygon_share(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     damage = table(spark, sf_dir, "substance").select("substance_id", "typ", "geometry").distinct()
     ground = table(spark, sf_dir, "strassenzustand").select("area_id", "bw", "geometry").distinct()

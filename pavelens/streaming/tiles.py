@@ -27,3 +27,9 @@ def process_tiles(spark: SparkSession, source: str, schema: T.StructType | str,
 def running_counts(stream: DataFrame, time: str, keys: list[str], window: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Rows per window and key of a stream; rows later than `late` are left out and finished windows are forgotten."""
     return stream.withWatermark(time, late).groupBy(F.window(time, window), *keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def mean_batch_seconds(query) -> float | None:
+    """Mean seconds of the batches that a stream of tiles has run, from its recent progress; None if it has run none."""
+    took = [p["durationMs"].get("triggerExecution") for p in query.recentProgress if p["numInputRows"]]
+    return sum(took) / len(took) / 1000 if took else None
