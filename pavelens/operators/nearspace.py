@@ -5,8 +5,9 @@ could match is replicated to every cell that the triangle inequality can't rule
 centre c and reach R goes to the pivots p with d(c, p) <= d(c, nearest pivot) + 2 R. In a cell a
 vantage-point tree finds the candidates and an exact test decides. The join is complete.
 
-Crowded cells are cut into blocks of queries and blocks of objects, each pair of blocks a task of its
-own, so no task holds more than two blocks however many rows share a place.
+Crowded cells get pivots of their own, drawn from their rows, and are cut by the same rule once more, so cells stay small
+however many rows there are. What is still crowded then lies at nearly one place: it is cut into blocks of queries and
+blocks of objects, each pair of blocks a task of its own, so no task holds more than two blocks.
 
 Null, empty and unreadable geometries match nothing. Rows repeated with the same id and geometry count
 once. Boundaries: distances up to and including the radius match; points on an outline are undefined.
@@ -146,6 +147,7 @@ def choose_pivots(frames: list[DataFrame], cell_rows: int) -> np.ndarray:
 
 
 _PLACED = "cell int, build boolean, kind string, id bigint, grp string, x double, y double, reach double, xy binary, first binary"
+_PLACED_NAMES = [c.split()[0] for c in _PLACED.split(", ")]
 
 
 def place(df: DataFrame, pivots, metric: str, build: bool, radius: float, keep_shape: bool) -> DataFrame:
@@ -170,17 +172,7 @@ def place(df: DataFrame, pivots, metric: str, build: bool, radius: float, keep_s
             else:
                 x, y, reach = s.x[lo], s.y[lo], np.zeros(len(rows))
                 widen = np.zeros(len(rows))
-            best = tree.near(x, y)
-            q, cell, d = tree.within(x, y, best + widen)
-            order = np.lexsort((cell, d, q))
-            q, cell, d = q[order], cell[order], d[order]
-            head = np.flatnonzero(np.diff(q, prepend=-1))
-            if build:
-                near = np.repeat(d[head], np.diff(np.append(head, len(q))))
-                keep = d <= near + widen[q] + SLACK
-                q, cell = q[keep], cell[keep]
-            else:
-                q, cell = q[head], cell[head]
+            q, cell = _to_pivots(tree, x, y, widen, np.full(len(rows), build))
             at = pa.array(rows[q])
             if keep_shape:
                 xy, first = (c.take(at) for c in wkt.to_binary(s))
@@ -236,27 +228,101 @@ def _match(t: pa.Table, metric: str, radius: float, relation: str) -> pa.Table:
     return pa.table({"kind": t.column("kind").take(pa.array(q[i])).combine_chunks(), "a_id": pa.array(ids[q[i]]), "b_id": pa.array(ids[b[j]]), "distance": pa.array(d)})
 
 
-def _blocks(placed: DataFrame, block_rows: int) -> DataFrame:
-    """placed with a block column: cells above block_rows are cut, others are one block."""
-    counts = placed.groupBy("cell", "build").agg(F.count(F.lit(1)).alias("n")).groupBy("cell").agg(
-        F.max(F.when(F.col("build"), F.col("n"))).alias("nb"), F.max(F.when(~F.col("build"), F.col("n"))).alias("nq")
-    )
-    parts = lambda c: F.ceil(F.coalesce(F.col(c), F.lit(0)) / block_rows).cast("int")
-    crowded = counts.filter((F.col("nb") > block_rows) | (F.col("nq") > block_rows)).select(F.col("cell").alias("_c"), F.greatest(F.lit(1), parts("nb")).alias("pb"), F.greatest(F.lit(1), parts("nq")).alias("pq"))
-    # at most a row per pivot, so at most MAX_PIVOTS rows of 12 bytes
-    joined = placed.join(F.broadcast(crowded), F.col("cell") == F.col("_c"), "left")
-    h = F.xxhash64("id")
-    pb, pq = F.coalesce("pb", F.lit(1)), F.coalesce("pq", F.lit(1))
+#: Pivots of a crowded cell at most, and rows of it that one task puts to them.
+FINER_PIVOTS, FINER_ROWS = 4_096, 500_000
+#: Crowded blocks up to which their list is broadcast (20 bytes each); beyond it they are joined by a shuffle.
+BROADCAST_BLOCKS = 200_000
+
+
+def _crowded(placed: DataFrame, keys: list[str], block_rows: int) -> tuple[DataFrame, int]:
+    """Keys with more than block_rows queries or objects, with the numbers of both, and how many such keys there are."""
+    counts = placed.groupBy(*keys).agg(F.count_if(F.col("build")).alias("nb"), F.count_if(~F.col("build")).alias("nq"))
+    crowded = counts.filter((F.col("nb") > block_rows) | (F.col("nq") > block_rows)).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "nb", "nq")
+    many = crowded.count()
+    return (F.broadcast(crowded) if many <= BROADCAST_BLOCKS else crowded), many
+
+
+def finer(heavy: DataFrame, metric: str, radius: float, cell_rows: int) -> DataFrame:
+    """Rows of crowded cells (as place() gives them, with n, the rows of their cell) with sub, their cell around the pivots of the crowded one.
+
+    The pivots of a cell come before its rows in each of its tasks, so a task holds these and a batch of rows.
+    """
+    parts = F.greatest(F.lit(1), F.ceil(F.col("n") / FINER_ROWS)).cast("int")
+    share = F.lit(1 << 30) / F.greatest(F.lit(cell_rows), F.col("n") / FINER_PIVOTS)
+    picked = heavy.filter(F.pmod(F.xxhash64("id", F.lit("pivot")), F.lit(1 << 30)) < share)
+    names = _PLACED_NAMES
+    spread = picked.select("cell", "x", "y", parts.alias("parts")).distinct().withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    kinds = {f.name: f.dataType for f in heavy.schema}
+    heads = spread.select(F.lit(False).alias("row"), "part", *[F.col(c) if c in ("cell", "x", "y") else F.lit(None).cast(kinds[c]).alias(c) for c in names])
+    rows = heavy.select(F.lit(True).alias("row"), F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"), *names)
+
+    def run(batches):
+        measure, at, px, py, tree = METRICS[metric], None, [], [], None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cell, part, row = (b.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "part", "row"))
+            x, y = (b.column(c).to_numpy(zero_copy_only=False) for c in "xy")
+            cuts = np.flatnonzero((np.diff(cell) != 0) | (np.diff(part) != 0) | (np.diff(row.astype(np.int8)) != 0)) + 1
+            for lo, hi in zip(np.append(0, cuts), np.append(cuts, len(cell))):
+                if (cell[lo], part[lo]) != at:
+                    at, px, py, tree = (cell[lo], part[lo]), [], [], None
+                if not row[lo]:
+                    px.append(x[lo:hi].copy())
+                    py.append(y[lo:hi].copy())
+                    continue
+                if tree is None:
+                    p = np.concatenate(px) if px else np.zeros(1), np.concatenate(py) if py else np.zeros(1)
+                    tree = VantageTree(*p, np.zeros(len(p[0])), measure)
+                build = b.column("build").slice(lo, hi - lo).to_numpy(zero_copy_only=False)
+                reach = b.column("reach").slice(lo, hi - lo).to_numpy(zero_copy_only=False)
+                q, sub = _to_pivots(tree, x[lo:hi], y[lo:hi], np.where(build, 2 * (reach + radius), 0.0), build)
+                take = pa.array(lo + q)
+                yield pa.RecordBatch.from_arrays([*(b.column(c).take(take) for c in names), pa.array(sub, pa.int32())], names=[*names, "sub"])
+
+    # among rows of one cell and part the pivots come first
+    ordered = heads.union(rows).repartition("cell", "part").sortWithinPartitions("cell", "part", "row")
+    return ordered.mapInArrow(run, _PLACED + ", sub int")
+
+
+def _to_pivots(tree: VantageTree, x: np.ndarray, y: np.ndarray, widen: np.ndarray, build: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, pivot): the nearest pivot of a query, and of an object all pivots up to `widen` further away than its nearest."""
+    q, p, d = tree.within(x, y, tree.near(x, y) + widen)
+    order = np.lexsort((p, d, q))
+    q, p, d = q[order], p[order], d[order]
+    head = np.flatnonzero(np.diff(q, prepend=-1))
+    near = np.repeat(d[head], np.diff(np.append(head, len(q))))
+    first = np.zeros(len(q), bool)
+    first[head] = True
+    keep = np.where(build[q], d <= near + widen[q] + SLACK, first)
+    return q[keep], p[keep]
+
+
+def _blocks(placed: DataFrame, metric: str, radius: float, cell_rows: int, block_rows: int, scratch: Scratch, name: str) -> DataFrame:
+    """placed with sub and block: crowded cells cut by place, what is still crowded by id."""
+    crowded, many = _crowded(placed, ["cell"], block_rows)  # at most a row per pivot
+    if not many:
+        return placed.withColumn("sub", F.lit(0)).withColumn("block", F.lit(0))
+    joined = placed.join(crowded, F.col("cell") == F.col("_k_cell"), "left")
+    heavy = joined.filter("nb is not null").withColumn("n", F.col("nb") + F.col("nq"))
+    plain = joined.filter("nb is null").select(*_PLACED_NAMES, F.lit(0).alias("sub"))
+    cut = scratch.keep(plain.union(finer(heavy, metric, radius, cell_rows)), name)
+    crowded, many = _crowded(cut, ["cell", "sub"], block_rows)
+    if not many:
+        return cut.withColumn("block", F.lit(0))
+    parts = lambda c: F.greatest(F.lit(1), F.ceil(F.coalesce(F.col(c), F.lit(0)) / block_rows)).cast("int")
+    joined = cut.join(crowded, (F.col("cell") == F.col("_k_cell")) & (F.col("sub") == F.col("_k_sub")), "left")
+    pb, pq, h = parts("nb"), parts("nq"), F.xxhash64("id")
     own = F.when(F.col("build"), F.pmod(h, pb)).otherwise(F.pmod(h, pq)).cast("int")
     block = F.when(F.col("build"), F.transform(F.sequence(F.lit(0), pq - 1), lambda k: own * pq + k)).otherwise(F.transform(F.sequence(F.lit(0), pb - 1), lambda k: k * pq + own))
-    return joined.withColumn("block", F.explode(block)).drop("_c", "pb", "pq")
+    return joined.withColumn("block", F.explode(block)).drop("_k_cell", "_k_sub", "nb", "nq")
 
 
-def _join(queries: DataFrame, builds: DataFrame, pivots, metric: str, radius: float, relation: str, scratch: Scratch, block_rows: int) -> DataFrame:
+def _join(queries: DataFrame, builds: DataFrame, pivots, metric: str, radius: float, relation: str, scratch: Scratch, block_rows: int, cell_rows: int) -> DataFrame:
     shape = relation != "points"
     placed = place(queries, pivots, metric, False, 0.0, shape).union(place(builds, pivots, metric, True, radius, shape))
-    placed = _blocks(scratch.keep(placed, f"placed-{relation}"), block_rows)
-    return placed.groupBy("cell", "block").applyInArrow(lambda t: _match(t, metric, radius, relation), "kind string, a_id bigint, b_id bigint, distance double")
+    placed = _blocks(scratch.keep(placed, f"placed-{relation}"), metric, radius, cell_rows, block_rows, scratch, f"finer-{relation}")
+    return placed.groupBy("cell", "sub", "block").applyInArrow(lambda t: _match(t, metric, radius, relation), "kind string, a_id bigint, b_id bigint, distance double")
 
 
 def _pivots(spark: SparkSession, frames: list[DataFrame], cell_rows: int):
@@ -268,7 +334,7 @@ def radius_pairs(points: DataFrame, radius: float, metric: str = "plane", cell_r
     spark = points.sparkSession
     points = points.filter("grp is not null and id is not null and geometry is not null").withColumn("kind", F.lit("point"))
     pivots = pivots or _pivots(spark, [points], cell_rows)
-    return _join(points, points, pivots, metric, radius, "points", scratch or Scratch(spark, "nearspace"), block_rows).drop("kind")
+    return _join(points, points, pivots, metric, radius, "points", scratch or Scratch(spark, "nearspace"), block_rows, cell_rows).drop("kind")
 
 
 def containing_regions(objects: DataFrame, regions: DataFrame, cell_rows: int = 4_000, block_rows: int = 40_000, pivots=None, scratch: Scratch | None = None) -> DataFrame:
@@ -277,4 +343,4 @@ def containing_regions(objects: DataFrame, regions: DataFrame, cell_rows: int =
     objects = objects.select("kind", "id", F.lit(None).cast("string").alias("grp"), "geometry").filter("id is not null and geometry is not null")
     regions = regions.select(F.lit("region").alias("kind"), "id", F.lit(None).cast("string").alias("grp"), "geometry").filter("id is not null and geometry is not null")
     pivots = pivots or _pivots(spark, [objects, regions], cell_rows)
-    return _join(objects, regions, pivots, "plane", 0.0, "regions", scratch or Scratch(spark, "nearspace"), block_rows).drop("distance")
+    return _join(objects, regions, pivots, "plane", 0.0, "regions", scratch or Scratch(spark, "nearspace"), block_rows, cell_rows).drop("distance")

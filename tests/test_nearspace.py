@@ -62,3 +62,14 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "id long, grp string, geometry string")
     assert nearspace.radius_pairs(none, 1.0).count() == 0
     assert nearspace.containing_regions(none.selectExpr("'p' as kind", "id", "geometry"), none).count() == 0
+
+
+@pytest.mark.parametrize("cell_rows, block", [(4_000, 40_000), (30, 60), (10_000, 50)])
+def test_great_circle_pairs_against_brute_force(spark, cell_rows, block):
+    rng = np.random.default_rng(3)
+    xy = np.round(np.concatenate([np.column_stack([rng.uniform(-180, 180, 200), rng.uniform(-85, 85, 200)]), rng.normal([7.0, 50.0], 0.01, (400, 2)), np.repeat([[7.0, 50.0]], 30, 0)]), 6)
+    rows = [(i, f"r{i % 2}", f"POINT ({x!r} {y!r})") for i, (x, y) in enumerate(xy.tolist())]
+    d = nearspace.great_circle(xy[:, 0][:, None], xy[:, 1][:, None], xy[:, 0], xy[:, 1])
+    want = {(i, j) for i, j in zip(*np.nonzero(d <= 150.0)) if i < j and (i + j) % 2}
+    got = nearspace.radius_pairs(spark.createDataFrame(rows, "id long, grp string, geometry string"), 150.0, "great_circle", cell_rows, block).collect()
+    assert sorted((r["a_id"], r["b_id"]) for r in got) == sorted(want) and len(want) > 500
