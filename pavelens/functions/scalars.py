@@ -100,6 +100,18 @@ def in_range(x: Column, low: Column | float | None, high: Column | float | None)
     return ok & x.isNotNull()
 
 
+def within(*ranges: slice) -> Column:
+    """Rows of x, y and, with three ranges, z inside of all ranges, both ends included; open ends are None: within(slice(0, 5), slice(None, 9))."""
+    if len(ranges) not in (2, 3):
+        raise ValueError("two or three ranges are needed")
+    if not all(isinstance(r, slice) and r.step is None for r in ranges):
+        raise ValueError("ranges are slices without a step")
+    out = F.lit(True)
+    for c, r in zip("xyz", ranges):
+        out = out & in_range(F.col(c), r.start, r.stop)
+    return out
+
+
 def boxes_overlap(ax0, ay0, ax1, ay1, bx0, by0, bx1, by1) -> Column:
     """Whether two boxes touch or overlap."""
     return (ax0 <= bx1) & (ax1 >= bx0) & (ay0 <= by1) & (ay1 >= by0)

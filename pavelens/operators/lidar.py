@@ -272,6 +272,29 @@ def height_layers(shots: DataFrame, overlap: float = 15.0, apart: float = 2.0, w
     return rows.groupBy("tile").applyInPandas(fold, f"tile {kinds['tile']}, line {kinds['line']}, mean_height double, layer int")
 
 
+def nearest_in_time(points: DataFrame, recordings: DataFrame, key: str, carry: tuple[str, ...]) -> DataFrame:
+    """points(key, t, …) with carry of recordings(key, t, recording_id, carry) of the same key nearest in time, however far; null where the key has none.
+
+    Two passes in order of time hand on the last recording, so a row costs the same however many there are. key is a tile or
+    run: its rows go through one sort. Of equally near recordings the earlier one counts, of equal times the smaller id.
+    Points without a time get null.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in recordings.schema}
+    r = F.struct(F.col("t").cast("double").alias("t"), F.col("recording_id").alias("i"), *[F.col(c).alias(c) for c in carry])
+    shots = recordings.filter("t is not null").select(F.col(key), F.col("t").cast("double").alias("_t"), r.alias("_r"))
+    shots = shots.groupBy(key, "_t").agg(F.min_by("_r", "_r.i").alias("_r"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in points.columns])
+    rows = points.filter("t is not null").select(F.col(key), F.col("t").cast("double").alias("_t"), whole.alias("_p"))
+    both = shots.unionByName(rows, allowMissingColumns=True)
+    up = W.partitionBy(key).orderBy(F.col("_t"), F.col("_p").isNotNull()).rowsBetween(W.unboundedPreceding, 0)
+    down = W.partitionBy(key).orderBy(F.desc("_t"), F.col("_p").isNotNull()).rowsBetween(W.unboundedPreceding, 0)
+    both = both.withColumn("_a", F.last("_r", True).over(up)).withColumn("_b", F.last("_r", True).over(down)).filter("_p is not null")
+    ahead = F.col("_a").isNull() | (F.col("_b.t") - F.col("_t") < F.col("_t") - F.col("_a.t"))
+    pick = F.when(ahead, F.col("_b")).otherwise(F.col("_a"))
+    out = both.select("_p.*", *[pick[c].alias(c) for c in carry])
+    return out.unionByName(points.filter("t is null").select("*", *[F.lit(None).cast(kinds[c]).alias(c) for c in carry]))
+
+
 def retile(points: DataFrame, size: float = 50.0, edges_twice: bool = False) -> DataFrame:
     """points with tile_x, tile_y, the lower left corner of their tile; edges_twice puts points on a border into both tiles."""
     if not edges_twice:

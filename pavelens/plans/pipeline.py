@@ -34,6 +34,13 @@ def check_areas(areas: DataFrame, crs: str | None = None, settings: Settings | N
     return polygons.shape_problem(out).filter(stop(F.col("problem").isNotNull(), why)).drop("problem")
 
 
+def check_lanes(lanes: DataFrame) -> DataFrame:
+    """lanes(id, geometry) unchanged; raises when run if a geometry is no line of two or more places."""
+    why = F.concat(F.lit("lane "), F.coalesce(F.col("id").cast("string"), F.lit("?")), F.lit(": geometry is "), F.col("problem"))
+    bad = F.when(F.col("problem").isNotNull(), F.raise_error(why).cast("boolean")).otherwise(True)
+    return polygons.shape_problem(lanes, kind="LINESTRING").filter(bad).drop("problem")
+
+
 def with_substance(areas: DataFrame, damage: DataFrame) -> DataFrame:
     """areas with riss, afli, ofs computed anew from damage polygons, asphalt and paved areas by their own rules; rounded to two digits."""
     base = areas.drop("riss", "afli", "ofs")
@@ -69,7 +76,7 @@ def full_run(spark: SparkSession, areas: DataFrame, recordings: DataFrame, cloud
     scratch = Scratch(spark, "run")
     try:
         areas = scratch.keep(check_areas(areas), "areas")
-        samples = sample_heights(sampling.create(recordings, lanes), cloud, scratch)
+        samples = sample_heights(sampling.create(recordings, None if lanes is None else check_lanes(lanes)), cloud, scratch)
         measured = with_substance(with_evenness(areas, samples, scratch), damage)
         evaluate.rate(measured, factor_frame(spark, settings), settings.weights).write.mode("error").parquet(target)
     finally:

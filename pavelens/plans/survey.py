@@ -530,6 +530,20 @@ def gps_to_utc(spark, sf_dir):
     return p.select("point_id", scalars.utc_micros(F.col("gps_time")).alias("utc_us")).distinct()
 
 
+@query("WITH " + checks.instants() + """, r AS (SELECT DISTINCT CAST(regexp_extract(run_id, '^run_([0-9]+)$', 1) AS BIGINT) AS run, rec_id, utc_us::DOUBLE AS t FROM recordings JOIN ts USING (time_stamp) WHERE regexp_matches(run_id, '^run_[0-9]+$')),
+ p AS (SELECT DISTINCT point_id, point_source_id AS run, CAST(round(gps_time * 1e6) AS BIGINT) + 1315964800000000 AS t FROM point_cloud WHERE gps_time IS NOT NULL),
+ d AS (SELECT point_id, rec_id, row_number() OVER (PARTITION BY point_id, p.t ORDER BY abs(p.t - r.t), r.t, rec_id) AS n FROM p LEFT JOIN r ON r.run = p.run) SELECT point_id, rec_id FROM d WHERE n = 1""")
+def nearest_in_time(spark, sf_dir):
+    """The recording of its run nearest in time to each laser point, however far."""
+    from pavelens.plans.dataset import recording_instants
+
+    r = recording_instants(spark, sf_dir, ["rec_id", "run_id"])
+    r = r.select(F.regexp_extract("run_id", r"^run_(\d+)$", 1).try_cast("bigint").alias("run"), F.col("utc_us").alias("t"), F.col("rec_id").alias("recording_id"), "rec_id").filter("run is not null").distinct()
+    p = table(spark, sf_dir, "point_cloud").filter("gps_time is not null")
+    p = p.select(F.col("point_source_id").cast("bigint").alias("run"), scalars.utc_micros(F.col("gps_time")).alias("t"), "point_id").distinct()
+    return lidar.nearest_in_time(p, r, "run", ("rec_id",)).select("point_id", "rec_id")
+
+
 @query("WITH " + checks.instants() + " SELECT DISTINCT rec_id, utc_us / 1e6 - 1315964800.0e0 AS gps FROM recordings JOIN ts USING (time_stamp)")
 def utc_to_gps(spark, sf_dir):
     """Recording times as seconds of the laser points' clock."""

@@ -46,10 +46,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables written to the shared folder so that lineage ends there and nothing is computed twice."""
+    """Tables written to the shared folder so that lineage ends there and nothing is computed twice.
+
+    Results may still be read from them, so they stay until drop() or, at the latest, until the application ends.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/pavelens/{name}-{uuid.uuid4().hex[:12]}"
+        p = self._path(self.root)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+
+    def _path(self, at: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(at)
 
     def path(self, part: str) -> str:
         return f"{self.root}/{part}"
@@ -61,8 +71,7 @@ class Scratch:
 
     def drop(self, part: str = "") -> None:
         """Delete a part no plan needs any more (all of them if none is named)."""
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(part) if part else self.root)
+        p = self._path(self.path(part) if part else self.root)
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 

@@ -13,7 +13,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = (
@@ -111,3 +112,14 @@ def write_las(df: DataFrame, folder: str, tile_x: str = "tile_x", tile_y: str =
 
     os.makedirs(folder, exist_ok=True)
     return df.groupBy(tile_x, tile_y).applyInArrow(run, "path string, points bigint")
+
+
+def cloud_from_arrays(spark: SparkSession, arrays: dict[str, np.ndarray]) -> DataFrame:
+    """Points of arrays by column name; x, y and z are needed, others of SCHEMA may be missing and are null."""
+    if not {"x", "y", "z"} <= set(arrays):
+        raise ValueError("x, y and z are needed")
+    known = [c.split() for c in SCHEMA.split(", ")]
+    if extra := set(arrays) - {n for n, _ in known}:
+        raise ValueError(f"unknown columns {sorted(extra)}")
+    have = spark.createDataFrame(pa.table({n: pa.array(arrays[n]) for n, _ in known if n in arrays}))
+    return have.select(*[F.col(n).cast(t).alias(n) if n in arrays else F.lit(None).cast(t).alias(n) for n, t in known])

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pavelens.functions.scalars import base_number, in_range
+from pavelens.sources.config import RecordingFields
+
 META = (
     "spherical_images array<struct<sensor_id: string, path: string, time_stamp: double, pose: struct<translation: array<double>, orientation_roll_pitch_yaw: array<double>>>>, "
     "point_clouds array<struct<sensor_id: string, path: string, bounding_box: struct<min: array<double>, max: array<double>>>>"
@@ -51,3 +54,22 @@ def mark_done(tiles: DataFrame, path: str) -> None:
 def merge_tables(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
     """All cached results below a folder as one table; columns that a file lacks are null."""
     return spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).parquet(folder)
+
+
+def recordings_of(table: DataFrame, fields: RecordingFields) -> DataFrame:
+    """A table of recordings with the settings' names → image_id, image_no, recorded_at, direction, x, y, height, image_path, mask_path, pitch, roll.
+
+    image_no is the id read in the settings' base. pitch and roll are 0, paths null where no field is named for them.
+    """
+    own = lambda name, kind, other=None: F.col(f"`{name}`").cast(kind) if name else F.lit(other).cast(kind)
+    return table.select(
+        own(fields.id, "string").alias("image_id"), base_number(own(fields.id, "string"), fields.id_base).cast("bigint").alias("image_no"), own(fields.time, "string").alias("recorded_at"),
+        own(fields.direction, "double").alias("direction"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), own(fields.height, "double").alias("height"),
+        own(fields.path, "string").alias("image_path"), own(fields.mask, "string").alias("mask_path"), own(fields.pitch, "double", 0.0).alias("pitch"), own(fields.roll, "double", 0.0).alias("roll"),
+    )
+
+
+def recordings_in_box(recordings: DataFrame, x0: float, y0: float, x1: float, y1: float, buffer: float = 7.5) -> DataFrame:
+    """(info): the recordings in a box widened by `buffer`, borders included, each as one struct of its columns; the bounds reach the scan."""
+    near = in_range(F.col("x"), x0 - buffer, x1 + buffer) & in_range(F.col("y"), y0 - buffer, y1 + buffer)
+    return recordings.filter(near).select(F.struct(*[F.col(f"`{c}`") for c in recordings.columns]).alias("info"))

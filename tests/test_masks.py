@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from pavelens.functions import scalars
 from pavelens.operators import lidar, markings, polygons, raster, relational
-from pavelens.sources import cache, config, images
+from pavelens.sources import cache, config, images, las, meta
 from pavelens.streaming import tiles as streams
 
 
@@ -159,3 +159,35 @@ def test_streams(spark, tmp_path):
     counts = streams.running_counts(stream, "t", []).writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
     counts.awaitTermination()
     assert sum(r["n"] for r in spark.sql("select n from counts").collect()) == 10
+
+
+def test_nearest_in_time_without_bound(spark):
+    rng = np.random.default_rng(5)
+    recs = [("a", float(t), f"r{k}", k) for k, t in enumerate(rng.integers(0, 60, 9))] + [("a", None, "x", 99), ("c", 1.0, "y", 98)]
+    pts = [("a", float(t), k) for k, t in enumerate(rng.integers(-20, 90, 80))] + [("a", None, 500), ("b", 1.0, 501), (None, 2.0, 502)]
+    got = lidar.nearest_in_time(spark.createDataFrame(pts, "run string, t double, pid long"), spark.createDataFrame(recs, "run string, t double, recording_id string, layer int"), "run", ("layer",)).collect()
+    assert len(got) == len(pts)
+    for r in got:
+        near = sorted((abs(t - r["t"]), t, i, k) for run, t, i, k in recs if run == r["run"] and t is not None) if r["t"] is not None else []
+        assert r["layer"] == (near[0][3] if near else None)
+
+
+def test_recordings_by_settings(spark):
+    fields = config.parse({"recordings": {"id": "ID", "time": "T", "direction": "D", "height": "H", "pitch": "P"}}).recordings
+    df = spark.createDataFrame([("ABCD1234", "2024-01-01T00:00:00Z", 1.0, 50.0, 0.5, 100.0, 200.0)], "ID string, T string, D double, H double, P double, x double, y double")
+    r = meta.recordings_of(df, fields).first()
+    assert (r["image_no"], r["pitch"], r["roll"], r["image_path"], r["height"]) == (808333725136, 0.5, 0.0, None, 50.0)
+    box = lambda x: meta.recordings_in_box(meta.recordings_of(df, fields), x, 0, 50, 300).select("info.*")
+    assert box(40).count() == 0 and meta.recordings_in_box(df, 107.5, 0, 200, 300).count() == 1 and meta.recordings_in_box(df, 107.6, 0, 200, 300).count() == 0
+
+
+def test_ranges(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0), (5.0, 2.0, 9.0), (None, 1.0, 1.0)], "x double, y double, z double")
+    assert df.filter(scalars.within(slice(0, 5), slice(None, 2))).count() == 2 and df.filter(scalars.within(slice(0, 5), slice(None), slice(4, None))).count() == 1
+    for bad in ((slice(0, 1),), (slice(0, 1), 5), (slice(0, 1), slice(0, 4, 2))):
+        with pytest.raises(ValueError):
+            scalars.within(*bad)
+    cloud = las.cloud_from_arrays(spark, {"x": np.array([1.0]), "y": np.array([2.0]), "z": np.array([3.0]), "intensity": np.array([7])})
+    assert cloud.first()["intensity"] == 7 and cloud.first()["gps_time"] is None and len(cloud.columns) == 16
+    with pytest.raises(ValueError):
+        las.cloud_from_arrays(spark, {"x": np.array([1.0])})
