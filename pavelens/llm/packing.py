@@ -19,9 +19,11 @@ from __future__ import annotations
 
 import base64
 import math
+import os
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -42,20 +44,27 @@ def tokenizer_path(name: str = "byte_bpe_50k.tiktoken") -> str:
     return str(public_tokenizers.path(name))
 
 
-def load_encoder(path: str):
-    import public_tokenizers
+def load_encoder(path: str, pattern: str | None = None):
     import tiktoken
 
+    if pattern is None:
+        import public_tokenizers
+
+        pattern = public_tokenizers.PATTERN
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
 def token_counts(docs: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
-    """(id, n_tokens) of every text, whole. The path must be readable on every executor."""
+    """(id, n_tokens) of every text, whole. The tokenizer's file is read here and sent to the executors, which need tiktoken only."""
+    import public_tokenizers
+
+    spark, name, pattern = docs.sparkSession, os.path.basename(path), public_tokenizers.PATTERN
+    spark.sparkContext.addFile(path)  # once for an application; adding it again does nothing
 
     def run(batches):
-        enc = load_encoder(path)
+        enc = load_encoder(SparkFiles.get(name), pattern)
         for b in batches:
             texts = b.column("text")
             n = [len(enc.encode_ordinary(t.as_py())) if t.is_valid else 0 for t in texts]
