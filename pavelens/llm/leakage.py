@@ -142,6 +142,21 @@ class ItemIndex:
         order = np.argsort(word, kind="stable")
         self.items_of, self.word_at = item[order], np.searchsorted(word[order], np.arange(size + 2))
         self.window_at = np.searchsorted(self.owner, np.arange(len(self.ids) + 1))
+        self.tail_of = np.array([i for i, t in enumerate(self.tails) if len(t)], int)
+        self.tail_words = np.concatenate([self.tails[i] for i in self.tail_of]) if len(self.tail_of) else np.zeros(0, int)
+        self.tail_at = np.cumsum([0, *(len(self.tails[i]) for i in self.tail_of)])[:-1]
+
+    def needs(self, ids: np.ndarray) -> np.ndarray:
+        """Words that a document has to share with each item: fewer where it has the item's question or answer line word by word."""
+        need = np.full(len(self.ids), self.rules.need)
+        if self.rules.least < self.rules.need and len(self.tail_words):
+            there = np.zeros(len(self.space), bool)
+            there[ids] = True
+            every = np.logical_and.reduceat(there[self.tail_words], self.tail_at)
+            for i in self.tail_of[every]:
+                if _holds(ids, self.tails[i]):
+                    need[i] = self.rules.least
+        return need
 
     def _group(self) -> None:
         rules = self.rules
@@ -193,11 +208,12 @@ class ItemIndex:
     def shared_windows(self, ids: np.ndarray):
         """(window, item window, shared words) of all pairs of the document's windows and item windows that share `need` words."""
         r = self.rules
-        w = windows(ids, r.window, r.stride, r.least)
+        need = self.needs(ids)  # by item
+        w = windows(ids, r.window, r.stride, int(need.min(initial=r.need)))
         starts = np.minimum(np.arange(len(w)) * r.stride, max(0, len(ids) - r.window))
         ids = np.pad(ids, (0, max(0, r.window - len(ids))))  # a short document's only window is filled up with foreign words
         foreign = np.concatenate([[0], np.cumsum(ids == 0)])
-        known = np.flatnonzero(foreign[starts + r.window] - foreign[starts] <= r.window - r.least)
+        known = np.flatnonzero(foreign[starts + r.window] - foreign[starts] <= r.window - need.min(initial=r.need))
         found = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.int32))]
         for rows in np.split(known, np.flatnonzero(np.diff(known // PART)) + 1):
             if not len(rows):
@@ -210,14 +226,14 @@ class ItemIndex:
                     member[k, self.items_of[self.word_at[word] : self.word_at[word + 1]]] = 1
             some = np.flatnonzero(member.sum(0, dtype=np.int32))
             near = [some[lo : lo + PART] for lo in range(0, len(some), PART)]
-            near = [n[(_counts(member[:, n], local, at, r.window) >= r.least).any(0)] for n in near]
+            near = [n[(_counts(member[:, n], local, at, r.window) >= need[n]).any(0)] for n in near]
             place = np.full(len(self.space), len(vocabulary), np.int32)  # of words that the text lacks: an extra row
             place[vocabulary] = np.arange(len(vocabulary))
             place[0] = len(vocabulary)
             item_windows = np.concatenate([np.zeros(0, int), *(np.arange(self.window_at[i], self.window_at[i + 1]) for n in near for i in n)])
             for lo in range(0, len(item_windows), 4 * PART):
                 j = item_windows[lo : lo + 4 * PART]
-                x, y, size = _compare(local, at, vocabulary, self.tokens[j], place, r)
+                x, y, size = _compare(local, at, vocabulary, self.tokens[j], place, r, need[self.owner[j]])
                 found.append((rows[x], j[y], size))
         return w, *(np.concatenate([f[k] for f in found]) for k in range(3))
 
@@ -235,14 +251,14 @@ def _counts(member: np.ndarray, local: np.ndarray, starts: np.ndarray, size: int
     return sums[starts + size] - sums[starts]
 
 
-def _compare(local: np.ndarray, starts: np.ndarray, vocabulary: np.ndarray, b: np.ndarray, place: np.ndarray, rules: LeakRules):
-    """(window of the text, row of b, shared words) of all pairs that share `need` words. local: the text in places of the vocabulary."""
+def _compare(local: np.ndarray, starts: np.ndarray, vocabulary: np.ndarray, b: np.ndarray, place: np.ndarray, rules: LeakRules, need: np.ndarray):
+    """(window of the text, row of b, shared words) of all pairs that share need[row of b] words. local: the text in places of the vocabulary."""
     at, every = place[np.maximum(b, 0)], np.arange(len(b))
     where = np.zeros((len(vocabulary) + 1, len(b)), np.uint64)  # bit k: the word is at position k of the window
     for k in range(b.shape[1]):
         where[at[:, k], every] |= np.uint64(1 << k % 64)
     where[-1] = 0
-    x, y = np.nonzero(_counts((where != 0).view(np.uint8), local, starts, b.shape[1]) >= rules.least)
+    x, y = np.nonzero(_counts((where != 0).view(np.uint8), local, starts, b.shape[1]) >= need)
     size = np.zeros(len(x), np.int32)
     for lo in range(0, len(x), 50_000):
         i, j = starts[x[lo : lo + 50_000], None] + np.arange(b.shape[1]), y[lo : lo + 50_000]
@@ -250,7 +266,7 @@ def _compare(local: np.ndarray, starts: np.ndarray, vocabulary: np.ndarray, b: n
             size[lo : lo + 50_000] = _subsequence_bits(local[i], j, where, b.shape[1])
         else:
             size[lo : lo + 50_000] = (longest_subsequence if rules.subsequence else longest_run)(vocabulary[local[i]], b[j])
-    hit = size >= rules.least
+    hit = size >= need[y]
     return x[hit], y[hit], size[hit]
 
 
