@@ -48,7 +48,8 @@ _CLASS = "CASE WHEN {0} IS NULL THEN 0 WHEN {0} <= 1.5e0 THEN 1 WHEN {0} <= 3.5e
 _LONG = "WITH d AS (SELECT DISTINCT area_id, bw, fk, {0} FROM strassenzustand), l AS (".format(", ".join(MEASURES)) + " UNION ALL ".join(
     f"SELECT area_id, bw, fk, '{m.upper()}' AS metric, {m} AS v FROM d" for m in MEASURES
 ) + """), n AS (SELECT area_id, l.bw, l.fk, l.metric, f1, f2, f3,
- CASE WHEN isnan(v) THEN NULL WHEN l.metric IN ('RISS', 'AFLI') AND l.bw <> 'A' THEN NULL WHEN l.metric IN ('SM4L_M', 'SM4L_A', 'MSPT', 'MSPH') AND l.fk = 'N' THEN NULL ELSE v END AS x
+ CASE WHEN isnan(v) THEN NULL WHEN l.metric IN ('RISS', 'AFLI') AND l.bw <> 'A' THEN NULL WHEN l.metric IN ('SM4L_M', 'SM4L_A', 'MSPT', 'MSPH')
+ AND l.fk = 'N' THEN NULL ELSE v END AS x
  FROM l LEFT JOIN factors f ON f.bw = l.bw AND f.fk = l.fk AND f.metric = l.metric), z AS (SELECT *, """ + _R2.format(_NORM) + " AS zw FROM n)"
 
 
@@ -63,9 +64,13 @@ def _rated(spark: SparkSession, sf_dir: str, weights: evaluate.Weights = evaluat
 def _rated_sql(we: str, ws: str) -> str:
     zw = lambda m: f"max(CASE WHEN metric = '{m}' THEN zw END) AS zw{m.lower()}"
     return (
-        _LONG + ", w AS (SELECT area_id, bw, fk, " + ", ".join(zw(m.upper()) for m in MEASURES) + " FROM z GROUP BY ALL), s AS (SELECT *, CASE WHEN zwsm4l_m IS NOT NULL AND zwsm4l_a IS NOT NULL THEN greatest(zwsm4l_m, zwsm4l_a) END AS zwsm4l FROM w), "
-        f"t AS (SELECT *, {_R2.format(f'CASE WHEN zwsm4l IS NOT NULL AND zwmspt IS NOT NULL AND greatest(zwsm4l, zwmspt) > 3.5e0 THEN greatest(zwsm4l, zwmspt) ELSE {we} END')} AS twgeb, "
-        f"{_R2.format(f'CASE WHEN bw = {chr(39)}P{chr(39)} THEN zwofs WHEN zwriss IS NOT NULL AND zwofs IS NOT NULL AND greatest(zwriss, zwofs) > 3.5e0 THEN greatest(zwriss, zwofs) ELSE {ws} END')} AS twsub FROM s), "
+        _LONG + ", w AS (SELECT area_id, bw, fk, " + ", ".join(zw(m.upper()) for m in MEASURES) + """ FROM z GROUP BY ALL), s AS (SELECT *, CASE
+ WHEN zwsm4l_m IS NOT NULL AND zwsm4l_a IS NOT NULL THEN greatest(zwsm4l_m, zwsm4l_a) END AS zwsm4l FROM w), """
+        f"""t AS (SELECT *,
+ {_R2.format(f'CASE WHEN zwsm4l IS NOT NULL AND zwmspt IS NOT NULL AND greatest(zwsm4l, zwmspt) > 3.5e0 THEN greatest(zwsm4l, zwmspt) ELSE {we} END')} AS twgeb,
+ """
+        f"""{_R2.format(f'CASE WHEN bw = {chr(39)}P{chr(39)} THEN zwofs WHEN zwriss IS NOT NULL AND zwofs IS NOT NULL AND greatest(zwriss, zwofs) > 3.5e0 THEN greatest(zwriss, zwofs) ELSE {ws} END')} AS twsub
+ FROM s), """
         "g AS (SELECT *, CASE WHEN twsub IS NOT NULL THEN greatest(coalesce(twgeb, twsub), twsub) END AS gw FROM t) "
     )
 
@@ -99,12 +104,14 @@ def rate_areas(spark, sf_dir):
     return _named(_rated(spark, sf_dir))
 
 
-@query(_rated_sql("0.25e0 * zwsm4l + 0.5e0 * zwmspt + 0.25e0 * zwmsph", "0.56e0 * zwriss + 0.31e0 * zwafli + 0.13e0 * zwofs") + f"SELECT {_RATED_COLUMNS}, {_TK} FROM g WHERE bw = 'A'")
+@query(_rated_sql("0.25e0 * zwsm4l + 0.5e0 * zwmspt + 0.25e0 * zwmsph", "0.56e0 * zwriss + 0.31e0 * zwafli + 0.13e0 * zwofs") + f"""SELECT {_RATED_COLUMNS},
+ {_TK} FROM g WHERE bw = 'A'""")
 def rate_asphalt(spark, sf_dir):
     return _named(evaluate.rate(_areas(spark, sf_dir).filter("bw = 'A'"), table(spark, sf_dir, "factors")))
 
 
-@query(_rated_sql("0.25e0 * zwsm4l + 0.5e0 * zwmspt + 0.25e0 * zwmsph", "0.56e0 * zwriss + 0.31e0 * zwafli + 0.13e0 * zwofs") + f"SELECT {_RATED_COLUMNS}, {_TK} FROM g WHERE bw = 'P'")
+@query(_rated_sql("0.25e0 * zwsm4l + 0.5e0 * zwmspt + 0.25e0 * zwmsph", "0.56e0 * zwriss + 0.31e0 * zwafli + 0.13e0 * zwofs") + f"""SELECT {_RATED_COLUMNS},
+ {_TK} FROM g WHERE bw = 'P'""")
 def rate_paved(spark, sf_dir):
     return _named(evaluate.rate(_areas(spark, sf_dir).filter("bw = 'P'"), table(spark, sf_dir, "factors")))
 
@@ -128,17 +135,21 @@ def point_in_area(spark, sf_dir):
 
 
 _DELTAS = list(planeness.DELTAS)
-_LONG_POINTS = f"""SELECT x, y, depth_mid, depth_mid - l_quantity / 6000e0 AS {_DELTAS[0]}, CASE WHEN l_linenumber > 2 THEN rut_left - 0.01e0 END AS {_DELTAS[1]}, rut_right - 0.02e0 AS {_DELTAS[2]},
+_LONG_POINTS = f"""SELECT x, y, depth_mid, depth_mid - l_quantity / 6000e0 AS {_DELTAS[0]}, CASE WHEN l_linenumber > 2
+ THEN rut_left - 0.01e0 END AS {_DELTAS[1]}, rut_right - 0.02e0 AS {_DELTAS[2]},
  CAST(NULL AS DOUBLE) AS {_DELTAS[3]}, CASE WHEN l_linenumber <> 3 THEN (l_quantity - 25) / 10e0 END AS gradient FROM {{fx_samples}}"""
-_TRANS_LINES = """SELECT x AS lx0, y AS ly0, x + rut_left * 50e0 AS lx1, y + rut_right * 40e0 AS ly1, CASE WHEN l_linenumber <> 4 THEN rut_left END AS rut_depth_left, CASE WHEN l_linenumber < 4 THEN rut_right END AS rut_depth_right,
- CASE WHEN l_linenumber = 2 THEN rut_left / 2 END AS water_depth_left, rut_right / 3 AS water_depth_right, (l_quantity - 20) / 7e0 AS gradient FROM {fx_samples} WHERE rut_left IS NOT NULL AND rut_right IS NOT NULL"""
+_TRANS_LINES = """SELECT x AS lx0, y AS ly0, x + rut_left * 50e0 AS lx1, y + rut_right * 40e0 AS ly1, CASE WHEN l_linenumber <> 4
+ THEN rut_left END AS rut_depth_left, CASE WHEN l_linenumber < 4 THEN rut_right END AS rut_depth_right,
+ CASE WHEN l_linenumber = 2 THEN rut_left / 2 END AS water_depth_left, rut_right / 3 AS water_depth_right, (l_quantity - 20) / 7e0 AS gradient
+ FROM {fx_samples} WHERE rut_left IS NOT NULL AND rut_right IS NOT NULL"""
 
 
 def _moments(c: str, kinds: str, name: str = "") -> str:
     """Aggregates of c in whole 1e-9, as sums of whole numbers don't depend on their order."""
     name, u = name or c, f"CAST(floor({c} * 1e9 + 0.5e0) AS BIGINT)"
     n, s, ss = f"count({c})::DOUBLE", f"sum({u})::DOUBLE", f"sum({u}::HUGEINT * {u})::DOUBLE"
-    sql = {"max": f"max({u}) / 1e9 AS {name}_max", "mean": f"CASE WHEN count({c}) > 0 THEN {s} / {n} / 1e9 END AS {name}_mean", "std": f"CASE WHEN count({c}) > 0 THEN sqrt(greatest(0.0::DOUBLE, {n} * {ss} - {s} * {s})) / {n} / 1e9 END AS {name}_std"}
+    sql = {"max": f"max({u}) / 1e9 AS {name}_max", "mean": f"CASE WHEN count({c}) > 0 THEN {s} / {n} / 1e9 END AS {name}_mean", "std": f"""CASE
+ WHEN count({c}) > 0 THEN sqrt(greatest(0.0::DOUBLE, {n} * {ss} - {s} * {s})) / {n} / 1e9 END AS {name}_std"""}
     return ", ".join(sql[k] for k in kinds.split())
 
 
@@ -151,7 +162,8 @@ def _planeness_sql() -> str:
         cte("fx_areas", "fx_samples") + f", pt AS ({_LONG_POINTS.format(fx_samples='fx_samples')}), ln AS ({_TRANS_LINES.format(fx_samples='fx_samples')}), "
         f"al AS (SELECT area_id, {', '.join(along)} FROM pt JOIN fx_areas ON x > x0 AND x < x1 AND y > y0 AND y < y1 GROUP BY area_id), "
         f"ac AS (SELECT area_id, {', '.join(across)} FROM ln JOIN fx_areas ON {box} WHERE greatest({_EX}, {_EY}, 0e0) <= least({_LX}, {_LY}, 1e0) GROUP BY area_id), "
-        f"ag AS (SELECT a.area_id, a.bw, a.fk, al.* EXCLUDE (area_id), ac.* EXCLUDE (area_id), {both} FROM fx_areas a LEFT JOIN al ON al.area_id = a.area_id LEFT JOIN ac ON ac.area_id = a.area_id)"
+        f"""ag AS (SELECT a.area_id, a.bw, a.fk, al.* EXCLUDE (area_id), ac.* EXCLUDE (area_id), {both} FROM fx_areas a LEFT
+ JOIN al ON al.area_id = a.area_id LEFT JOIN ac ON ac.area_id = a.area_id)"""
     )
 
 
@@ -188,8 +200,10 @@ def ap9_projection(spark, sf_dir):
     return planeness.to_ap9(_planeness(spark, sf_dir))
 
 
-_MA = lambda n: f"CASE WHEN count(z) OVER (PARTITION BY cluster ORDER BY idx ROWS BETWEEN {n // 2} PRECEDING AND {n // 2} FOLLOWING) = {n} THEN z - sum(z) OVER (PARTITION BY cluster ORDER BY idx ROWS BETWEEN {n // 2} PRECEDING AND {n // 2} FOLLOWING) / {n}e0 END AS delta_{n}"
-_LANES = "SELECT l_suppkey AS cluster, CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_shipdate) - 1 AS BIGINT) AS idx, CAST(floor(l_extendedprice) AS DOUBLE) AS z FROM {lineitem}"
+_MA = lambda n: f"""CASE WHEN count(z) OVER (PARTITION BY cluster ORDER BY idx ROWS BETWEEN {n // 2} PRECEDING AND {n // 2} FOLLOWING) = {n}
+ THEN z - sum(z) OVER (PARTITION BY cluster ORDER BY idx ROWS BETWEEN {n // 2} PRECEDING AND {n // 2} FOLLOWING) / {n}e0 END AS delta_{n}"""
+_LANES = """SELECT l_suppkey AS cluster, CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity,
+ l_extendedprice, l_shipdate) - 1 AS BIGINT) AS idx, CAST(floor(l_extendedprice) AS DOUBLE) AS z FROM {lineitem}"""
 
 
 @query(f"WITH h AS ({_LANES.format(lineitem='lineitem')}) SELECT cluster, idx, z, {', '.join(map(_MA, (11, 31, 101, 301)))} FROM h")
@@ -208,7 +222,8 @@ def straight_edge_depth(spark, sf_dir):
 
 
 _SHOTS = "SELECT DISTINCT run_id, CAST(image_id AS BIGINT) AS image_no, x, y FROM recordings"
-_ISLAND = """WITH r AS ({0}), f AS (SELECT *, CASE WHEN {1} THEN 0 ELSE 1 END AS s FROM (SELECT *, lag(image_no) OVER w AS pn, lag(x) OVER w AS px, lag(y) OVER w AS py FROM r WINDOW w AS (PARTITION BY run_id ORDER BY image_no))),
+_ISLAND = """WITH r AS ({0}), f AS (SELECT *, CASE WHEN {1} THEN 0 ELSE 1 END AS s FROM (SELECT *, lag(image_no) OVER w AS pn, lag(x) OVER w AS px,
+ lag(y) OVER w AS py FROM r WINDOW w AS (PARTITION BY run_id ORDER BY image_no))),
  c AS (SELECT *, CAST(sum(s) OVER (PARTITION BY run_id ORDER BY image_no ROWS UNBOUNDED PRECEDING) - 1 AS BIGINT) AS cluster FROM f)
  SELECT run_id, image_no, cluster FROM (SELECT *, count(*) OVER (PARTITION BY run_id, cluster) AS n FROM c) WHERE n > 1"""
 _ONE = "SELECT run_id, image_no, min(x) AS x, min(y) AS y FROM (" + _SHOTS + ") GROUP BY run_id, image_no"
@@ -230,7 +245,8 @@ def consecutive_id_clusters(spark, sf_dir):
     return sequences.islands(_shots(spark, sf_dir), ["run_id"], "image_no", block=64).select("run_id", "image_no", "cluster")
 
 
-@query("""WITH s AS (SELECT l_orderkey, count(*)::DOUBLE AS n, sum(l_linenumber)::DOUBLE AS sx, sum(CAST(floor(l_quantity) AS BIGINT))::DOUBLE AS sy, sum(l_linenumber * l_linenumber)::DOUBLE AS sxx, sum(l_linenumber * CAST(floor(l_quantity) AS BIGINT))::DOUBLE AS sxy FROM lineitem GROUP BY l_orderkey)
+@query("""WITH s AS (SELECT l_orderkey, count(*)::DOUBLE AS n, sum(l_linenumber)::DOUBLE AS sx, sum(CAST(floor(l_quantity) AS BIGINT))::DOUBLE AS sy,
+ sum(l_linenumber * l_linenumber)::DOUBLE AS sxx, sum(l_linenumber * CAST(floor(l_quantity) AS BIGINT))::DOUBLE AS sxy FROM lineitem GROUP BY l_orderkey)
  SELECT l_orderkey, CASE WHEN n * sxx - sx * sx <> 0 THEN -100e0 * (n * sxy - sx * sy) / (n * sxx - sx * sx) END AS gradient FROM s""")
 def transverse_gradient(spark, sf_dir):
     d = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("bigint").alias("lane"), F.floor("l_quantity").cast("bigint").alias("v"))
@@ -244,7 +260,9 @@ _TYP = "CASE typ_id " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(_T
 _OVER = "greatest(0e0, least({0}1, {1} + 1e0) - greatest({0}0, {1}::DOUBLE))"
 _CELLS = "SELECT *, unnest(generate_series(CAST(floor(x0) AS BIGINT), CAST(floor(x1) AS BIGINT))) AS cx FROM {0}"
 _DAMAGE = cte("fx_areas", "fx_damage") + f", dmg AS (SELECT *, {_TYP} AS typ FROM fx_damage)"
-_PARTS = ", dx AS (" + _CELLS.format("dmg") + "), dc AS (SELECT *, unnest(generate_series(CAST(floor(y0) AS BIGINT), CAST(floor(y1) AS BIGINT))) AS cy FROM dx), da AS (SELECT cx, cy, typ, " + _OVER.format("x", "cx") + " * " + _OVER.format("y", "cy") + " AS a FROM dc), bt AS (SELECT cx, cy, typ, CAST(sum(CAST(floor(a * 1e6 + 0.5e0) AS BIGINT)) AS BIGINT) AS um2 FROM da WHERE a > 0 GROUP BY cx, cy, typ)"
+_PARTS = ", dx AS (" + _CELLS.format("dmg") + """), dc AS (SELECT *, unnest(generate_series(CAST(floor(y0) AS BIGINT), CAST(floor(y1) AS BIGINT))) AS cy
+ FROM dx), da AS (SELECT cx, cy, typ, """ + _OVER.format("x", "cx") + " * " + _OVER.format("y", "cy") + """ AS a
+ FROM dc), bt AS (SELECT cx, cy, typ, CAST(sum(CAST(floor(a * 1e6 + 0.5e0) AS BIGINT)) AS BIGINT) AS um2 FROM da WHERE a > 0 GROUP BY cx, cy, typ)"""
 
 
 def _damage(spark, sf_dir):
@@ -287,12 +305,16 @@ _RECT = "greatest(0e0, least(q.x1, b.x1, cx + 1e0) - greatest(q.x0, b.x0, cx::DO
 def _clipped_sql(mode: str) -> str:
     """Damage in the union of the areas of a mode: by inclusion and exclusion, as no three of the areas overlap."""
     areas_ = f"(SELECT * FROM fx_areas WHERE bw = '{mode}')"
-    pairs = f"(SELECT greatest(a.x0, b.x0) AS x0, greatest(a.y0, b.y0) AS y0, least(a.x1, b.x1) AS x1, least(a.y1, b.y1) AS y1 FROM {areas_} a JOIN {areas_} b ON a.area_id < b.area_id AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1)"
+    pairs = f"""(SELECT greatest(a.x0, b.x0) AS x0, greatest(a.y0, b.y0) AS y0, least(a.x1, b.x1) AS x1, least(a.y1, b.y1) AS y1 FROM {areas_} a
+ JOIN {areas_} b ON a.area_id < b.area_id AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1)"""
     near = "b.x0 < q.x1 AND b.x1 > q.x0 AND b.y0 < q.y1 AND b.y1 > q.y0"
     return (
-        ", dx AS (" + _CELLS.format("(SELECT *, row_number() OVER () AS rn FROM dmg)") + "), q AS (SELECT *, unnest(generate_series(CAST(floor(y0) AS BIGINT), CAST(floor(y1) AS BIGINT))) AS cy FROM dx), "
-        f"g AS (SELECT rn, cx, cy, typ, sum({_RECT}) AS a FROM q JOIN {areas_} b ON {near} GROUP BY rn, cx, cy, typ), l AS (SELECT rn, cx, cy, sum({_RECT}) AS a FROM q JOIN {pairs} b ON {near} GROUP BY rn, cx, cy), "
-        "bt AS (SELECT cx, cy, typ, CAST(sum(CAST(floor((g.a - coalesce(l.a, 0)) * 1e6 + 0.5e0) AS BIGINT)) AS BIGINT) AS um2 FROM g LEFT JOIN l USING (rn, cx, cy) GROUP BY cx, cy, typ)"
+        ", dx AS (" + _CELLS.format("(SELECT *, row_number() OVER () AS rn FROM dmg)") + """), q AS (SELECT *,
+ unnest(generate_series(CAST(floor(y0) AS BIGINT), CAST(floor(y1) AS BIGINT))) AS cy FROM dx), """
+        f"""g AS (SELECT rn, cx, cy, typ, sum({_RECT}) AS a FROM q JOIN {areas_} b ON {near} GROUP BY rn, cx, cy, typ), l AS (SELECT rn, cx, cy,
+ sum({_RECT}) AS a FROM q JOIN {pairs} b ON {near} GROUP BY rn, cx, cy), """
+        """bt AS (SELECT cx, cy, typ, CAST(sum(CAST(floor((g.a - coalesce(l.a, 0)) * 1e6 + 0.5e0) AS BIGINT)) AS BIGINT) AS um2 FROM g LEFT
+ JOIN l USING (rn, cx, cy) GROUP BY cx, cy, typ)"""
     )
 
 
@@ -300,7 +322,8 @@ def _share_sql(mode: str) -> str:
     counts = ", ".join(f"count(*) FILTER (WHERE {' OR '.join(ts)}) AS n_{g}" for g, ts in areas.GROUPS[mode].items())
     shares = ", ".join(f"coalesce(n_{g}, 0) * 100e0 / ((x1 - x0) * (y1 - y0)) AS {g}" for g in areas.GROUPS[mode])
     return (
-        _DAMAGE + _clipped_sql(mode) + _flags_sql(mode) + _AREA_CELLS + ", hit AS (SELECT area_id, fl.* FROM ac JOIN fl ON fl.cx = ac.cx AND fl.cy = ac.cy WHERE " + _OVER.format("x", "ac.cx") + " * " + _OVER.format("y", "ac.cy") + f" > 0 AND bw = '{mode}'), "
+        _DAMAGE + _clipped_sql(mode) + _flags_sql(mode) + _AREA_CELLS + """, hit AS (SELECT area_id, fl.* FROM ac JOIN fl ON fl.cx = ac.cx
+ AND fl.cy = ac.cy WHERE """ + _OVER.format("x", "ac.cx") + " * " + _OVER.format("y", "ac.cy") + f" > 0 AND bw = '{mode}'), "
         f"k AS (SELECT area_id, {counts} FROM hit GROUP BY area_id) SELECT a.area_id, a.bw, {shares} FROM fx_areas a LEFT JOIN k ON k.area_id = a.area_id WHERE a.bw = '{mode}'"
     )
 
@@ -331,21 +354,25 @@ def substance_paved(spark, sf_dir):
     return _share(spark, sf_dir, "P")
 
 
-_LINES = "SELECT l_orderkey, l_linenumber, x AS lx0, y AS ly0, x + rut_left * 500e0 AS lx1, y + rut_right * 400e0 AS ly1 FROM fx_samples WHERE rut_left IS NOT NULL AND rut_right IS NOT NULL"
+_LINES = """SELECT l_orderkey, l_linenumber, x AS lx0, y AS ly0, x + rut_left * 500e0 AS lx1, y + rut_right * 400e0 AS ly1 FROM fx_samples
+ WHERE rut_left IS NOT NULL AND rut_right IS NOT NULL"""
 
 
 def _clip_sql(a: str, k: str) -> tuple[str, str]:
     d, lo, hi = f"(l{a}1 - l{a}0)", f"{a}0", f"{a}1"
     one, two = f"({lo} - l{a}0) / nullif({d}, 0)", f"({hi} - l{a}0) / nullif({d}, 0)"
     within = f"l{a}0 BETWEEN {lo} AND {hi}"
-    return (f"CASE WHEN {d} = 0 THEN CASE WHEN {within} THEN 0e0 ELSE 2e0 END ELSE least({one}, {two}) END", f"CASE WHEN {d} = 0 THEN CASE WHEN {within} THEN 1e0 ELSE -1e0 END ELSE greatest({one}, {two}) END")
+    return (f"CASE WHEN {d} = 0 THEN CASE WHEN {within} THEN 0e0 ELSE 2e0 END ELSE least({one}, {two}) END", f"""CASE WHEN {d} = 0 THEN CASE
+ WHEN {within} THEN 1e0 ELSE -1e0 END ELSE greatest({one}, {two}) END""")
 
 
 _EX, _LX = _clip_sql("x", "x")
 _EY, _LY = _clip_sql("y", "y")
 
 
-@query(cte("fx_areas", "fx_samples") + f", ln AS ({_LINES}) SELECT area_id, l_orderkey, l_linenumber, lx0, ly0 FROM ln JOIN fx_areas ON least(lx0, lx1) <= x1 AND greatest(lx0, lx1) >= x0 AND least(ly0, ly1) <= y1 AND greatest(ly0, ly1) >= y0 WHERE greatest({_EX}, {_EY}, 0e0) <= least({_LX}, {_LY}, 1e0)")
+@query(cte("fx_areas", "fx_samples") + f""", ln AS ({_LINES}) SELECT area_id, l_orderkey, l_linenumber, lx0, ly0 FROM ln JOIN fx_areas ON least(lx0,
+ lx1) <= x1 AND greatest(lx0, lx1) >= x0 AND least(ly0, ly1) <= y1 AND greatest(ly0, ly1) >= y0 WHERE greatest({_EX}, {_EY}, 0e0) <= least({_LX},
+ {_LY}, 1e0)""")
 def line_in_area(spark, sf_dir):
     lines = fixture(spark, sf_dir, "fx_samples").selectExpr("l_orderkey", "l_linenumber", "x AS lx0", "y AS ly0", "x + rut_left * 500e0 AS lx1", "y + rut_right * 400e0 AS ly1").filter("lx1 is not null and ly1 is not null")
     return areas.lines_in_boxes(lines, fixture(spark, sf_dir, "fx_areas")).select("area_id", "l_orderkey", "l_linenumber", "lx0", "ly0")
@@ -353,17 +380,22 @@ def line_in_area(spark, sf_dir):
 
 # ---- tiles, boxes, ids ------------------------------------------------------------------------------
 
-@query("SELECT file_id, nullif(regexp_extract(file_path, '([0-9]+_[0-9]+)', 1), '') AS tile, CAST(split_part(nullif(regexp_extract(file_path, '([0-9]+_[0-9]+)', 1), ''), '_', 1) AS BIGINT) AS tile_x, CAST(split_part(nullif(regexp_extract(file_path, '([0-9]+_[0-9]+)', 1), ''), '_', 2) AS BIGINT) AS tile_y FROM cache_files")
+@query("""SELECT file_id, nullif(regexp_extract(file_path, '([0-9]+_[0-9]+)', 1), '') AS tile, CAST(split_part(nullif(regexp_extract(file_path,
+ '([0-9]+_[0-9]+)', 1), ''), '_', 1) AS BIGINT) AS tile_x, CAST(split_part(nullif(regexp_extract(file_path, '([0-9]+_[0-9]+)', 1), ''), '_',
+ 2) AS BIGINT) AS tile_y FROM cache_files""")
 def tile_id_parse(spark, sf_dir):
     d = table(spark, sf_dir, "cache_files").select("file_id", scalars.tile_id(F.col("file_path")).alias("tile"))
     x, y = scalars.tile_corner(F.col("tile"))
     return d.select("file_id", "tile", x.alias("tile_x"), y.alias("tile_y"))
 
 
-@query("""WITH f AS (SELECT DISTINCT tile_id FROM substance WHERE regexp_full_match(tile_id, '[0-9]+_[0-9]+')), d AS (SELECT DISTINCT tile_id FROM cache_files WHERE attempt > 1 AND tile_id IS NOT NULL),
- t AS (SELECT tile_id, CAST(split_part(tile_id, '_', 1) AS DOUBLE) AS x0, CAST(split_part(tile_id, '_', 2) AS DOUBLE) AS y0 FROM f WHERE tile_id NOT IN (SELECT tile_id FROM d)),
+@query("""WITH f AS (SELECT DISTINCT tile_id FROM substance WHERE regexp_full_match(tile_id, '[0-9]+_[0-9]+')), d AS (SELECT DISTINCT tile_id
+ FROM cache_files WHERE attempt > 1 AND tile_id IS NOT NULL),
+ t AS (SELECT tile_id, CAST(split_part(tile_id, '_', 1) AS DOUBLE) AS x0, CAST(split_part(tile_id, '_', 2) AS DOUBLE) AS y0 FROM f
+ WHERE tile_id NOT IN (SELECT tile_id FROM d)),
  b AS (SELECT DISTINCT x - 5 AS bx0, y - 5 AS by0, x + 5 AS bx1, y + 5 AS by1 FROM recordings),
- c AS (SELECT DISTINCT tx * 50e0 AS x0, ty * 50e0 AS y0 FROM (SELECT *, unnest(generate_series(CAST(ceil(bx0 / 50 - 1) AS BIGINT), CAST(floor(bx1 / 50) AS BIGINT))) AS tx FROM b) q, generate_series(CAST(ceil(by0 / 50 - 1) AS BIGINT), CAST(floor(by1 / 50) AS BIGINT)) g(ty))
+ c AS (SELECT DISTINCT tx * 50e0 AS x0, ty * 50e0 AS y0 FROM (SELECT *, unnest(generate_series(CAST(ceil(bx0 / 50 - 1) AS BIGINT),
+ CAST(floor(bx1 / 50) AS BIGINT))) AS tx FROM b) q, generate_series(CAST(ceil(by0 / 50 - 1) AS BIGINT), CAST(floor(by1 / 50) AS BIGINT)) g(ty))
  SELECT tile_id, t.x0, t.y0, t.x0 + 50 AS x1, t.y0 + 50 AS y1 FROM t JOIN c ON c.x0 = t.x0 AND c.y0 = t.y0""")
 def tile_filter_semi_anti(spark, sf_dir):
     """Tiles that aren't done yet and meet a 10 m box around a recording."""
@@ -390,7 +422,9 @@ def retile_points(spark, sf_dir):
     return lidar.retile(table(spark, sf_dir, "point_cloud").select("point_id", "x", "y").distinct()).select("point_id", "tile_x", "tile_y")
 
 
-_B36 = "WITH RECURSIVE d AS (SELECT o_orderkey AS k, o_orderkey AS r, '' AS s FROM orders UNION ALL SELECT k, r // 36, substr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', CAST(r % 36 AS INT) + 1, 1) || s FROM d WHERE r > 0) SELECT k AS o_orderkey, CASE WHEN k = 0 THEN '0' ELSE s END AS id36, k AS id_number FROM d WHERE r = 0 AND (s <> '' OR k = 0)"
+_B36 = """WITH RECURSIVE d AS (SELECT o_orderkey AS k, o_orderkey AS r, '' AS s FROM orders UNION ALL SELECT k, r // 36,
+ substr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', CAST(r % 36 AS INT) + 1, 1) || s FROM d WHERE r > 0) SELECT k AS o_orderkey, CASE WHEN k = 0 THEN '0'
+ ELSE s END AS id36, k AS id_number FROM d WHERE r = 0 AND (s <> '' OR k = 0)"""
 
 
 @query(_B36)
@@ -405,25 +439,34 @@ def base36_id(spark, sf_dir):
 _PX = cte("fx_pixels")
 
 
-@query(_PX + """, s AS (SELECT tile, count(*) AS n, count(*) FILTER (WHERE cond_id = 1) * 100e0 / count(*) AS gut, count(*) FILTER (WHERE cond_id = 2) * 100e0 / count(*) AS mittel, count(*) FILTER (WHERE cond_id = 3) * 100e0 / count(*) AS schlecht FROM fx_pixels WHERE cond_id > 0 GROUP BY tile)
- SELECT *, CASE WHEN schlecht / 100e0 >= 0.25e0 THEN 'schlecht' WHEN (mittel + schlecht) / 100e0 >= 0.25e0 THEN 'mittel' ELSE 'gut' END AS zustand FROM s""")
+@query(_PX + """, s AS (SELECT tile, count(*) AS n, count(*) FILTER (WHERE cond_id = 1) * 100e0 / count(*) AS gut,
+ count(*) FILTER (WHERE cond_id = 2) * 100e0 / count(*) AS mittel, count(*) FILTER (WHERE cond_id = 3) * 100e0 / count(*) AS schlecht FROM fx_pixels
+ WHERE cond_id > 0 GROUP BY tile)
+ SELECT *, CASE WHEN schlecht / 100e0 >= 0.25e0 THEN 'schlecht' WHEN (mittel + schlecht) / 100e0 >= 0.25e0 THEN 'mittel' ELSE 'gut' END AS zustand
+ FROM s""")
 def marking_classify(spark, sf_dir):
     return markings.classify_markings(fixture(spark, sf_dir, "fx_pixels"), ["tile"]).drop("typ")
 
 
-@query(_PX + ", c AS (SELECT tile, type_id, count(*) AS n, count(*) FILTER (WHERE cond_id > 0) AS k FROM fx_pixels GROUP BY ALL) SELECT tile, type_id AS typ FROM (SELECT *, row_number() OVER (PARTITION BY tile ORDER BY n DESC, type_id) AS r, sum(k) OVER (PARTITION BY tile) AS s FROM c) WHERE r = 1 AND s > 0")
+@query(_PX + """, c AS (SELECT tile, type_id, count(*) AS n, count(*) FILTER (WHERE cond_id > 0) AS k FROM fx_pixels GROUP BY ALL) SELECT tile,
+ type_id AS typ FROM (SELECT *, row_number() OVER (PARTITION BY tile ORDER BY n DESC, type_id) AS r, sum(k) OVER (PARTITION BY tile) AS s FROM c)
+ WHERE r = 1 AND s > 0""")
 def marking_majority_type(spark, sf_dir):
     return markings.pixel_shares(fixture(spark, sf_dir, "fx_pixels"), ["tile"]).select("tile", "typ")
 
 
-@query(_PX + ", c AS (SELECT tile, type_id, cond_id, count(*) AS n FROM fx_pixels WHERE type_id <> 9 GROUP BY ALL) SELECT *, n * 100e0 / sum(n) OVER (PARTITION BY tile)::DOUBLE AS of_tile, n * 100e0 / sum(n) OVER (PARTITION BY tile, type_id)::DOUBLE AS of_type FROM c")
+@query(_PX + """, c AS (SELECT tile, type_id, cond_id, count(*) AS n FROM fx_pixels WHERE type_id <> 9 GROUP BY ALL) SELECT *,
+ n * 100e0 / sum(n) OVER (PARTITION BY tile)::DOUBLE AS of_tile, n * 100e0 / sum(n) OVER (PARTITION BY tile, type_id)::DOUBLE AS of_type FROM c""")
 def tile_condition_counts(spark, sf_dir):
     return markings.condition_table(fixture(spark, sf_dir, "fx_pixels"), (9,))
 
 
-@query(_PX + """, w AS (SELECT tile, sum(CASE WHEN cond_id > 0 THEN 1 + type_id % 4 END)::DOUBLE AS w, sum(CASE WHEN cond_id = 1 THEN 1 + type_id % 4 ELSE 0 END)::DOUBLE AS g, sum(CASE WHEN cond_id = 2 THEN 1 + type_id % 4 ELSE 0 END)::DOUBLE AS m, sum(CASE WHEN cond_id = 3 THEN 1 + type_id % 4 ELSE 0 END)::DOUBLE AS b FROM fx_pixels GROUP BY tile),
+@query(_PX + """, w AS (SELECT tile, sum(CASE WHEN cond_id > 0 THEN 1 + type_id % 4 END)::DOUBLE AS w, sum(CASE WHEN cond_id = 1 THEN 1 + type_id % 4
+ ELSE 0 END)::DOUBLE AS g, sum(CASE WHEN cond_id = 2 THEN 1 + type_id % 4 ELSE 0 END)::DOUBLE AS m, sum(CASE WHEN cond_id = 3 THEN 1 + type_id % 4
+ ELSE 0 END)::DOUBLE AS b FROM fx_pixels GROUP BY tile),
  s AS (SELECT tile, g / w AS gut, m / w AS mittel, b / w AS schlecht FROM w)
- SELECT *, CASE WHEN schlecht >= 0.3e0 THEN 'schlecht' WHEN mittel + schlecht >= 0.2e0 OR schlecht >= 0.02e0 THEN 'mittel' WHEN gut IS NOT NULL THEN 'gut' END AS zustand FROM s""")
+ SELECT *, CASE WHEN schlecht >= 0.3e0 THEN 'schlecht' WHEN mittel + schlecht >= 0.2e0 OR schlecht >= 0.02e0 THEN 'mittel' WHEN gut IS NOT NULL
+ THEN 'gut' END AS zustand FROM s""")
 def tile_class_weighted(spark, sf_dir):
     px = fixture(spark, sf_dir, "fx_pixels")
     t = px.groupBy("tile", "type_id", "cond_id").agg(F.count(F.lit(1)).alias("n"))
@@ -436,11 +479,15 @@ _GP = """SELECT l_orderkey, l_linenumber, x / 100e0 AS x, y / 100e0 AS y, CASE W
  WHEN l_partkey % 3 = 1 THEN (CAST(floor(l_quantity) AS BIGINT) % 40) * 0.02e0 ELSE 7.5e0 END + 100e0 AS z FROM fx_samples"""
 
 
-@query(cte("fx_samples") + f""", p AS ({_GP}), k AS (SELECT *, floor(x / 0.2e0) AS bx, floor(y / 0.2e0) AS by_ FROM p), e AS (SELECT bx, by_, min(z) AS lo, ceil((max(z) - min(z)) / 0.02e0) AS nb FROM k GROUP BY ALL),
- h AS (SELECT k.*, lo, nb, least(floor((z - lo) / 0.02e0), nb - 1) AS bz FROM k JOIN e USING (bx, by_)), c AS (SELECT bx, by_, bz, count(*) AS n FROM h WHERE nb > 0 GROUP BY ALL),
- f AS (SELECT bx, by_, coalesce(min(bz) FILTER (WHERE n > 10), 0) AS first FROM c GROUP BY ALL), r AS (SELECT c.*, row_number() OVER (PARTITION BY c.bx, c.by_ ORDER BY n DESC, bz) AS r FROM c JOIN f USING (bx, by_) WHERE bz BETWEEN first AND first + 9),
+@query(cte("fx_samples") + f""", p AS ({_GP}), k AS (SELECT *, floor(x / 0.2e0) AS bx, floor(y / 0.2e0) AS by_ FROM p), e AS (SELECT bx, by_,
+ min(z) AS lo, ceil((max(z) - min(z)) / 0.02e0) AS nb FROM k GROUP BY ALL),
+ h AS (SELECT k.*, lo, nb, least(floor((z - lo) / 0.02e0), nb - 1) AS bz FROM k JOIN e USING (bx, by_)), c AS (SELECT bx, by_, bz, count(*) AS n
+ FROM h WHERE nb > 0 GROUP BY ALL),
+ f AS (SELECT bx, by_, coalesce(min(bz) FILTER (WHERE n > 10), 0) AS first FROM c GROUP BY ALL), r AS (SELECT c.*,
+ row_number() OVER (PARTITION BY c.bx, c.by_ ORDER BY n DESC, bz) AS r FROM c JOIN f USING (bx, by_) WHERE bz BETWEEN first AND first + 9),
  m AS (SELECT bx, by_, bz AS mode FROM r WHERE r = 1)
- SELECT l_orderkey, l_linenumber, x, y, z FROM h LEFT JOIN m USING (bx, by_) WHERE nb = 0 OR (z >= lo + least(greatest(mode - 2, 0), nb) * 0.02e0 AND z < lo + least(mode + 3, nb) * 0.02e0)""")
+ SELECT l_orderkey, l_linenumber, x, y, z FROM h LEFT JOIN m USING (bx, by_) WHERE nb = 0 OR (z >= lo + least(greatest(mode - 2, 0), nb) * 0.02e0
+ AND z < lo + least(mode + 3, nb) * 0.02e0)""")
 def ground_filter(spark, sf_dir):
     """Ground points by the height histogram of each 0.2 m bin."""
     return lidar.ground(spark.sql(_GP.replace("fx_samples", "{s}"), s=fixture(spark, sf_dir, "fx_samples")))
@@ -459,7 +506,8 @@ def outlier_filter(spark, sf_dir):
 
 
 _REC = "r AS (SELECT rec_id, min(x) AS x, min(y) AS y FROM recordings GROUP BY rec_id)"
-_KNN = "WITH " + _POINTS + ", " + _REC + ", " + _CELL3.format("5e0") + """, d AS (SELECT r.rec_id, n.point_id, n.z, (r.x - n.x) * (r.x - n.x) + (r.y - n.y) * (r.y - n.y) AS d2 FROM r JOIN n ON n.cx = floor(r.x / 5e0) AND n.cy = floor(r.y / 5e0)),
+_KNN = "WITH " + _POINTS + ", " + _REC + ", " + _CELL3.format("5e0") + """, d AS (SELECT r.rec_id, n.point_id, n.z,
+ (r.x - n.x) * (r.x - n.x) + (r.y - n.y) * (r.y - n.y) AS d2 FROM r JOIN n ON n.cx = floor(r.x / 5e0) AND n.cy = floor(r.y / 5e0)),
  k AS (SELECT *, CAST(row_number() OVER (PARTITION BY rec_id ORDER BY d2, point_id) AS INT) AS rank FROM d WHERE d2 <= 25e0)"""
 
 
@@ -476,7 +524,9 @@ def nearest_k_points(spark, sf_dir):
     return lidar.nearest(rec, pts, "rec_id", "point_id", 5.0, 7).select("rec_id", "point_id", "rank")
 
 
-@query(_KNN + ", h AS (SELECT rec_id, CASE WHEN count(*) FILTER (WHERE d2 = 0) > 0 THEN avg(z) FILTER (WHERE d2 = 0) ELSE sum(z / nullif(d2, 0)) / sum(1e0 / nullif(d2, 0)) END AS z FROM k WHERE rank <= 10 GROUP BY rec_id) SELECT r.rec_id, CAST(floor(h.z * 1e6 + 0.5e0) AS BIGINT) AS z_um FROM r LEFT JOIN h ON h.rec_id = r.rec_id")
+@query(_KNN + """, h AS (SELECT rec_id, CASE WHEN count(*) FILTER (WHERE d2 = 0) > 0 THEN avg(z) FILTER (WHERE d2 = 0) ELSE sum(z / nullif(d2,
+ 0)) / sum(1e0 / nullif(d2, 0)) END AS z FROM k WHERE rank <= 10 GROUP BY rec_id) SELECT r.rec_id, CAST(floor(h.z * 1e6 + 0.5e0) AS BIGINT) AS z_um
+ FROM r LEFT JOIN h ON h.rec_id = r.rec_id""")
 def idw_height(spark, sf_dir):
     """Height at each recording from the ten nearest laser points, weighted by 1 / d², in micrometres."""
     rec, pts = _rec_points(spark, sf_dir)
@@ -486,19 +536,22 @@ def idw_height(spark, sf_dir):
 
 # ---- tables -----------------------------------------------------------------------------------------
 
-@query("SELECT DISTINCT area_id, coalesce(CASE WHEN NOT isnan(msptl) THEN msptl END, CASE WHEN NOT isnan(msptr) THEN msptr END, CASE WHEN NOT isnan(mspt) THEN mspt END) AS v FROM strassenzustand")
+@query("""SELECT DISTINCT area_id, coalesce(CASE WHEN NOT isnan(msptl) THEN msptl END, CASE WHEN NOT isnan(msptr) THEN msptr END, CASE
+ WHEN NOT isnan(mspt) THEN mspt END) AS v FROM strassenzustand""")
 def coalesce_projection(spark, sf_dir):
     return table(spark, sf_dir, "strassenzustand").select("area_id", relational.first_known(F.col("msptl"), F.col("msptr"), F.col("mspt")).alias("v")).distinct()
 
 
-@query("SELECT s.s_suppkey, coalesce(n.acct, s.s_acctbal) AS s_acctbal FROM supplier s LEFT JOIN (SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal + 1 END AS acct FROM supplier WHERE s_suppkey % 3 = 0) n ON n.s_suppkey = s.s_suppkey")
+@query("""SELECT s.s_suppkey, coalesce(n.acct, s.s_acctbal) AS s_acctbal FROM supplier s LEFT JOIN (SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0
+ THEN s_acctbal + 1 END AS acct FROM supplier WHERE s_suppkey % 3 = 0) n ON n.s_suppkey = s.s_suppkey""")
 def table_update(spark, sf_dir):
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
     changes = s.filter("s_suppkey % 3 = 0").select("s_suppkey", F.when(F.col("s_suppkey") % 2 == 0, F.col("s_acctbal") + 1).alias("s_acctbal"))
     return relational.update(s, changes, ["s_suppkey"])
 
 
-@query("SELECT DISTINCT area_id, bw, riss, ofs FROM strassenzustand WHERE bw = 'A' AND NOT coalesce(isnan(riss), false) AND NOT coalesce(isnan(ofs), false) UNION ALL SELECT DISTINCT area_id, bw, NULL, ofs FROM strassenzustand WHERE bw = 'P' AND NOT coalesce(isnan(ofs), false)")
+@query("""SELECT DISTINCT area_id, bw, riss, ofs FROM strassenzustand WHERE bw = 'A' AND NOT coalesce(isnan(riss), false) AND NOT coalesce(isnan(ofs),
+ false) UNION ALL SELECT DISTINCT area_id, bw, NULL, ofs FROM strassenzustand WHERE bw = 'P' AND NOT coalesce(isnan(ofs), false)""")
 def union_missing_columns(spark, sf_dir):
     d = table(spark, sf_dir, "strassenzustand").filter("not coalesce(isnan(ofs), false)")
     a = d.filter("bw = 'A' and not coalesce(isnan(riss), false)").select("area_id", "bw", "riss", "ofs").distinct()
@@ -530,9 +583,11 @@ def gps_to_utc(spark, sf_dir):
     return p.select("point_id", scalars.utc_micros(F.col("gps_time")).alias("utc_us")).distinct()
 
 
-@query("WITH " + checks.instants() + """, r AS (SELECT DISTINCT CAST(regexp_extract(run_id, '^run_([0-9]+)$', 1) AS BIGINT) AS run, rec_id, utc_us::DOUBLE AS t FROM recordings JOIN ts USING (time_stamp) WHERE regexp_matches(run_id, '^run_[0-9]+$')),
+@query("WITH " + checks.instants() + """, r AS (SELECT DISTINCT CAST(regexp_extract(run_id, '^run_([0-9]+)$', 1) AS BIGINT) AS run, rec_id,
+ utc_us::DOUBLE AS t FROM recordings JOIN ts USING (time_stamp) WHERE regexp_matches(run_id, '^run_[0-9]+$')),
  p AS (SELECT DISTINCT point_id, point_source_id AS run, CAST(round(gps_time * 1e6) AS BIGINT) + 1315964800000000 AS t FROM point_cloud WHERE gps_time IS NOT NULL),
- d AS (SELECT point_id, rec_id, row_number() OVER (PARTITION BY point_id, p.t ORDER BY abs(p.t - r.t), r.t, rec_id) AS n FROM p LEFT JOIN r ON r.run = p.run) SELECT point_id, rec_id FROM d WHERE n = 1""")
+ d AS (SELECT point_id, rec_id, row_number() OVER (PARTITION BY point_id, p.t ORDER BY abs(p.t - r.t), r.t, rec_id) AS n FROM p LEFT
+ JOIN r ON r.run = p.run) SELECT point_id, rec_id FROM d WHERE n = 1""")
 def nearest_in_time(spark, sf_dir):
     """The recording of its run nearest in time to each laser point, however far."""
     from pavelens.plans.dataset import recording_instants
@@ -552,7 +607,8 @@ def utc_to_gps(spark, sf_dir):
     return recording_instants(spark, sf_dir, ["rec_id"]).select("rec_id", scalars.gps_seconds(F.timestamp_micros("utc_us")).alias("gps")).distinct()
 
 
-@query("SELECT DISTINCT point_id, CAST(floor(least(greatest(intensity, 0), 65535) / 256e0) AS INT) AS intensity8, CAST(floor(least(greatest((z - (SELECT min(z) FROM point_cloud)) / 100e0, 0e0), 1e0) * 65535) AS INT) AS height16 FROM point_cloud")
+@query("""SELECT DISTINCT point_id, CAST(floor(least(greatest(intensity, 0), 65535) / 256e0) AS INT) AS intensity8,
+ CAST(floor(least(greatest((z - (SELECT min(z) FROM point_cloud)) / 100e0, 0e0), 1e0) * 65535) AS INT) AS height16 FROM point_cloud""")
 def raster_codes(spark, sf_dir):
     """Intensities as bytes and heights above the lowest point as 16-bit numbers."""
     p = table(spark, sf_dir, "point_cloud").select("point_id", "z", "intensity")
@@ -593,7 +649,8 @@ _EDGE_CROSSES = " OR ".join(
 @query(f"""WITH {checks.shapes('ar', 'strassenzustand', 'area_id')}, b AS ({_BOX}),
  c AS (SELECT b.*, a.k, a.id FROM b JOIN ar_b a ON b.x0 <= a.x1 AND b.x1 >= a.x0 AND b.y0 <= a.y1 AND b.y1 >= a.y0),
  t AS (SELECT b.rec_id, b.k, b.id, bool_or(e.x BETWEEN b.x0 AND b.x1 AND e.y BETWEEN b.y0 AND b.y1) AS corner, bool_or({_EDGE_CROSSES}) AS crossed,
-  count(*) FILTER (WHERE (e.y > b.y0) <> (e.v > b.y0) AND b.x0 < (e.u - e.x) * (b.y0 - e.y) / nullif(e.v - e.y, 0) + e.x) % 2 = 1 AS inn FROM c b JOIN ar_e e ON e.k = b.k GROUP BY b.rec_id, b.k, b.id)
+  count(*) FILTER (WHERE (e.y > b.y0) <> (e.v > b.y0) AND b.x0 < (e.u - e.x) * (b.y0 - e.y) / nullif(e.v - e.y, 0) + e.x) % 2 = 1 AS inn FROM c b
+ JOIN ar_e e ON e.k = b.k GROUP BY b.rec_id, b.k, b.id)
  SELECT DISTINCT rec_id, id AS area_id FROM t WHERE corner OR crossed OR inn""")
 def boxes_in_areas(spark, sf_dir):
     """6 m boxes around recordings and the areas that they meet."""
@@ -603,8 +660,10 @@ def boxes_in_areas(spark, sf_dir):
     return polygons.boxes_in_areas(boxes, own, ["area_id"], largest=10.0).select("rec_id", "area_id").distinct()
 
 
-@query(f"""WITH {checks.shapes('ar', 'strassenzustand', 'area_id')}, q AS (SELECT r.point_id AS p, r.x, r.y, b.k, b.id FROM (SELECT DISTINCT point_id, x, y FROM point_cloud) r JOIN ar_b b ON r.x > b.x0 AND r.x < b.x1 AND r.y > b.y0 AND r.y < b.y1),
- t AS (SELECT q.p, q.id, q.k, count(*) FILTER (WHERE (e.y > q.y) <> (e.v > q.y) AND q.x < (e.u - e.x) * (q.y - e.y) / nullif(e.v - e.y, 0) + e.x) % 2 = 1 AS inn FROM q JOIN ar_e e ON e.k = q.k GROUP BY q.p, q.id, q.k)
+@query(f"""WITH {checks.shapes('ar', 'strassenzustand', 'area_id')}, q AS (SELECT r.point_id AS p, r.x, r.y, b.k, b.id FROM (SELECT DISTINCT point_id,
+ x, y FROM point_cloud) r JOIN ar_b b ON r.x > b.x0 AND r.x < b.x1 AND r.y > b.y0 AND r.y < b.y1),
+ t AS (SELECT q.p, q.id, q.k, count(*) FILTER (WHERE (e.y > q.y) <> (e.v > q.y) AND q.x < (e.u - e.x) * (q.y - e.y) / nullif(e.v - e.y,
+ 0) + e.x) % 2 = 1 AS inn FROM q JOIN ar_e e ON e.k = q.k GROUP BY q.p, q.id, q.k)
  SELECT DISTINCT p AS point_id, id AS area_id FROM t WHERE inn""")
 def points_in_polygons(spark, sf_dir):
     """Laser points and the areas with holes and pieces that they lie in."""
@@ -623,9 +682,12 @@ def _mesh(df: DataFrame, cells: int) -> DataFrame:
     return m.withColumn("cell_id", (F.col("tile_x") * 100_000_000 + F.col("tile_y")) * 1_000 + F.col("cell"))
 
 
-@query("WITH " + _POINTS + ", " + _TILES.format("point_cloud") + ", " + _MESH.format("2.5e0", 20) + """, v AS (SELECT DISTINCT point_id, x, y, z, intensity::DOUBLE AS intensity FROM point_cloud),
- d AS (SELECT m.tile_x, m.tile_y, r, c, z, intensity, row_number() OVER (PARTITION BY m.tile_x, m.tile_y, r, c ORDER BY (m.x - v.x) * (m.x - v.x) + (m.y - v.y) * (m.y - v.y), point_id) AS n
-  FROM v JOIN m ON m.x BETWEEN v.x - 1 AND v.x + 1 AND m.y BETWEEN v.y - 1 AND v.y + 1 AND m.tile_x BETWEEN v.x - 51 AND v.x + 1 AND (m.x - v.x) * (m.x - v.x) + (m.y - v.y) * (m.y - v.y) <= 1)
+@query("WITH " + _POINTS + ", " + _TILES.format("point_cloud") + ", " + _MESH.format("2.5e0", 20) + """, v AS (SELECT DISTINCT point_id, x, y, z,
+ intensity::DOUBLE AS intensity FROM point_cloud),
+ d AS (SELECT m.tile_x, m.tile_y, r, c, z, intensity, row_number() OVER (PARTITION BY m.tile_x, m.tile_y, r, c
+ ORDER BY (m.x - v.x) * (m.x - v.x) + (m.y - v.y) * (m.y - v.y), point_id) AS n
+  FROM v JOIN m ON m.x BETWEEN v.x - 1 AND v.x + 1 AND m.y BETWEEN v.y - 1 AND v.y + 1 AND m.tile_x BETWEEN v.x - 51 AND v.x + 1
+ AND (m.x - v.x) * (m.x - v.x) + (m.y - v.y) * (m.y - v.y) <= 1)
  SELECT tile_x, tile_y, r AS "row", c AS col, z, intensity FROM d WHERE n = 1""")
 def grid_from_points(spark, sf_dir):
     """Height and intensity of the nearest laser point to each cell of a 2.5 m raster, up to 1 m away."""
@@ -635,8 +697,10 @@ def grid_from_points(spark, sf_dir):
 
 
 @query("WITH r0 AS (SELECT rec_id, min(x) AS x, min(y) AS y FROM recordings GROUP BY rec_id), " + _TILES.format("r0") + ", " + _MESH.format("12.5e0", 4) + """,
- k AS (SELECT *, floor(x / 60e0) AS kx, floor(y / 60e0) AS ky FROM m), n AS (SELECT rec_id, x, y, floor(x / 60e0) + dx AS kx, floor(y / 60e0) + dy AS ky FROM r0, (VALUES (-1), (0), (1)) a(dx), (VALUES (-1), (0), (1)) b(dy)),
- d AS (SELECT k.tile_x, k.tile_y, r, c, n.rec_id, CAST(row_number() OVER (PARTITION BY k.tile_x, k.tile_y, r, c ORDER BY (k.x - n.x) * (k.x - n.x) + (k.y - n.y) * (k.y - n.y), rec_id) AS INT) AS rank
+ k AS (SELECT *, floor(x / 60e0) AS kx, floor(y / 60e0) AS ky FROM m), n AS (SELECT rec_id, x, y, floor(x / 60e0) + dx AS kx,
+ floor(y / 60e0) + dy AS ky FROM r0, (VALUES (-1), (0), (1)) a(dx), (VALUES (-1), (0), (1)) b(dy)),
+ d AS (SELECT k.tile_x, k.tile_y, r, c, n.rec_id, CAST(row_number() OVER (PARTITION BY k.tile_x, k.tile_y, r, c
+ ORDER BY (k.x - n.x) * (k.x - n.x) + (k.y - n.y) * (k.y - n.y), rec_id) AS INT) AS rank
   FROM k JOIN n ON n.kx = k.kx AND n.ky = k.ky WHERE (k.x - n.x) * (k.x - n.x) + (k.y - n.y) * (k.y - n.y) <= 3600)
  SELECT tile_x, tile_y, r AS "row", c AS col, rec_id, rank FROM d WHERE rank <= 7""")
 def nearest_recordings(spark, sf_dir):
@@ -648,8 +712,11 @@ def nearest_recordings(spark, sf_dir):
     return near.join(own, "cell_id").select("tile_x", "tile_y", "row", "col", "rec_id", "rank")
 
 
-@query(_PX + """, s AS (SELECT tile, count(*) FILTER (WHERE cond_id = 2) * 100e0 / count(*) FILTER (WHERE cond_id > 0) AS mittel, count(*) FILTER (WHERE cond_id = 3) * 100e0 / count(*) FILTER (WHERE cond_id > 0) AS schlecht FROM fx_pixels GROUP BY tile HAVING count(*) FILTER (WHERE cond_id > 0) > 0)
- SELECT *, CASE WHEN schlecht / 100e0 >= 0.3e0 THEN 'schlecht' WHEN (mittel + schlecht) / 100e0 >= 0.6e0 THEN 'mittel' ELSE 'gut' END AS zustand FROM s""")
+@query(_PX + """, s AS (SELECT tile, count(*) FILTER (WHERE cond_id = 2) * 100e0 / count(*) FILTER (WHERE cond_id > 0) AS mittel,
+ count(*) FILTER (WHERE cond_id = 3) * 100e0 / count(*) FILTER (WHERE cond_id > 0) AS schlecht FROM fx_pixels
+ GROUP BY tile HAVING count(*) FILTER (WHERE cond_id > 0) > 0)
+ SELECT *, CASE WHEN schlecht / 100e0 >= 0.3e0 THEN 'schlecht' WHEN (mittel + schlecht) / 100e0 >= 0.6e0 THEN 'mittel' ELSE 'gut' END AS zustand
+ FROM s""")
 def reclassify_markings(spark, sf_dir):
     """Stored markings classified anew with other thresholds."""
     stored = markings.classify_markings(fixture(spark, sf_dir, "fx_pixels"), ["tile"]).select("tile", "mittel", "schlecht", "zustand")
@@ -664,7 +731,8 @@ def grid_convergence(spark, sf_dir):
 
 
 @query("""WITH p AS (SELECT DISTINCT point_id, x - floor(x / 50) * 50 - 25 AS dx, y - floor(y / 50) * 50 - 25 AS dy, z / 50 - 3 AS dz FROM point_cloud)
- SELECT point_id, CAST(trunc((atan2(dx, dy) + pi() + 0.01e0) / (2 * pi()) * 4096) AS INT) % 4096 AS px, CAST(trunc(atan2(sqrt(dx * dx + dy * dy), dz) / pi() * 2048) AS INT) AS py FROM p""")
+ SELECT point_id, CAST(trunc((atan2(dx, dy) + pi() + 0.01e0) / (2 * pi()) * 4096) AS INT) % 4096 AS px, CAST(trunc(atan2(sqrt(dx * dx + dy * dy),
+ dz) / pi() * 2048) AS INT) AS py FROM p""")
 def panorama_pixels(spark, sf_dir):
     """Where panoramas in the middle of each tile see the laser points."""
     p = table(spark, sf_dir, "point_cloud").select("point_id", "x", "y", "z").distinct()
@@ -722,10 +790,14 @@ def transverse_profile(spark, sf_dir):
 
 _FILL = cte("fx_heights") + """, h AS (SELECT cluster, idx, CASE WHEN idx % 7 IN (2, 3) OR idx < 2 THEN NULL ELSE z END AS z FROM fx_heights),
  v AS (SELECT * FROM h WHERE z IS NOT NULL),
- n AS (SELECT h.cluster, h.idx, h.z, (SELECT max(idx) FROM v WHERE v.cluster = h.cluster AND v.idx < h.idx) AS p1, (SELECT min(idx) FROM v WHERE v.cluster = h.cluster AND v.idx > h.idx) AS n1 FROM h),
- m AS (SELECT n.*, (SELECT max(idx) FROM v WHERE v.cluster = n.cluster AND v.idx < n.p1) AS p2, (SELECT min(idx) FROM v WHERE v.cluster = n.cluster AND v.idx > n.n1) AS n2 FROM n),
- e AS (SELECT *, CASE WHEN p1 IS NOT NULL AND n1 IS NOT NULL THEN p1 WHEN p1 IS NOT NULL THEN p2 ELSE n1 END AS a, CASE WHEN p1 IS NOT NULL AND n1 IS NOT NULL THEN n1 WHEN p1 IS NOT NULL THEN p1 ELSE n2 END AS b FROM m)
- SELECT e.cluster, e.idx, CASE WHEN e.p1 IS NULL AND e.n1 IS NULL THEN NULL WHEN e.z IS NOT NULL THEN e.z ELSE va.z + (vb.z - va.z) * (e.idx - va.idx)::DOUBLE / (vb.idx - va.idx)::DOUBLE END AS z
+ n AS (SELECT h.cluster, h.idx, h.z, (SELECT max(idx) FROM v WHERE v.cluster = h.cluster AND v.idx < h.idx) AS p1, (SELECT min(idx) FROM v
+ WHERE v.cluster = h.cluster AND v.idx > h.idx) AS n1 FROM h),
+ m AS (SELECT n.*, (SELECT max(idx) FROM v WHERE v.cluster = n.cluster AND v.idx < n.p1) AS p2, (SELECT min(idx) FROM v WHERE v.cluster = n.cluster
+ AND v.idx > n.n1) AS n2 FROM n),
+ e AS (SELECT *, CASE WHEN p1 IS NOT NULL AND n1 IS NOT NULL THEN p1 WHEN p1 IS NOT NULL THEN p2 ELSE n1 END AS a, CASE WHEN p1 IS NOT NULL
+ AND n1 IS NOT NULL THEN n1 WHEN p1 IS NOT NULL THEN p1 ELSE n2 END AS b FROM m)
+ SELECT e.cluster, e.idx, CASE WHEN e.p1 IS NULL AND e.n1 IS NULL THEN NULL WHEN e.z IS NOT NULL THEN e.z
+ ELSE va.z + (vb.z - va.z) * (e.idx - va.idx)::DOUBLE / (vb.idx - va.idx)::DOUBLE END AS z
  FROM e LEFT JOIN v va ON va.cluster = e.cluster AND va.idx = e.a LEFT JOIN v vb ON vb.cluster = e.cluster AND vb.idx = e.b"""
 
 
