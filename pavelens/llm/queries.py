@@ -104,8 +104,10 @@ QUERIES = {
 }
 _NEAREST = "WITH " + instants() + f""",
 rc AS (SELECT DISTINCT rec_id, TRY_CAST(regexp_extract(run_id, '^run_([0-9]+)$', 1) AS BIGINT) AS run, utc_us FROM recordings JOIN ts USING (time_stamp)),
-pt AS (SELECT DISTINCT point_id, point_source_id AS run, CAST(round(gps_time * 1e6) AS BIGINT) + {GPS_TO_UNIX_S * 1_000_000} AS us FROM point_cloud WHERE gps_time IS NOT NULL AND NOT isnan(gps_time)),
-pr AS (SELECT rec_id, point_id, abs(us - utc_us) AS gap_us, row_number() OVER (PARTITION BY point_id, us ORDER BY abs(us - utc_us), rec_id) AS r FROM pt JOIN rc ON rc.run = pt.run AND abs(us - utc_us) <= 250000)
+pt AS (SELECT DISTINCT point_id, point_source_id AS run, CAST(round(gps_time * 1e6) AS BIGINT) + {GPS_TO_UNIX_S * 1_000_000} AS us FROM point_cloud
+ WHERE gps_time IS NOT NULL AND NOT isnan(gps_time)),
+pr AS (SELECT rec_id, point_id, abs(us - utc_us) AS gap_us, row_number() OVER (PARTITION BY point_id, us ORDER BY abs(us - utc_us), rec_id) AS r
+ FROM pt JOIN rc ON rc.run = pt.run AND abs(us - utc_us) <= 250000)
 """
 
 
@@ -120,7 +122,8 @@ def _shared_runs(need: int = 12) -> str:
     """Documents and items with a run of words in common, by joining all runs of that length. Forms that NFKC writes as several characters aren't taken apart."""
     a, b = _one_letter_forms()
     text = lambda c: f"regexp_extract_all(lower(translate({c}, '{a}', '{b}')), '[\\p{{L}}\\p{{N}}]+')"
-    runs = lambda key: f"SELECT DISTINCT {key}, hash(w[i:i + {need - 1}]) AS g, w[i:i + {need - 1}] AS run FROM (SELECT {key}, w, unnest(generate_series(1, len(w) - {need - 1})) AS i FROM {{0}})"
+    runs = lambda key: f"""SELECT DISTINCT {key}, hash(w[i:i + {need - 1}]) AS g, w[i:i + {need - 1}] AS run FROM (SELECT {key}, w,
+ unnest(generate_series(1, len(w) - {need - 1})) AS i FROM {{0}})"""
     return (
         f"WITH d AS (SELECT doc_id, {text('text')} AS w FROM documents), i AS (SELECT item_id, {text('item_text')} AS w FROM eval_items), "
         f"dr AS ({runs('doc_id').format('d')}), ir AS ({runs('item_id').format('i')}) SELECT DISTINCT item_id, doc_id FROM ir JOIN dr ON ir.g = dr.g AND ir.run = dr.run"
