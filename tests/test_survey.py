@@ -358,3 +358,45 @@ def test_every_pixel_is_in_one_mask(spark):
         assert count == {1: 1_500, 2: 700} and all(len(r["mask"]) == r["height"] * 32 <= rows * 32 for r in got)
         assert [(r["height"], r["mask"].count(1)) for r in got if r["tile_id"] == "2"] == [(1, 5)]
     assert len({r["tile_id"] for r in got}) == len(got) == 4
+
+
+def test_damaged_shares_against_brute_force(spark):
+    rng = np.random.default_rng(12)
+    text = lambda xy: "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in [*xy, xy[0]]) + "))"
+
+    def star(r0):
+        n = int(rng.integers(4, 8))
+        a, r = (np.arange(n) + rng.uniform(0, 0.8, n)) * 2 * np.pi / n, rng.uniform(0.5, 1, n) * r0
+        cx, cy = rng.uniform(0, 14, 2)
+        return np.round(np.column_stack([cx + r * np.cos(a), cy + r * np.sin(a)]), 3).tolist()
+
+    ground = [(k, "AP"[k % 2], star(4)) for k in range(8)]
+    ground.append((8, "A", ground[0][2]))  # surveyed again on the same ground
+    damage = [(t, star(0.4)) for t in areas.TYPES for _ in range(12)] + [("r", star(2))]
+    got = polygons.damaged_shares(
+        spark.createDataFrame([(k, b, text(s)) for k, b, s in ground], "area_id long, bw string, geometry string"),
+        spark.createDataFrame([(t, text(s)) for t, s in damage], "typ string, geometry string"),
+    ).collect()
+    ring = lambda s: np.array(s) if polygons.surface(np.array(s)) > 0 else np.array(s)[::-1]
+    part = lambda s, x, y: polygons.clip_ring(ring(s), x, y, x + 1, y + 1)
+    want = {}
+    for mode in "AP":
+        own = [[ring(s)] for _, b, s in ground if b == mode]
+        flags = {}
+        for x in range(-6, 20):
+            for y in range(-6, 20):
+                m2 = dict.fromkeys(areas.MODES[mode], 0)
+                for t, s in damage:
+                    if t in m2 and abs(polygons.surface(ring(s))) >= areas.SIEVE_PIXELS[t] * areas.PIXEL_M**2 and len(p := part(s, x, y)) > 2:
+                        origin = np.array([x, y])
+                        m2[t] += int(np.floor(max(0.0, polygons.common_area([p - origin], [[r - origin for r in a] for a in own])) * 1e6 + 0.5))
+                flags[x, y] = {t for t, v in m2.items() if v >= round(areas.CELL_M2[t] * 1e6)}
+        for k, b, s in ground:
+            if b == mode:
+                cells = [c for c in flags if abs(polygons.surface(part(s, *c))) > 1e-9]
+                of = {g: 100 * sum(bool(flags[c] & set(ts)) for c in cells) / abs(polygons.surface(ring(s))) for g, ts in areas.GROUPS[mode].items()}
+                want[k] = [of.get(g) for g in ("riss", "afli", "ofs")]
+    assert len(got) == 9 and sum(v[2] > 0 for v in want.values()) > 5
+    for r in got:
+        for have, need in zip((r["riss"], r["afli"], r["ofs"]), want[r["area_id"]]):
+            assert (have is None) == (need is None) and (need is None or abs(have - need) < 1e-6), (r, want[r["area_id"]])
