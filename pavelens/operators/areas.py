@@ -93,22 +93,35 @@ def union_area(boxes: Column) -> Column:
     return F.aggregate(slabs, F.lit(0.0), lambda s, i: s + width(i) * covered(F.element_at(xs, i), F.element_at(xs, i + 1)))
 
 
+#: Side in metres of the squares in which boxes meet damage and damaged cells: whole 1 m cells, and a power of two, so that no division rounds.
+SQUARE_M = 8
+
+
 def cell_damage(damage: DataFrame, within: DataFrame | None = None) -> DataFrame:
     """damage(typ, x0, y0, x1, y1) → (cx, cy, typ, um2): damaged area in each 1 m cell, each object's in whole 1e-6 m².
 
-    within(x0, y0, x1, y1): only what lies in the union of these boxes counts. An object's boxes in one cell come together.
+    within(x0, y0, x1, y1): only what lies in the union of these boxes counts. An object meets the boxes of its square together.
     """
-    sides = {f"{a}{i}": (F.greatest if i == 0 else F.least)(f"{a}{i}", F.col(f"c{a}").cast("double") + i) for a in "xy" for i in (0, 1)}
-    part = unit_cells(damage).select("cx", "cy", "typ", *[c.alias(f"p{n}") for n, c in sides.items()]).filter("px1 > px0 and py1 > py0")
+    sides = {f"p{a}{i}": (F.greatest if i == 0 else F.least)(f"{a}{i}", F.col(f"c{a}").cast("double") + i) for a in "xy" for i in (0, 1)}
     um2 = lambda a: F.floor(a * 1e6 + 0.5).cast("bigint")
     if within is None:
+        part = unit_cells(damage).select("cx", "cy", "typ", *[c.alias(n) for n, c in sides.items()]).filter("px1 > px0 and py1 > py0")
         return part.groupBy("cx", "cy", "typ").agg(F.sum(um2((F.col("px1") - F.col("px0")) * (F.col("py1") - F.col("py0")))).alias("um2"))
-    key = ["cx", "cy", "typ", "px0", "py0", "px1", "py1"]
-    objects = part.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    both = objects.join(unit_cells(within.select("x0", "y0", "x1", "y1").distinct()), ["cx", "cy"])
-    cut = F.struct(*[f(f"p{n}", n).alias(n) for n, f in (("x0", F.greatest), ("y0", F.greatest), ("x1", F.least), ("y1", F.least))])
-    met = both.withColumn("_cut", cut).filter("_cut.x1 > _cut.x0 and _cut.y1 > _cut.y0").groupBy(*key, "_n").agg(F.collect_list("_cut").alias("_cuts"))
-    return met.groupBy("cx", "cy", "typ").agg(F.sum(F.col("_n") * um2(union_area(F.col("_cuts")))).alias("um2"))
+    box, some = ["x0", "y0", "x1", "y1"], "x1 > x0 and y1 > y0"
+    boxes = with_cells(within.select(*box).filter(some).distinct(), *box, SQUARE_M).groupBy("_cx", "_cy").agg(F.collect_list(F.struct(*box)).alias("_boxes"))
+    objects = with_cells(damage.select("typ", *box).filter(some), *box, SQUARE_M)
+    meets = F.exists("_boxes", lambda b: (b["x0"] < F.col("x1")) & (b["x1"] > F.col("x0")) & (b["y0"] < F.col("y1")) & (b["y1"] > F.col("y0")))
+    # boxes grow to their squares after sizes are estimated, so a join by estimates would broadcast them however many they are
+    part = objects.join(boxes.hint("merge"), ["_cx", "_cy"]).filter(meets)
+    for a in "xy":
+        first = F.col(f"_c{a}") * SQUARE_M
+        part = part.withColumn(f"c{a}", F.explode(F.sequence(F.greatest(F.floor(f"{a}0").cast("bigint"), first), F.least(F.floor(f"{a}1").cast("bigint"), first + (SQUARE_M - 1)))))
+    part = part.select("cx", "cy", "typ", "_boxes", *[c.alias(n) for n, c in sides.items()]).filter("px1 > px0 and py1 > py0")
+    cut = lambda b: F.struct(*[f(F.col(f"p{n}"), b[n]).alias(n) for n, f in zip(box, (F.greatest, F.greatest, F.least, F.least))])
+    part = part.withColumn("_cuts", F.filter(F.transform("_boxes", cut), lambda c: (c["x1"] > c["x0"]) & (c["y1"] > c["y0"])))
+    only = F.col("_cuts")[0]
+    inside = F.when(F.size("_cuts") == 1, (only["x1"] - only["x0"]) * (only["y1"] - only["y0"])).when(F.size("_cuts") > 1, union_area(F.col("_cuts")))
+    return part.groupBy("cx", "cy", "typ").agg(F.sum(um2(inside)).alias("um2")).filter("um2 is not null")
 
 
 def cell_pivot(by_type: DataFrame, types: tuple[str, ...] = TYPES) -> DataFrame:

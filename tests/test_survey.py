@@ -400,3 +400,39 @@ def test_damaged_shares_against_brute_force(spark):
     for r in got:
         for have, need in zip((r["riss"], r["afli"], r["ofs"]), want[r["area_id"]]):
             assert (have is None) == (need is None) and (need is None or abs(have - need) < 1e-6), (r, want[r["area_id"]])
+
+
+def broadcast_rows(df):
+    """Rows that the joins of a finished plan broadcast."""
+    df.collect()
+    todo, rows = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        p = todo.pop()
+        if p.nodeName() == "AdaptiveSparkPlan":
+            todo.append(p.executedPlan())
+        elif p.nodeName().endswith("QueryStage"):
+            todo.append(p.plan())
+        elif p.nodeName() == "BroadcastExchange":
+            rows.append(p.metrics().apply("numOutputRows").value())
+        children = p.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return rows
+
+
+def test_areas_of_clipped_damage_stay_off_the_driver(spark):
+    """A few boxes cover many cells: their sizes mustn't have them broadcast, large ones and several of a cell neither lose nor double damage."""
+    boxes = spark.createDataFrame([(0.0, 0.0, 300.0, 300.0), (-7.5, -8.0, 1.25, 9.5), (250.5, 0.0, 320.0, 16.0), (250.5, 0.0, 320.0, 16.0), (5.0, 5.0, 5.0, 9.0)], "x0 double, y0 double, x1 double, y1 double")
+    found = [("r", -1.5, -1.0, 0.5, 0.5), ("r", -1.5, -1.0, 0.5, 0.5), ("g", 299.5, 8.0, 301.0, 16.5), ("r", 7.75, 7.75, 8.25, 16.0), ("r", 400.0, 0.0, 401.0, 1.0), ("r", 3.0, 3.0, 3.0, 4.0), (None, 20.0, 20.0, 20.5, 21.0), ("r", None, 0.0, 1.0, 1.0)]
+    damage = spark.createDataFrame(found, "typ string, x0 double, y0 double, x1 double, y1 double")
+    df = areas.cell_damage(damage, boxes)
+    want = {}
+    cover = [tuple(b) for b in boxes.distinct().collect()]
+    for typ, x0, y0, x1, y1 in (f for f in found if f[1] is not None):
+        for cx in range(int(np.floor(x0)), int(np.ceil(x1))):
+            for cy in range(int(np.floor(y0)), int(np.ceil(y1))):
+                xs, ys = (np.arange(c + 0.125, c + 1, 0.25) for c in (cx, cy))  # all sides are whole quarters
+                n = sum(x0 < x < x1 and y0 < y < y1 and any(b[0] < x < b[2] and b[1] < y < b[3] for b in cover) for x in xs for y in ys)
+                if n:
+                    want[cx, cy, typ] = want.get((cx, cy, typ), 0) + n * 62_500
+    assert {(r["cx"], r["cy"], r["typ"]): r["um2"] for r in df.collect()} == want and len(want) > 20
+    assert max(broadcast_rows(df), default=0) < 100
