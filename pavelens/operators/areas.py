@@ -143,10 +143,11 @@ def damaged_share(areas: DataFrame, flags: DataFrame, mode: str, clip: bool = Fa
     unless clip is set. Cells that only touch an area don't count.
     """
     own = areas.filter(F.col("bw") == mode)
-    part = unit_cells(own)
+    parts = with_cells(own.select("area_id", "x0", "y0", "x1", "y1"), "x0", "y0", "x1", "y1", SQUARE_M)
+    squares = {f"_c{a}": F.floor(F.col(f"c{a}") / SQUARE_M).cast("bigint") for a in "xy"}
+    part = flags.withColumns(squares).join(parts.hint("merge"), ["_cx", "_cy"])  # not by estimates, see cell_damage
     a = overlap(F.col("x0"), F.col("x1"), F.col("cx").cast("double"), F.col("cx").cast("double") + 1.0) * overlap(F.col("y0"), F.col("y1"), F.col("cy").cast("double"), F.col("cy").cast("double") + 1.0)
-    hit = part.filter(a > 0).select("area_id", "cx", "cy").join(flags, ["cx", "cy"])
-    counts = hit.groupBy("area_id").agg(*[F.count_if(reduce(Column.__or__, [F.col(t) for t in ts])).alias(f"_{g}") for g, ts in GROUPS[mode].items()])
+    counts = part.filter(a > 0).groupBy("area_id").agg(*[F.count_if(reduce(Column.__or__, [F.col(t) for t in ts])).alias(f"_{g}") for g, ts in GROUPS[mode].items()])
     ground = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))
     out = own.join(counts, "area_id", "left")
     for g in GROUPS[mode]:

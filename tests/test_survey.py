@@ -436,3 +436,22 @@ def test_areas_of_clipped_damage_stay_off_the_driver(spark):
                     want[cx, cy, typ] = want.get((cx, cy, typ), 0) + n * 62_500
     assert {(r["cx"], r["cy"], r["typ"]): r["um2"] for r in df.collect()} == want and len(want) > 20
     assert max(broadcast_rows(df), default=0) < 100
+
+
+def test_cells_of_areas_stay_off_the_driver(spark):
+    """Shares of areas of many cells, with several areas in a damaged cell, one twice and one that only touches it: no cells of areas are broadcast."""
+    ground = [(1, "A", 0.0, 0.0, 300.0, 200.0), (2, "A", -0.5, -9.0, 8.0, 0.25), (3, "A", 1.0, 0.0, 1.0, 5.0), (4, "P", 0.0, 0.0, 9.0, 9.0), (5, "A", -8.0, -8.0, 0.0, 0.0), (5, "A", -8.0, -8.0, 0.0, 0.0)]
+    own = spark.createDataFrame(ground, "area_id long, bw string, x0 double, y0 double, x1 double, y1 double")
+    flag = [(0, 0, "r"), (-1, -1, "af"), (7, -8, "r"), (8, -8, "b"), (299, 199, "r"), (300, 0, "r"), (12, 7, "ae"), (-8, -8, "onf"), *[(1_000 + k, 0, "r") for k in range(200)]]
+    flags = spark.createDataFrame([(x, y, *[t == k for k in areas.MODES["A"]]) for x, y, t in flag], "cx long, cy long, " + ", ".join(f"{k} boolean" for k in areas.MODES["A"]))
+    df = areas.damaged_share(own, flags, "A")
+    got = sorted(tuple(r) for r in df.collect())
+    want = []
+    for k, bw, x0, y0, x1, y1 in ground:
+        if bw == "A":
+            same = sum(a[0] == k for a in ground)
+            hit = [t for x, y, t in flag if min(x1, x + 1) > max(x0, x) and min(y1, y + 1) > max(y0, y)]
+            size = (x1 - x0) * (y1 - y0)
+            want.append((k, bw, *[sum(t in ts for t in hit) * same * 100.0 / size if size else 0.0 for ts in areas.GROUPS["A"].values()]))
+    assert got == sorted(want) and sum(w[2] > 0 for w in want) == 2
+    assert max(broadcast_rows(df), default=0) < 1_000
