@@ -170,6 +170,25 @@ def grid_values(cells: DataFrame, points: DataFrame, cell_id: str, point_id: str
     return cells.drop(*values).join(near.select(cell_id, *values), cell_id, "left")
 
 
+def mesh_values(tiles: DataFrame, points: DataFrame, size: float, cells: int, point_id: str, values: tuple[str, ...], limit: float = 1.0) -> DataFrame:
+    """tiles(tile_x, tile_y), each once → tile_x, tile_y, row, col and values for the cells of mesh(tiles, size, cells) with a point up to `limit` away.
+
+    The nearest of points(point_id, rx, ry, values) counts, of equally near ones the smallest id. size: whole metres. Points look
+    for the cells around them, so cells without a point near are never made, however many the tiles have.
+    """
+    step, near = size / cells, points
+    for a, nth in (("x", "col"), ("y", "row")):
+        at, tile = F.col(f"r{a}"), f"tile_{a}"
+        g = F.explode(F.sequence(F.floor((at - limit) / step - 0.5).cast("bigint"), F.ceil((at + limit) / step - 0.5).cast("bigint")))
+        near = near.filter(at.isNotNull() & ~F.isnan(at)).withColumn("_g", g)
+        near = near.withColumns({tile: (F.floor(F.col("_g") / cells) * size).cast("bigint"), nth: F.pmod("_g", F.lit(cells)).cast("int")})
+        near = near.withColumn(f"_d{a}", F.col(tile) + (F.col(nth) + 0.5) * F.lit(step) - at).filter(F.col(f"_d{a}") * F.col(f"_d{a}") <= limit * limit)
+    key, d2 = ["tile_x", "tile_y", "row", "col"], F.col("_dx") * F.col("_dx") + F.col("_dy") * F.col("_dy")
+    near = near.withColumn("_d2", d2).filter(F.col("_d2") <= limit * limit).join(tiles, ["tile_x", "tile_y"], "left_semi")
+    best = near.groupBy(*key).agg(F.min(F.struct("_d2", F.col(point_id).isNull().alias("_no"), point_id, *values)).alias("_best"))
+    return best.select(*key, *[F.col("_best")[v].alias(v) for v in values])
+
+
 def nearest_recordings(cells: DataFrame, recordings: DataFrame, cell_id: str, recording_id: str, k: int = 7, reach: float = 90.0) -> DataFrame:
     """(cell_id, recording_id, d2, rank): the k recordings nearest to each cell; reach has to cover a tile with its surroundings."""
     return lidar.nearest(cells, recordings, cell_id, recording_id, reach, k, wide=8.0)

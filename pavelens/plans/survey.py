@@ -691,9 +691,11 @@ def _mesh(df: DataFrame, cells: int) -> DataFrame:
  SELECT tile_x, tile_y, r AS "row", c AS col, z, intensity FROM d WHERE n = 1""")
 def grid_from_points(spark, sf_dir):
     """Height and intensity of the nearest laser point to each cell of a 2.5 m raster, up to 1 m away."""
-    p = table(spark, sf_dir, "point_cloud").select("point_id", F.col("x").alias("rx"), F.col("y").alias("ry"), "z", F.col("intensity").cast("double").alias("intensity")).distinct()
-    cells = _mesh(p.select(F.col("rx").alias("x"), F.col("ry").alias("y")), 20)
-    return raster.grid_values(cells, p, "cell_id", "point_id", ("z", "intensity")).filter("z is not null").select("tile_x", "tile_y", F.col("row").cast("bigint").alias("row"), F.col("col").cast("bigint").alias("col"), "z", "intensity")
+    p = table(spark, sf_dir, "point_cloud").filter("x is not null and y is not null and not isnan(x) and not isnan(y)")
+    tiles = lidar.retile(p.select("x", "y"), 50.0).select("tile_x", "tile_y").distinct()
+    p = p.select("point_id", F.col("x").alias("rx"), F.col("y").alias("ry"), "z", F.col("intensity").cast("double").alias("intensity"))
+    near = raster.mesh_values(tiles, p, 50.0, 20, "point_id", ("z", "intensity"))
+    return near.select("tile_x", "tile_y", F.col("row").cast("bigint").alias("row"), F.col("col").cast("bigint").alias("col"), "z", "intensity")
 
 
 @query("WITH r0 AS (SELECT rec_id, min(x) AS x, min(y) AS y FROM recordings GROUP BY rec_id), " + _TILES.format("r0") + ", " + _MESH.format("12.5e0", 4) + """,

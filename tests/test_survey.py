@@ -402,28 +402,44 @@ def test_damaged_shares_against_brute_force(spark):
             assert (have is None) == (need is None) and (need is None or abs(have - need) < 1e-6), (r, want[r["area_id"]])
 
 
-def broadcast_rows(df):
-    """Rows that the joins of a finished plan broadcast."""
+def nodes(df):
+    """Name and numOutputRows of each node of the plan by which all rows were collected."""
     df.collect()
-    todo, rows = [df._jdf.queryExecution().executedPlan()], []
+    todo, found = [df._jdf.queryExecution().executedPlan()], []
     while todo:
         p = todo.pop()
         if p.nodeName() == "AdaptiveSparkPlan":
             todo.append(p.executedPlan())
         elif p.nodeName().endswith("QueryStage"):
             todo.append(p.plan())
-        elif p.nodeName() == "BroadcastExchange":
-            rows.append(p.metrics().apply("numOutputRows").value())
+        elif p.metrics().contains("numOutputRows"):
+            found.append((p.nodeName(), p.metrics().apply("numOutputRows").value()))
         children = p.children()
         todo += [children.apply(k) for k in range(children.size())]
-    return rows
+    return found
+
+
+def values(spark, rows, schema):
+    """A table whose size the planner knows, so that it chooses its joins by sizes."""
+    text = lambda v: "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
+    names = [f.split() for f in schema.split(", ")]
+    rows = ", ".join("(" + ", ".join(map(text, r)) + ")" for r in rows)
+    return spark.sql("SELECT " + ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in names) + f" FROM VALUES {rows} AS t({', '.join(n for n, _ in names)})")
+
+
+def broadcast_rows(df):
+    return [n for name, n in nodes(df) if name == "BroadcastExchange"]
+
+
+def generated_rows(df):
+    return [n for name, n in nodes(df) if name == "Generate"]
 
 
 def test_areas_of_clipped_damage_stay_off_the_driver(spark):
     """A few boxes cover many cells: their sizes mustn't have them broadcast, large ones and several of a cell neither lose nor double damage."""
-    boxes = spark.createDataFrame([(0.0, 0.0, 300.0, 300.0), (-7.5, -8.0, 1.25, 9.5), (250.5, 0.0, 320.0, 16.0), (250.5, 0.0, 320.0, 16.0), (5.0, 5.0, 5.0, 9.0)], "x0 double, y0 double, x1 double, y1 double")
+    boxes = values(spark, [(0.0, 0.0, 300.0, 300.0), (-7.5, -8.0, 1.25, 9.5), (250.5, 0.0, 320.0, 16.0), (250.5, 0.0, 320.0, 16.0), (5.0, 5.0, 5.0, 9.0)], "x0 double, y0 double, x1 double, y1 double")
     found = [("r", -1.5, -1.0, 0.5, 0.5), ("r", -1.5, -1.0, 0.5, 0.5), ("g", 299.5, 8.0, 301.0, 16.5), ("r", 7.75, 7.75, 8.25, 16.0), ("r", 400.0, 0.0, 401.0, 1.0), ("r", 3.0, 3.0, 3.0, 4.0), (None, 20.0, 20.0, 20.5, 21.0), ("r", None, 0.0, 1.0, 1.0)]
-    damage = spark.createDataFrame(found, "typ string, x0 double, y0 double, x1 double, y1 double")
+    damage = values(spark, found, "typ string, x0 double, y0 double, x1 double, y1 double")
     df = areas.cell_damage(damage, boxes)
     want = {}
     cover = [tuple(b) for b in boxes.distinct().collect()]
@@ -441,9 +457,9 @@ def test_areas_of_clipped_damage_stay_off_the_driver(spark):
 def test_cells_of_areas_stay_off_the_driver(spark):
     """Shares of areas of many cells, with several areas in a damaged cell, one twice and one that only touches it: no cells of areas are broadcast."""
     ground = [(1, "A", 0.0, 0.0, 300.0, 200.0), (2, "A", -0.5, -9.0, 8.0, 0.25), (3, "A", 1.0, 0.0, 1.0, 5.0), (4, "P", 0.0, 0.0, 9.0, 9.0), (5, "A", -8.0, -8.0, 0.0, 0.0), (5, "A", -8.0, -8.0, 0.0, 0.0)]
-    own = spark.createDataFrame(ground, "area_id long, bw string, x0 double, y0 double, x1 double, y1 double")
+    own = values(spark, ground, "area_id long, bw string, x0 double, y0 double, x1 double, y1 double")
     flag = [(0, 0, "r"), (-1, -1, "af"), (7, -8, "r"), (8, -8, "b"), (299, 199, "r"), (300, 0, "r"), (12, 7, "ae"), (-8, -8, "onf"), *[(1_000 + k, 0, "r") for k in range(200)]]
-    flags = spark.createDataFrame([(x, y, *[t == k for k in areas.MODES["A"]]) for x, y, t in flag], "cx long, cy long, " + ", ".join(f"{k} boolean" for k in areas.MODES["A"]))
+    flags = values(spark, [(x, y, *[t == k for k in areas.MODES["A"]]) for x, y, t in flag], "cx long, cy long, " + ", ".join(f"{k} boolean" for k in areas.MODES["A"]))
     df = areas.damaged_share(own, flags, "A")
     got = sorted(tuple(r) for r in df.collect())
     want = []
@@ -455,3 +471,25 @@ def test_cells_of_areas_stay_off_the_driver(spark):
             want.append((k, bw, *[sum(t in ts for t in hit) * same * 100.0 / size if size else 0.0 for ts in areas.GROUPS["A"].values()]))
     assert got == sorted(want) and sum(w[2] > 0 for w in want) == 2
     assert max(broadcast_rows(df), default=0) < 1_000
+
+
+def test_cells_without_points_are_never_made(spark, tmp_path):
+    """Tiles of one point each hold 400 cells; only cells near a point are made, over borders of tiles too, and a cell's point may have no height."""
+    from pavelens.plans.survey import QUERIES
+
+    cloud = [(k, 500.0 * k + 1.25, 1.5, float(k), k) for k in range(60)]
+    cloud += [(200, 149.9, 21.2, 5.0, 1), (201, 150.9, 21.2, 6.0, 2), (202, 249.9, 21.2, 7.0, 3), (203, 249.9, 21.2, 7.0, 3), (301, -1.0, -1.25, 8.0, 4), (300, -1.5, -1.25, None, 5), (400, None, 1.0, 1.0, 1), (None, 61.25, 61.25, 9.0, 6)]
+    spark.createDataFrame(cloud, "point_id long, x double, y double, z double, intensity int").write.parquet(f"{tmp_path}/point_cloud.parquet")
+    df = QUERIES["grid_from_points"](spark, str(tmp_path))
+    got = {tuple(r)[:4]: tuple(r)[4:] for r in df.collect()}
+    points = [p for p in cloud if p[1] is not None]
+    tiles, want = {(int(x // 50) * 50, int(y // 50) * 50) for _, x, y, _, _ in points}, {}
+    for tx, ty in tiles:
+        for r in range(20):
+            for c in range(20):
+                x, y = tx + (c + 0.5) * 2.5, ty + (r + 0.5) * 2.5
+                near = [((x - p[1]) ** 2 + (y - p[2]) ** 2, p[0] or 999, p[3], float(p[4])) for p in points if (x - p[1]) ** 2 + (y - p[2]) ** 2 <= 1]
+                if near:
+                    want[tx, ty, r, c] = min(near, key=lambda n: n[:2])[2:]
+    assert got == want and len(want) == 63 and (None, 5.0) in want.values()
+    assert max(generated_rows(df)) < 500
