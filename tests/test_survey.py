@@ -1,4 +1,5 @@
 import math
+import os
 import random
 
 import numpy as np
@@ -493,3 +494,12 @@ def test_cells_without_points_are_never_made(spark, tmp_path):
                     want[tx, ty, r, c] = min(near, key=lambda n: n[:2])[2:]
     assert got == want and len(want) == 63 and (None, 5.0) in want.values()
     assert max(generated_rows(df)) < 500
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001"), reason="the generated tables aren't here")
+def test_cells_of_paved_areas_stay_off_the_driver(spark):
+    """50 paved areas have some 7,000 cells, of which none is broadcast."""
+    from pavelens.plans.survey import QUERIES
+
+    df = QUERIES["substance_paved"](spark, "/root/testdata/sf0.001")
+    assert max(broadcast_rows(df), default=0) <= 50 == df.count()
